@@ -1,7 +1,7 @@
 """Alert message assembly: owner tags, dashboard links, ordered blocks, JSON.
 
 One pass over the alert rows: alerts are grouped per (dated, vertical), joined
-with the owner and link dimensions (broadcast after a size check), turned into
+with the owner and link dimensions (broadcast when their size is proven), turned into
 that vertical's block list, then grouped per day into one ordered message.
 Both groupings are bounded by the dimension tables (alerts of a day <= rules x
 threshold rows), not by the data volume.
@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from kpiwatch import schemas
 from kpiwatch.functions.columns import iso_date, report_start
-from kpiwatch.sources.dimensions import DEFAULT_OWNER, bounded_broadcast
+from kpiwatch.sources.dimensions import DEFAULT_OWNER
 
 # ---------------------------------------------------------------------------
 # Message texts and block types.
@@ -66,7 +66,7 @@ def _default_tag(owners: DataFrame) -> Column:
 
 def with_owner(df: DataFrame, owners: DataFrame) -> DataFrame:
     """Add ``owner_tag``: the vertical's tag, else the ``default`` row's tag."""
-    tags = bounded_broadcast(owners.select("vertical", F.col("tag").alias("_tag")))
+    tags = owners.select("vertical", F.col("tag").alias("_tag"))
     return (df.join(tags, "vertical", "left")
             .withColumn("owner_tag", F.coalesce(F.col("_tag"), _default_tag(owners)))
             .drop("_tag"))
@@ -82,7 +82,7 @@ def _link(base: Column, dated: Column, value: Column) -> Column:
 def with_links(df: DataFrame, links: DataFrame) -> DataFrame:
     """Add ``pct_link`` and ``tat_link`` for the row's vertical and day (NULL
     when the vertical has no link row)."""
-    dim = bounded_broadcast(links.select("vertical", "link_value", "pct_base", "tat_base"))
+    dim = links.select("vertical", "link_value", "pct_base", "tat_base")
     d = F.col("dated")
     return (df.join(dim, "vertical", "left")
             .withColumn("pct_link", _link(F.col("pct_base"), d, F.col("link_value")))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from kpiwatch import schemas
-from kpiwatch.sources.dimensions import bounded_broadcast
 
 KEYS = ["dated", "vertical", "order_type"]
 DIM_KEYS = ["vertical", "order_type"]
@@ -23,9 +22,9 @@ def attach_thresholds(metrics: DataFrame, thresholds: DataFrame,
     """Left join on (vertical, order_type); unmatched rows get NULL thresholds.
 
     Only the keys and the threshold columns of ``thresholds`` are kept (extra
-    columns of the table are dropped), and it is broadcast once its size is
-    checked.  Keys are compared as stored: threshold keys are expected in lower
-    case.
+    columns of the table are dropped).  A broadcast hint set when the table was
+    loaded (size checked) carries through.  Keys are compared as stored:
+    threshold keys are expected in lower case.
     """
     dim = thresholds.select(*DIM_KEYS, *threshold_columns)
-    return metrics.join(bounded_broadcast(dim), DIM_KEYS, "left")
+    return metrics.join(dim, DIM_KEYS, "left")

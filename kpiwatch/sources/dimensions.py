@@ -1,8 +1,10 @@
 """Dimension tables: thresholds, owner tags and dashboard links.
 
-In production these are tables (``load_table``); the rows below are invented
-test fixtures.  Dimensions are joined with a broadcast only after their row
-count is checked against a bound (``bounded_broadcast``).
+In production these are tables (``load_dimension``); the rows below are
+invented test fixtures.  A dimension carries a broadcast hint only when its
+size is proven: by the row count of driver-held rows, or by one bounded count
+when it is loaded from storage (``bounded_broadcast``).  Without the hint the
+join falls back to Spark's own size-based choice (shuffle join beyond it).
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiwatch import schemas
+from kpiwatch.sources.tables import conform, load_table
 
 # ---------------------------------------------------------------------------
 # Fixed values (invented test fixtures).
@@ -55,20 +58,39 @@ def orders_thresholds_rows() -> list[tuple]:
     return [(s, p, *ORDERS_LIMITS) for s, p in itertools.product(ORDERS_SEGMENTS, ORDERS_PRIORITIES)]
 
 
+def local_dimension(spark: SparkSession, rows: list[tuple], schema,
+                    max_rows: int | None = None) -> DataFrame:
+    """A dimension from rows held by the driver: its size is known, so the
+    broadcast hint is decided here without running a job."""
+    df = spark.createDataFrame(rows, schema)
+    limit = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    return F.broadcast(df) if len(rows) <= limit else df
+
+
+def load_dimension(spark: SparkSession, source: str, schema=None, fmt: str | None = None,
+                   max_rows: int | None = None) -> DataFrame:
+    """A dimension table from storage, conformed to ``schema`` and broadcast
+    only if its row count is within ``max_rows`` (checked once, here)."""
+    df = load_table(spark, source, fmt)
+    if schema is not None:
+        df = conform(df, schema)
+    return bounded_broadcast(df, BROADCAST_MAX_ROWS if max_rows is None else max_rows)
+
+
 def events_thresholds(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EVENTS_THRESHOLDS, schemas.THRESHOLDS)
+    return local_dimension(spark, EVENTS_THRESHOLDS, schemas.THRESHOLDS)
 
 
 def orders_thresholds(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(orders_thresholds_rows(), schemas.THRESHOLDS)
+    return local_dimension(spark, orders_thresholds_rows(), schemas.THRESHOLDS)
 
 
 def owners(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(OWNERS, schemas.OWNERS)
+    return local_dimension(spark, OWNERS, schemas.OWNERS)
 
 
 def links(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LINKS, schemas.LINKS)
+    return local_dimension(spark, LINKS, schemas.LINKS)
 
 
 # A dimension above this many rows is joined with a shuffle instead of a broadcast.

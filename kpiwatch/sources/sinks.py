@@ -28,14 +28,17 @@ def store_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str =
     columns by name).  ``fmt="jdbc"`` writes to a database given in ``options``
     (url, dbtable, ...; ``batchsize`` rows per insert).
     """
-    writer = df.write.mode(mode)
     if fmt == "jdbc":
         opts = {"batchsize": str(max_records_per_file), **(options or {})}
-        writer.format("jdbc").options(**opts).save()
+        df.write.mode(mode).format("jdbc").options(**opts).save()
         return
-    writer = writer.format(fmt).option("maxRecordsPerFile", max_records_per_file)
-    if options:
-        writer = writer.options(**options)
+    if partition_by:
+        # AQE rebalances the rows on the partition columns before the write:
+        # a large day is split over several tasks and small days are merged,
+        # so each directory gets few, well-sized files.
+        df = df.hint("rebalance", *partition_by)
+    writer = (df.write.mode(mode).format(fmt)
+              .option("maxRecordsPerFile", max_records_per_file).options(**(options or {})))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if _is_path(target):
