@@ -32,11 +32,13 @@ from kpiwatch.sources.marts import events_marts, orders_marts  # noqa: E402
 from kpiwatch.sources.sinks import replace_table  # noqa: E402
 from kpiwatch import schemas  # noqa: E402
 
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "5"))
+WARMUP = int(os.environ.get("BENCH_WARMUP", "2"))
 
 
 def timed(fn, runs=RUNS):
-    fn()  # warm-up
+    for _ in range(WARMUP):
+        fn()
     out = []
     for _ in range(runs):
         t0 = time.perf_counter()

@@ -1,10 +1,18 @@
 from kpiwatch.functions.columns import (
     day_filter,
+    day_filter_sql,
     iso_date,
+    iso_date_sql,
     metric_text,
+    metric_text_sql,
     minutes_seconds,
+    minutes_seconds_sql,
     percent_of,
+    percent_of_sql,
     report_start,
+    report_start_sql,
 )
 
-__all__ = ["day_filter", "iso_date", "metric_text", "minutes_seconds", "percent_of", "report_start"]
+__all__ = ["day_filter", "day_filter_sql", "iso_date", "iso_date_sql", "metric_text", "metric_text_sql",
+           "minutes_seconds", "minutes_seconds_sql", "percent_of", "percent_of_sql", "report_start",
+           "report_start_sql"]

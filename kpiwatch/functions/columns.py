@@ -1,5 +1,8 @@
-"""Column-returning helpers.  All are built-in expressions, so they stay inside
-whole-stage codegen; none is a UDF."""
+"""Column helpers.  Each is one built-in Spark SQL expression (so it stays in
+whole-stage codegen; none is a UDF).  They take column names or SQL
+expressions as text: the ``*_sql`` forms return the expression text, to be
+combined into one ``selectExpr``; the plain forms wrap it in a Column.
+"""
 
 from __future__ import annotations
 
@@ -8,68 +11,85 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Percent factor as DECIMAL(4,1): with BIGINT sums this keeps the percent exact
-# (DECIMAL(27,2) after rounding), so its text keeps two digits ("87.50").
-def _hundred() -> Column:
-    return F.lit(100.0).cast("decimal(4,1)")
 
-
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def _date(d) -> Column:
-    if isinstance(d, Column):
-        return d
+def _date_sql(d) -> str:
     if isinstance(d, (_dt.date, _dt.datetime)):
         d = d.isoformat()[:10]
-    return F.lit(d).cast("date")
+    return f"DATE '{d}'"
 
 
-def percent_of(numerator: Column | str, denominator: Column | str, scale: int = 2) -> Column:
-    """round(100 * numerator / denominator, scale), exact decimal arithmetic.
+def percent_of_sql(numerator: str, denominator: str, scale: int = 2) -> str:
+    """round(100 * numerator / denominator, scale) in exact decimal arithmetic.
 
-    A zero denominator gives NULL (so no alert) instead of a division error.
+    ``100.0`` is DECIMAL(4,1), so with BIGINT sums the result is DECIMAL(27,2)
+    and its text keeps two digits ("87.50").  A zero denominator gives NULL
+    (so no alert) instead of a division error.
     """
-    den = F.nullif(_col(denominator), F.lit(0))
-    return F.round(_hundred() * _col(numerator) / den, scale)
+    return f"round(100.0 * ({numerator}) / nullif({denominator}, 0), {scale})"
+
+
+def percent_of(numerator: str, denominator: str, scale: int = 2) -> Column:
+    return F.expr(percent_of_sql(numerator, denominator, scale))
 
 
-def minutes_seconds(seconds: Column | str) -> Column:
+def minutes_seconds_sql(seconds: str) -> str:
     """Seconds -> "M.SS" pseudo-decimal minutes as DOUBLE (125 -> 2.05).
 
     Only values strictly above 60 are split into minutes, so 60 renders as 0.6
     while 61 renders as 1.01.  NULL stays NULL.
     """
-    s = _col(seconds)
-    split = (F.floor(s / 60) * 100 + s % 60) / 100
-    return (F.when(s > 60, F.round(split, 2))
-             .when(s.isNotNull(), F.round(s / 100, 2))
-             .cast("double"))
+    s = f"({seconds})"
+    return (f"CAST(CASE WHEN {s} > 60 THEN round((floor({s} / 60) * 100 + {s} % 60) / 100, 2) "
+            f"WHEN {s} IS NOT NULL THEN round({s} / 100, 2) END AS DOUBLE)")
+
+
+def minutes_seconds(seconds: str) -> Column:
+    return F.expr(minutes_seconds_sql(seconds))
+
+
+def _quote(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def metric_text(value: Column | str, unit: str) -> Column:
+def metric_text_sql(value: str, unit: str) -> str:
     """Value text plus unit, e.g. '87.50 %' or '1.05 min'."""
-    return F.concat(_col(value).cast("string"), F.lit(unit))
+    return f"concat(CAST(({value}) AS STRING), {_quote(unit)})"
 
 
-def day_filter(dated: Column | str, as_of=None, day=None) -> Column | None:
+def metric_text(value: str, unit: str) -> Column:
+    return F.expr(metric_text_sql(value, unit))
+
+
+def day_filter_sql(dated: str, as_of=None, day=None) -> str | None:
     """Predicate selecting one reporting day.
 
     ``day`` names the day itself; ``as_of`` reports on the day before it (the
     job's "yesterday").  With neither, returns None: every day is reported.
     """
     if day is not None:
-        return _col(dated) == _date(day)
+        return f"{dated} = {_date_sql(day)}"
     if as_of is not None:
-        return _col(dated) == F.date_sub(_date(as_of), 1)
+        return f"{dated} = date_sub({_date_sql(as_of)}, 1)"
     return None
 
 
-def iso_date(d: Column | str) -> Column:
-    return F.date_format(_col(d), "yyyy-MM-dd")
+def day_filter(dated: str, as_of=None, day=None) -> Column | None:
+    text = day_filter_sql(dated, as_of, day)
+    return None if text is None else F.expr(text)
+
+
+def iso_date_sql(d: str) -> str:
+    return f"date_format({d}, 'yyyy-MM-dd')"
 
 
-def report_start(dated: Column | str, days: int = 7) -> Column:
+def report_start_sql(dated: str, days: int = 7) -> str:
     """Start of the dashboard window: ``days`` before the reported day."""
-    return iso_date(F.date_sub(_col(dated), days))
+    return iso_date_sql(f"date_sub({dated}, {days})")
+
+
+def iso_date(d: str) -> Column:
+    return F.expr(iso_date_sql(d))
+
+
+def report_start(dated: str, days: int = 7) -> Column:
+    return F.expr(report_start_sql(dated, days))

@@ -6,9 +6,8 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from kpiwatch.functions.columns import metric_text
+from kpiwatch.functions.columns import _quote, metric_text_sql
 
 ALERT_COLUMNS = ["dated", "vertical", "order_type", "metric_name", "metric_value", "metric_threshold"]
 
@@ -21,9 +20,8 @@ class Rule:
     above: bool      # True: alert when value > threshold; False: when value < threshold
     unit: str        # appended to the value text
 
-    def breached(self):
-        v, t = F.col(self.column), F.col(self.threshold)
-        return v > t if self.above else v < t
+    def breached_sql(self) -> str:
+        return f"{self.column} {'>' if self.above else '<'} {self.threshold}"
 
 
 # Metric names, units and directions of the six alert rules.
@@ -39,11 +37,11 @@ RULES = (
 
 def breach(final: DataFrame, rule: Rule) -> DataFrame:
     """Alert rows of one rule (NULL value or threshold never alerts)."""
-    return final.where(rule.breached()).select(
+    return final.where(rule.breached_sql()).selectExpr(
         "dated", "vertical", "order_type",
-        F.lit(rule.name).alias("metric_name"),
-        metric_text(rule.column, rule.unit).alias("metric_value"),
-        F.col(rule.threshold).cast("double").alias("metric_threshold"))
+        f"{_quote(rule.name)} AS metric_name",
+        f"{metric_text_sql(rule.column, rule.unit)} AS metric_value",
+        f"CAST({rule.threshold} AS DOUBLE) AS metric_threshold")
 
 
 def breaches_union(final: DataFrame, rules=RULES) -> DataFrame:
@@ -52,16 +50,20 @@ def breaches_union(final: DataFrame, rules=RULES) -> DataFrame:
     return reduce(DataFrame.unionByName, [breach(final, r) for r in rules])
 
 
+def breaches_sql(rules=RULES) -> str:
+    """``inline(filter(array(<one struct per rule>), <breached>))`` as SQL text."""
+    structs = ",\n  ".join(
+        f"named_struct('metric_name', {_quote(r.name)}, "
+        f"'metric_value', {metric_text_sql(r.column, r.unit)}, "
+        f"'metric_threshold', CAST({r.threshold} AS DOUBLE), "
+        f"'_hit', {r.breached_sql()})"
+        for r in rules)
+    return f"inline(filter(array(\n  {structs}), m -> coalesce(m._hit, false)))"
+
+
 def breaches(final: DataFrame, rules=RULES) -> DataFrame:
     """One pass over ``final``: every row carries an array of its breached
     metrics (filtered before it is exploded), then ``inline`` turns the array
     into alert rows.  Same rows as :func:`breaches_union`."""
-    candidates = F.array(*[
-        F.struct(F.lit(r.name).alias("metric_name"),
-                 metric_text(r.column, r.unit).alias("metric_value"),
-                 F.col(r.threshold).cast("double").alias("metric_threshold"),
-                 r.breached().alias("_hit"))
-        for r in rules])
-    hits = F.filter(candidates, lambda m: F.coalesce(m["_hit"], F.lit(False)))
-    return (final.select("dated", "vertical", "order_type", F.inline(hits))
+    return (final.selectExpr("dated", "vertical", "order_type", breaches_sql(rules))
             .select(*ALERT_COLUMNS))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiwatch.functions.columns import day_filter, percent_of
+from kpiwatch.functions.columns import day_filter_sql, percent_of_sql
 
 COUNTERS = ("total_requests", "unique_request", "unique_requests_dialed",
             "unique_requests_attempted", "unique_requests_connected")
@@ -33,16 +33,15 @@ def funnel_pct(dialed: DataFrame, as_of=None, day=None,
     by ``dated``).
     """
     percents = PERCENTS if percents is None else percents
-    cond = day_filter("dated", as_of, day)
+    cond = day_filter_sql("dated", as_of, day)
     if cond is not None:
         dialed = dialed.where(cond)
-    summed = dialed.groupBy(
-        "dated",
-        F.lower("vertical").alias("vertical"),
-        F.lower("order_type").alias("order_type"),
-    ).agg(*[F.sum(c).alias(c) for c in counters])
-    return summed.select(
+    summed = (dialed.selectExpr("dated", "lower(vertical) AS vertical", "lower(order_type) AS order_type",
+                                *counters)
+              .groupBy("dated", "vertical", "order_type")
+              .agg(*[F.sum(c).alias(c) for c in counters]))
+    return summed.selectExpr(
         "dated", "vertical", "order_type",
-        *[F.col(c).alias(SUM_NAMES.get(c, c)) for c in counters],
-        *[percent_of(num, denominator).alias(name) for name, num in percents.items()],
+        *[f"{c} AS {SUM_NAMES.get(c, c)}" for c in counters],
+        *[f"{percent_of_sql(num, denominator)} AS {name}" for name, num in percents.items()],
     )

@@ -11,10 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kpiwatch import schemas
-from kpiwatch.functions.columns import iso_date, report_start
+from kpiwatch.functions.columns import _quote, iso_date_sql, report_start_sql
 from kpiwatch.sources.dimensions import DEFAULT_OWNER
 
 # ---------------------------------------------------------------------------
@@ -29,35 +28,27 @@ LINK_PARAMS = ("?start_date=", "&end_date=", "&verticals=", "&period=Day")
 WINDOW_DAYS = 7
 # ---------------------------------------------------------------------------
 
-_TEXT_ARRAY = T.ArrayType(schemas.TEXT, True)
-_BLOCKS = T.ArrayType(schemas.BLOCK, True)
+BLOCK_TYPE = schemas.BLOCK.simpleString()
 
 
-def _text(kind: str, text: Column) -> Column:
-    return F.struct(F.lit(kind).alias("type"), text.alias("text"))
+def _text_sql(kind: str, text: str) -> str:
+    return f"named_struct('type', {_quote(kind)}, 'text', {text})"
 
 
-def _block(kind: str, text: Column | None = None, fields: Column | None = None) -> Column:
-    return F.struct(
-        F.lit(kind).alias("type"),
-        (text if text is not None else F.lit(None).cast(schemas.TEXT)).alias("text"),
-        (fields if fields is not None else F.lit(None).cast(_TEXT_ARRAY)).alias("fields"),
-    )
+def _block_sql(kind: str, text: str = "NULL", fields: str = "NULL") -> str:
+    """One block as SQL, cast to the block type so every block has one type."""
+    return f"CAST(named_struct('type', {_quote(kind)}, 'text', {text}, 'fields', {fields}) AS {BLOCK_TYPE})"
 
 
-def header_block() -> Column:
-    return _block("header", _text("plain_text", F.lit(HEADER_TEXT)))
-
-
-def divider_block() -> Column:
-    return _block("divider")
+HEADER_SQL = _block_sql("header", _text_sql("plain_text", _quote(HEADER_TEXT)))
+DIVIDER_SQL = _block_sql("divider")
 
 
 def report_window(alerts: DataFrame) -> DataFrame:
     """Per reported day: the dashboard window start (7 days before) and end."""
-    return alerts.select("dated").distinct().select(
-        "dated", report_start("dated", WINDOW_DAYS).alias("start_date"),
-        iso_date("dated").alias("end_date"))
+    return alerts.select("dated").distinct().selectExpr(
+        "dated", f"{report_start_sql('dated', WINDOW_DAYS)} AS start_date",
+        f"{iso_date_sql('dated')} AS end_date")
 
 
 def _default_tag(owners: DataFrame) -> Column:
@@ -65,28 +56,28 @@ def _default_tag(owners: DataFrame) -> Column:
 
 
 def with_owner(df: DataFrame, owners: DataFrame) -> DataFrame:
-    """Add ``owner_tag``: the vertical's tag, else the ``default`` row's tag."""
+    """Add ``owner_tag``: the vertical's tag, else the ``default`` row's tag
+    (a scalar subquery, evaluated once)."""
     tags = owners.select("vertical", F.col("tag").alias("_tag"))
     return (df.join(tags, "vertical", "left")
             .withColumn("owner_tag", F.coalesce(F.col("_tag"), _default_tag(owners)))
             .drop("_tag"))
 
 
-def _link(base: Column, dated: Column, value: Column) -> Column:
+def _link_sql(base: str) -> str:
     """``base?start_date=<dated - 7>&end_date=<dated>&verticals=<value>&period=Day``."""
-    p_start, p_end, p_value, p_tail = LINK_PARAMS
-    return F.concat(base, F.lit(p_start), report_start(dated, WINDOW_DAYS), F.lit(p_end),
-                    iso_date(dated), F.lit(p_value), value, F.lit(p_tail))
+    p_start, p_end, p_value, p_tail = (_quote(p) for p in LINK_PARAMS)
+    return (f"concat({base}, {p_start}, {report_start_sql('dated', WINDOW_DAYS)}, {p_end}, "
+            f"{iso_date_sql('dated')}, {p_value}, link_value, {p_tail})")
 
 
 def with_links(df: DataFrame, links: DataFrame) -> DataFrame:
     """Add ``pct_link`` and ``tat_link`` for the row's vertical and day (NULL
     when the vertical has no link row)."""
     dim = links.select("vertical", "link_value", "pct_base", "tat_base")
-    d = F.col("dated")
     return (df.join(dim, "vertical", "left")
-            .withColumn("pct_link", _link(F.col("pct_base"), d, F.col("link_value")))
-            .withColumn("tat_link", _link(F.col("tat_base"), d, F.col("link_value")))
+            .withColumns({"pct_link": F.expr(_link_sql("pct_base")),
+                          "tat_link": F.expr(_link_sql("tat_base"))})
             .drop("link_value", "pct_base", "tat_base"))
 
 
@@ -95,49 +86,50 @@ def vertical_links(alerts: DataFrame, links: DataFrame) -> DataFrame:
     return with_links(alerts.select("dated", "vertical").distinct(), links)
 
 
+def _vertical_blocks_sql() -> str:
+    heading = _block_sql("section", _text_sql(
+        "mrkdwn", f"concat({_quote(HEADING_PREFIX)}, upper(vertical), '* ', owner_tag)"))
+    link = _block_sql("section", _text_sql(
+        "mrkdwn", f"concat({_quote(PCT_LINK_PREFIX)}, pct_link, {_quote(TAT_LINK_PREFIX)}, "
+                  f"tat_link, {_quote(LINK_SUFFIX)})"))
+    alert = _block_sql("section", fields=(
+        "array(" + _text_sql("mrkdwn", "concat('*', a.metric_name, '* (', a.order_type, ')')") + ", "
+        + _text_sql("mrkdwn", "concat('*', a.metric_value, '*')") + ")"))
+    return (f"concat(array({heading}), "
+            f"CASE WHEN pct_link IS NOT NULL THEN array({link}) ELSE array() END, "
+            f"transform(_alerts, a -> {alert}), array({DIVIDER_SQL}))")
+
+
 def vertical_blocks(alerts: DataFrame, owners: DataFrame, links: DataFrame) -> DataFrame:
     """One row per (dated, vertical): heading, links (if any), one block per
     alert in (order_type, metric_name, metric_value) order, divider."""
-    grouped = alerts.groupBy("dated", "vertical").agg(F.sort_array(F.collect_list(F.struct(
-        "order_type", "metric_name", "metric_value", "metric_threshold"))).alias("_alerts"))
+    grouped = alerts.groupBy("dated", "vertical").agg(F.expr(
+        "sort_array(collect_list(struct(order_type, metric_name, metric_value, metric_threshold)))"
+    ).alias("_alerts"))
     dressed = with_links(with_owner(grouped, owners), links)
-    heading = _block("section", _text("mrkdwn", F.concat(
-        F.lit(HEADING_PREFIX), F.upper("vertical"), F.lit("* "), F.col("owner_tag"))))
-    link_text = F.concat(F.lit(PCT_LINK_PREFIX), F.col("pct_link"), F.lit(TAT_LINK_PREFIX),
-                         F.col("tat_link"), F.lit(LINK_SUFFIX))
-    link_blocks = F.when(F.col("pct_link").isNotNull(),
-                         F.array(_block("section", _text("mrkdwn", link_text)))
-                         ).otherwise(F.array().cast(_BLOCKS))
-    alert_blocks = F.transform("_alerts", lambda a: _block("section", fields=F.array(
-        _text("mrkdwn", F.concat(F.lit("*"), a["metric_name"], F.lit("* ("), a["order_type"], F.lit(")"))),
-        _text("mrkdwn", F.concat(F.lit("*"), a["metric_value"], F.lit("*"))))))
-    blocks = F.concat(F.array(heading), link_blocks, alert_blocks, F.array(divider_block()))
-    return dressed.select("dated", "vertical", blocks.cast(_BLOCKS).alias("blocks"))
+    return dressed.selectExpr("dated", "vertical", f"{_vertical_blocks_sql()} AS blocks")
 
 
 def day_blocks(alerts: DataFrame, owners: DataFrame, links: DataFrame) -> DataFrame:
     """One row per day with alerts: the whole ordered block list (header,
     divider, then every vertical in name order).  A day without alerts has no
     row, so no message."""
-    per_vertical = vertical_blocks(alerts, owners, links)
-    per_day = per_vertical.groupBy("dated").agg(
-        F.sort_array(F.collect_list(F.struct("vertical", "blocks"))).alias("_vs"))
-    blocks = F.concat(F.array(header_block(), divider_block()),
-                      F.flatten(F.transform("_vs", lambda v: v["blocks"])))
-    return per_day.select("dated", blocks.cast(_BLOCKS).alias("blocks"))
+    per_day = vertical_blocks(alerts, owners, links).groupBy("dated").agg(
+        F.expr("sort_array(collect_list(struct(vertical, blocks)))").alias("_vs"))
+    return per_day.selectExpr(
+        "dated", f"concat(array({HEADER_SQL}, {DIVIDER_SQL}), flatten(transform(_vs, v -> v.blocks))) AS blocks")
 
 
 def alert_blocks(alerts: DataFrame, owners: DataFrame, links: DataFrame) -> DataFrame:
     """Flat view of the blocks: (dated, block_no, block_type, text_type, text,
     field1, field2), numbered from 1 within each day."""
-    b = F.col("b")
-    return day_blocks(alerts, owners, links).select("dated", F.posexplode("blocks").alias("pos", "b")).select(
-        "dated", (F.col("pos") + 1).alias("block_no"), b["type"].alias("block_type"),
-        b["text"]["type"].alias("text_type"), b["text"]["text"].alias("text"),
-        b["fields"].getItem(0)["text"].alias("field1"), b["fields"].getItem(1)["text"].alias("field2"))
+    return (day_blocks(alerts, owners, links)
+            .selectExpr("dated", "posexplode(blocks) AS (pos, b)")
+            .selectExpr("dated", "pos + 1 AS block_no", "b.type AS block_type", "b.text.type AS text_type",
+                        "b.text.text AS text", "b.fields[0].text AS field1", "b.fields[1].text AS field2"))
 
 
 def alert_payload(alerts: DataFrame, owners: DataFrame, links: DataFrame) -> DataFrame:
     """One JSON message per day: ``{"blocks": [...]}``; absent parts omitted."""
-    return day_blocks(alerts, owners, links).select(
-        "dated", F.to_json(F.struct(F.col("blocks").alias("blocks"))).alias("payload"))
+    return day_blocks(alerts, owners, links).selectExpr(
+        "dated", "to_json(named_struct('blocks', blocks)) AS payload")

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from kpiwatch.functions.columns import day_filter, minutes_seconds
+from kpiwatch.functions.columns import day_filter_sql, minutes_seconds_sql
 from kpiwatch.operators.percentiles import percentiles
 
 # output seconds column -> mart column
@@ -22,16 +21,16 @@ def tat_seconds(tat: DataFrame, as_of=None, day=None, q: float = 0.9,
                 method: str = "hash") -> DataFrame:
     """round(percentile_cont(q)) of each duration, grouped by the raw keys
     (vertical and order type keep their case here)."""
-    cond = day_filter("dated", as_of, day)
+    cond = day_filter_sql("dated", as_of, day)
     if cond is not None:
         tat = tat.where(cond)
     keys = ["dated", "vertical", "order_type"]
     p = percentiles(tat, keys, SECONDS, q, method)
-    return p.select(*keys, *[F.round(c).alias(c) for c in SECONDS])
+    return p.selectExpr(*keys, *[f"round({c}) AS {c}" for c in SECONDS])
 
 
 def tat_minutes(seconds: DataFrame) -> DataFrame:
     """Seconds -> "M.SS" minutes; only the vertical is lower-cased."""
-    return seconds.select(
-        "dated", F.lower("vertical").alias("vertical"), "order_type",
-        *[minutes_seconds(s).alias(m) for m, s in MINUTES.items()])
+    return seconds.selectExpr(
+        "dated", "lower(vertical) AS vertical", "order_type",
+        *[f"{minutes_seconds_sql(s)} AS {m}" for m, s in MINUTES.items()])

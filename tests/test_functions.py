@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from kpiwatch.functions import day_filter, metric_text, minutes_seconds, percent_of, report_start
+from kpiwatch.functions import day_filter, metric_text, minutes_seconds, percent_of, percent_of_sql, report_start
 
 # seconds -> "M.SS" (FIXTURES.md section 3)
 CASES = [(0.0, 0.0), (5.0, 0.05), (59.0, 0.59), (60.0, 0.6), (61.0, 1.01), (125.0, 2.05),
@@ -18,7 +18,7 @@ def test_minutes_seconds(spark):
 
 def test_percent_is_exact_decimal_and_zero_safe(spark):
     df = spark.createDataFrame([(2, 3), (7, 8), (191, 200), (1, 0)], "a long, b long")
-    out = df.select(percent_of("a", "b").alias("p"), metric_text(percent_of("a", "b"), " %").alias("t"))
+    out = df.select(percent_of("a", "b").alias("p"), metric_text(percent_of_sql("a", "b"), " %").alias("t"))
     assert str(out.schema["p"].dataType) == "DecimalType(27,2)"
     rows = out.collect()
     assert [r.t for r in rows] == ["66.67 %", "87.50 %", "95.50 %", None]
