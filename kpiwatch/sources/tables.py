@@ -38,6 +38,12 @@ def load_table(spark: SparkSession, source: str, fmt: str | None = None,
     return reader.load(source)
 
 
+def fetch(spark: SparkSession, query: str, **args) -> DataFrame:
+    """Run a SQL query (with optional named parameters or DataFrame
+    arguments) and return its result with lower-case column names."""
+    return lowercase_columns(spark.sql(query, **args))
+
+
 def lowercase_columns(df: DataFrame) -> DataFrame:
     """Rename every column to lower case (warehouses often return upper case)."""
     return df.toDF(*[c.lower() for c in df.columns])

@@ -44,3 +44,10 @@ def test_lowercase_and_conform(spark):
 
 def test_shared_dir_uses_checkpoint_dir(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_fetch_runs_sql_and_lowercases(spark, small_dir):
+    from kpiwatch.sources.tables import fetch, read_table
+    nation = read_table(spark, small_dir, "nation")
+    df = fetch(spark, "SELECT N_NATIONKEY AS N_KEY FROM {t} WHERE n_regionkey = :r", t=nation, args={"r": 1})
+    assert df.columns == ["n_key"] and df.count() == 5
