@@ -10,7 +10,9 @@ Two exact forms, same results:
   hot group is split across tasks; running counts are taken inside each range
   and offset by the counts of the ranges before it (a table of at most
   #groups + #partitions rows); the rows holding the two ranks around q*(n-1)
-  are then interpolated.  No task ever holds a whole group.
+  are then interpolated.  No task ever holds a whole group.  The ranged
+  counts are checkpointed once, since both the offsets and the final join
+  must see the same range ids.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kpiwatch.sources.sinks import materialize
+
 
 def percentiles_hash(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str],
                      q: float = 0.9) -> DataFrame:
@@ -46,7 +50,8 @@ def percentiles_sorted(df: DataFrame, keys: Sequence[str], columns: Mapping[str,
     # Running weight inside one range of one group (bounded by the range size).
     in_range = Window.partitionBy("_part", *gkeys).orderBy("_x").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumn("_cum", F.sum("_w").over(in_range))
+    # Materialized once: the range ids must be the same in both uses below.
+    local = materialize(ranged.withColumn("_cum", F.sum("_w").over(in_range)))
     # Offsets of each range within its group: small table, one row per (range, group).
     totals = local.groupBy("_part", *gkeys).agg(F.max("_cum").alias("_tot"))
     before = Window.partitionBy(*gkeys).orderBy("_part").rowsBetween(

@@ -6,6 +6,7 @@ the way the batched inserts bounded statement size.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,3 +81,25 @@ def shared_dir(spark: SparkSession, sub: str) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{sub}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage, reliably.
+
+    Used where one intermediate result feeds two branches that must see the
+    same rows (e.g. ids assigned by range partitioning, whose sampled bounds
+    could differ if a branch were recomputed).  Uses ``checkpoint()`` in the
+    cluster's ``spark.checkpoint.dir``; without one, a Parquet table written
+    under the warehouse directory.  Both survive executor loss.
+    """
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            sc.setCheckpointDir(configured)
+    if sc.getCheckpointDir() is not None:
+        return df.checkpoint(eager=True)
+    path = shared_dir(spark, f"kpiwatch_materialized/{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
