@@ -51,6 +51,27 @@ def _quote(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def template_sql(template: str, quote=None, joiner: str | None = None, **fields: str) -> str:
+    """A ``{name}`` text template as one SQL string expression.
+
+    Literal parts become string literals and every ``{name}`` the SQL
+    expression ``fields[name]``; by default they are joined with Spark's
+    ``concat`` (NULL in, NULL out).  ``quote`` and ``joiner`` let the same
+    template be written for another SQL dialect (e.g. ``||``).
+    """
+    import string
+    quote = quote or _quote
+    parts = []
+    for literal, name, _, _ in string.Formatter().parse(template):
+        if literal:
+            parts.append(quote(literal))
+        if name is not None:
+            parts.append(f"({fields[name]})")
+    if joiner is not None:
+        return f" {joiner} ".join(parts)
+    return f"concat({', '.join(parts)})"
+
+
 def metric_text_sql(value: str, unit: str) -> str:
     """Value text plus unit, e.g. '87.50 %' or '1.05 min'."""
     return f"concat(CAST(({value}) AS STRING), {_quote(unit)})"

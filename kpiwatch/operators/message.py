@@ -13,18 +13,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpiwatch import schemas
-from kpiwatch.functions.columns import _quote, iso_date_sql, report_start_sql
+from kpiwatch.functions.columns import _quote, iso_date_sql, report_start_sql, template_sql
 from kpiwatch.sources.dimensions import DEFAULT_OWNER
 
 # ---------------------------------------------------------------------------
 # Message texts and block types.
 # ---------------------------------------------------------------------------
 HEADER_TEXT = "🚨 Outbound Alerts"
-HEADING_PREFIX = "🚀 *"          # + VERTICAL + "* " + owner tag
-PCT_LINK_PREFIX = "📈 *PCT Card Link:* <"
-TAT_LINK_PREFIX = "|View Dashboard> 📈 *TAT Card Link:* <"
-LINK_SUFFIX = "|View Dashboard>"
-LINK_PARAMS = ("?start_date=", "&end_date=", "&verticals=", "&period=Day")
+HEADING_TEXT = "🚀 *{vertical}* {tag}"
+LINKS_TEXT = "📈 *PCT Card Link:* <{pct}|View Dashboard> 📈 *TAT Card Link:* <{tat}|View Dashboard>"
+ALERT_NAME_TEXT = "*{metric_name}* ({order_type})"
+ALERT_VALUE_TEXT = "*{metric_value}*"
+LINK_URL = "{base}?start_date={start}&end_date={end}&verticals={value}&period=Day"
 WINDOW_DAYS = 7
 # ---------------------------------------------------------------------------
 
@@ -65,10 +65,9 @@ def with_owner(df: DataFrame, owners: DataFrame) -> DataFrame:
 
 
 def _link_sql(base: str) -> str:
-    """``base?start_date=<dated - 7>&end_date=<dated>&verticals=<value>&period=Day``."""
-    p_start, p_end, p_value, p_tail = (_quote(p) for p in LINK_PARAMS)
-    return (f"concat({base}, {p_start}, {report_start_sql('dated', WINDOW_DAYS)}, {p_end}, "
-            f"{iso_date_sql('dated')}, {p_value}, link_value, {p_tail})")
+    """The dashboard URL of the row's vertical and day (LINK_URL)."""
+    return template_sql(LINK_URL, base=base, start=report_start_sql("dated", WINDOW_DAYS),
+                        end=iso_date_sql("dated"), value="link_value")
 
 
 def with_links(df: DataFrame, links: DataFrame) -> DataFrame:
@@ -88,13 +87,14 @@ def vertical_links(alerts: DataFrame, links: DataFrame) -> DataFrame:
 
 def _vertical_blocks_sql() -> str:
     heading = _block_sql("section", _text_sql(
-        "mrkdwn", f"concat({_quote(HEADING_PREFIX)}, upper(vertical), '* ', owner_tag)"))
+        "mrkdwn", template_sql(HEADING_TEXT, vertical="upper(vertical)", tag="owner_tag")))
     link = _block_sql("section", _text_sql(
-        "mrkdwn", f"concat({_quote(PCT_LINK_PREFIX)}, pct_link, {_quote(TAT_LINK_PREFIX)}, "
-                  f"tat_link, {_quote(LINK_SUFFIX)})"))
+        "mrkdwn", template_sql(LINKS_TEXT, pct="pct_link", tat="tat_link")))
     alert = _block_sql("section", fields=(
-        "array(" + _text_sql("mrkdwn", "concat('*', a.metric_name, '* (', a.order_type, ')')") + ", "
-        + _text_sql("mrkdwn", "concat('*', a.metric_value, '*')") + ")"))
+        "array("
+        + _text_sql("mrkdwn", template_sql(ALERT_NAME_TEXT, metric_name="a.metric_name",
+                                           order_type="a.order_type")) + ", "
+        + _text_sql("mrkdwn", template_sql(ALERT_VALUE_TEXT, metric_value="a.metric_value")) + ")"))
     return (f"concat(array({heading}), "
             f"CASE WHEN pct_link IS NOT NULL THEN array({link}) ELSE array() END, "
             f"transform(_alerts, a -> {alert}), array({DIVIDER_SQL}))")

@@ -13,8 +13,9 @@ from __future__ import annotations
 
 from kpiwatch import schemas
 from kpiwatch.operators.breaches import RULES
-from kpiwatch.operators.message import (HEADER_TEXT, HEADING_PREFIX, LINK_PARAMS, LINK_SUFFIX,
-                                        PCT_LINK_PREFIX, TAT_LINK_PREFIX, WINDOW_DAYS)
+from kpiwatch.functions.columns import template_sql
+from kpiwatch.operators.message import (ALERT_NAME_TEXT, ALERT_VALUE_TEXT, HEADER_TEXT, HEADING_TEXT,
+                                        LINK_URL, LINKS_TEXT, WINDOW_DAYS)
 from kpiwatch.sources import dimensions as dims
 from kpiwatch.sources import marts
 
@@ -29,6 +30,11 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def _text(template: str, **fields) -> str:
+    """A message text template in DuckDB SQL (``||`` keeps NULL in, NULL out)."""
+    return template_sql(template, quote=_q, joiner="||", **fields)
+
+
 def _vertical() -> str:
     return "CASE WHEN user_id % 5 = 0 THEN upper(event_type) ELSE event_type END"
 
@@ -178,12 +184,11 @@ _FUNNEL_COUNTS = ("dated, vertical, order_type, total_request, unique_request, u
 def _message_ctes() -> str:
     owners = dims.values_sql(dims.OWNERS, ["vertical", "tag"], ["VARCHAR", "VARCHAR"])
     links = dims.values_sql(dims.LINKS, ["vertical", "link_value", "pct_base", "tat_base"], ["VARCHAR"] * 4)
-    p_start, p_end, p_value, p_tail = (_q(p) for p in LINK_PARAMS)
     start = f"strftime(dv.dated - INTERVAL {WINDOW_DAYS} DAY, '%Y-%m-%d')"
     end = "strftime(dv.dated, '%Y-%m-%d')"
 
     def link(base):
-        return f"l.{base} || {p_start} || {start} || {p_end} || {end} || {p_value} || l.link_value || {p_tail}"
+        return _text(LINK_URL, base=f"l.{base}", start=start, end=end, value="l.link_value")
 
     return f""",
 alerts AS (SELECT * FROM alert_cte),
@@ -205,14 +210,15 @@ block_rows AS (
   SELECT dated, 0, '', 1, '', '', '', 'divider', NULL, NULL, NULL, NULL FROM days
   UNION ALL
   SELECT dated, 1, vertical, 2, '', '', '', 'section', 'mrkdwn',
-    {_q(HEADING_PREFIX)} || upper(vertical) || '* ' || owner_tag, NULL, NULL FROM dressed
+    {_text(HEADING_TEXT, vertical='upper(vertical)', tag='owner_tag')}, NULL, NULL FROM dressed
   UNION ALL
   SELECT dated, 1, vertical, 3, '', '', '', 'section', 'mrkdwn',
-    {_q(PCT_LINK_PREFIX)} || pct_link || {_q(TAT_LINK_PREFIX)} || tat_link || {_q(LINK_SUFFIX)}, NULL, NULL
+    {_text(LINKS_TEXT, pct='pct_link', tat='tat_link')}, NULL, NULL
   FROM dressed WHERE pct_link IS NOT NULL
   UNION ALL
   SELECT dated, 1, vertical, 4, order_type, metric_name, metric_value, 'section', NULL, NULL,
-    '*' || metric_name || '* (' || order_type || ')', '*' || metric_value || '*' FROM alerts
+    {_text(ALERT_NAME_TEXT, metric_name='metric_name', order_type='order_type')},
+    {_text(ALERT_VALUE_TEXT, metric_value='metric_value')} FROM alerts
   UNION ALL
   SELECT dated, 1, vertical, 5, '', '', '', 'divider', NULL, NULL, NULL, NULL FROM dressed),
 blocks AS (
