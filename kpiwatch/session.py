@@ -13,8 +13,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   scratch: str | None = None, app: str = "kpiwatch") -> SparkSession:
     """``local[cores]`` session with AQE on, UTC, no UI.
 
-    ``spark.checkpoint.dir`` and the warehouse directory are set to a fresh
-    scratch folder only here, for local runs where the cluster names none.
+    The warehouse directory goes to a fresh scratch folder.  The checkpoint
+    folder is the one the installation names in ``spark.checkpoint.dir``; only
+    when none is named is a scratch one set, as tests need one.
     """
     scratch = scratch or tempfile.mkdtemp(prefix="kpiwatch-")
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
@@ -26,10 +27,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.driver.memory", os.environ.get("KPIWATCH_DRIVER_MEMORY", "8g"))
-               .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
-               .config("spark.checkpoint.dir", f"{scratch}/checkpoints"))
+               .config("spark.sql.warehouse.dir", f"{scratch}/warehouse"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(f"{scratch}/checkpoints")
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        spark.sparkContext.setCheckpointDir(named or f"{scratch}/checkpoints")
     return spark
