@@ -62,7 +62,9 @@ def percentiles_sorted(df: DataFrame, keys: Sequence[str], columns: Mapping[str,
         F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"),
         F.sum("_tot").over(whole).alias("_cnt"))
     pos = F.col("_cnt") - 1
-    placed = (local.join(offsets, ["_part", *gkeys])
+    # Null-safe on the keys: a group whose key holds NULL is still a group.
+    on = [F.col(f"l.{c}").eqNullSafe(F.col(f"o.{c}")) for c in ["_part", *gkeys]]
+    placed = (local.alias("l").join(offsets.alias("o"), on).select("l.*", "o._off", "o._cnt")
               .withColumn("_hi_cum", F.col("_off") + F.col("_cum"))
               .withColumn("_lo_cum", F.col("_hi_cum") - F.col("_w"))
               .withColumn("_pos", pos.cast("double") * F.lit(q))

@@ -53,3 +53,10 @@ def test_sorted_matches_hash_and_definition(spark, rows, q):
         want = _cont([x for kk, x in rows if kk == k], q)
         for got in (h[k], s[k]):
             assert (got is None and want is None) or got == pytest.approx(want)
+
+
+def test_null_key_is_a_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0)], "k string, x double")
+    h = sorted((r.k or "", r.p) for r in percentiles_hash(df, ["k"], {"p": "x"}, 0.5).collect())
+    s = sorted((r.k or "", r.p) for r in percentiles_sorted(df, ["k"], {"p": "x"}, 0.5).collect())
+    assert h == s == [("", 2.0), ("a", 2.0)]
