@@ -76,6 +76,18 @@ def _order_month() -> Column:
     return F.trunc(F.col("o_orderdate").cast("date"), "month").alias("dated")
 
 
+def order_keys(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """One row per order with its report keys: month, segment, priority.
+
+    Orders meet customers before any line is joined, so the line-level data
+    is shuffled once (on the order key) and never on the customer key.
+    """
+    return (orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+            .join(customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey")
+            .select("o_orderkey", _order_month(), F.col("c_mktsegment").alias("vertical"),
+                    "o_orderpriority"))
+
+
 def orders_dialed(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
     """Monthly funnel mart: distinct orders per (month, segment, priority) and stage.
 
@@ -89,11 +101,9 @@ def orders_dialed(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -
         F.max(F.when(F.col("l_returnflag") != "N", F.lit(1))).alias(STAGES[1]),
         F.max(F.when(F.col("l_linestatus") == "F", F.lit(1))).alias(STAGES[2]),
     )
-    keyed = (flags
-             .join(orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"), "o_orderkey")
-             .join(customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey")
-             .select(_order_month(), F.col("c_mktsegment").alias("vertical"),
-                     F.col("o_orderpriority").alias("order_type"), "o_orderkey", "_rows", *STAGES))
+    keyed = (flags.join(order_keys(orders, customer), "o_orderkey")
+             .select("dated", "vertical", F.col("o_orderpriority").alias("order_type"),
+                     "o_orderkey", "_rows", *STAGES))
     return count_flagged(keyed, ["dated", "vertical", "order_type"], "o_orderkey", STAGES,
                          rows_as="total_requests", distinct_as="unique_request")
 
@@ -102,11 +112,10 @@ def orders_tat(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> D
     """Line-grain monthly turnaround mart (priority lower-cased)."""
     q = F.col("l_quantity")
     f1, f2, f3 = ORDERS_TAT_FACTORS
-    return (lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity", "l_returnflag", "l_linestatus")
-            .join(orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"), "o_orderkey")
-            .join(customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey")
-            .select(_order_month(), F.col("c_mktsegment").alias("vertical"),
-                    F.lower("o_orderpriority").alias("order_type"),
+    lines = lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity", "l_returnflag",
+                            "l_linestatus")
+    return (lines.join(order_keys(orders, customer), "o_orderkey")
+            .select("dated", "vertical", F.lower("o_orderpriority").alias("order_type"),
                     (q * f1).alias(TAT_COLUMNS[0]),
                     F.when(F.col("l_returnflag") != "N", q * f2).alias(TAT_COLUMNS[1]),
                     F.when(F.col("l_linestatus") == "F", q * f3).alias(TAT_COLUMNS[2])))
