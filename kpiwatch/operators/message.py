@@ -125,7 +125,7 @@ def alert_blocks(alerts: DataFrame, owners: DataFrame, links: DataFrame) -> Data
     field1, field2), numbered from 1 within each day."""
     return (day_blocks(alerts, owners, links)
             .selectExpr("dated", "posexplode(blocks) AS (pos, b)")
-            .selectExpr("dated", "pos + 1 AS block_no", "b.type AS block_type", "b.text.type AS text_type",
+            .selectExpr("dated", "CAST(pos + 1 AS BIGINT) AS block_no", "b.type AS block_type", "b.text.type AS text_type",
                         "b.text.text AS text", "b.fields[0].text AS field1", "b.fields[1].text AS field2"))
 
 

@@ -6,7 +6,9 @@ the Spark plans independently.  Two deliberate notes:
 
 * percentages use exact half-up integer arithmetic, because DuckDB divides
   decimals in DOUBLE while Spark keeps DECIMAL (the text must read "87.50");
-* a zero denominator gives NULL (no alert), in both engines.
+* a zero denominator gives NULL (no alert), in both engines;
+* sums are cast to BIGINT, the type Spark gives a sum of BIGINT (DuckDB widens
+  to HUGEINT).
 """
 
 from __future__ import annotations
@@ -128,10 +130,11 @@ tat AS ({tat}),
 threshold_cte AS (SELECT * FROM {thr}),
 dialed_cte AS (
   SELECT dated, lower(vertical) AS vertical, lower(order_type) AS order_type,
-    sum(total_requests) AS total_request, sum(unique_request) AS unique_request,
-    sum(unique_requests_dialed) AS unique_requests_dialed,
-    sum(unique_requests_attempted) AS unique_requests_attempted,
-    sum(unique_requests_connected) AS unique_requests_connected,
+    CAST(sum(total_requests) AS BIGINT) AS total_request,
+    CAST(sum(unique_request) AS BIGINT) AS unique_request,
+    CAST(sum(unique_requests_dialed) AS BIGINT) AS unique_requests_dialed,
+    CAST(sum(unique_requests_attempted) AS BIGINT) AS unique_requests_attempted,
+    CAST(sum(unique_requests_connected) AS BIGINT) AS unique_requests_connected,
     {_pct('sum(unique_requests_dialed)')} AS dialed_pct,
     {_pct('sum(unique_requests_attempted)')} AS attempted_pct,
     {_pct('sum(unique_requests_connected)')} AS connected_pct

@@ -33,8 +33,9 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, small_dir, name):
     df = entry_mod.queries()[name](spark, small_dir)
     scols, srows = df.columns, [tuple(r) for r in df.collect()]
-    res = check.duck(small_dir).execute(entry_mod.oracle_sql()[name])
-    dcols, drows = [c[0] for c in res.description], res.fetchall()
+    rel = check.duck(small_dir).sql(entry_mod.oracle_sql()[name])
+    dcols, dtypes, drows = rel.columns, rel.types, rel.fetchall()
     assert sorted(scols) == sorted(dcols)
+    assert check.type_diff(df.schema, dcols, dtypes) == {}
     assert len(srows) == len(drows)
     assert check.digest(scols, srows)[0] == check.digest(dcols, drows)[0]
