@@ -30,7 +30,7 @@ from kpiwatch.plans.queries import queries  # noqa: E402
 from kpiwatch.session import local_session  # noqa: E402
 from kpiwatch.sources import dimensions as dims  # noqa: E402
 from kpiwatch.sources.marts import events_marts, orders_marts  # noqa: E402
-from kpiwatch.sources.sinks import replace_table  # noqa: E402
+from kpiwatch.sources.sinks import replace_table, shared_dir  # noqa: E402
 from kpiwatch import schemas  # noqa: E402
 
 RUNS = int(os.environ.get("BENCH_RUNS", "5"))
@@ -59,7 +59,8 @@ def main():
     stored = {}
     for name, build in (("events", events_marts), ("orders", orders_marts)):
         dialed, tat = build(spark, sf_dir)
-        paths = (f"{scratch}/marts/{name}_dialed", f"{scratch}/marts/{name}_tat")
+        base = shared_dir(spark, f"kpiwatch_bench/{os.path.basename(scratch)}")
+        paths = (f"{base}/{name}_dialed", f"{base}/{name}_tat")
 
         def write(dialed=dialed, tat=tat, paths=paths):
             replace_table(dialed, paths[0], partition_by=["dated"])
