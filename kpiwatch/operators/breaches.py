@@ -51,14 +51,19 @@ def breaches_union(final: DataFrame, rules=RULES) -> DataFrame:
 
 
 def breaches_sql(rules=RULES) -> str:
-    """``inline(filter(array(<one struct per rule>), <breached>))`` as SQL text."""
+    """``inline`` of the breached rules' (metric_name, metric_value,
+    metric_threshold) structs, as SQL text: the array of all rules is filtered
+    on the breach flag before anything is exploded."""
     structs = ",\n  ".join(
         f"named_struct('metric_name', {_quote(r.name)}, "
         f"'metric_value', {metric_text_sql(r.column, r.unit)}, "
         f"'metric_threshold', CAST({r.threshold} AS DOUBLE), "
         f"'_hit', {r.breached_sql()})"
         for r in rules)
-    return f"inline(filter(array(\n  {structs}), m -> coalesce(m._hit, false)))"
+    kept = ("named_struct('metric_name', m.metric_name, 'metric_value', m.metric_value, "
+            "'metric_threshold', m.metric_threshold)")
+    return (f"inline(transform(filter(array(\n  {structs}),\n  m -> coalesce(m._hit, false)),\n"
+            f"  m -> {kept}))")
 
 
 def breaches(final: DataFrame, rules=RULES) -> DataFrame:

@@ -252,6 +252,8 @@ def oracle_sql() -> dict[str, str]:
     out["alerts_orders_month"] = alerts_sql("orders", day=ORDERS_DAY)
     out["alerts_orders_all"] = alerts_sql("orders")
     out["alerts_all_days_sorted"] = alerts_sql("events")
+    out["alerts_day_sql"] = alerts_sql(**ev_day)
+    out["alerts_orders_all_sql"] = alerts_sql("orders")
     msg = f"WITH {alerts_cte('events')}{_message_ctes()}\n"
     out["report_window"] = (f"WITH {alerts_cte('events')}\nSELECT DISTINCT dated, "
                             f"strftime(dated - INTERVAL {WINDOW_DAYS} DAY, '%Y-%m-%d') AS start_date, "

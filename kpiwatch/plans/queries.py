@@ -19,6 +19,7 @@ from kpiwatch.operators.funnel import funnel_pct
 from kpiwatch.operators.turnaround import tat_minutes, tat_seconds
 from kpiwatch.plans.alert import AlertConfig, alerts, metrics, metrics_with_thresholds
 from kpiwatch.plans.oracle import EVENTS_AS_OF, ORDERS_DAY
+from kpiwatch.plans.sql import alerts_sql
 from kpiwatch.sources import dimensions as dims
 from kpiwatch.sources.marts import events_dialed, events_marts, orders_marts
 from kpiwatch.sources.sinks import append_table, read_stored, replace_table, shared_dir
@@ -92,6 +93,15 @@ def alerts_all_days_sorted_q(spark, d):
     return _events_alerts(spark, d, AlertConfig(percentile="sorted"))
 
 
+def alerts_day_sql_q(spark, d):
+    """The flagship as one Spark SQL statement."""
+    return alerts_sql(spark, *events_marts(spark, d), dims.events_thresholds(spark), as_of=EVENTS_AS_OF)
+
+
+def alerts_orders_all_sql_q(spark, d):
+    return alerts_sql(spark, *orders_marts(spark, d), dims.orders_thresholds(spark))
+
+
 def alerts_orders_month_q(spark, d):
     return alerts(*orders_marts(spark, d), dims.orders_thresholds(spark), AlertConfig(day=ORDERS_DAY))
 
@@ -173,6 +183,8 @@ def queries() -> dict[str, Query]:
         "alerts_all_days_sorted": alerts_all_days_sorted_q,
         "alerts_orders_month": alerts_orders_month_q,
         "alerts_orders_all": alerts_orders_all_q,
+        "alerts_day_sql": alerts_day_sql_q,
+        "alerts_orders_all_sql": alerts_orders_all_sql_q,
         "report_window": report_window_q,
         "alert_owners": alert_owners_q,
         "alert_links": alert_links_q,

@@ -66,3 +66,13 @@ def test_raw_day_filter_reaches_the_scan_and_columns_are_pruned(spark, small_dir
 def test_marts_count_distinct_without_expand(spark, small_dir):
     d, _ = events_marts(spark, small_dir)
     assert "Expand" not in formatted(d)
+
+
+def test_sql_form_plans_like_the_dataframe_form(spark, stored):
+    from kpiwatch.plans.sql import alerts_sql
+    df = alerts_sql(spark, *stored, dims.events_thresholds(spark), as_of="2024-01-16")
+    text = formatted(df)
+    assert scans(text) == 2 and text.count("PartitionFilters: [isnotnull(dated") == 2
+    one = alerts(*stored, dims.events_thresholds(spark), AlertConfig(as_of="2024-01-16"))
+    assert df.columns == one.columns
+    assert sorted(df.collect()) == sorted(one.collect())
