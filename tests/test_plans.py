@@ -76,3 +76,11 @@ def test_sql_form_plans_like_the_dataframe_form(spark, stored):
     one = alerts(*stored, dims.events_thresholds(spark), AlertConfig(as_of="2024-01-16"))
     assert df.columns == one.columns
     assert sorted(df.collect()) == sorted(one.collect())
+
+
+def test_no_registered_query_plans_a_cross_join_or_expand(spark, small_dir):
+    from kpiwatch.plans.queries import queries
+    for name, fn in queries().items():
+        text = formatted(fn(spark, small_dir))
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Expand"):
+            assert bad not in text, (name, bad)
