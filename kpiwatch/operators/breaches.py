@@ -70,5 +70,4 @@ def breaches(final: DataFrame, rules=RULES) -> DataFrame:
     """One pass over ``final``: every row carries an array of its breached
     metrics (filtered before it is exploded), then ``inline`` turns the array
     into alert rows.  Same rows as :func:`breaches_union`."""
-    return (final.selectExpr("dated", "vertical", "order_type", breaches_sql(rules))
-            .select(*ALERT_COLUMNS))
+    return final.selectExpr("dated", "vertical", "order_type", breaches_sql(rules))

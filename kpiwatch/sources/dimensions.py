@@ -93,8 +93,11 @@ def links(spark: SparkSession) -> DataFrame:
     return local_dimension(spark, LINKS, schemas.LINKS)
 
 
-# A dimension above this many rows is joined with a shuffle instead of a broadcast.
-BROADCAST_MAX_ROWS = 1_000_000
+# A dimension above this many rows is joined with a shuffle instead of a
+# broadcast.  The dimension schemas are narrow (about 100 bytes a row), so the
+# bound keeps a broadcast near Spark's default 10 MB threshold; real threshold
+# tables hold one row per (vertical, order_type), i.e. hundreds.
+BROADCAST_MAX_ROWS = 100_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
