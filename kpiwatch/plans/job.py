@@ -4,8 +4,8 @@
 --alerts-out ... --messages-out ... [--as-of YYYY-MM-DD | --day YYYY-MM-DD | --all-days]``
 
 Sources are catalog names or paths (Parquet), or JDBC queries through
-``load_table``.  Alert rows go to a table partitioned by ``dated`` (a re-run of
-a day replaces that day only), messages to one JSON line per day.
+``load_table``.  Alert rows and messages go to tables partitioned by ``dated``;
+a re-run of a day replaces that day only.
 """
 
 from __future__ import annotations
@@ -14,11 +14,13 @@ import argparse
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kpiwatch import schemas
 from kpiwatch.operators.message import alert_payload
 from kpiwatch.plans.alert import AlertConfig, alerts
 from kpiwatch.sources.dimensions import load_dimension
+from kpiwatch.sources.sinks import replace_days
 from kpiwatch.sources.tables import conform, load_table
 
 
@@ -31,25 +33,39 @@ def load_inputs(spark: SparkSession, dialed: str, tat: str, thresholds: str, own
             load_dimension(spark, links, schemas.LINKS))
 
 
+def _report_day(cfg: AlertConfig) -> dt.date | None:
+    if cfg.day is not None:
+        return dt.date.fromisoformat(str(cfg.day)[:10])
+    if cfg.as_of is not None:
+        return dt.date.fromisoformat(str(cfg.as_of)[:10]) - dt.timedelta(days=1)
+    return None
+
+
 def run_job(spark: SparkSession, dialed: str, tat: str, thresholds: str, owners: str, links: str,
             alerts_out: str, messages_out: str, cfg: AlertConfig) -> None:
     """Compute the alert rows and the day messages and store both.
 
-    Both outputs overwrite only the days they contain (dynamic partition
-    overwrite), so re-running a day is idempotent.
+    A one-day run replaces exactly that day in both outputs, also when the day
+    no longer has alerts; a run over all days replaces both outputs.  The
+    messages are a (dated, payload) Parquet table, payload NULL on a day
+    without alerts.
     """
     d, t, thr, own, lnk = load_inputs(spark, dialed, tat, thresholds, owners, links)
     rows = alerts(d, t, thr, cfg, ordered=False)
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("dated").parquet(alerts_out))
+    day = _report_day(cfg)
+    if day is None:
+        rows.write.mode("overwrite").partitionBy("dated").parquet(alerts_out)
+    else:
+        # Static partition path: replaced even when the day has no rows now.
+        rows.drop("dated").write.mode("overwrite").parquet(f"{alerts_out}/dated={day.isoformat()}")
     # The messages are built from the stored rows, not by recomputing the plan.
     stored = spark.read.schema(schemas.ALERT).parquet(alerts_out)
-    if cfg.day is not None or cfg.as_of is not None:
-        day = cfg.day if cfg.day is not None else (
-            dt.date.fromisoformat(str(cfg.as_of)[:10]) - dt.timedelta(days=1))
-        stored = stored.where(stored.dated == dt.date.fromisoformat(str(day)[:10]))
-    (alert_payload(stored, own, lnk).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("dated").format("text").save(messages_out))
+    if day is None:
+        alert_payload(stored, own, lnk).write.mode("overwrite").partitionBy("dated").parquet(messages_out)
+    else:
+        messages = alert_payload(stored.where(F.col("dated") == F.lit(day)), own, lnk)
+        wanted = spark.createDataFrame([(day,)], "dated date")
+        replace_days(wanted.join(messages, "dated", "left"), messages_out)
 
 
 def main(argv=None) -> None:

@@ -70,6 +70,18 @@ def write_payloads(payloads: DataFrame, path: str, mode: str = "append") -> None
      .partitionBy("dated").format("text").save(path))
 
 
+def replace_days(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Overwrite exactly the ``dated`` partitions present in ``df``.
+
+    Give ``df`` a row for every day being replaced (e.g. a NULL payload for a
+    day without message): dynamic partition overwrite only touches partitions
+    that receive rows, so a re-run whose result for a day became empty still
+    replaces that day.
+    """
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("dated").format(fmt).save(path))
+
+
 def shared_dir(spark: SparkSession, sub: str) -> str:
     """A folder for job outputs on storage every executor sees.
 

@@ -4,7 +4,8 @@ The job reports on days as their mart partitions land.  The dialed mart
 directory is read as a file stream; each micro-batch names the days that
 changed, and ``foreachBatch`` recomputes the alerts and the message of exactly
 those days from the stored marts (partition-pruned reads), then overwrites
-those days' message partitions.  With ``availableNow`` a scheduler run
+those days' message partitions: a (dated, payload) Parquet table, with a NULL
+payload for a day that no longer has alerts.  With ``availableNow`` a scheduler run
 processes whatever landed since the last run and stops; the checkpoint (in
 the cluster's shared ``spark.checkpoint.dir``) records what was done, so a
 retried or restarted run neither skips nor duplicates a day.
@@ -21,17 +22,20 @@ from pyspark.sql.streaming import StreamingQuery
 from kpiwatch import schemas
 from kpiwatch.operators.message import alert_payload
 from kpiwatch.plans.alert import AlertConfig, alerts
-from kpiwatch.sources.sinks import shared_dir
+from kpiwatch.sources.sinks import replace_days, shared_dir
 
 
 def days_report(spark: SparkSession, dialed_path: str, tat_path: str, days: list[dt.date],
                 thresholds: DataFrame, owners: DataFrame, links: DataFrame,
                 cfg: AlertConfig = AlertConfig()) -> DataFrame:
-    """Messages of the given days, computed from the stored marts."""
+    """(dated, payload) for each of the given days, from the stored marts; the
+    payload is NULL for a day without alerts (no message)."""
     pick = F.col("dated").isin(days)
     dialed = spark.read.schema(schemas.DIALED).parquet(dialed_path).where(pick)
     tat = spark.read.schema(schemas.TAT).parquet(tat_path).where(pick)
-    return alert_payload(alerts(dialed, tat, thresholds, cfg, ordered=False), owners, links)
+    messages = alert_payload(alerts(dialed, tat, thresholds, cfg, ordered=False), owners, links)
+    wanted = spark.createDataFrame([(d,) for d in days], "dated date")
+    return wanted.join(messages, "dated", "left")
 
 
 def run_incremental(spark: SparkSession, dialed_path: str, tat_path: str, payload_path: str,
@@ -53,9 +57,7 @@ def run_incremental(spark: SparkSession, dialed_path: str, tat_path: str, payloa
         if not days:
             return
         report = days_report(batch.sparkSession, dialed_path, tat_path, days, thresholds, owners, links, cfg)
-        (report.select("dated", "payload").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy("dated").format("text").save(payload_path))
+        replace_days(report, payload_path)
 
     writer = (landed.writeStream.foreachBatch(per_batch)
               .option("checkpointLocation", checkpoint)

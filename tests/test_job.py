@@ -1,5 +1,6 @@
 import json
 
+from kpiwatch import schemas
 from kpiwatch.plans.alert import AlertConfig
 from kpiwatch.plans.job import run_job
 from kpiwatch.sources import dimensions as dims
@@ -18,8 +19,20 @@ def test_scheduled_job_stores_rows_and_one_message(spark, small_dir, tmp_path):
     args = [paths[n] for n in ("dialed", "tat", "thr", "owners", "links", "alerts", "msgs")]
     run_job(spark, *args, AlertConfig(as_of="2024-01-16"))
     run_job(spark, *args, AlertConfig(as_of="2024-01-16"))  # idempotent re-run
-    assert spark.read.parquet(paths["alerts"]).count() == 5   # FIXTURES.md: sf0.001 alerts_day
-    msgs = spark.read.text(paths["msgs"]).collect()
-    assert len(msgs) == 1
-    blocks = json.loads(msgs[0].value)["blocks"]
+    run_job(spark, *args, AlertConfig(as_of="2024-01-17"))  # another day is added
+    stored = spark.read.parquet(paths["alerts"])
+    assert stored.where("dated = DATE'2024-01-15'").count() == 5   # FIXTURES.md: sf0.001 alerts_day
+    msgs = {str(r.dated): r.payload for r in spark.read.parquet(paths["msgs"]).collect()}
+    assert set(msgs) == {"2024-01-15", "2024-01-16"}
+    blocks = json.loads(msgs["2024-01-15"])["blocks"]
     assert sum(1 for b in blocks if "fields" in b) == 5
+
+    # Thresholds that nothing breaches: re-running the day clears its rows and message.
+    relaxed = spark.createDataFrame([], schemas.THRESHOLDS)
+    replace_table(relaxed, paths["thr"])
+    run_job(spark, *args, AlertConfig(as_of="2024-01-16"))
+    stored = spark.read.parquet(paths["alerts"])
+    assert stored.where("dated = DATE'2024-01-15'").count() == 0
+    assert stored.where("dated = DATE'2024-01-16'").count() > 0
+    msgs = {str(r.dated): r.payload for r in spark.read.parquet(paths["msgs"]).collect()}
+    assert msgs["2024-01-15"] is None and msgs["2024-01-16"] is not None

@@ -30,9 +30,8 @@ def test_incremental_run_reports_each_landed_day_once(spark, small_dir, tmp_path
     land("2024-01-17")
     run()
     run()  # nothing new: no change
-    got = spark.read.text(out).collect()
-    days = sorted(str(r.dated) for r in spark.read.text(out).select("dated").collect())
-    assert days == ["2024-01-15", "2024-01-16", "2024-01-17"]
+    got = spark.read.parquet(out).collect()
+    assert sorted(str(r.dated) for r in got) == ["2024-01-15", "2024-01-16", "2024-01-17"]
     for r in got:
-        blocks = json.loads(r.value)["blocks"]
+        blocks = json.loads(r.payload)["blocks"]
         assert blocks[0]["type"] == "header" and blocks[-1]["type"] == "divider"
