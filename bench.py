@@ -37,7 +37,7 @@ from kpiwatch.sources.marts import events_marts, orders_marts  # noqa: E402
 from kpiwatch.sources.sinks import replace_table, shared_dir  # noqa: E402
 from kpiwatch import schemas  # noqa: E402
 
-RUNS = int(os.environ.get("BENCH_RUNS", "5"))
+RUNS = int(os.environ.get("BENCH_RUNS", "7"))
 WARMUP = int(os.environ.get("BENCH_WARMUP", "2"))
 
 
