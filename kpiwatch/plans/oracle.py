@@ -274,5 +274,5 @@ FROM block_json GROUP BY dated"""
     mart = f"SELECT * FROM ({events_dialed_sql()}) m"
     out["sink_replace"] = mart
     out["sink_append"] = mart
-    out["lowercase_columns"] = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
+    out["lowercase_columns"] = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
     return out

@@ -23,7 +23,7 @@ from kpiwatch.plans.sql import alerts_sql
 from kpiwatch.sources import dimensions as dims
 from kpiwatch.sources.marts import events_dialed, events_marts, orders_marts
 from kpiwatch.sources.sinks import append_table, read_stored, replace_table, shared_dir
-from kpiwatch.sources.tables import lowercase_columns, read_table
+from kpiwatch.sources.tables import fetch, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -158,11 +158,14 @@ def sink_append_q(spark, d):
     return read_stored(spark, path).select(*schemas.DIALED.fieldNames())
 
 
+CUSTOMER_COLUMNS = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
 def lowercase_columns_q(spark, d):
-    """A source that answers in upper case, normalised to lower case."""
-    shouting = read_table(spark, d, "nation").select(
-        [F.col(c).alias(c.upper()) for c in ("n_nationkey", "n_name", "n_regionkey")])
-    return lowercase_columns(shouting)
+    """A query whose result comes back in upper case (as warehouses answer),
+    normalised to lower-case column names."""
+    upper = ", ".join(f"{c} AS {c.upper()}" for c in CUSTOMER_COLUMNS)
+    return fetch(spark, f"SELECT {upper} FROM {{customer}}", customer=read_table(spark, d, "customer"))
 
 
 def queries() -> dict[str, Query]:
