@@ -68,10 +68,10 @@ def local_dimension(spark: SparkSession, rows: list[tuple], schema,
 
 
 def load_dimension(spark: SparkSession, source: str, schema=None, fmt: str | None = None,
-                   max_rows: int | None = None) -> DataFrame:
+                   max_rows: int | None = None, options: dict | None = None) -> DataFrame:
     """A dimension table from storage, conformed to ``schema`` and broadcast
     only if its row count is within ``max_rows`` (checked once, here)."""
-    df = load_table(spark, source, fmt)
+    df = load_table(spark, source, fmt, options=options)
     if schema is not None:
         df = conform(df, schema)
     return bounded_broadcast(df, BROADCAST_MAX_ROWS if max_rows is None else max_rows)
