@@ -7,5 +7,6 @@ function built from Spark's built-in operators.
 """
 
 from kpiwatch.plans.alert import AlertConfig, alerts, metrics_with_thresholds
+from kpiwatch.plans.sql import alert_sql, alerts_sql
 
-__all__ = ["AlertConfig", "alerts", "metrics_with_thresholds"]
+__all__ = ["AlertConfig", "alert_sql", "alerts", "alerts_sql", "metrics_with_thresholds"]

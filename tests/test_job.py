@@ -36,3 +36,19 @@ def test_scheduled_job_stores_rows_and_one_message(spark, small_dir, tmp_path):
     assert stored.where("dated = DATE'2024-01-16'").count() > 0
     msgs = {str(r.dated): r.payload for r in spark.read.parquet(paths["msgs"]).collect()}
     assert msgs["2024-01-15"] is None and msgs["2024-01-16"] is not None
+
+
+def test_command_line_entry(spark, small_dir, tmp_path):
+    from kpiwatch.plans.job import main
+    d, t = events_marts(spark, small_dir)
+    p = {n: str(tmp_path / n) for n in ("dialed", "tat", "thr", "owners", "links", "alerts", "msgs")}
+    replace_table(d, p["dialed"], partition_by=["dated"])
+    replace_table(t, p["tat"], partition_by=["dated"])
+    replace_table(dims.events_thresholds(spark), p["thr"])
+    replace_table(dims.owners(spark), p["owners"])
+    replace_table(dims.links(spark), p["links"])
+    main(["--dialed", p["dialed"], "--tat", p["tat"], "--thresholds", p["thr"], "--owners", p["owners"],
+          "--links", p["links"], "--alerts-out", p["alerts"], "--messages-out", p["msgs"], "--all-days"])
+    assert spark.read.parquet(p["alerts"]).count() == 281          # FIXTURES.md: sf0.001 alerts_all_days
+    assert spark.read.parquet(p["msgs"]).where("payload IS NOT NULL").count() == \
+        spark.read.parquet(p["alerts"]).select("dated").distinct().count()
