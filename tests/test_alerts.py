@@ -4,7 +4,6 @@
 import datetime as dt
 import json
 
-import pytest
 
 from kpiwatch import schemas
 from kpiwatch.operators import message

@@ -1,8 +1,5 @@
 import datetime as dt
 
-import pytest
-from pyspark.sql import functions as F
-
 from kpiwatch.functions import day_filter, metric_text, minutes_seconds, percent_of, percent_of_sql, report_start
 
 # seconds -> "M.SS" (FIXTURES.md section 3)

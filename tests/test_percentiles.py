@@ -2,7 +2,6 @@ import random
 
 import pytest
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from kpiwatch.operators.percentiles import percentiles_hash, percentiles_sorted
 
