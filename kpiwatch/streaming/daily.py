@@ -1,8 +1,8 @@
 """Incremental scheduled run with Structured Streaming.
 
-The job reports on days as their mart partitions land.  The dialed mart
-directory is read as a file stream; each micro-batch names the days that
-changed, and ``foreachBatch`` recomputes the alerts and the message of exactly
+The job reports on days as their mart partitions land.  Both mart
+directories are read as file streams; each micro-batch names the days that
+changed in either, and ``foreachBatch`` recomputes the alerts and the message of exactly
 those days from the stored marts (partition-pruned reads), then overwrites
 those days' message partitions: a (dated, payload) Parquet table, with a NULL
 payload for a day that no longer has alerts.  With ``availableNow`` a scheduler run
@@ -44,10 +44,15 @@ def run_incremental(spark: SparkSession, dialed_path: str, tat_path: str, payloa
                     available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the incremental alert stream; returns the running query."""
     checkpoint = checkpoint or shared_dir(spark, "kpiwatch_streams/daily_alerts")
-    reader = spark.readStream.schema(schemas.DIALED)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    landed = reader.parquet(dialed_path)
+    def watch(path, schema):
+        reader = spark.readStream.schema(schema)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        return reader.parquet(path).select("dated")
+
+    # A landing in either mart makes its days due again, so a day whose
+    # turnaround files arrive after its funnel files is recomputed.
+    landed = watch(dialed_path, schemas.DIALED).unionByName(watch(tat_path, schemas.TAT))
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         # The days touched by this batch: a handful of dates, bounded by the

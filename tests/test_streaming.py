@@ -23,7 +23,15 @@ def test_incremental_run_reports_each_landed_day_once(spark, small_dir, tmp_path
         q.awaitTermination(300)
         assert q.exception() is None
 
-    land("2024-01-15")
+    # Both mart tables exist (empty) before anything lands.
+    append_table(dialed.limit(0), dpath, partition_by=["dated"])
+    append_table(tat.limit(0), tpath, partition_by=["dated"])
+    pick15 = F.col("dated") == F.lit("2024-01-15").cast("date")
+    append_table(dialed.where(pick15), dpath, partition_by=["dated"])   # funnel lands first
+    run()
+    first = {str(r.dated): r.payload for r in spark.read.parquet(out).collect()}
+    assert first == {"2024-01-15": None}                                 # no turnaround yet: no metrics
+    append_table(tat.where(pick15), tpath, partition_by=["dated"])       # turnaround lands later
     run()
     land("2024-01-16")
     land("2024-01-17")
