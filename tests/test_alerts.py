@@ -180,3 +180,21 @@ def test_one_pass_equals_union_property(spark, d_rows, t_rows, thr):
     assert sorted(one) == sorted(union)
     sorted_pct = run(spark, d_rows, t_rows, thr, AlertConfig(percentile="sorted"))
     assert sorted(sorted_pct) == sorted(one)
+
+
+def test_extra_threshold_columns_are_ignored_by_both_forms(spark):
+    from pyspark.sql import functions as F
+    from kpiwatch.plans.sql import alert_sql, alerts_sql
+    d = dialed(spark, [("ptl", "instant", 10, 8, 7, 8, 8)])
+    t = tat(spark, [("ptl", "instant", 61.0, 1.0, 1.0)])
+    thr = thresholds(spark, THR).withColumn("owner_note", F.lit("x")).withColumn("dialed_pct", F.lit(0.0))
+    chain = alerts(d, t, thr, AS_OF)
+    stmt = alerts_sql(spark, d, t, thr, as_of="2024-01-16")
+    assert chain.columns == stmt.columns == ["dated", "vertical", "order_type", "metric_name",
+                                             "metric_value", "metric_threshold"]
+    assert sorted(chain.collect()) == sorted(stmt.collect())
+    assert [r.metric_name for r in chain.collect()] == ["Dialed %", "Dialed Tat"]
+    # the statement also runs on catalog names
+    d.createOrReplaceTempView("kpi_d"); t.createOrReplaceTempView("kpi_t"); thr.createOrReplaceTempView("kpi_thr")
+    named = spark.sql(alert_sql("kpi_d", "kpi_t", "kpi_thr", day="2024-01-15"))
+    assert sorted(named.collect()) == sorted(chain.collect())
