@@ -1,8 +1,8 @@
 """Reference SQL for every registered query, in the DuckDB dialect.
 
-Each text is written the way the original job states it (CTEs, six UNION ALL
-branches, three-branch CASE) over views of the shared tables, so it checks
-the Spark plans independently.  Two deliberate notes:
+Each text restates the job's semantics for another engine (CTEs, one
+UNION ALL branch per rule, DuckDB's own quantile_cont) over views of the
+shared tables, so it checks the Spark plans independently.  Two deliberate notes:
 
 * percentages use exact half-up integer arithmetic, because DuckDB divides
   decimals in DOUBLE while Spark keeps DECIMAL (the text must read "87.50");
@@ -103,19 +103,17 @@ def _day_pred(as_of=None, day=None) -> str:
 
 def _pct(num: str, den: str = "sum(unique_request)") -> str:
     b = f"nullif({den}, 0)"
-    return f"CAST(CAST((20000 * {num} + {b}) // (2 * {b}) AS DECIMAL(20,0)) * 0.01 AS DECIMAL(27,2))"
+    return (f"CAST(CAST((20000 * CAST({num} AS HUGEINT) + {b}) // (2 * {b}) AS DECIMAL(20,0)) * 0.01 "
+            f"AS DECIMAL(27,2))")
 
 
 def _mss(s: str) -> str:
-    return f"""CASE
-    WHEN {s} > 60 THEN CAST(round((floor({s}/60)*100 + {s} % 60)/100, 2) AS DOUBLE)
-    WHEN {s} >= 10 THEN CAST(round({s}/100, 2) AS DOUBLE)
-    WHEN {s} < 10 THEN CAST(round({s}/100, 2) AS DOUBLE)
-  END"""
+    return (f"CASE WHEN {s} > 60 THEN round((floor({s} / 60) * 100 + {s} % 60) / 100, 2) "
+            f"WHEN {s} IS NOT NULL THEN round({s} / 100, 2) END")
 
 
 def stage_ctes(source: str = "events", as_of=None, day=None, thresholds: str | None = None) -> str:
-    """CTEs dialed, tat, threshold_cte, dialed_cte, tat_sec, tat_cte, metric_cte, final_cte."""
+    """CTEs mart_funnel, mart_tat, limits, funnel, p90_sec, p90_min, measured, judged."""
     if source == "events":
         dialed, tat = events_dialed_sql(), events_tat_sql()
         thr_rows = dims.EVENTS_THRESHOLDS
@@ -124,41 +122,44 @@ def stage_ctes(source: str = "events", as_of=None, day=None, thresholds: str | N
         thr_rows = dims.orders_thresholds_rows()
     thr = thresholds or dims.values_sql(thr_rows, _THR_COLS, _THR_TYPES)
     pred = _day_pred(as_of, day)
+    sums = ",\n      ".join(f"CAST(sum({c}) AS BIGINT) AS {n}" for c, n in (
+        ("total_requests", "total_request"), ("unique_request", "unique_request"),
+        ("unique_requests_dialed", "unique_requests_dialed"),
+        ("unique_requests_attempted", "unique_requests_attempted"),
+        ("unique_requests_connected", "unique_requests_connected")))
+    limits = ", ".join(f"l.{c}" for c in schemas.THRESHOLD_COLUMNS)
     return f"""
-dialed AS ({dialed}),
-tat AS ({tat}),
-threshold_cte AS (SELECT * FROM {thr}),
-dialed_cte AS (
-  SELECT dated, lower(vertical) AS vertical, lower(order_type) AS order_type,
-    CAST(sum(total_requests) AS BIGINT) AS total_request,
-    CAST(sum(unique_request) AS BIGINT) AS unique_request,
-    CAST(sum(unique_requests_dialed) AS BIGINT) AS unique_requests_dialed,
-    CAST(sum(unique_requests_attempted) AS BIGINT) AS unique_requests_attempted,
-    CAST(sum(unique_requests_connected) AS BIGINT) AS unique_requests_connected,
-    {_pct('sum(unique_requests_dialed)')} AS dialed_pct,
-    {_pct('sum(unique_requests_attempted)')} AS attempted_pct,
-    {_pct('sum(unique_requests_connected)')} AS connected_pct
-  FROM dialed {pred} GROUP BY 1, 2, 3),
-tat_sec AS (
+mart_funnel AS ({dialed}),
+mart_tat AS ({tat}),
+limits AS (SELECT * FROM {thr}),
+funnel AS (
+  SELECT *,
+    {_pct('unique_requests_dialed', 'unique_request')} AS dialed_pct,
+    {_pct('unique_requests_attempted', 'unique_request')} AS attempted_pct,
+    {_pct('unique_requests_connected', 'unique_request')} AS connected_pct
+  FROM (
+    SELECT dated, lower(vertical) AS vertical, lower(order_type) AS order_type,
+      {sums}
+    FROM mart_funnel {pred} GROUP BY ALL) s),
+p90_sec AS (
   SELECT dated, vertical, order_type,
-    round(percentile_cont(0.9) WITHIN GROUP (ORDER BY first_dialed_tat ASC)) AS dialed_sec,
-    round(percentile_cont(0.9) WITHIN GROUP (ORDER BY first_attempted_time ASC)) AS attempted_sec,
-    round(percentile_cont(0.9) WITHIN GROUP (ORDER BY first_connected_time ASC)) AS connected_sec
-  FROM tat {pred} GROUP BY 1, 2, 3),
-tat_cte AS (
+    round(quantile_cont(first_dialed_tat, 0.9)) AS dialed_sec,
+    round(quantile_cont(first_attempted_time, 0.9)) AS attempted_sec,
+    round(quantile_cont(first_connected_time, 0.9)) AS connected_sec
+  FROM mart_tat {pred} GROUP BY ALL),
+p90_min AS (
   SELECT dated, lower(vertical) AS vertical, order_type,
     {_mss('dialed_sec')} AS dialed_tat,
     {_mss('attempted_sec')} AS attempted_tat,
     {_mss('connected_sec')} AS connected_tat
-  FROM tat_sec),
-metric_cte AS (
-  SELECT t1.*, dialed_tat, attempted_tat, connected_tat
-  FROM dialed_cte t1 JOIN tat_cte t2
-    ON t1.dated = t2.dated AND t1.vertical = t2.vertical AND t1.order_type = t2.order_type),
-final_cte AS (
-  SELECT t1.*, t2.* EXCLUDE (order_type, vertical)
-  FROM metric_cte t1 LEFT JOIN threshold_cte t2
-    ON t1.vertical = t2.vertical AND t1.order_type = t2.order_type)"""
+  FROM p90_sec),
+measured AS (
+  SELECT f.*, m.dialed_tat, m.attempted_tat, m.connected_tat
+  FROM funnel f JOIN p90_min m
+    ON m.dated = f.dated AND m.vertical = f.vertical AND m.order_type = f.order_type),
+judged AS (
+  SELECT m.*, {limits}
+  FROM measured m LEFT JOIN limits l ON l.vertical = m.vertical AND l.order_type = m.order_type)"""
 
 
 def branch_sql(rule) -> str:
@@ -166,16 +167,16 @@ def branch_sql(rule) -> str:
     return f"""SELECT dated, vertical, order_type, {_q(rule.name)} AS metric_name,
   concat(CAST({rule.column} AS VARCHAR), {_q(rule.unit)}) AS metric_value,
   CAST({rule.threshold} AS DOUBLE) AS metric_threshold
-FROM final_cte WHERE {rule.column} {op} {rule.threshold}"""
+FROM judged WHERE {rule.column} {op} {rule.threshold}"""
 
 
 def alerts_cte(source="events", as_of=None, day=None) -> str:
     branches = "\n  UNION ALL\n".join(f"({branch_sql(r)})" for r in RULES)
-    return stage_ctes(source, as_of, day) + f",\nalert_cte AS (\n{branches})"
+    return stage_ctes(source, as_of, day) + f",\nbreached AS (\n{branches})"
 
 
 def alerts_sql(source="events", as_of=None, day=None) -> str:
-    return f"WITH {alerts_cte(source, as_of, day)}\nSELECT * FROM alert_cte ORDER BY 1, 2, 3, 4"
+    return f"WITH {alerts_cte(source, as_of, day)}\nSELECT * FROM breached ORDER BY dated, vertical, order_type, metric_name"
 
 
 _PCT_DOUBLE = ("CAST(dialed_pct AS DOUBLE) AS dialed_pct, CAST(attempted_pct AS DOUBLE) AS attempted_pct, "
@@ -194,7 +195,7 @@ def _message_ctes() -> str:
         return _text(LINK_URL, base=f"l.{base}", start=start, end=end, value="l.link_value")
 
     return f""",
-alerts AS (SELECT * FROM alert_cte),
+alerts AS (SELECT * FROM breached),
 owners AS (SELECT * FROM {owners}),
 links AS (SELECT * FROM {links}),
 dv AS (SELECT DISTINCT dated, vertical FROM alerts),
@@ -235,15 +236,15 @@ def oracle_sql() -> dict[str, str]:
     ev_day = dict(source="events", as_of=EVENTS_AS_OF)
     out: dict[str, str] = {}
     out["funnel_pct"] = (f"WITH {stage_ctes(**ev_day)}\n"
-                         f"SELECT {_FUNNEL_COUNTS}, {_PCT_DOUBLE} FROM dialed_cte")
-    out["tat_p90_seconds"] = f"WITH {stage_ctes(**ev_day)}\nSELECT * FROM tat_sec"
-    out["tat_p90_sorted"] = f"WITH {stage_ctes('events')}\nSELECT * FROM tat_sec"
-    out["tat_minutes"] = f"WITH {stage_ctes(**ev_day)}\nSELECT * FROM tat_cte"
+                         f"SELECT {_FUNNEL_COUNTS}, {_PCT_DOUBLE} FROM funnel")
+    out["tat_p90_seconds"] = f"WITH {stage_ctes(**ev_day)}\nSELECT * FROM p90_sec"
+    out["tat_p90_sorted"] = f"WITH {stage_ctes('events')}\nSELECT * FROM p90_sec"
+    out["tat_minutes"] = f"WITH {stage_ctes(**ev_day)}\nSELECT * FROM p90_min"
     out["dialed_tat_join"] = (f"WITH {stage_ctes(**ev_day)}\nSELECT {_FUNNEL_COUNTS}, {_PCT_DOUBLE}, "
-                              "dialed_tat, attempted_tat, connected_tat FROM metric_cte")
+                              "dialed_tat, attempted_tat, connected_tat FROM measured")
     out["threshold_join"] = (f"WITH {stage_ctes(**ev_day)}\nSELECT {_FUNNEL_COUNTS}, {_PCT_DOUBLE}, "
                              "dialed_tat, attempted_tat, connected_tat, "
-                             + ", ".join(schemas.THRESHOLD_COLUMNS) + " FROM final_cte")
+                             + ", ".join(schemas.THRESHOLD_COLUMNS) + " FROM judged")
     for r in RULES:
         out[f"breach_{r.column}"] = f"WITH {stage_ctes(**ev_day)}\n{branch_sql(r)}"
     out["alerts_union"] = alerts_sql(**ev_day)
@@ -257,7 +258,7 @@ def oracle_sql() -> dict[str, str]:
     msg = f"WITH {alerts_cte('events')}{_message_ctes()}\n"
     out["report_window"] = (f"WITH {alerts_cte('events')}\nSELECT DISTINCT dated, "
                             f"strftime(dated - INTERVAL {WINDOW_DAYS} DAY, '%Y-%m-%d') AS start_date, "
-                            "strftime(dated, '%Y-%m-%d') AS end_date FROM alert_cte")
+                            "strftime(dated, '%Y-%m-%d') AS end_date FROM breached")
     out["alert_owners"] = (msg + "SELECT a.*, d.owner_tag FROM alerts a JOIN dressed d "
                            "ON a.dated = d.dated AND a.vertical = d.vertical")
     out["alert_links"] = msg + "SELECT dated, vertical, pct_link, tat_link FROM dressed"

@@ -36,13 +36,13 @@ def alert_sql(dialed: str = "{dialed}", tat: str = "{tat}", thresholds: str = "{
     thr_cols = ", ".join(f"t.{c}" for c in schemas.THRESHOLD_COLUMNS)
     order = "\nORDER BY 1, 2, 3, 4" if ordered else ""
     return f"""
-WITH dialed_cte AS (
+WITH funnel AS (
   SELECT dated, lower(vertical) AS vertical, lower(order_type) AS order_type,
     {sums},
     {pcts}
   FROM {dialed} {where}
   GROUP BY 1, 2, 3),
-tat_cte AS (
+p90 AS (
   SELECT dated, lower(vertical) AS vertical, order_type,
     {mins}
   FROM (
@@ -50,12 +50,12 @@ tat_cte AS (
       {p90}
     FROM {tat} {where}
     GROUP BY 1, 2, 3)),
-final_cte AS (
+judged AS (
   SELECT m.*, {thr_cols}
-  FROM (SELECT * FROM dialed_cte JOIN tat_cte USING (dated, vertical, order_type)) m
+  FROM (SELECT * FROM funnel JOIN p90 USING (dated, vertical, order_type)) m
   LEFT JOIN {thresholds} t ON m.vertical = t.vertical AND m.order_type = t.order_type)
 SELECT dated, vertical, order_type, {breaches_sql(rules)}
-FROM final_cte{order}"""
+FROM judged{order}"""
 
 
 def alerts_sql(spark: SparkSession, dialed: DataFrame, tat: DataFrame, thresholds: DataFrame,
