@@ -170,13 +170,13 @@ def branch_sql(rule) -> str:
 FROM judged WHERE {rule.column} {op} {rule.threshold}"""
 
 
-def alerts_cte(source="events", as_of=None, day=None) -> str:
+def breached_ctes(source="events", as_of=None, day=None) -> str:
     branches = "\n  UNION ALL\n".join(f"({branch_sql(r)})" for r in RULES)
     return stage_ctes(source, as_of, day) + f",\nbreached AS (\n{branches})"
 
 
 def alerts_sql(source="events", as_of=None, day=None) -> str:
-    return f"WITH {alerts_cte(source, as_of, day)}\nSELECT * FROM breached ORDER BY dated, vertical, order_type, metric_name"
+    return f"WITH {breached_ctes(source, as_of, day)}\nSELECT * FROM breached ORDER BY dated, vertical, order_type, metric_name"
 
 
 _PCT_DOUBLE = ("CAST(dialed_pct AS DOUBLE) AS dialed_pct, CAST(attempted_pct AS DOUBLE) AS attempted_pct, "
@@ -255,8 +255,8 @@ def oracle_sql() -> dict[str, str]:
     out["alerts_all_days_sorted"] = alerts_sql("events")
     out["alerts_day_sql"] = alerts_sql(**ev_day)
     out["alerts_orders_all_sql"] = alerts_sql("orders")
-    msg = f"WITH {alerts_cte('events')}{_message_ctes()}\n"
-    out["report_window"] = (f"WITH {alerts_cte('events')}\nSELECT DISTINCT dated, "
+    msg = f"WITH {breached_ctes('events')}{_message_ctes()}\n"
+    out["report_window"] = (f"WITH {breached_ctes('events')}\nSELECT DISTINCT dated, "
                             f"strftime(dated - INTERVAL {WINDOW_DAYS} DAY, '%Y-%m-%d') AS start_date, "
                             "strftime(dated, '%Y-%m-%d') AS end_date FROM breached")
     out["alert_owners"] = (msg + "SELECT a.*, d.owner_tag FROM alerts a JOIN dressed d "
