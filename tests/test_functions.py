@@ -36,3 +36,44 @@ def test_day_filter(spark):
 def test_report_start(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, 15),)], "dated date")
     assert df.select(report_start("dated")).first()[0] == "2024-01-08"
+
+
+# --- properties against plain-Python definitions ------------------------------
+
+from decimal import ROUND_HALF_UP, Decimal  # noqa: E402
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+from kpiwatch.functions.columns import template_sql  # noqa: E402
+
+
+def _mss(s):
+    if s is None:
+        return None
+    if s > 60:
+        m, r = divmod(int(s), 60)
+        return float(Decimal(m * 100 + r) / 100)
+    return float((Decimal(int(s)) / 100).quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(-500, 100000).map(float)), min_size=1, max_size=40))
+def test_minutes_seconds_matches_definition(spark, secs):
+    df = spark.createDataFrame([(s,) for s in secs], "s double")
+    assert [r[0] for r in df.select(minutes_seconds("s")).collect()] == [_mss(s) for s in secs]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 10**9), st.integers(0, 10**9)), min_size=1, max_size=40))
+def test_percent_is_half_up_of_the_exact_ratio(spark, pairs):
+    df = spark.createDataFrame(pairs, "a long, b long")
+    got = [r[0] for r in df.select(percent_of("a", "b")).collect()]
+    want = [None if b == 0 else (Decimal(100 * a) / Decimal(b)).quantize(Decimal("0.01"), ROUND_HALF_UP)
+            for a, b in pairs]
+    assert got == want
+
+
+def test_template_sql_quotes_literals(spark):
+    text = template_sql("it's {x} \\ done", x="upper(v)")
+    df = spark.createDataFrame([("ok",)], "v string")
+    assert df.selectExpr(f"{text} AS t").first().t == "it's OK \\ done"
