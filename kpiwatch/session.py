@@ -24,6 +24,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+               # Percentile merges are CPU-heavy for their few bytes; with the
+               # 1 MB default AQE packs a small backfill's merge into one task.
+               .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.driver.memory", os.environ.get("KPIWATCH_DRIVER_MEMORY", "8g"))
