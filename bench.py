@@ -118,6 +118,9 @@ def main():
         "rows": rows,
         "sf": sf_dir.rsplit("sf", 1)[-1],
         "cpus": cpus,
+        "config": {k: spark.conf.get(k) for k in (
+            "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize")},
     }))
     spark.stop()
 
