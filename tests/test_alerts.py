@@ -4,6 +4,7 @@
 import datetime as dt
 import json
 
+import pytest
 
 from kpiwatch import schemas
 from kpiwatch.operators import message
@@ -198,3 +199,16 @@ def test_extra_threshold_columns_are_ignored_by_both_forms(spark):
     d.createOrReplaceTempView("kpi_d"); t.createOrReplaceTempView("kpi_t"); thr.createOrReplaceTempView("kpi_thr")
     named = spark.sql(alert_sql("kpi_d", "kpi_t", "kpi_thr", day="2024-01-15"))
     assert sorted(named.collect()) == sorted(chain.collect())
+
+
+@pytest.mark.parametrize("q", [0.5, 0.99])
+def test_other_quantiles_agree_across_forms(spark, q):
+    from kpiwatch.plans.sql import alerts_sql
+    d_rows = [("ptl", "instant", 10, 8, 7, 8, 8), ("spot", "scheduled", 10, 9, 9, 9, 9)]
+    t_rows = ([("ptl", "instant", float(s), float(2 * s), None) for s in range(0, 400, 7)]
+              + [("spot", "scheduled", float(s), 1.0, float(s % 13)) for s in range(5, 300, 11)])
+    thr_rows = THR + [("spot", "scheduled", 99.0, 99.0, 99.0, 0.5, 0.5, 0.1)]
+    chain = run(spark, d_rows, t_rows, thr_rows, AlertConfig(q=q))
+    ranked = run(spark, d_rows, t_rows, thr_rows, AlertConfig(q=q, percentile="sorted"))
+    stmt = alerts_sql(spark, dialed(spark, d_rows), tat(spark, t_rows), thresholds(spark, thr_rows), q=q).collect()
+    assert sorted(chain) == sorted(ranked) == sorted(stmt) and len(chain) > 0
