@@ -272,6 +272,7 @@ def oracle_sql() -> dict[str, str]:
   END::VARCHAR AS j FROM blocks)
 SELECT dated, '{"blocks":[' || string_agg(j, ',' ORDER BY block_no) || ']}' AS payload
 FROM block_json GROUP BY dated"""
+    out["alert_payload_sql"] = out["alert_payload"]
     mart = f"SELECT * FROM ({events_dialed_sql()}) m"
     out["sink_replace"] = mart
     out["sink_append"] = mart

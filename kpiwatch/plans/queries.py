@@ -19,7 +19,7 @@ from kpiwatch.operators.funnel import funnel_pct
 from kpiwatch.operators.turnaround import tat_minutes, tat_seconds
 from kpiwatch.plans.alert import AlertConfig, alerts, metrics, metrics_with_thresholds
 from kpiwatch.plans.oracle import EVENTS_AS_OF, ORDERS_DAY
-from kpiwatch.plans.sql import alerts_sql
+from kpiwatch.plans.sql import alerts_sql, messages_sql
 from kpiwatch.sources import dimensions as dims
 from kpiwatch.sources.marts import events_dialed, events_marts, orders_marts
 from kpiwatch.sources.sinks import append_table, read_stored, replace_table, shared_dir
@@ -102,6 +102,12 @@ def alerts_orders_all_sql_q(spark, d):
     return alerts_sql(spark, *orders_marts(spark, d), dims.orders_thresholds(spark))
 
 
+def alert_payload_sql_q(spark, d):
+    """Alerts and messages of every day, both as Spark SQL statements."""
+    a = alerts_sql(spark, *events_marts(spark, d), dims.events_thresholds(spark), ordered=False)
+    return messages_sql(spark, a, dims.owners(spark), dims.links(spark))
+
+
 def alerts_orders_month_q(spark, d):
     return alerts(*orders_marts(spark, d), dims.orders_thresholds(spark), AlertConfig(day=ORDERS_DAY))
 
@@ -193,6 +199,7 @@ def queries() -> dict[str, Query]:
         "alert_links": alert_links_q,
         "alert_blocks": alert_blocks_q,
         "alert_payload": alert_payload_q,
+        "alert_payload_sql": alert_payload_sql_q,
         "sink_replace": sink_replace_q,
         "sink_append": sink_append_q,
         "lowercase_columns": lowercase_columns_q,

@@ -63,3 +63,35 @@ def alerts_sql(spark: SparkSession, dialed: DataFrame, tat: DataFrame, threshold
     """Run :func:`alert_sql` on DataFrames."""
     return spark.sql(alert_sql(as_of=as_of, day=day, q=q, ordered=ordered),
                      dialed=dialed, tat=tat, thresholds=thresholds)
+
+
+def message_sql(alerts: str = "{alerts}", owners: str = "{owners}", links: str = "{links}") -> str:
+    """Spark SQL text of the message stage: one ``(dated, payload)`` row per
+    day with alerts, built from the same block expressions as
+    :mod:`kpiwatch.operators.message`."""
+    from kpiwatch.operators import message as m
+    from kpiwatch.sources.dimensions import DEFAULT_OWNER
+    return f"""
+WITH per_vertical AS (
+  SELECT dated, vertical,
+    sort_array(collect_list(struct(order_type, metric_name, metric_value, metric_threshold))) AS _alerts
+  FROM {alerts} GROUP BY dated, vertical),
+dressed AS (
+  SELECT p.dated, p.vertical, p._alerts,
+    coalesce(o.tag, (SELECT tag FROM {owners} WHERE vertical = '{DEFAULT_OWNER}')) AS owner_tag,
+    {m._link_sql("pct_base")} AS pct_link,
+    {m._link_sql("tat_base")} AS tat_link
+  FROM per_vertical p
+  LEFT JOIN {owners} o ON o.vertical = p.vertical
+  LEFT JOIN {links} l ON l.vertical = p.vertical),
+per_day AS (
+  SELECT dated, sort_array(collect_list(struct(vertical, {m._vertical_blocks_sql()} AS blocks))) AS _vs
+  FROM dressed GROUP BY dated)
+SELECT dated, to_json(named_struct('blocks',
+  concat(array({m.HEADER_SQL}, {m.DIVIDER_SQL}), flatten(transform(_vs, v -> v.blocks))))) AS payload
+FROM per_day"""
+
+
+def messages_sql(spark: SparkSession, alerts: DataFrame, owners: DataFrame, links: DataFrame) -> DataFrame:
+    """Run :func:`message_sql` on DataFrames."""
+    return spark.sql(message_sql(), alerts=alerts, owners=owners, links=links)
