@@ -1,4 +1,4 @@
-"""The alert query as one Spark SQL statement.
+"""The alert query and the message stage as Spark SQL statements.
 
 For users who run the job as SQL: ``alert_sql`` returns the statement (one
 pass over the breaches, exact ``percentile_cont``), built from the same
@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kpiwatch import schemas
 from kpiwatch.functions.columns import day_filter_sql, minutes_seconds_sql, percent_of_sql
+from kpiwatch.operators import message as m
 from kpiwatch.operators.breaches import RULES, breaches_sql
 from kpiwatch.operators.funnel import COUNTERS, PERCENTS, SUM_NAMES
 from kpiwatch.operators.turnaround import MINUTES, SECONDS
+from kpiwatch.sources.dimensions import DEFAULT_OWNER
 
 
 def alert_sql(dialed: str = "{dialed}", tat: str = "{tat}", thresholds: str = "{thresholds}",
@@ -69,8 +71,6 @@ def message_sql(alerts: str = "{alerts}", owners: str = "{owners}", links: str =
     """Spark SQL text of the message stage: one ``(dated, payload)`` row per
     day with alerts, built from the same block expressions as
     :mod:`kpiwatch.operators.message`."""
-    from kpiwatch.operators import message as m
-    from kpiwatch.sources.dimensions import DEFAULT_OWNER
     return f"""
 WITH per_vertical AS (
   SELECT dated, vertical,
