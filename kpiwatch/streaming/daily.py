@@ -44,6 +44,7 @@ def run_incremental(spark: SparkSession, dialed_path: str, tat_path: str, payloa
                     available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the incremental alert stream; returns the running query."""
     checkpoint = checkpoint or shared_dir(spark, "kpiwatch_streams/daily_alerts")
+
     def watch(path, schema):
         reader = spark.readStream.schema(schema)
         if max_files_per_trigger:
