@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-_WORDS9 = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '')"
+_WORDS9 = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 #: Every pair that shares a shingle, so this one is for small tables only.
 OP9 = rf"""
 WITH RECURSIVE words AS (SELECT doc_id, {_WORDS9} AS w FROM documents),
 sets AS (
   SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i : i + 4], ' ')) END) AS s
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS s
   FROM words
 ),
 members AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
@@ -29,5 +29,31 @@ FROM sets s JOIN low USING (doc_id)
 """
 
 
+_WORDS6 = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+
+OP6 = rf"""
+WITH dw AS (SELECT doc_id, {_WORDS6} AS w FROM documents),
+iw AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS6} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item, least(len(w), 10) AS l, array_to_string(w[i : i + 9], ' ') AS t
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM iw WHERE len(w) > 0)
+),
+places AS (
+  SELECT doc_id, l, w, unnest(range(1, len(w) - l + 2)) AS i FROM dw, (SELECT DISTINCT l FROM win) WHERE len(w) >= l
+),
+hit AS (
+  SELECT doc_id, i, p.l, item FROM places p JOIN win ON win.l = p.l AND win.t = array_to_string(w[i : i + p.l - 1], ' ')
+),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + l)) AS p FROM hit) GROUP BY doc_id),
+ids AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN ids USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_minhash_near_dedup": OP9}
+    return {"op6_benchmark_decontamination": OP6, "op9_minhash_near_dedup": OP9}
