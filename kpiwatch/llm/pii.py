@@ -115,8 +115,13 @@ def found(docs: DataFrame) -> DataFrame:
 
 def _instances(spans: DataFrame) -> DataFrame:
     """doc_id, th, kind (null for an identifier of no kind), start, stop, node (hash of the value), left."""
-    tagged = F.concat(*(F.transform(k, lambda s, k=k: F.struct(F.lit(k if k in KINDS else None).cast("string").alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), F.xxhash64(F.lower(s["value"])).alias("node"), s["left"].alias("left"))) for k in (*KINDS, "other")))
-    return spans.select("doc_id", "th", F.explode(tagged).alias("i")).select("doc_id", "th", "i.*").filter("left IS NOT NULL")
+
+    def tagged(k: str) -> Column:
+        kind = F.lit(k if k in KINDS else None).cast("string").alias("kind")
+        return F.transform(k, lambda s: F.struct(kind, s["start"].alias("start"), s["stop"].alias("stop"), F.xxhash64(F.lower(s["value"])).alias("node"), s["left"].alias("left")))
+
+    all_tagged = F.concat(*(tagged(k) for k in (*KINDS, "other")))
+    return spans.select("doc_id", "th", F.explode(all_tagged).alias("i")).select("doc_id", "th", "i.*").filter("left IS NOT NULL")
 
 
 def patterns(instances: DataFrame) -> DataFrame:

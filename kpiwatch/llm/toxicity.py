@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 Confirmed toxic documents (P) and a sample of all documents without regard to labels (U) train a
-linear classifier over word presence. With prior p, the risk is
+linear classifier over the presence of words and of word beginnings. With prior p, the risk is
 
     p * R_P(+1) + max(0, R_U(-1) - p * R_P(-1))
 
@@ -11,7 +11,7 @@ toxic share of all labelled training rows. Labels of rows whose crc32(doc_id as
 are held out: never read for training, for the prior or for features.
 
 Only two bounded samples are ever gathered: up to about MOST_POSITIVE and MOST_UNLABELLED documents,
-chosen by hash. Word counts over the samples are taken by Spark; the driver sees at most MOST_WORDS words and,
+chosen by hash. Feature counts over the samples are taken by Spark; the driver sees at most MOST_FEATURES features and,
 for each sampled document, the numbers of those it has. Every whole text is scored, in tasks.
 """
 
@@ -29,29 +29,36 @@ from pyspark.sql import functions as F
 from kpiwatch.llm.common import cut
 
 FOLDS = 5
-MOST_POSITIVE = 8_000
-MOST_UNLABELLED = 16_000
-MOST_WORDS = 4_096
-#: Words enter the model if their rates in P and U differ by this log-likelihood ratio, with P's higher.
-LEAST_G2 = 12.0
+MOST_POSITIVE = 5_000
+MOST_UNLABELLED = 10_000
+MOST_FEATURES = 1_024
+BEGINNINGS = (4, 5, 6, 7)
+#: Features enter the model if their rates in P and U differ by this log-likelihood ratio, with P's higher.
+LEAST_G2 = 20.0
 MODELS = 3
 EPOCHS = 40
 BATCH = 512
 RATE = 0.05
-DECAY = 1e-4
+DECAY = 3e-4
 
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def features(text: str | None) -> set[str]:
+    """The distinct lower-cased words, and their beginnings marked by ^."""
+    words = set(_WORD.findall((text or "").lower()))
+    return words.union(*({"^" + w[:k] for w in words if len(w) > k} for k in BEGINNINGS))
+
+
 @dataclass(frozen=True)
 class Model:
-    """weights by word; a text's score is the logistic of `bias` plus the weights of its distinct words."""
+    """weights by feature; a text's score is the logistic of `bias` plus the weights of its distinct features."""
 
     weights: dict[str, float] = field(default_factory=dict)
     bias: float = 0.0
 
     def score(self, text: str | None) -> float:
-        has = self.weights.keys() & set(_WORD.findall((text or "").lower()))
+        has = self.weights.keys() & features(text)
         # Sorted, as a float sum depends on its order.
         return float(1 / (1 + np.exp(-(self.bias + sum(self.weights[w] for w in sorted(has))))))
 
@@ -97,10 +104,9 @@ def fit(pos: list[np.ndarray], unl: list[np.ndarray], words: int, prior: float,
             lu_neg, du_neg = _losses(-fu)
             negative = lu_neg.mean() - prior * lp_neg.mean()
             grad_negative = -(du_neg @ xu) / len(xu) + prior * (dp_neg @ xp) / len(xp)
-            if negative >= 0:
-                g = prior * (dp_pos @ xp) / len(xp) + grad_negative
-            else:  # the estimate is below zero: step back from it
-                g = -grad_negative
+            g = prior * (dp_pos @ xp) / len(xp)
+            if negative > 0:
+                g += grad_negative
             g[:-1] += DECAY * w[:-1]
             t += 1
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
@@ -129,35 +135,35 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     sample = texts.withColumn("u", u).join(F.broadcast(p_ids), "doc_id", "left").withColumn("p", F.coalesce("p", F.lit(False))).filter("p OR u")
 
     @F.pandas_udf("array<string>")
-    def distinct_words(text: pd.Series) -> pd.Series:
-        return text.map(lambda x: sorted(set(_WORD.findall((x or "").lower()))))
+    def present(text: pd.Series) -> pd.Series:
+        return text.map(lambda x: sorted(features(x)))
 
-    sample = cut(sample.select("p", "u", F.monotonically_increasing_id().alias("row"), distinct_words("text").alias("words")))
+    sample = cut(sample.select("p", "u", F.monotonically_increasing_id().alias("row"), present("text").alias("features")))
     n_p, n_u = (x or 0 for x in sample.agg(F.sum(F.col("p").cast("int")), F.sum(F.col("u").cast("int"))).first())
     if not n_p or not n_u:
         return Model(bias=float(np.log(prior / (1 - prior))))
-    has = sample.select("row", "p", "u", F.explode("words").alias("word"))
-    rates = has.groupBy("word").agg(F.sum(F.col("p").cast("int")).alias("a"), F.sum(F.col("u").cast("int")).alias("b"))
+    has = sample.select("row", "p", "u", F.explode("features").alias("feature"))
+    rates = has.groupBy("feature").agg(F.sum(F.col("p").cast("int")).alias("a"), F.sum(F.col("u").cast("int")).alias("b"))
     share = (F.col("a") + F.col("b")) / float(n_p + n_u)
     g2 = 2 * (F.col("a") * F.log((F.col("a") + 1e-9) / (n_p * share)) + F.col("b") * F.log((F.col("b") + 1e-9) / (n_u * share)))
     telling = rates.withColumn("g2", g2).filter(F.col("a") * n_u > F.col("b") * n_p).filter(F.col("g2") >= LEAST_G2)
-    words = [r.word for r in telling.orderBy(F.desc("g2"), "word").limit(MOST_WORDS).collect()]
-    number = {w: i for i, w in enumerate(words)}
+    names = [r.feature for r in telling.orderBy(F.desc("g2"), "feature").limit(MOST_FEATURES).collect()]
+    number = {w: i for i, w in enumerate(names)}
 
     @F.pandas_udf("array<int>")
-    def numbers(ws: pd.Series) -> pd.Series:
-        return ws.map(lambda x: [number[w] for w in x if w in number])
+    def numbers(fs: pd.Series) -> pd.Series:
+        return fs.map(lambda x: [number[w] for w in x if w in number])
 
-    rows = sample.select("p", "u", numbers("words").alias("x")).toPandas()
+    rows = sample.select("p", "u", numbers("features").alias("x")).toPandas()
     pos = [np.asarray(x, int) for x in rows.loc[rows.p, "x"]]
     unl = [np.asarray(x, int) for x in rows.loc[rows.u, "x"]]
-    w = np.mean([fit(pos, unl, len(words), prior, seed) for seed in range(MODELS)], axis=0)
-    return Model(dict(zip(words, w[:-1].tolist())), float(w[-1]))
+    w = np.mean([fit(pos, unl, len(names), prior, seed) for seed in range(MODELS)], axis=0)
+    return Model(dict(zip(names, w[:-1].tolist())), float(w[-1]))
 
 
 def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """`docs` with each whole text's score, 0 to 1; null texts are empty. All columns are kept."""
-    of = model.score  # goes with the job: at most MOST_WORDS words
+    of = model.score  # goes with the job: at most MOST_FEATURES features
 
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
