@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiwatch.llm import decontam, neardup, pii, toxicity
+from kpiwatch.llm import decontam, neardup, pii, sharding, topk, toxicity
 from kpiwatch.llm.common import read_table
 
 
@@ -15,6 +15,14 @@ def op2_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
 
 
+def op3_uniform_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(read_table(spark, sf_dir, "embeddings"))
+
+
+def op5_vector_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(read_table(spark, sf_dir, "documents"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -30,4 +38,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_contextual_pii, op6_benchmark_decontamination, op9_minhash_near_dedup, op10_toxicity)}
+    return {f.__name__: f for f in (op2_contextual_pii, op3_uniform_threshold_topk, op5_vector_bin_packing, op6_benchmark_decontamination, op9_minhash_near_dedup, op10_toxicity)}
