@@ -13,16 +13,16 @@ they miss each other with probability P(Binomial(20, s^4) <= 1), which is 9e-6 a
 Steps, none of which emits the pairs of a group:
 
 1. One row per document: set size, 128-bit digest of the set, collections, and an odd sketch (a
-   2048-bit parity bitmap of the set). Equal sets become one class; only classes go on.
+   1024-bit parity bitmap of the set). Equal sets become one class; only classes go on.
 2. A collection value that one class has alone can't be part of a shared key, so it is dropped
    before the pairs are formed.
-3. Inside each bucket (blocks of at most BLOCK members, block pairs for larger buckets), a breadth-first walk
-   links members whose sketches allow the similarity. The XOR of two odd sketches has at most
-   |A xor B| bits set, so the test never rejects a true link. A walk emits a spanning forest: at
-   most one edge per member, however many pairs there are.
-4. Edges are verified on full sets. Confirmed ones merge components; refuted ones are told to the
-   next walk. The loop ends when no bucket holds a pair of different components that is still
-   possible, so every colliding pair is settled.
+3. Each bucket (in blocks of about BLOCK members; block pairs for larger buckets) is walked for pairs that
+   meet there first and whose sketches allow the similarity. The XOR of two odd sketches has at most |A xor B| bits set, so
+   the test never rejects a true link. A walk emits at most EDGES edges per member: all possible
+   ones, or else a spanning forest of them, however many pairs there are.
+4. Edges are verified on full sets. Confirmed ones merge components. A block whose forest held a
+   refuted edge is walked again, told of the refuted pairs, until every block is settled: no pair
+   of different components that meets in a bucket and is still possible is left.
 """
 
 from __future__ import annotations
@@ -40,8 +40,12 @@ from kpiwatch.llm.common import MIX, Hashes, cut, mixed, texts
 SHINGLE = 5
 COLLECTIONS = 20
 ROWS = 4
-SKETCH_BITS = 2048
+SKETCH_BITS = 1024
 BLOCK = 2048
+#: A walk lists all possible edges of its block up to so many per member, else a spanning forest.
+EDGES = 4
+#: Rows of 24 bytes that name the texts to compare; up to so many are sent to all executors, more are shuffled.
+BROADCAST_ROWS = 1_000_000
 #: A link: NUM * |union| <= DEN * |intersection|.
 NUM, DEN = 85, 100
 
@@ -93,7 +97,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             some = len(values) > 0
             cls.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest() if some else None)
             coll.append(_collections(values) if some else None)
-            sketch.append(_sketch(values) if some else None)
+            sketch.append(coll[-1].tobytes() + _sketch(values) if some else None)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("th"), pa.array(n, pa.int32()), pa.array(cls, pa.binary()), pa.array(coll, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
             names=["doc_id", "th", "n", "cls", "coll", "sketch"],
@@ -101,7 +105,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, th (hash of the text), n (set size), cls (digest of the set), collections, sketch.
+    """doc_id, th (hash of the text), n (set size), cls (digest of the set), coll, sketch (coll, then the bitmap).
 
     A row without doc_id takes no part in groups: its cls is null, as is that of an empty text.
     """
@@ -117,43 +121,70 @@ def _classes(signed: DataFrame) -> DataFrame:
 
 
 def buckets(classes: DataFrame) -> DataFrame:
-    """bucket, part, cls, n, sketch: the tables' buckets of two or more classes, dealt into bounded parts.
+    """bucket, pair (the table's two collections), part, cls: buckets of two or more classes, in bounded parts.
 
     A bucket of more than BLOCK members is dealt into blocks by hash, and each pair of blocks is one
     part; `part` is 0 for the rest.
     """
-    c = classes.select("cls", F.explode("coll").alias("c"))
+    c = classes.select("cls", F.posexplode("coll").alias("i", "c"))
     shared = c.groupBy("c").count().filter("count > 1").select("c")
-    own = c.join(shared, "c").groupBy("cls").agg(F.sort_array(F.collect_set("c")).alias("cs")).filter("size(cs) > 1")
-    pairs = F.expr("flatten(transform(cs, (x, i) -> transform(slice(cs, i + 2, size(cs)), y -> xxhash64(x, y))))")
-    keys = own.select("cls", F.explode(pairs).alias("bucket"))
+    own = c.join(shared, "c").groupBy("cls").agg(F.sort_array(F.collect_set(F.struct("i", "c"))).alias("cs")).filter("size(cs) > 1")
+    table = f"struct(xxhash64(x.c, y.c) AS bucket, x.i * {COLLECTIONS} + y.i AS pair)"
+    pairs = F.expr(f"flatten(transform(cs, (x, k) -> transform(slice(cs, k + 2, size(cs)), y -> {table})))")
+    keys = own.select("cls", F.explode(pairs).alias("k")).select("cls", "k.*")
     sizes = keys.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("cls", F.lit(1)), F.col("blocks")).cast("int")
-    dealt = (
+    return (
         keys.join(sizes, "bucket")
         .withColumn("blocks", blocks)
         .withColumn("mine", mine)
-        .select("bucket", "cls", "mine", "blocks", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
-        .select("bucket", "cls", (F.least("mine", "other") * F.col("blocks") + F.greatest("mine", "other")).alias("part"))
+        .select("bucket", "pair", "cls", "mine", "blocks", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
+        .select("bucket", "pair", "cls", (F.least("mine", "other") * F.col("blocks") + F.greatest("mine", "other")).alias("part"))
     )
-    return dealt.join(classes.select("cls", "n", "sketch"), "cls")
 
 
-def _possible(sketches: np.ndarray, sizes: np.ndarray, u: int, rest: np.ndarray) -> np.ndarray:
-    """Which of `rest` the sketches and sizes allow to be linked with `u`."""
-    a, b = sizes[u], sizes[rest]
-    fits = rest[DEN * np.minimum(a, b) >= NUM * np.maximum(a, b)]
-    # |A xor B| <= (DEN - NUM) / (DEN + NUM) * (|A| + |B|) is the link's condition in other words.
-    bits = np.bitwise_count(sketches[fits] ^ sketches[u]).sum(axis=1, dtype=np.int64)
-    return fits[bits * (DEN + NUM) <= (DEN - NUM) * (a + sizes[fits])]
+class _Block:
+    """The members of one part of a bucket; `pair` are the two collections of its table."""
 
+    def __init__(self, pair: int, sizes: list[int], sketches: list[bytes]):
+        self.sizes = np.array(sizes, np.int64)
+        words = np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sizes), -1)
+        self.coll, self.bits = words[:, :COLLECTIONS], words[:, COLLECTIONS:]
+        self.first, self.second = divmod(pair, COLLECTIONS)
 
-def _forest(names: list[bytes], sizes: np.ndarray, sketches: np.ndarray, roots: np.ndarray, refuted: dict[bytes, set[bytes]]) -> Iterator[tuple[bytes, bytes]]:
-    """Edges of a spanning forest over the possible links between different components.
+    def possible(self, u: int, rest: np.ndarray) -> np.ndarray:
+        """Which of `rest` can be linked with `u`, of those that meet `u` in this table first.
 
-    An unvisited component as a whole is reached by any possible edge to one of its members.
+        The first table of two sets is that of the first two collections they share, so each pair
+        is looked at once, in whatever many buckets it meets.
+        """
+        agree = self.coll[rest] == self.coll[u]
+        here = rest[(agree[:, : self.second + 1].sum(axis=1) == 2) & agree[:, self.first] & agree[:, self.second]]
+        a, b = self.sizes[u], self.sizes[here]
+        fits = here[DEN * np.minimum(a, b) >= NUM * np.maximum(a, b)]
+        # |A xor B| <= (DEN - NUM) / (DEN + NUM) * (|A| + |B|) is the link's condition in other words.
+        odd = np.bitwise_count(self.bits[fits] ^ self.bits[u]).sum(axis=1, dtype=np.int64)
+        return fits[odd * (DEN + NUM) <= (DEN - NUM) * (a + self.sizes[fits])]
+
+
+def _block_edges(names: list[bytes], block: _Block, roots: np.ndarray, refuted: dict[bytes, set[bytes]]) -> tuple[list[tuple[bytes, bytes]], bool]:
+    """Possible links between different components, and whether some were left out.
+
+    All of them, up to EDGES per member; else a spanning forest, found breadth first, where reaching
+    one member of a component reaches all. A member is only compared with what is not reached yet,
+    so a block of true copies costs one row of comparisons, not a square.
     """
+    few, all_edges = EDGES * len(names), []
+    for u in range(len(names) - 1):
+        rest = u + 1 + np.flatnonzero(roots[u + 1 :] != roots[u])
+        bad = refuted.get(names[u], ())
+        all_edges += [(names[u], names[v]) for v in block.possible(u, rest).tolist() if names[v] not in bad]
+        if len(all_edges) > few:
+            break
+    else:
+        return all_edges, False
+    forest = []
     unseen = np.ones(len(names), bool)
     same: dict[int, list[int]] = {}
     for i, r in enumerate(roots.tolist()):
@@ -165,63 +196,68 @@ def _forest(names: list[bytes], sizes: np.ndarray, sketches: np.ndarray, roots:
         unseen[queue] = False
         while queue:
             u = queue.pop()
-            rest = np.flatnonzero(unseen)
-            if not len(rest):
-                return
             bad = refuted.get(names[u], ())
-            for v in _possible(sketches, sizes, u, rest).tolist():
+            for v in block.possible(u, np.flatnonzero(unseen)).tolist():
                 if unseen[v] and names[v] not in bad:
-                    yield names[u], names[v]
+                    forest.append((names[u], names[v]))
                     queue += same[roots[v]]
                     unseen[same[roots[v]]] = False
+    return forest, True
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (bucket, part) -> edges; a member row has a sketch, a refuted pair has `other`."""
 
-    def edges(group: list[dict]) -> set[tuple[bytes, bytes]]:
+    def edges(group: list[dict]) -> dict[tuple[bytes, bytes], bool]:
         members = {r["cls"]: r for r in group if r["sketch"] is not None}
         refuted: dict[bytes, set[bytes]] = {}
         for r in group:
             if r["other"] is not None:
                 refuted.setdefault(r["cls"], set()).add(r["other"])
                 refuted.setdefault(r["other"], set()).add(r["cls"])
-        if len(members) < 2:
-            return set()
         names = list(members)
-        number = {}
+        number: dict[bytes, int] = {}
         roots = np.array([number.setdefault(members[x]["root"], len(number)) for x in names])
-        if len(number) == 1:
-            return set()
-        sizes = np.array([members[x]["n"] for x in names], np.int64)
-        sketches = np.frombuffer(b"".join(members[x]["sketch"] for x in names), np.uint64).reshape(len(names), -1)
-        return {(min(e), max(e)) for e in _forest(names, sizes, sketches, roots, refuted)}
-
-    def out(found: set[tuple[bytes, bytes]]) -> pa.RecordBatch:
-        a, b = zip(*sorted(found)) if found else ((), ())
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
-
-    key, group, found = None, [], set()
+        if len(number) < 2:
+            return {}
+        block = _Block(members[names[0]]["pair"], [members[x]["n"] for x in names], [members[x]["sketch"] for x in names])
+        some, more = _block_edges(names, block, roots, refuted)
+        return {(min(e), max(e)): more for e in some}
+
+    def out(found: dict[tuple[bytes, bytes], bool]) -> pa.RecordBatch:
+        keys = sorted(found)
+        columns = [pa.array([k[i] for k in keys], pa.binary()) for i in (0, 1)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array([found[k] for k in keys], pa.bool_())], names=["a", "b", "more"])
+
+    def add(found: dict[tuple[bytes, bytes], bool], group: list[dict]) -> None:
+        for e, more in edges(group).items():
+            found[e] = found.get(e, False) or more
+
+    key, group, found = None, [], {}
     for batch in batches:
         for row in batch.to_pylist():
             if (row["bucket"], row["part"]) != key:
-                found |= edges(group)
+                add(found, group)
                 key, group = (row["bucket"], row["part"]), []
             group.append(row)
-        if len(found) > 10_000:
+        if len(found) > 50_000:
             yield out(found)
-            found = set()
-    yield out(found | edges(group))
+            found = {}
+    add(found, group)
+    yield out(found)
 
 
-def _possible_edges(dealt: DataFrame, roots: DataFrame | None, refuted: DataFrame | None) -> DataFrame:
-    rows = dealt.withColumn("root", F.col("cls")) if roots is None else dealt.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    rows = rows.select("bucket", "part", "cls", "n", "sketch", "root", F.lit(None).cast("binary").alias("other"))
+def _possible_edges(dealt: DataFrame, classes: DataFrame, roots: DataFrame | None, refuted: DataFrame | None) -> DataFrame:
+    """a, b, more: possible edges of the blocks; more: a walk that gave the edge left others out."""
+    rows = dealt.join(classes.select("cls", "n", "sketch"), "cls")
+    rows = rows.withColumn("root", F.col("cls")) if roots is None else rows.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    rows = rows.select("bucket", "pair", "part", "cls", "n", "sketch", "root", F.lit(None).cast("binary").alias("other"))
     if refuted is not None:
-        told = dealt.select("bucket", "part", "cls").join(refuted.select(F.col("a").alias("cls"), F.col("b").alias("other")), "cls")
+        told = dealt.join(refuted.select(F.col("a").alias("cls"), F.col("b").alias("other")), "cls")
         empty = F.lit(None).cast("binary")
-        rows = rows.unionByName(told.select("bucket", "part", "cls", F.lit(None).cast("int").alias("n"), empty.alias("sketch"), empty.alias("root"), "other"))
-    return rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(_walk, "a binary, b binary").distinct()
+        rows = rows.unionByName(told.select("bucket", "pair", "part", "cls", F.lit(None).cast("int").alias("n"), empty.alias("sketch"), empty.alias("root"), "other"))
+    walked = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(_walk, "a binary, b binary, more boolean")
+    return walked.groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,14 +274,14 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x, y = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)
             both = len(np.intersect1d(x, y, assume_unique=True))
             linked.append(DEN * both >= NUM * (len(x) + len(y) - both))
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), batch.column("more"), pa.array(linked, pa.bool_())], names=["a", "b", "more", "linked"])
 
 
 def _verified(edges: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, linked: each edge decided on its two full sets."""
+    """a, b, more, linked: each edge decided on its two full sets."""
     with_a = edges.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("sa")), "a")
     with_b = with_a.join(sets.select(F.col("cls").alias("b"), F.col("members").alias("sb")), "b")
-    return with_b.select("a", "b", "sa", "sb").mapInArrow(_compare, "a binary, b binary, linked boolean")
+    return with_b.select("a", "b", "more", "sa", "sb").mapInArrow(_compare, "a binary, b binary, more boolean, linked boolean")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -273,28 +309,32 @@ def components(edges: DataFrame) -> DataFrame:
 
 def class_roots(docs: DataFrame, signed: DataFrame) -> DataFrame | None:
     """(cls, root) of all classes that have a link to another class; None where there is none."""
-    classes = _classes(signed)
+    classes = cut(_classes(signed))
     dealt = cut(buckets(classes))
     roots = links = refuted = sets = None
     while True:
-        edges = cut(_possible_edges(dealt, roots, refuted))
+        edges = cut(_possible_edges(dealt, classes, roots, refuted))
         if edges.isEmpty():
             return roots
         if sets is None:
-            # A first forest covers every class that has a possible link, so no later round needs others.
+            # A first walk reaches every class that has a possible link, so no later round needs others.
             nodes = edges.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-            wanted = classes.select("cls", "doc_id", "th").join(nodes, "cls", "left_semi")
+            wanted = cut(classes.select("cls", "doc_id", "th").join(nodes, "cls", "left_semi"))
+            wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
             text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             found = text.withColumn("th", F.xxhash64("text")).join(wanted, ["doc_id", "th"]).select("cls", "text")
             sets = cut(found.mapInArrow(_sets, "cls binary, members binary").dropDuplicates(["cls"]))
         decided = cut(_verified(edges, sets))
-        new = decided.filter("linked").select("a", "b")
-        bad = decided.filter("NOT linked").select("a", "b")
+        new, bad = decided.filter("linked").select("a", "b"), decided.filter("NOT linked")
         links = new if links is None else links.unionByName(new)
-        refuted = bad if refuted is None else refuted.unionByName(bad)
+        refuted = bad.select("a", "b") if refuted is None else refuted.unionByName(bad.select("a", "b"))
         roots = cut(components(links)) if not links.isEmpty() else None
-        if bad.isEmpty():
-            return roots  # every forest edge held, so nothing that is still possible joins two components
+        open_pairs = bad.filter("more").select("a", "b")
+        if open_pairs.isEmpty():
+            return roots  # every block is settled
+        # A block goes on if an edge of its forest was refuted; that it holds both ends is enough to look again.
+        ends = dealt.join(open_pairs.withColumnRenamed("a", "cls"), "cls").select("bucket", "part", F.col("b").alias("cls"))
+        dealt = cut(dealt.join(dealt.join(ends, ["bucket", "part", "cls"], "left_semi").select("bucket", "part").distinct(), ["bucket", "part"], "left_semi"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
