@@ -18,21 +18,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """`df` written once to the cluster's shared checkpoint folder, so later steps never recompute it.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: `spark.checkpoint.dir`, also set as the checkpoint folder.
 
-    The folder is `spark.checkpoint.dir` of the session. Where that is unset, a local session (tests)
-    gets a scratch one; on a cluster a missing setting is an error.
+    Where that is unset, a local session (tests) gets a scratch one; on a cluster it is an error.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         if shared := spark.conf.get("spark.checkpoint.dir", None):
             sc.setCheckpointDir(shared)
-        elif sc.master.startswith("local["):
+        elif sc.master.startswith("local[") or sc.master == "local":
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
         else:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """`df` written once to the shared checkpoint folder, so that later steps never recompute it."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -5,11 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kpiwatch.llm import decontam, neardup, pii, sharding, topk, toxicity
+from kpiwatch.llm import chat, decontam, licenses, lm, neardup, pieces, pii, sharding, topk, toxicity
 from kpiwatch.llm.common import read_table
 
 
+def op1_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = chat.calls_of(read_table(spark, sf_dir, "conversations"))
+    return chat.link(calls, results, chat.REPLY)
+
+
 def op2_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
@@ -19,6 +25,10 @@ def op3_uniform_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(read_table(spark, sf_dir, "embeddings"))
 
 
+def op4_log_bilinear_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(read_table(spark, sf_dir, "documents"))
+
+
 def op5_vector_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(read_table(spark, sf_dir, "documents"))
 
@@ -28,6 +38,15 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
+def op8_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.encode(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"), "log_prob", "inclusion", "ids_crc32", "round_trip")
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -38,4 +57,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_contextual_pii, op3_uniform_threshold_topk, op5_vector_bin_packing, op6_benchmark_decontamination, op9_minhash_near_dedup, op10_toxicity)}
+    every = (
+        op1_tool_call_linking, op2_contextual_pii, op3_uniform_threshold_topk, op4_log_bilinear_lm, op5_vector_bin_packing,
+        op6_benchmark_decontamination, op7_license_scan, op8_sentencepiece_sampling, op9_minhash_near_dedup, op10_toxicity,
+    )
+    return {f.__name__: f for f in every}
