@@ -5,7 +5,7 @@ features of a softmax regression over licence families and `unknown`, trained in
 templates and on a bounded sample of the corpus' own paragraphs as unknown. A temperature, fitted on
 held-out examples, calibrates the probabilities. A family is reported where its calibrated
 probability is SURE or more and a template of the family confirms it: the share of common bigrams,
-of the shorter side, is CONFIRMED or more. Other paragraphs are unknown.
+of the shorter side, is CONFIRMED or more, and they are at least LEAST_COMMON. Other paragraphs are unknown.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 UNKNOWN = "unknown"
 SURE = 0.5
 CONFIRMED = 0.6
+LEAST_COMMON = 2
 #: Documents whose paragraphs are taken as unknown examples, and the most paragraphs of each.
 MOST_DOCUMENTS = 400
 MOST_PARAGRAPHS = 20
@@ -111,7 +112,7 @@ class Classifier:
 
     def confirmed(self, family: str, ws: list[str]) -> bool:
         own = _pairs(ws)
-        return any(len(own & t) >= CONFIRMED * max(min(len(own), len(t)), 1) for t in self.templates.get(family, ()))
+        return any(len(own & t) >= max(LEAST_COMMON, CONFIRMED * min(len(own), len(t))) for t in self.templates.get(family, ()))
 
     def predict(self, ws: list[str]) -> tuple[str, float, bool]:
         """Family, calibrated probability, confirmed."""

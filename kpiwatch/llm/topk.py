@@ -28,6 +28,8 @@ from kpiwatch.llm.common import cut
 TOP = 5
 LISTS = 2
 SCALE = 256
+#: Components beyond this size count as this size, so that scores of up to 1024 components fit a long.
+LARGEST = 2.0**18
 EVERY = 50
 BLOCK = 4096
 QUERIES = 512
@@ -38,13 +40,13 @@ UNBOUNDED = -(1 << 60)
 def quantised(embeddings: DataFrame) -> DataFrame:
     """vec_id, x (floor(256 * component) as long): vectors without nulls and non-finite components.
 
-    Of several rows with one vec_id, the greatest x (as an array) counts. Rows without vec_id, and
+    Components count up to LARGEST either way. Of several rows with one vec_id, the greatest x (as an array) counts. Rows without vec_id, and
     empty vectors, take no part.
     """
     e = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e"))
     good = F.forall("e", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     e = e.filter(F.col("vec_id").isNotNull() & (F.size("e") > 0) & F.coalesce(good, F.lit(False)))
-    return e.select("vec_id", F.transform("e", lambda c: F.floor(c * SCALE).cast("long")).alias("x")).groupBy("vec_id").agg(F.max("x").alias("x"))
+    return e.select("vec_id", F.transform("e", lambda c: F.floor(F.greatest(F.least(c, F.lit(LARGEST)), F.lit(-LARGEST)) * SCALE).cast("long")).alias("x")).groupBy("vec_id").agg(F.max("x").alias("x"))
 
 
 def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:

@@ -1,0 +1,82 @@
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from kpiwatch.llm import lm
+
+
+def tokens(text):
+    return [*(text or "").encode().lower().split(), b""]
+
+
+def held(i):
+    return i is not None and zlib.crc32(str(i).encode()) % 5 == 1
+
+
+def check(rows, texts):
+    c = Counter(t for i, x in texts if not held(i) for t in tokens(x))
+    n, v = sum(c.values()), len(c)
+    want = Counter()
+    for i, x in texts:
+        base = sum(math.log10((c[t] + 0.5) / (n + 0.5 * (v + 1))) for t in tokens(x))
+        want[i, held(i), len(tokens(x)), sum(c[t] > 0 for t in tokens(x)), n, round(base, 6)] += 1
+    assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in rows) == want
+
+
+EDGES = [(0, "a b a"), (1, None), (2, ""), (3, "É é A\x0bb"), (3, "É é A\x0bb"), (None, "a zz"), (4, "word " * 5000), (5, "q")]
+
+
+def test_base_scores_of_edge_cases(spark, docs):
+    check(lm.scores(docs(EDGES)).collect(), EDGES)
+
+
+def test_counts_beyond_the_common_ones_are_joined(spark, docs, monkeypatch):
+    monkeypatch.setattr(lm, "COMMON", 1)
+    check(lm.scores(docs(EDGES)).collect(), EDGES)
+
+
+def test_empty_table_and_nothing_to_learn(spark, docs):
+    assert lm.scores(docs([])).collect() == []
+    only = next(i for i in range(100) if held(i))
+    (r,) = lm.scores(docs([(only, "a b")])).collect()
+    assert r.held_out and r.n_known == 0 and r.train_tokens == 0 and r.base_score == 0
+
+
+def test_query_base_scores_and_held_out_accuracy(spark):
+    from kpiwatch.llm.queries import op4_log_bilinear_lm
+
+    folder = "/root/testdata/sf0.01"
+    rows = op4_log_bilinear_lm(spark, folder).collect()
+    check(rows, [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()])
+    out = [r for r in rows if r.held_out]
+    assert sum(r.score for r in out) > sum(r.base_score for r in out)
+
+
+@pytest.fixture
+def model():
+    rng = np.random.default_rng(0)
+    n = 3 + lm.TAIL
+    noise = np.full(n, -math.log(n))
+    return lm.Model(np.array([5, 9, 12]), noise, rng.normal(size=(n, 4)), rng.normal(size=(n, 4)), rng.normal(size=(2, 4)), rng.normal(size=n))
+
+
+def test_probabilities_of_a_context_sum_to_one(model):
+    model.normalise()
+    every = np.arange(model.classes)
+    for one, two in ((0, 0), (3, 7), (100, 2)):
+        p = np.exp(model.log_prob(every, np.full_like(every, one), np.full_like(every, two)))
+        assert p.sum() == pytest.approx(1)
+
+
+def test_training_learns_a_deterministic_sequence(model):
+    w = np.tile(np.array([0, 1, 2]), 4000)
+    one, two = model.contexts(w, 2)
+    model.normalise()
+    before = model.log_prob(w, one, two).mean()
+    for seed in range(40):
+        model.train(w, one, two, np.random.default_rng(seed))
+    model.normalise()
+    assert model.log_prob(w, one, two).mean() > max(before, -0.7)
