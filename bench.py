@@ -76,12 +76,12 @@ def main():
     thr = {"events": dims.events_thresholds(spark), "orders": dims.orders_thresholds(spark)}
     headline = {
         "alerts_day": ("events", AlertConfig(as_of=EVENTS_AS_OF)),
-        "alerts_all_days": ("events", AlertConfig()),
+        "alerts_all_days": ("events", AlertConfig(all_days=True)),
         "alerts_orders_month": ("orders", AlertConfig(day=ORDERS_DAY)),
-        "alerts_orders_all": ("orders", AlertConfig()),
+        "alerts_orders_all": ("orders", AlertConfig(all_days=True)),
     }
     def statement(src, cfg):
-        return alerts_sql(spark, *stored[src], thr[src], as_of=cfg.as_of, day=cfg.day).collect()
+        return alerts_sql(spark, *stored[src], thr[src], as_of=cfg.as_of, day=cfg.day, all_days=cfg.all_days).collect()
 
     def chain(src, cfg):
         return alerts(*stored[src], thr[src], cfg).collect()

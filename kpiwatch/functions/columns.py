@@ -39,8 +39,9 @@ def minutes_seconds_sql(seconds: str) -> str:
     while 61 renders as 1.01.  NULL stays NULL.
     """
     s = f"({seconds})"
-    return (f"CAST(CASE WHEN {s} > 60 THEN round((floor({s} / 60) * 100 + {s} % 60) / 100, 2) "
-            f"WHEN {s} IS NOT NULL THEN round({s} / 100, 2) END AS DOUBLE)")
+    # Whole minutes, then what is left over as hundredths; up to 60 nothing counts as a minute.
+    whole = f"CASE WHEN {s} > 60 THEN floor({s} / 60) ELSE 0 END"
+    return f"CAST(round({whole} + ({s} - 60 * ({whole})) / 100, 2) AS DOUBLE)"
 
 
 def minutes_seconds(seconds: str) -> Column:
@@ -81,22 +82,25 @@ def metric_text(value: str, unit: str) -> Column:
     return F.expr(metric_text_sql(value, unit))
 
 
-def day_filter_sql(dated: str, as_of=None, day=None) -> str | None:
+def day_filter_sql(dated: str, as_of=None, day=None, all_days: bool = False) -> str | None:
     """Predicate selecting one reporting day.
 
-    ``day`` names the day itself; ``as_of`` reports on the day before it (the
-    job's "yesterday").  With neither, returns None: every day is reported.
+    ``day`` names the day itself; ``as_of`` reports on the day before it.  With
+    neither it is yesterday, by the session's ``current_date``.  Every day is
+    reported only with ``all_days`` (None is returned).
     """
-    if day is not None:
-        return f"{dated} = {_date_sql(day)}"
-    if as_of is not None:
-        return f"{dated} = date_sub({_date_sql(as_of)}, 1)"
-    return None
+    if sum((as_of is not None, day is not None, all_days)) > 1:
+        raise ValueError("give one of as_of, day and all_days")
+    if all_days:
+        return None
+    return f"{dated} = {report_day_sql(as_of, day)}"
 
 
-def day_filter(dated: str, as_of=None, day=None) -> Column | None:
-    text = day_filter_sql(dated, as_of, day)
-    return None if text is None else F.expr(text)
+def report_day_sql(as_of=None, day=None) -> str:
+    """The one reported day as a SQL expression."""
+    if day is not None:
+        return _date_sql(day)
+    return f"date_sub({'current_date()' if as_of is None else _date_sql(as_of)}, 1)"
 
 
 def iso_date_sql(d: str) -> str:
@@ -108,9 +112,5 @@ def report_start_sql(dated: str, days: int = 7) -> str:
     return iso_date_sql(f"date_sub({dated}, {days})")
 
 
-def iso_date(d: str) -> Column:
-    return F.expr(iso_date_sql(d))
-
-
 def report_start(dated: str, days: int = 7) -> Column:
     return F.expr(report_start_sql(dated, days))

@@ -3,15 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame
 
 from kpiwatch.functions.columns import _quote, metric_text_sql
 
-ALERT_COLUMNS = ["dated", "vertical", "order_type", "metric_name", "metric_value", "metric_threshold"]
-
-
 @dataclass(frozen=True)
 class Rule:
     name: str        # metric_name shown in the alert
@@ -24,7 +20,8 @@ class Rule:
         return f"{self.column} {'>' if self.above else '<'} {self.threshold}"
 
 
-# Metric names, units and directions of the six alert rules.
+# Columns of an alert row; metric names, units and directions of the six alert rules.
+ALERT_COLUMNS = ["dated", "vertical", "order_type", "metric_name", "metric_value", "metric_threshold"]
 RULES = (
     Rule("Dialed %", "dialed_pct", "dialed_pct_threshold", False, " %"),
     Rule("Attempted %", "attempted_pct", "attempted_pct_threshold", False, " %"),
@@ -45,9 +42,14 @@ def breach(final: DataFrame, rule: Rule) -> DataFrame:
 
 
 def breaches_union(final: DataFrame, rules=RULES) -> DataFrame:
-    """SQL-shaped form: one filtered projection per rule, UNION ALL.  Kept as
-    a cross-check; it re-reads ``final`` once per rule."""
-    return reduce(DataFrame.unionByName, [breach(final, r) for r in rules])
+    """SQL-shaped form: every rule's row first, then one filter.  ``stack``
+    makes the rows of all rules from one reading of ``final``, where one
+    UNION ALL branch per rule would read it once each."""
+    rows = ", ".join(f"{_quote(r.name)}, {metric_text_sql(r.column, r.unit)}, "
+                     f"CAST({r.threshold} AS DOUBLE), {r.breached_sql()}" for r in rules)
+    return (final.selectExpr("dated", "vertical", "order_type",
+                             f"stack({len(rules)}, {rows}) AS (metric_name, metric_value, metric_threshold, _hit)")
+            .where("_hit").drop("_hit"))
 
 
 def breaches_sql(rules=RULES) -> str:

@@ -24,7 +24,7 @@ PERCENTS = {
 def funnel_pct(dialed: DataFrame, as_of=None, day=None,
                counters: Sequence[str] = COUNTERS,
                percents: dict[str, str] | None = None,
-               denominator: str = "unique_request") -> DataFrame:
+               denominator: str = "unique_request", all_days: bool = False) -> DataFrame:
     """Sum the counters per (dated, lower(vertical), lower(order_type)) and turn
     them into percentages of ``denominator`` (DECIMAL, two digits).
 
@@ -33,7 +33,7 @@ def funnel_pct(dialed: DataFrame, as_of=None, day=None,
     by ``dated``).
     """
     percents = PERCENTS if percents is None else percents
-    cond = day_filter_sql("dated", as_of, day)
+    cond = day_filter_sql("dated", as_of, day, all_days)
     if cond is not None:
         dialed = dialed.where(cond)
     summed = (dialed.selectExpr("dated", "lower(vertical) AS vertical", "lower(order_type) AS order_type",

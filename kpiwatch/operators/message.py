@@ -1,10 +1,10 @@
 """Alert message assembly: owner tags, dashboard links, ordered blocks, JSON.
 
 One pass over the alert rows: alerts are grouped per (dated, vertical), joined
-with the owner and link dimensions (broadcast when their size is proven), turned into
-that vertical's block list, then grouped per day into one ordered message.
-Both groupings are bounded by the dimension tables (alerts of a day <= rules x
-threshold rows), not by the data volume.
+with the owner and link dimensions, turned into that vertical's block list,
+then grouped per day into one ordered message.  Both groupings are bounded by
+the dimension tables (alerts of a day <= rules x threshold rows), not by the
+data volume: ``dimensions.load_dimension`` refuses a dimension with repeated keys.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ HEADING_TEXT = "🚀 *{vertical}* {tag}"
 LINKS_TEXT = "📈 *PCT Card Link:* <{pct}|View Dashboard> 📈 *TAT Card Link:* <{tat}|View Dashboard>"
 ALERT_NAME_TEXT = "*{metric_name}* ({order_type})"
 ALERT_VALUE_TEXT = "*{metric_value}*"
-LINK_URL = "{base}?start_date={start}&end_date={end}&verticals={value}&period=Day"
 WINDOW_DAYS = 7
 # ---------------------------------------------------------------------------
 
@@ -64,20 +63,24 @@ def with_owner(df: DataFrame, owners: DataFrame) -> DataFrame:
             .drop("_tag"))
 
 
-def _link_sql(base: str) -> str:
-    """The dashboard URL of the row's vertical and day (LINK_URL)."""
-    return template_sql(LINK_URL, base=base, start=report_start_sql("dated", WINDOW_DAYS),
-                        end=iso_date_sql("dated"), value="link_value")
+def _link_sql(template: str) -> str:
+    """The dashboard URL of the row's vertical and day: the links table's own
+    template, with {start}, {end} and {value} filled in."""
+    fields = (("start", report_start_sql("dated", WINDOW_DAYS)), ("end", iso_date_sql("dated")), ("value", "link_value"))
+    for name, value in fields:
+        # The braces as characters: spark.sql would take them for parameters of its own.
+        template = f"replace({template}, concat(char(123), '{name}', char(125)), {value})"
+    return template
 
 
 def with_links(df: DataFrame, links: DataFrame) -> DataFrame:
     """Add ``pct_link`` and ``tat_link`` for the row's vertical and day (NULL
     when the vertical has no link row)."""
-    dim = links.select("vertical", "link_value", "pct_base", "tat_base")
+    dim = links.select("vertical", "link_value", "pct_url", "tat_url")
     return (df.join(dim, "vertical", "left")
-            .withColumns({"pct_link": F.expr(_link_sql("pct_base")),
-                          "tat_link": F.expr(_link_sql("tat_base"))})
-            .drop("link_value", "pct_base", "tat_base"))
+            .withColumns({"pct_link": F.expr(_link_sql("pct_url")),
+                          "tat_link": F.expr(_link_sql("tat_url"))})
+            .drop("link_value", "pct_url", "tat_url"))
 
 
 def vertical_links(alerts: DataFrame, links: DataFrame) -> DataFrame:

@@ -1,18 +1,15 @@
 """Exact continuous percentiles per group (``percentile_cont``).
 
-Two exact forms, same results:
-
-* ``hash``: Spark's ``percentile`` aggregate.  One pass; the partial
-  aggregation ships (value, count) pairs, so a group's state is its number of
-  distinct values.  Right when values repeat (durations in whole seconds).
-* ``sorted``: a distributed rank search for groups with very many distinct
-  values.  (group, value) counts are range-partitioned on (group, value), so a
-  hot group is split across tasks; running counts are taken inside each range
-  and offset by the counts of the ranges before it (a table of at most
-  #groups + #partitions rows); the rows holding the two ranks around q*(n-1)
-  are then interpolated.  No task ever holds a whole group.  The ranged
-  counts are checkpointed once, since both the offsets and the final join
-  must see the same range ids.
+* ``ranked`` (the default): rank search in two readings, with bounded tasks.  The
+  first counts each group's value buckets (a fixed monotone function of the
+  value, so their number doesn't grow with the rows) by a plain hash
+  aggregation that combines on the map side, and finds the one or two buckets
+  that hold the ranks around q*(n-1).  The second reads the rows of those
+  buckets only: they alone are shuffled, by group *and* value, and put in order.
+* ``hash``: Spark's ``percentile`` aggregate, whose state is one group's
+  distinct values.  Kept as a cross-check for small groups.
+
+Both are plain lineage: building the plan runs no job and nothing is stored.
 """
 
 from __future__ import annotations
@@ -22,7 +19,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiwatch.sources.sinks import materialize
+# Buckets per unit of log1p(|x|): values of one bucket differ by about 1 / 4096 of
+# their size, so a bucket holds that share of a group with spread values, and a
+# single value that is common is one row.
+BUCKETS = 4096
 
 
 def percentiles_hash(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str],
@@ -32,53 +32,44 @@ def percentiles_hash(df: DataFrame, keys: Sequence[str], columns: Mapping[str, s
         *[F.percentile(F.col(src), F.lit(q)).alias(out) for out, src in columns.items()])
 
 
-def percentiles_sorted(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str],
-                       q: float = 0.9, num_ranges: int | None = None) -> DataFrame:
-    """Same result as :func:`percentiles_hash`, via distributed ranks."""
-    keys = list(keys)
-    gkeys = keys + ["_metric"]
+def bucket_sql(x: str) -> str:
+    """The bucket of a value.  log1p is (semi-)monotonic, so is this."""
+    return f"CAST(sign({x}) * floor(log1p(abs({x})) * {BUCKETS}) AS BIGINT)"
+
+
+def percentiles_ranked(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str],
+                       q: float = 0.9) -> DataFrame:
+    """Same result as :func:`percentiles_hash`, with bounded tasks."""
+    gkeys = [*keys, "_metric"]
     # One scan: stack the measured columns as (metric, x).
     stacked = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(out).alias("_metric"), F.col(src).cast("double").alias("_x"))
         for out, src in columns.items()])).alias("_m")).select(*keys, "_m._metric", "_m._x")
-    # (group, value) counts; NULL values keep their group alive with weight 0.
-    counted = stacked.groupBy(*gkeys, "_x").agg(
-        F.count(F.lit(1)).alias("_n")).withColumn(
-        "_w", F.when(F.col("_x").isNull(), F.lit(0)).otherwise(F.col("_n")))
-    ranged = (counted.repartitionByRange(*([num_ranges] if num_ranges else []), *gkeys, "_x")
-              .withColumn("_part", F.spark_partition_id()))
-    # Running weight inside one range of one group (bounded by the range size).
-    in_range = Window.partitionBy("_part", *gkeys).orderBy("_x").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    # Materialized once: the range ids must be the same in both uses below.
-    local = materialize(ranged.withColumn("_cum", F.sum("_w").over(in_range)))
-    # Offsets of each range within its group: small table, one row per (range, group).
-    totals = local.groupBy("_part", *gkeys).agg(F.max("_cum").alias("_tot"))
-    before = Window.partitionBy(*gkeys).orderBy("_part").rowsBetween(
-        Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*gkeys)
-    offsets = totals.select(
-        "_part", *gkeys,
-        F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"),
-        F.sum("_tot").over(whole).alias("_cnt"))
-    pos = F.col("_cnt") - 1
+    valued = stacked.withColumn("_b", F.expr(bucket_sql("_x")))
+    # NULL values keep their group alive with weight 0.
+    by_bucket = Window.partitionBy(*gkeys).orderBy(F.col("_b").asc_nulls_first())
+    buckets = (valued.groupBy(*gkeys, "_b").agg(F.count("_x").alias("_bw"))
+               .withColumn("_to", F.sum("_bw").over(by_bucket.rowsBetween(Window.unboundedPreceding, 0)))
+               .withColumn("_all", F.sum("_bw").over(Window.partitionBy(*gkeys)))
+               .withColumn("_pos", (F.col("_all") - 1).cast("double") * F.lit(q))
+               .withColumn("_r0", F.floor("_pos")).withColumn("_r1", F.ceil("_pos")))
+    # A bucket covers the 0-based ranks [_to - _bw, _to); a group without values keeps its NULL bucket.
+    near = lambda lo, hi, r: (F.col(lo) <= F.col(r)) & (F.col(r) < F.col(hi))
+    picked = (buckets.withColumn("_from", F.col("_to") - F.col("_bw"))
+              .where(near("_from", "_to", "_r0") | near("_from", "_to", "_r1") | (F.col("_all") == 0)))
     # Null-safe on the keys: a group whose key holds NULL is still a group.
-    on = [F.col(f"l.{c}").eqNullSafe(F.col(f"o.{c}")) for c in ["_part", *gkeys]]
-    placed = (local.alias("l").join(offsets.alias("o"), on).select("l.*", "o._off", "o._cnt")
-              .withColumn("_hi_cum", F.col("_off") + F.col("_cum"))
-              .withColumn("_lo_cum", F.col("_hi_cum") - F.col("_w"))
-              .withColumn("_pos", pos.cast("double") * F.lit(q))
-              .withColumn("_r0", F.floor("_pos"))
-              .withColumn("_r1", F.ceil("_pos")))
-    # A value row covers the 0-based ranks [_lo_cum, _hi_cum).
-    covers = lambda r: (F.col("_lo_cum") <= F.col(r)) & (F.col(r) < F.col("_hi_cum"))
-    picked = placed.where(covers("_r0") | covers("_r1") | (F.col("_cnt") == 0))
-    per_metric = picked.groupBy(*gkeys).agg(
-        F.max(F.when(covers("_r0"), F.col("_x"))).alias("_v0"),
-        F.max(F.when(covers("_r1"), F.col("_x"))).alias("_v1"),
-        F.max("_pos").alias("_pos"),
-        F.max("_r0").alias("_r0"),
-        F.max("_r1").alias("_r1"))
+    on = [F.col(f"v.{c}").eqNullSafe(F.col(f"p.{c}")) for c in [*gkeys, "_b"]]
+    in_bucket = Window.partitionBy(*gkeys, "_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    of_bucket = ["_from", "_pos", "_r0", "_r1"]
+    ranked = (valued.alias("v").join(picked.select(*gkeys, "_b", *of_bucket).alias("p"), on)
+              .select("v.*", *[f"p.{c}" for c in of_bucket])
+              .groupBy(*gkeys, "_b", *of_bucket, "_x").agg(F.count("_x").alias("_w"))
+              .withColumn("_hi", F.col("_from") + F.sum("_w").over(in_bucket))
+              .withColumn("_lo", F.col("_hi") - F.col("_w")))
+    per_metric = ranked.groupBy(*gkeys).agg(
+        F.max(F.when(near("_lo", "_hi", "_r0"), F.col("_x"))).alias("_v0"),
+        F.max(F.when(near("_lo", "_hi", "_r1"), F.col("_x"))).alias("_v1"),
+        F.max("_pos").alias("_pos"), F.max("_r0").alias("_r0"), F.max("_r1").alias("_r1"))
     v0, v1, p = F.col("_v0"), F.col("_v1"), F.col("_pos")
     value = (F.when((F.col("_r0") == F.col("_r1")) | (v0 == v1), v0)
              .otherwise((F.col("_r1") - p) * v0 + (p - F.col("_r0")) * v1))
@@ -86,10 +77,51 @@ def percentiles_sorted(df: DataFrame, keys: Sequence[str], columns: Mapping[str,
         *[F.max(F.when(F.col("_metric") == out, value)).alias(out) for out in columns])
 
 
+def percentiles_sql(relation: str, keys: Sequence[str], columns: Mapping[str, str], q: float = 0.9,
+                    where: str = "") -> str:
+    """The CTEs ``valued``, ``bucketed``, ``picked``, ``ranked``, ``per_metric`` and ``percentiles`` of
+    the same plan as Spark SQL text."""
+    k = ", ".join(keys)
+    vk = ", ".join(f"v.{c}" for c in keys)
+    stack = ", ".join(f"'{out}', CAST({src} AS DOUBLE)" for out, src in columns.items())
+    on = " AND ".join(f"v.{c} <=> p.{c}" for c in [*keys, "metric", "b"])
+    outs = ",\n    ".join(
+        f"max(CASE WHEN metric = '{out}' THEN CASE WHEN r0 = r1 OR v0 = v1 THEN v0 "
+        f"ELSE (r1 - pos) * v0 + (pos - r0) * v1 END END) AS {out}" for out in columns)
+    return f"""valued AS (
+  SELECT {k}, metric, x, {bucket_sql("x")} AS b
+  FROM (SELECT {k}, stack({len(columns)}, {stack}) AS (metric, x) FROM {relation} {where})),
+bucketed AS (
+  SELECT {k}, metric, b, bw, n, pos, floor(pos) AS r0, ceil(pos) AS r1, upto
+  FROM (
+    SELECT *, sum(bw) OVER (PARTITION BY {k}, metric ORDER BY b NULLS FIRST ROWS UNBOUNDED PRECEDING) AS upto,
+      sum(bw) OVER (PARTITION BY {k}, metric) AS n,
+      CAST(sum(bw) OVER (PARTITION BY {k}, metric) - 1 AS DOUBLE) * {q}D AS pos
+    FROM (SELECT {k}, metric, b, count(x) AS bw FROM valued GROUP BY {k}, metric, b))),
+picked AS (
+  SELECT *, upto - bw AS base FROM bucketed
+  WHERE (upto - bw <= r0 AND r0 < upto) OR (upto - bw <= r1 AND r1 < upto) OR n = 0),
+ranked AS (
+  SELECT *, base + sum(w) OVER (PARTITION BY {k}, metric, b ORDER BY x ROWS UNBOUNDED PRECEDING) AS hi
+  FROM (
+    SELECT {vk}, v.metric, v.b, v.x, p.base, p.pos, p.r0, p.r1, count(v.x) AS w
+    FROM valued v JOIN picked p ON {on}
+    GROUP BY {vk}, v.metric, v.b, v.x, p.base, p.pos, p.r0, p.r1)),
+per_metric AS (
+  SELECT {k}, metric, max(pos) AS pos, max(r0) AS r0, max(r1) AS r1,
+    max(CASE WHEN hi - w <= r0 AND r0 < hi THEN x END) AS v0,
+    max(CASE WHEN hi - w <= r1 AND r1 < hi THEN x END) AS v1
+  FROM ranked GROUP BY {k}, metric),
+percentiles AS (
+  SELECT {k},
+    {outs}
+  FROM per_metric GROUP BY {k})"""
+
+
 def percentiles(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str],
-                q: float = 0.9, method: str = "hash") -> DataFrame:
+                q: float = 0.9, method: str = "ranked") -> DataFrame:
     if method == "hash":
         return percentiles_hash(df, keys, columns, q)
-    if method == "sorted":
-        return percentiles_sorted(df, keys, columns, q)
+    if method == "ranked":
+        return percentiles_ranked(df, keys, columns, q)
     raise ValueError(f"unknown percentile method {method!r}")

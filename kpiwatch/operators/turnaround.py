@@ -18,10 +18,10 @@ MINUTES = {"dialed_tat": "dialed_sec", "attempted_tat": "attempted_sec", "connec
 
 
 def tat_seconds(tat: DataFrame, as_of=None, day=None, q: float = 0.9,
-                method: str = "hash") -> DataFrame:
+                method: str = "ranked", all_days: bool = False) -> DataFrame:
     """round(percentile_cont(q)) of each duration, grouped by the raw keys
     (vertical and order type keep their case here)."""
-    cond = day_filter_sql("dated", as_of, day)
+    cond = day_filter_sql("dated", as_of, day, all_days)
     if cond is not None:
         tat = tat.where(cond)
     keys = ["dated", "vertical", "order_type"]

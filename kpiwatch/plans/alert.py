@@ -3,7 +3,7 @@
 ```
 thresholds ----------------------------------------------------.
 dialed -- day filter -- sum per (dated, lower keys) -- pct ---.   |
-                                               inner join ----+-- left join (broadcast) -- one-pass breaches -- sort
+                                               inner join ----+-- left join -- one-pass breaches -- sort
 tat ---- day filter -- p90 per (dated, raw keys) -- M.SS ------'
 ```
 
@@ -25,17 +25,23 @@ from kpiwatch.operators.turnaround import tat_minutes, tat_seconds
 
 @dataclass(frozen=True)
 class AlertConfig:
-    as_of: object = None        # report the day before this date (the job's "yesterday")
-    day: object = None          # or report exactly this day; neither: every day
+    as_of: object = None        # report the day before this date
+    day: object = None          # or report exactly this day; neither: yesterday, by the session's date
+    all_days: bool = False      # or report every day (a backfill)
     q: float = 0.9              # percentile of the turnaround times
-    percentile: str = "hash"    # "hash" (one pass) or "sorted" (bounded per task)
-    form: str = "one_pass"      # "one_pass" or "union" (one branch per rule)
+    percentile: str = "ranked"  # "ranked" (bounded tasks) or "hash" (a group's values in one task)
+    form: str = "one_pass"      # "one_pass" or "union" (a row per rule, then the filter)
     rules: tuple = RULES
 
+    def __post_init__(self):
+        if self.form not in ("one_pass", "union"):
+            raise ValueError(f"unknown form {self.form!r}")
+
 
 def metrics(dialed: DataFrame, tat: DataFrame, cfg: AlertConfig = AlertConfig()) -> DataFrame:
-    funnel = funnel_pct(dialed, as_of=cfg.as_of, day=cfg.day)
-    minutes = tat_minutes(tat_seconds(tat, as_of=cfg.as_of, day=cfg.day, q=cfg.q, method=cfg.percentile))
+    funnel = funnel_pct(dialed, as_of=cfg.as_of, day=cfg.day, all_days=cfg.all_days)
+    minutes = tat_minutes(tat_seconds(tat, as_of=cfg.as_of, day=cfg.day, q=cfg.q, method=cfg.percentile,
+                                      all_days=cfg.all_days))
     return join_metrics(funnel, minutes)
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,8 @@ from kpiwatch import schemas
 from kpiwatch.operators.message import alert_payload
 from kpiwatch.plans.alert import AlertConfig, alerts
 from kpiwatch.sources.dimensions import load_dimension
-from kpiwatch.sources.sinks import replace_days
+from kpiwatch.functions.columns import report_day_sql
+from kpiwatch.sources.sinks import replace_table, write_payloads
 from kpiwatch.sources.tables import conform, load_table
 
 
@@ -33,12 +35,11 @@ def load_inputs(spark: SparkSession, dialed: str, tat: str, thresholds: str, own
             load_dimension(spark, links, schemas.LINKS))
 
 
-def _report_day(cfg: AlertConfig) -> dt.date | None:
-    if cfg.day is not None:
-        return dt.date.fromisoformat(str(cfg.day)[:10])
-    if cfg.as_of is not None:
-        return dt.date.fromisoformat(str(cfg.as_of)[:10]) - dt.timedelta(days=1)
-    return None
+def _report_day(spark: SparkSession, cfg: AlertConfig) -> dt.date | None:
+    """The one reported day, by the session's date where none is given; None for all days."""
+    if cfg.all_days:
+        return None
+    return spark.sql(f"SELECT {report_day_sql(cfg.as_of, cfg.day)} AS d").first().d
 
 
 def run_job(spark: SparkSession, dialed: str, tat: str, thresholds: str, owners: str, links: str,
@@ -51,21 +52,23 @@ def run_job(spark: SparkSession, dialed: str, tat: str, thresholds: str, owners:
     without alerts.
     """
     d, t, thr, own, lnk = load_inputs(spark, dialed, tat, thresholds, owners, links)
+    day = _report_day(spark, cfg)
+    if day is not None:
+        cfg = replace(cfg, as_of=None, day=day)  # one date for all steps, also past midnight
     rows = alerts(d, t, thr, cfg, ordered=False)
-    day = _report_day(cfg)
     if day is None:
-        rows.write.mode("overwrite").partitionBy("dated").parquet(alerts_out)
+        replace_table(rows, alerts_out, partition_by=["dated"])
     else:
         # Static partition path: replaced even when the day has no rows now.
-        rows.drop("dated").write.mode("overwrite").parquet(f"{alerts_out}/dated={day.isoformat()}")
+        replace_table(rows.drop("dated"), f"{alerts_out}/dated={day.isoformat()}")
     # The messages are built from the stored rows, not by recomputing the plan.
     stored = spark.read.schema(schemas.ALERT).parquet(alerts_out)
     if day is None:
-        alert_payload(stored, own, lnk).write.mode("overwrite").partitionBy("dated").parquet(messages_out)
+        replace_table(alert_payload(stored, own, lnk), messages_out, partition_by=["dated"])
     else:
         messages = alert_payload(stored.where(F.col("dated") == F.lit(day)), own, lnk)
         wanted = spark.createDataFrame([(day,)], "dated date")
-        replace_days(wanted.join(messages, "dated", "left"), messages_out)
+        write_payloads(wanted.join(messages, "dated", "left"), messages_out)
 
 
 def main(argv=None) -> None:
@@ -73,17 +76,12 @@ def main(argv=None) -> None:
     for name in ("dialed", "tat", "thresholds", "owners", "links", "alerts-out", "messages-out"):
         p.add_argument(f"--{name}", required=True)
     when = p.add_mutually_exclusive_group()
-    when.add_argument("--as-of", help="report the day before this date (default: today)")
+    when.add_argument("--as-of", help="report the day before this date (default: the session's date)")
     when.add_argument("--day", help="report this day")
     when.add_argument("--all-days", action="store_true", help="report every day (backfill)")
-    p.add_argument("--percentile", choices=("hash", "sorted"), default="hash")
+    p.add_argument("--percentile", choices=("ranked", "hash"), default="ranked")
     a = p.parse_args(argv)
-    if a.all_days:
-        cfg = AlertConfig(percentile=a.percentile)
-    elif a.day:
-        cfg = AlertConfig(day=a.day, percentile=a.percentile)
-    else:
-        cfg = AlertConfig(as_of=a.as_of or dt.date.today().isoformat(), percentile=a.percentile)
+    cfg = AlertConfig(as_of=a.as_of, day=a.day, all_days=a.all_days, percentile=a.percentile)
     spark = SparkSession.builder.appName("kpiwatch-alerts").getOrCreate()
     run_job(spark, a.dialed, a.tat, a.thresholds, a.owners, a.links, a.alerts_out, a.messages_out, cfg)
 

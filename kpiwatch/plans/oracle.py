@@ -14,15 +14,23 @@ shared tables, so it checks the Spark plans independently.  Two deliberate notes
 from __future__ import annotations
 
 from kpiwatch import schemas
-from kpiwatch.operators.breaches import RULES
-from kpiwatch.functions.columns import template_sql
-from kpiwatch.operators.message import (ALERT_NAME_TEXT, ALERT_VALUE_TEXT, HEADER_TEXT, HEADING_TEXT,
-                                        LINK_URL, LINKS_TEXT, WINDOW_DAYS)
 from kpiwatch.sources import dimensions as dims
 from kpiwatch.sources import marts
 
 EVENTS_AS_OF = "2024-01-16"
 ORDERS_DAY = "1998-03-01"
+WINDOW_DAYS = 7
+
+# The rules and texts of this side, stated on their own so that the two sides check each other:
+# (metric name, measured column, threshold column, comparison that alerts, unit).
+RULES = (
+    ("Dialed %", "dialed_pct", "dialed_pct_threshold", "<", " %"),
+    ("Attempted %", "attempted_pct", "attempted_pct_threshold", "<", " %"),
+    ("Connected %", "connected_pct", "connected_pct_threshold", "<", " %"),
+    ("Dialed Tat", "dialed_tat", "dialed_tat_threshold", ">", " min"),
+    ("Attempted Tat", "attempted_tat", "attempted_tat_threshold", ">", " min"),
+    ("Connected Tat", "connected_tat", "connected_tat_threshold", ">", " min"),
+)
 
 _THR_TYPES = ["VARCHAR", "VARCHAR"] + ["DOUBLE"] * 6
 _THR_COLS = ["vertical", "order_type", *schemas.THRESHOLD_COLUMNS]
@@ -32,11 +40,6 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _text(template: str, **fields) -> str:
-    """A message text template in DuckDB SQL (``||`` keeps NULL in, NULL out)."""
-    return template_sql(template, quote=_q, joiner="||", **fields)
-
-
 def _vertical() -> str:
     return "CASE WHEN user_id % 5 = 0 THEN upper(event_type) ELSE event_type END"
 
@@ -108,8 +111,10 @@ def _pct(num: str, den: str = "sum(unique_request)") -> str:
 
 
 def _mss(s: str) -> str:
-    return (f"CASE WHEN {s} > 60 THEN round((floor({s} / 60) * 100 + {s} % 60) / 100, 2) "
-            f"WHEN {s} IS NOT NULL THEN round({s} / 100, 2) END")
+    """As text, minutes and two digits of seconds, read as a number; up to 60 seconds have no minutes."""
+    n = f"CAST({s} AS BIGINT)"
+    return (f"CASE WHEN {s} > 60 THEN CAST(printf('%d.%02d', {n} // 60, {n} % 60) AS DOUBLE) "
+            f"WHEN {s} IS NOT NULL THEN CAST({n} AS DOUBLE) / 100 END")
 
 
 def stage_ctes(source: str = "events", as_of=None, day=None, thresholds: str | None = None) -> str:
@@ -163,11 +168,11 @@ judged AS (
 
 
 def branch_sql(rule) -> str:
-    op = ">" if rule.above else "<"
-    return f"""SELECT dated, vertical, order_type, {_q(rule.name)} AS metric_name,
-  concat(CAST({rule.column} AS VARCHAR), {_q(rule.unit)}) AS metric_value,
-  CAST({rule.threshold} AS DOUBLE) AS metric_threshold
-FROM judged WHERE {rule.column} {op} {rule.threshold}"""
+    name, column, threshold, op, unit = rule
+    return f"""SELECT dated, vertical, order_type, {_q(name)} AS metric_name,
+  concat(CAST({column} AS VARCHAR), {_q(unit)}) AS metric_value,
+  CAST({threshold} AS DOUBLE) AS metric_threshold
+FROM judged WHERE {column} {op} {threshold}"""
 
 
 def breached_ctes(source="events", as_of=None, day=None) -> str:
@@ -187,13 +192,10 @@ _FUNNEL_COUNTS = ("dated, vertical, order_type, total_request, unique_request, u
 
 def _message_ctes() -> str:
     owners = dims.values_sql(dims.OWNERS, ["vertical", "tag"], ["VARCHAR", "VARCHAR"])
-    links = dims.values_sql(dims.LINKS, ["vertical", "link_value", "pct_base", "tat_base"], ["VARCHAR"] * 4)
+    links = dims.values_sql(dims.LINKS, ["vertical", "link_value", "pct_url", "tat_url"], ["VARCHAR"] * 4)
     start = f"strftime(dv.dated - INTERVAL {WINDOW_DAYS} DAY, '%Y-%m-%d')"
     end = "strftime(dv.dated, '%Y-%m-%d')"
 
-    def link(base):
-        return _text(LINK_URL, base=f"l.{base}", start=start, end=end, value="l.link_value")
-
     return f""",
 alerts AS (SELECT * FROM breached),
 owners AS (SELECT * FROM {owners}),
@@ -202,27 +204,26 @@ dv AS (SELECT DISTINCT dated, vertical FROM alerts),
 dressed AS (
   SELECT dv.dated, dv.vertical,
     coalesce(o.tag, (SELECT tag FROM owners WHERE vertical = {_q(dims.DEFAULT_OWNER)})) AS owner_tag,
-    {link('pct_base')} AS pct_link,
-    {link('tat_base')} AS tat_link
+    'https://dash.example/pct?start_date=' || {start} || '&end_date=' || {end} || '&verticals=' || l.link_value || '&period=Day' AS pct_link,
+    'https://dash.example/tat?vertical=' || l.link_value || '&from=' || {start} || '&to=' || {end} AS tat_link
   FROM dv LEFT JOIN owners o ON o.vertical = dv.vertical LEFT JOIN links l ON l.vertical = dv.vertical),
 days AS (SELECT DISTINCT dated FROM alerts),
 block_rows AS (
   SELECT dated, 0 AS grp, '' AS vertical, 0 AS kind, '' AS order_type, '' AS metric_name, '' AS metric_value,
-    'header' AS block_type, 'plain_text' AS text_type, {_q(HEADER_TEXT)} AS text,
+    'header' AS block_type, 'plain_text' AS text_type, '🚨 Outbound Alerts' AS text,
     CAST(NULL AS VARCHAR) AS field1, CAST(NULL AS VARCHAR) AS field2 FROM days
   UNION ALL
   SELECT dated, 0, '', 1, '', '', '', 'divider', NULL, NULL, NULL, NULL FROM days
   UNION ALL
   SELECT dated, 1, vertical, 2, '', '', '', 'section', 'mrkdwn',
-    {_text(HEADING_TEXT, vertical='upper(vertical)', tag='owner_tag')}, NULL, NULL FROM dressed
+    '🚀 *' || upper(vertical) || '* ' || owner_tag, NULL, NULL FROM dressed
   UNION ALL
   SELECT dated, 1, vertical, 3, '', '', '', 'section', 'mrkdwn',
-    {_text(LINKS_TEXT, pct='pct_link', tat='tat_link')}, NULL, NULL
+    '📈 *PCT Card Link:* <' || pct_link || '|View Dashboard> 📈 *TAT Card Link:* <' || tat_link || '|View Dashboard>', NULL, NULL
   FROM dressed WHERE pct_link IS NOT NULL
   UNION ALL
   SELECT dated, 1, vertical, 4, order_type, metric_name, metric_value, 'section', NULL, NULL,
-    {_text(ALERT_NAME_TEXT, metric_name='metric_name', order_type='order_type')},
-    {_text(ALERT_VALUE_TEXT, metric_value='metric_value')} FROM alerts
+    '*' || metric_name || '* (' || order_type || ')', '*' || metric_value || '*' FROM alerts
   UNION ALL
   SELECT dated, 1, vertical, 5, '', '', '', 'divider', NULL, NULL, NULL, NULL FROM dressed),
 blocks AS (
@@ -246,7 +247,7 @@ def oracle_sql() -> dict[str, str]:
                              "dialed_tat, attempted_tat, connected_tat, "
                              + ", ".join(schemas.THRESHOLD_COLUMNS) + " FROM judged")
     for r in RULES:
-        out[f"breach_{r.column}"] = f"WITH {stage_ctes(**ev_day)}\n{branch_sql(r)}"
+        out[f"breach_{r[1]}"] = f"WITH {stage_ctes(**ev_day)}\n{branch_sql(r)}"
     out["alerts_union"] = alerts_sql(**ev_day)
     out["alerts_day"] = alerts_sql(**ev_day)
     out["alerts_all_days"] = alerts_sql("events")
@@ -276,5 +277,6 @@ FROM block_json GROUP BY dated"""
     mart = f"SELECT * FROM ({events_dialed_sql()}) m"
     out["sink_replace"] = mart
     out["sink_append"] = mart
-    out["lowercase_columns"] = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
+    out["sink_messages"] = out["alert_payload"]
+    out["lowercase_columns"] = "SELECT * FROM customer"
     return out

@@ -22,13 +22,13 @@ from kpiwatch.plans.oracle import EVENTS_AS_OF, ORDERS_DAY
 from kpiwatch.plans.sql import alerts_sql, messages_sql
 from kpiwatch.sources import dimensions as dims
 from kpiwatch.sources.marts import events_dialed, events_marts, orders_marts
-from kpiwatch.sources.sinks import append_table, read_stored, replace_table, shared_dir
+from kpiwatch.sources.sinks import append_table, read_stored, replace_table, shared_dir, write_payloads
 from kpiwatch.sources.tables import fetch, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 DAY = AlertConfig(as_of=EVENTS_AS_OF)
-ALL_DAYS = AlertConfig()
+ALL_DAYS = AlertConfig(all_days=True)
 PCTS = ("dialed_pct", "attempted_pct", "connected_pct")
 
 
@@ -49,7 +49,7 @@ def tat_p90_seconds_q(spark, d):
 
 def tat_p90_sorted_q(spark, d):
     _, tat = events_marts(spark, d)
-    return tat_seconds(tat, method="sorted")
+    return tat_seconds(tat, all_days=True)
 
 
 def tat_minutes_q(spark, d):
@@ -61,8 +61,16 @@ def dialed_tat_join_q(spark, d):
     return _pct_double(metrics(*events_marts(spark, d), DAY))
 
 
+def _stored_dimension(spark, d, df: DataFrame, name: str) -> DataFrame:
+    """A dimension as the job gets it: stored, loaded and its keys checked."""
+    path = _sink_path(spark, d, f"dimension_{name}")
+    replace_table(df, path)
+    return dims.load_dimension(spark, path, {"thresholds": schemas.THRESHOLDS, "owners": schemas.OWNERS, "links": schemas.LINKS}[name])
+
+
 def threshold_join_q(spark, d):
-    return _pct_double(metrics_with_thresholds(*events_marts(spark, d), dims.events_thresholds(spark), DAY))
+    thresholds = _stored_dimension(spark, d, dims.events_thresholds(spark), "thresholds")
+    return _pct_double(metrics_with_thresholds(*events_marts(spark, d), thresholds, DAY))
 
 
 def _breach_q(rule) -> Query:
@@ -90,7 +98,8 @@ def alerts_all_days_q(spark, d):
 
 
 def alerts_all_days_sorted_q(spark, d):
-    return _events_alerts(spark, d, AlertConfig(percentile="sorted"))
+    """Cross-check of the ranked percentile: the same alerts by Spark's own aggregate."""
+    return _events_alerts(spark, d, AlertConfig(all_days=True, percentile="hash"))
 
 
 def alerts_day_sql_q(spark, d):
@@ -99,12 +108,12 @@ def alerts_day_sql_q(spark, d):
 
 
 def alerts_orders_all_sql_q(spark, d):
-    return alerts_sql(spark, *orders_marts(spark, d), dims.orders_thresholds(spark))
+    return alerts_sql(spark, *orders_marts(spark, d), dims.orders_thresholds(spark), all_days=True)
 
 
 def alert_payload_sql_q(spark, d):
     """Alerts and messages of every day, both as Spark SQL statements."""
-    a = alerts_sql(spark, *events_marts(spark, d), dims.events_thresholds(spark), ordered=False)
+    a = alerts_sql(spark, *events_marts(spark, d), dims.events_thresholds(spark), ordered=False, all_days=True)
     return messages_sql(spark, a, dims.owners(spark), dims.links(spark))
 
 
@@ -125,12 +134,14 @@ def report_window_q(spark, d):
 
 
 def alert_owners_q(spark, d):
-    a, owners, _ = _message_input(spark, d)
+    a, _, _ = _message_input(spark, d)
+    owners = _stored_dimension(spark, d, dims.owners(spark), "owners")
     return message.with_owner(a, owners).select(*schemas.ALERT.fieldNames(), "owner_tag")
 
 
 def alert_links_q(spark, d):
-    a, _, links = _message_input(spark, d)
+    a, _, _ = _message_input(spark, d)
+    links = _stored_dimension(spark, d, dims.links(spark), "links")
     return message.vertical_links(a, links)
 
 
@@ -164,14 +175,22 @@ def sink_append_q(spark, d):
     return read_stored(spark, path).select(*schemas.DIALED.fieldNames())
 
 
-CUSTOMER_COLUMNS = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+def sink_messages_q(spark, d):
+    """Store every day's message, store one day again, read back: each day has one."""
+    path = _sink_path(spark, d, "messages")
+    messages = message.alert_payload(*_message_input(spark, d))
+    replace_table(messages, path, partition_by=["dated"])
+    write_payloads(read_stored(spark, path).where(F.col("dated") == F.date_sub(F.lit(EVENTS_AS_OF).cast("date"), 1)), f"{path}_day")
+    write_payloads(read_stored(spark, f"{path}_day"), path)
+    return read_stored(spark, path).select("dated", "payload")
 
 
 def lowercase_columns_q(spark, d):
     """A query whose result comes back in upper case (as warehouses answer),
     normalised to lower-case column names."""
-    upper = ", ".join(f"{c} AS {c.upper()}" for c in CUSTOMER_COLUMNS)
-    return fetch(spark, f"SELECT {upper} FROM {{customer}}", customer=read_table(spark, d, "customer"))
+    customer = read_table(spark, d, "customer")
+    upper = ", ".join(f"{c} AS {c.upper()}" for c in customer.columns)
+    return fetch(spark, f"SELECT {upper} FROM {{customer}}", customer=customer)
 
 
 def queries() -> dict[str, Query]:
@@ -202,6 +221,7 @@ def queries() -> dict[str, Query]:
         "alert_payload_sql": alert_payload_sql_q,
         "sink_replace": sink_replace_q,
         "sink_append": sink_append_q,
+        "sink_messages": sink_messages_q,
         "lowercase_columns": lowercase_columns_q,
     })
     return out

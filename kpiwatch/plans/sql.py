@@ -1,7 +1,7 @@
 """The alert query and the message stage as Spark SQL statements.
 
 For users who run the job as SQL: ``alert_sql`` returns the statement (one
-pass over the breaches, exact ``percentile_cont``), built from the same
+pass over the breaches, exact percentiles with bounded tasks), built from the same
 expression helpers as the DataFrame plan; ``alerts_sql`` runs it on
 DataFrames (or tables) with ``spark.sql``.  Catalyst plans it like
 :func:`kpiwatch.plans.alert.alerts`.
@@ -16,25 +16,26 @@ from kpiwatch.functions.columns import day_filter_sql, minutes_seconds_sql, perc
 from kpiwatch.operators import message as m
 from kpiwatch.operators.breaches import RULES, breaches_sql
 from kpiwatch.operators.funnel import COUNTERS, PERCENTS, SUM_NAMES
+from kpiwatch.operators.percentiles import percentiles_sql
 from kpiwatch.operators.turnaround import MINUTES, SECONDS
 from kpiwatch.sources.dimensions import DEFAULT_OWNER
 
 
 def alert_sql(dialed: str = "{dialed}", tat: str = "{tat}", thresholds: str = "{thresholds}",
-              as_of=None, day=None, q: float = 0.9, rules=RULES, ordered: bool = True) -> str:
+              as_of=None, day=None, q: float = 0.9, rules=RULES, ordered: bool = True,
+              all_days: bool = False) -> str:
     """Spark SQL text of the alert query over the three named relations.
 
     The defaults are ``spark.sql`` format placeholders, so DataFrames can be
     passed as keyword arguments; table names work as well.
     """
-    cond = day_filter_sql("dated", as_of, day)
+    cond = day_filter_sql("dated", as_of, day, all_days)
     where = f"WHERE {cond}" if cond else ""
     sums = ",\n    ".join(f"sum({c}) AS {SUM_NAMES.get(c, c)}" for c in COUNTERS)
     pcts = ",\n    ".join(f"{percent_of_sql(f'sum({num})', 'sum(unique_request)')} AS {name}"
                           for name, num in PERCENTS.items())
-    p90 = ",\n      ".join(f"round(percentile_cont({q}) WITHIN GROUP (ORDER BY {src})) AS {out}"
-                           for out, src in SECONDS.items())
-    mins = ",\n    ".join(f"{minutes_seconds_sql(sec)} AS {m}" for m, sec in MINUTES.items())
+    p90 = percentiles_sql(tat, schemas.KEYS, SECONDS, q, where)
+    mins = ",\n    ".join(f"{minutes_seconds_sql(f'round({sec})')} AS {m}" for m, sec in MINUTES.items())
     thr_cols = ", ".join(f"t.{c}" for c in schemas.THRESHOLD_COLUMNS)
     order = "\nORDER BY 1, 2, 3, 4" if ordered else ""
     return f"""
@@ -44,14 +45,11 @@ WITH funnel AS (
     {pcts}
   FROM {dialed} {where}
   GROUP BY 1, 2, 3),
+{p90},
 p90 AS (
   SELECT dated, lower(vertical) AS vertical, order_type,
     {mins}
-  FROM (
-    SELECT dated, vertical, order_type,
-      {p90}
-    FROM {tat} {where}
-    GROUP BY 1, 2, 3)),
+  FROM percentiles),
 judged AS (
   SELECT m.*, {thr_cols}
   FROM (SELECT * FROM funnel JOIN p90 USING (dated, vertical, order_type)) m
@@ -61,9 +59,9 @@ FROM judged{order}"""
 
 
 def alerts_sql(spark: SparkSession, dialed: DataFrame, tat: DataFrame, thresholds: DataFrame,
-               as_of=None, day=None, q: float = 0.9, ordered: bool = True) -> DataFrame:
+               as_of=None, day=None, q: float = 0.9, ordered: bool = True, all_days: bool = False) -> DataFrame:
     """Run :func:`alert_sql` on DataFrames."""
-    return spark.sql(alert_sql(as_of=as_of, day=day, q=q, ordered=ordered),
+    return spark.sql(alert_sql(as_of=as_of, day=day, q=q, ordered=ordered, all_days=all_days),
                      dialed=dialed, tat=tat, thresholds=thresholds)
 
 
@@ -79,8 +77,8 @@ WITH per_vertical AS (
 dressed AS (
   SELECT p.dated, p.vertical, p._alerts,
     coalesce(o.tag, (SELECT tag FROM {owners} WHERE vertical = '{DEFAULT_OWNER}')) AS owner_tag,
-    {m._link_sql("pct_base")} AS pct_link,
-    {m._link_sql("tat_base")} AS tat_link
+    {m._link_sql("pct_url")} AS pct_link,
+    {m._link_sql("tat_url")} AS tat_link
   FROM per_vertical p
   LEFT JOIN {owners} o ON o.vertical = p.vertical
   LEFT JOIN {links} l ON l.vertical = p.vertical),

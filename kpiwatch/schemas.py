@@ -45,8 +45,8 @@ OWNERS = T.StructType([
 LINKS = T.StructType([
     T.StructField("vertical", T.StringType(), False),
     T.StructField("link_value", T.StringType(), False),
-    T.StructField("pct_base", T.StringType(), False),
-    T.StructField("tat_base", T.StringType(), False),
+    T.StructField("pct_url", T.StringType(), False),
+    T.StructField("tat_url", T.StringType(), False),
 ])
 
 ALERT = T.StructType([

@@ -1,10 +1,9 @@
 """Dimension tables: thresholds, owner tags and dashboard links.
 
 In production these are tables (``load_dimension``); the rows below are
-invented test fixtures.  A dimension carries a broadcast hint only when its
-size is proven: by the row count of driver-held rows, or by one bounded count
-when it is loaded from storage (``bounded_broadcast``).  Without the hint the
-join falls back to Spark's own size-based choice (shuffle join beyond it).
+invented test fixtures.  No dimension carries a broadcast hint: Spark decides by
+bytes (``autoBroadcastJoinThreshold``, and AQE by the size it measures).  Keys
+are checked when a dimension is loaded, as a repeated key would repeat alerts.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiwatch import schemas
+from kpiwatch.functions.columns import _quote
 from kpiwatch.sources.tables import conform, load_table
 
 # ---------------------------------------------------------------------------
@@ -45,10 +45,12 @@ OWNERS = [
 ]
 
 # vertical, link_value (may differ in case from the key), pct dashboard, tat dashboard
+PCT_URL = "https://dash.example/pct?start_date={start}&end_date={end}&verticals={value}&period=Day"
+TAT_URL = "https://dash.example/tat?vertical={value}&from={start}&to={end}"
 LINKS = [
-    ("click", "click", "https://dash.example/pct", "https://dash.example/tat"),
-    ("view", "VIEW", "https://dash.example/pct", "https://dash.example/tat"),
-    ("purchase", "purchase", "https://dash.example/pct", "https://dash.example/tat"),
+    ("click", "click", PCT_URL, TAT_URL),
+    ("view", "VIEW", PCT_URL, TAT_URL),
+    ("purchase", "purchase", PCT_URL, TAT_URL),
 ]
 
 # ---------------------------------------------------------------------------
@@ -58,23 +60,36 @@ def orders_thresholds_rows() -> list[tuple]:
     return [(s, p, *ORDERS_LIMITS) for s, p in itertools.product(ORDERS_SEGMENTS, ORDERS_PRIORITIES)]
 
 
-def local_dimension(spark: SparkSession, rows: list[tuple], schema,
-                    max_rows: int | None = None) -> DataFrame:
-    """A dimension from rows held by the driver: its size is known, so the
-    broadcast hint is decided here without running a job."""
-    df = spark.createDataFrame(rows, schema)
-    limit = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    return F.broadcast(df) if len(rows) <= limit else df
+# The key columns of a dimension, by its schema.
+KEYS = {"thresholds": ["vertical", "order_type"], "owners": ["vertical"], "links": ["vertical"]}
+_KEYS_OF = ((schemas.THRESHOLDS, KEYS["thresholds"]), (schemas.OWNERS, KEYS["owners"]), (schemas.LINKS, KEYS["links"]))
+
+
+def checked(df: DataFrame, schema) -> DataFrame:
+    """``df``, after a look at its keys: none may repeat, and owners need the
+    ``default`` row (else a heading without text would be sent)."""
+    keys = next((k for s, k in _KEYS_OF if s == schema), None)
+    if keys:
+        repeated = df.groupBy(*keys).count().where("count > 1").first()
+        if repeated is not None:
+            raise ValueError(f"repeated dimension key {tuple(repeated)[:-1]}")
+    if schema == schemas.OWNERS and df.where(F.col("vertical") == DEFAULT_OWNER).isEmpty():
+        raise ValueError(f"owners have no {DEFAULT_OWNER!r} row")
+    return df
+
+
+def local_dimension(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:
+    """A dimension from rows held by the driver, as SQL VALUES, so that Spark
+    knows its size."""
+    types = [f.dataType.simpleString() for f in schema.fields]
+    return spark.sql("SELECT * FROM " + values_sql(rows, schema.names, types, _quote))
 
 
 def load_dimension(spark: SparkSession, source: str, schema=None, fmt: str | None = None,
-                   max_rows: int | None = None, options: dict | None = None) -> DataFrame:
-    """A dimension table from storage, conformed to ``schema`` and broadcast
-    only if its row count is within ``max_rows`` (checked once, here)."""
+                   options: dict | None = None) -> DataFrame:
+    """A dimension table from storage, conformed to ``schema``, its keys checked."""
     df = load_table(spark, source, fmt, options=options)
-    if schema is not None:
-        df = conform(df, schema)
-    return bounded_broadcast(df, BROADCAST_MAX_ROWS if max_rows is None else max_rows)
+    return df if schema is None else checked(conform(df, schema), schema)
 
 
 def events_thresholds(spark: SparkSession) -> DataFrame:
@@ -93,32 +108,14 @@ def links(spark: SparkSession) -> DataFrame:
     return local_dimension(spark, LINKS, schemas.LINKS)
 
 
-# A dimension above this many rows is joined with a shuffle instead of a
-# broadcast.  The dimension schemas are narrow (about 100 bytes a row), so the
-# bound keeps a broadcast near Spark's default 10 MB threshold; real threshold
-# tables hold one row per (vertical, order_type), i.e. hundreds.
-BROADCAST_MAX_ROWS = 100_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint for ``df`` if it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows, so it is cheap for a real
-    dimension and bounded for a table that unexpectedly grew; beyond the bound
-    the plain DataFrame is returned and the join shuffles (or AQE decides).
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def values_sql(rows: list[tuple], columns: list[str], types: list[str]) -> str:
-    """The rows as a SQL ``VALUES`` relation (used by the SQL oracle)."""
+def values_sql(rows: list[tuple], columns: list[str], types: list[str],
+               quote=lambda s: "'" + s.replace("'", "''") + "'") -> str:
+    """The rows as a SQL ``VALUES`` relation; ``quote`` writes a text literal."""
     def lit(v, t):
         if v is None:
             return f"CAST(NULL AS {t})"
         if isinstance(v, str):
-            return "'" + v.replace("'", "''") + "'"
+            return quote(v)
         return f"CAST({v!r} AS {t})"
     body = ",\n  ".join("(" + ", ".join(lit(v, t) for v, t in zip(r, types)) + ")" for r in rows)
     return f"(VALUES\n  {body}\n) AS t({', '.join(columns)})"

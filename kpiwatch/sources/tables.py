@@ -22,14 +22,13 @@ def load_table(spark: SparkSession, source: str, fmt: str | None = None,
 
     * ``fmt=None`` and no path separator: catalog table (``spark.table``).
     * ``fmt="jdbc"``: ``source`` is the query text; connection settings go in
-      ``options`` (url, user, ...); Spark splits the read with
-      ``partitionColumn``/``numPartitions`` when given.
+      ``options`` (url, user, ...).  Given ``partitionColumn``, ``lowerBound``,
+      ``upperBound`` and ``numPartitions``, the read is split; without, it is one task.
     * otherwise ``source`` is a path read with ``fmt`` (default parquet).
     """
     options = dict(options or {})
     if fmt == "jdbc":
-        reader = spark.read.format("jdbc").options(**options).option("query", source)
-        return lowercase_columns(reader.load())
+        return lowercase_columns(spark.read.format("jdbc").options(**jdbc_options(source, options)).load())
     if fmt is None and "/" not in source and ":" not in source:
         return spark.table(source)
     reader = spark.read.format(fmt or "parquet").options(**options)
@@ -38,6 +37,14 @@ def load_table(spark: SparkSession, source: str, fmt: str | None = None,
     return reader.load(source)
 
 
+def jdbc_options(query: str, options: dict) -> dict:
+    """Reader options for a query.  Spark refuses ``query`` beside
+    ``partitionColumn``, so a read that is to be split names it as a subquery."""
+    if any(k.lower() == "partitioncolumn" for k in options):
+        return {**options, "dbtable": f"({query}) q"}
+    return {**options, "query": query}
+
+
 def fetch(spark: SparkSession, query: str, **args) -> DataFrame:
     """Run a SQL query (with optional named parameters or DataFrame
     arguments) and return its result with lower-case column names."""

@@ -22,12 +22,12 @@ from pyspark.sql.streaming import StreamingQuery
 from kpiwatch import schemas
 from kpiwatch.operators.message import alert_payload
 from kpiwatch.plans.alert import AlertConfig, alerts
-from kpiwatch.sources.sinks import replace_days, shared_dir
+from kpiwatch.sources.sinks import shared_dir, write_payloads
 
 
 def days_report(spark: SparkSession, dialed_path: str, tat_path: str, days: list[dt.date],
                 thresholds: DataFrame, owners: DataFrame, links: DataFrame,
-                cfg: AlertConfig = AlertConfig()) -> DataFrame:
+                cfg: AlertConfig = AlertConfig(all_days=True)) -> DataFrame:
     """(dated, payload) for each of the given days, from the stored marts; the
     payload is NULL for a day without alerts (no message)."""
     pick = F.col("dated").isin(days)
@@ -40,8 +40,8 @@ def days_report(spark: SparkSession, dialed_path: str, tat_path: str, days: list
 
 def run_incremental(spark: SparkSession, dialed_path: str, tat_path: str, payload_path: str,
                     thresholds: DataFrame, owners: DataFrame, links: DataFrame,
-                    checkpoint: str | None = None, cfg: AlertConfig = AlertConfig(),
-                    available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+                    checkpoint: str | None = None, cfg: AlertConfig = AlertConfig(all_days=True),
+                    available_now: bool = True, max_files_per_trigger: int | None = 1000) -> StreamingQuery:
     """Start the incremental alert stream; returns the running query."""
     checkpoint = checkpoint or shared_dir(spark, "kpiwatch_streams/daily_alerts")
 
@@ -63,7 +63,7 @@ def run_incremental(spark: SparkSession, dialed_path: str, tat_path: str, payloa
         if not days:
             return
         report = days_report(batch.sparkSession, dialed_path, tat_path, days, thresholds, owners, links, cfg)
-        replace_days(report, payload_path)
+        write_payloads(report, payload_path)
 
     writer = (landed.writeStream.foreachBatch(per_batch)
               .option("checkpointLocation", checkpoint)

@@ -85,7 +85,7 @@ def test_k10_report_day_parameter(spark):
     t_rows = [("ptl", "instant", 1.0, 1.0, 1.0)]
     assert run(spark, d_rows, t_rows, cfg=AlertConfig(as_of="2024-01-17")) == []
     assert len(run(spark, d_rows, t_rows, cfg=AlertConfig(day=D))) == 3
-    assert len(run(spark, d_rows, t_rows, cfg=AlertConfig())) == 3
+    assert len(run(spark, d_rows, t_rows, cfg=AlertConfig(all_days=True))) == 3
 
 
 def test_percent_sums_lowered_keys_together(spark):
@@ -125,7 +125,7 @@ def test_k12_k13_k17_blocks(spark):
     kinds = [b["type"] for b in blocks]
     assert kinds == ["header", "divider", "section", "section", "divider",
                      "section", "section", "section", "section", "divider"]
-    assert blocks[0]["text"] == {"type": "plain_text", "text": message.HEADER_TEXT}
+    assert blocks[0]["text"] == {"type": "plain_text", "text": "🚨 Outbound Alerts"}
     # K12: signup has no owner row and no links -> default tag, no link block
     assert blocks[2]["text"]["text"] == "🚀 *SIGNUP* <@OWNER4> <@OWNER5>"
     assert blocks[3]["fields"][0]["text"] == "*Connected Tat* (instant)"
@@ -176,10 +176,10 @@ _THR = st.one_of(st.none(), st.sampled_from([0.5, 1.0, 1.3, 50.0, 90.0, 99.0]))
                           _THR, _THR, _THR, _THR, _THR, _THR), max_size=4,
                 unique_by=lambda r: (r[0], r[1])))
 def test_one_pass_equals_union_property(spark, d_rows, t_rows, thr):
-    one = run(spark, d_rows, t_rows, thr, AlertConfig())
-    union = run(spark, d_rows, t_rows, thr, AlertConfig(form="union"))
+    one = run(spark, d_rows, t_rows, thr, AlertConfig(all_days=True))
+    union = run(spark, d_rows, t_rows, thr, AlertConfig(all_days=True, form="union"))
     assert sorted(one) == sorted(union)
-    sorted_pct = run(spark, d_rows, t_rows, thr, AlertConfig(percentile="sorted"))
+    sorted_pct = run(spark, d_rows, t_rows, thr, AlertConfig(all_days=True, percentile="hash"))
     assert sorted(sorted_pct) == sorted(one)
 
 
@@ -208,7 +208,7 @@ def test_other_quantiles_agree_across_forms(spark, q):
     t_rows = ([("ptl", "instant", float(s), float(2 * s), None) for s in range(0, 400, 7)]
               + [("spot", "scheduled", float(s), 1.0, float(s % 13)) for s in range(5, 300, 11)])
     thr_rows = THR + [("spot", "scheduled", 99.0, 99.0, 99.0, 0.5, 0.5, 0.1)]
-    chain = run(spark, d_rows, t_rows, thr_rows, AlertConfig(q=q))
-    ranked = run(spark, d_rows, t_rows, thr_rows, AlertConfig(q=q, percentile="sorted"))
-    stmt = alerts_sql(spark, dialed(spark, d_rows), tat(spark, t_rows), thresholds(spark, thr_rows), q=q).collect()
+    chain = run(spark, d_rows, t_rows, thr_rows, AlertConfig(q=q, all_days=True, percentile="hash"))
+    ranked = run(spark, d_rows, t_rows, thr_rows, AlertConfig(q=q, all_days=True))
+    stmt = alerts_sql(spark, dialed(spark, d_rows), tat(spark, t_rows), thresholds(spark, thr_rows), q=q, all_days=True).collect()
     assert sorted(chain) == sorted(ranked) == sorted(stmt) and len(chain) > 0

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from kpiwatch.functions import day_filter, metric_text, minutes_seconds, percent_of, percent_of_sql, report_start
+from kpiwatch.functions import day_filter_sql, metric_text, minutes_seconds, percent_of, percent_of_sql, report_start
 
 # seconds -> "M.SS" (FIXTURES.md section 3)
 CASES = [(0.0, 0.0), (5.0, 0.05), (59.0, 0.59), (60.0, 0.6), (61.0, 1.01), (125.0, 2.05),
@@ -28,9 +28,10 @@ def test_tat_text_is_double_text(spark):
 
 def test_day_filter(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, 15),), (dt.date(2024, 1, 16),)], "dated date")
-    assert df.where(day_filter("dated", as_of="2024-01-16")).count() == 1
-    assert df.where(day_filter("dated", day="2024-01-16")).collect()[0].dated == dt.date(2024, 1, 16)
-    assert day_filter("dated") is None
+    assert df.where(day_filter_sql("dated", as_of="2024-01-16")).count() == 1
+    assert df.where(day_filter_sql("dated", day="2024-01-16")).collect()[0].dated == dt.date(2024, 1, 16)
+    assert day_filter_sql("dated", all_days=True) is None
+    assert day_filter_sql("dated") == "dated = date_sub(current_date(), 1)"
 
 
 def test_report_start(spark):

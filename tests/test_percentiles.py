@@ -3,7 +3,7 @@ import random
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from kpiwatch.operators.percentiles import percentiles_hash, percentiles_sorted
+from kpiwatch.operators.percentiles import percentiles, percentiles_hash, percentiles_ranked
 
 
 def _cont(values, q):
@@ -19,22 +19,22 @@ def _cont(values, q):
 
 def test_percentile_cont_example(spark):
     df = spark.createDataFrame([("g", 1.0), ("g", 2.0), ("g", None), ("g", 4.0)], "k string, x double")
-    for fn in (percentiles_hash, percentiles_sorted):
+    for fn in (percentiles_hash, percentiles_ranked):
         assert fn(df, ["k"], {"p": "x"}, 0.9).first().p == pytest.approx(3.6)
 
 
 def test_all_null_group_is_kept(spark):
     df = spark.createDataFrame([("a", None), ("b", 1.0)], "k string, x double")
-    got = {r.k: r.p for r in percentiles_sorted(df, ["k"], {"p": "x"}).collect()}
+    got = {r.k: r.p for r in percentiles_ranked(df, ["k"], {"p": "x"}).collect()}
     assert got == {"a": None, "b": 1.0}
 
 
-def test_hot_group_split_over_ranges(spark):
-    # one group holds most rows and is spread over many range partitions
+def test_hot_group_of_distinct_doubles(spark):
+    # one group holds most rows, and no two of its values are equal
     rng = random.Random(7)
     rows = [("hot", rng.random() * 1000) for _ in range(3000)] + [("cold", float(i)) for i in range(7)]
     df = spark.createDataFrame(rows, "k string, x double")
-    got = {r.k: r.p for r in percentiles_sorted(df, ["k"], {"p": "x"}, 0.9, num_ranges=16).collect()}
+    got = {r.k: r.p for r in percentiles_ranked(df, ["k"], {"p": "x"}, 0.9).collect()}
     assert got["hot"] == pytest.approx(_cont([x for k, x in rows if k == "hot"], 0.9), rel=1e-12)
     assert got["cold"] == pytest.approx(_cont(list(range(7)), 0.9))
 
@@ -43,10 +43,10 @@ def test_hot_group_split_over_ranges(spark):
 @given(st.lists(st.tuples(st.sampled_from("abc"), st.one_of(st.none(), st.integers(-50, 50).map(float))),
                 min_size=1, max_size=60),
        st.sampled_from([0.0, 0.1, 0.5, 0.9, 1.0]))
-def test_sorted_matches_hash_and_definition(spark, rows, q):
+def test_ranked_matches_hash_and_definition(spark, rows, q):
     df = spark.createDataFrame(rows, "k string, x double")
     h = {r.k: r.p for r in percentiles_hash(df, ["k"], {"p": "x"}, q).collect()}
-    s = {r.k: r.p for r in percentiles_sorted(df, ["k"], {"p": "x"}, q, num_ranges=4).collect()}
+    s = {r.k: r.p for r in percentiles_ranked(df, ["k"], {"p": "x"}, q).collect()}
     assert h.keys() == s.keys()
     for k in h:
         want = _cont([x for kk, x in rows if kk == k], q)
@@ -57,5 +57,25 @@ def test_sorted_matches_hash_and_definition(spark, rows, q):
 def test_null_key_is_a_group(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0)], "k string, x double")
     h = sorted((r.k or "", r.p) for r in percentiles_hash(df, ["k"], {"p": "x"}, 0.5).collect())
-    s = sorted((r.k or "", r.p) for r in percentiles_sorted(df, ["k"], {"p": "x"}, 0.5).collect())
+    s = sorted((r.k or "", r.p) for r in percentiles_ranked(df, ["k"], {"p": "x"}, 0.5).collect())
     assert h == s == [("", 2.0), ("a", 2.0)]
+
+
+def test_values_of_all_sizes_and_signs(spark):
+    xs = [0.0, -0.0, 1e-300, -1e-300, 1e300, -1e300, 0.5, 0.5000001, -0.5, 60.0, 60.0, 61.0]
+    df = spark.createDataFrame([("g", x) for x in xs], "k string, x double")
+    for q in (0.0, 0.25, 0.5, 0.9, 1.0):
+        assert percentiles_ranked(df, ["k"], {"p": "x"}, q).first().p == pytest.approx(_cont(xs, q), rel=1e-9, abs=1e-305)
+
+
+def test_default_runs_no_job_and_no_object_aggregate_on_values(spark):
+    df = spark.range(1000).selectExpr("id % 3 AS k", "rand(1) AS x")
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    out = percentiles(df, ["k"], {"p": "x"})
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+    assert "ObjectHashAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_empty_input(spark):
+    df = spark.createDataFrame([], "k string, x double")
+    assert percentiles(df, ["k"], {"p": "x"}).collect() == []

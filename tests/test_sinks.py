@@ -27,12 +27,53 @@ def test_catalog_table_append_matches_by_name(spark):
     assert sorted(tuple(r) for r in spark.table("kpi_sink_t").collect()) == [(1, "a"), (2, "b")]
 
 
-def test_payload_sink_one_file_tree_per_day(spark, tmp_path):
+def test_payload_sink_keeps_one_message_per_day(spark, tmp_path):
     import datetime as dt
     p = str(tmp_path / "msg")
-    df = spark.createDataFrame([(dt.date(2024, 1, 15), '{"blocks":[]}')], "dated date, payload string")
-    write_payloads(df, p)
-    assert [r.value for r in spark.read.text(f"{p}/dated=2024-01-15").collect()] == ['{"blocks":[]}']
+    rows = [(dt.date(2024, 1, 15), "a"), (dt.date(2024, 1, 16), "b")]
+    write_payloads(spark.createDataFrame(rows, "dated date, payload string"), p)
+    again = spark.createDataFrame([(dt.date(2024, 1, 15), "c")], "dated date, payload string")
+    write_payloads(again, p)
+    write_payloads(again, p)
+    assert sorted((str(r.dated), r.payload) for r in spark.read.parquet(p).collect()) == [("2024-01-15", "c"), ("2024-01-16", "b")]
+
+
+@pytest.fixture
+def dynamic_overwrite(spark):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    yield
+    spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_replace_leaves_no_old_partition_in_a_dynamic_session(spark, tmp_path, dynamic_overwrite):
+    p = str(tmp_path / "t")
+    for d in (1, 2):
+        replace_table(spark.createDataFrame([(d, "x")], "dated int, v string"), p, partition_by=["dated"])
+    assert [r.dated for r in read_stored(spark, p).collect()] == [2]
+
+
+def test_catalog_table_replace(spark, dynamic_overwrite):
+    spark.sql("DROP TABLE IF EXISTS kpi_sink_r")
+    replace_table(spark.createDataFrame([(1, "a")], "x long, y string"), "kpi_sink_r", partition_by=["y"])
+    replace_table(spark.createDataFrame([(2, "b")], "z long, y string"), "kpi_sink_r", partition_by=["y"])
+    assert [tuple(r) for r in spark.table("kpi_sink_r").select("z", "y").collect()] == [(2, "b")]
+
+
+def test_path_append_matches_by_name_and_refuses_other_columns(spark, tmp_path):
+    p = str(tmp_path / "a")
+    append_table(spark.createDataFrame([(1, "a")], "x long, y string"), p)
+    append_table(spark.createDataFrame([("b", 2)], "y string, x long"), p)
+    assert sorted(tuple(r) for r in read_stored(spark, p).collect()) == [(1, "a"), (2, "b")]
+    for other in ("x long", "x string, y string", "x long, z string"):
+        with pytest.raises(ValueError):
+            append_table(spark.createDataFrame([], other), p)
+
+
+def test_jdbc_reads_are_split_through_a_subquery():
+    from kpiwatch.sources.tables import jdbc_options
+    assert jdbc_options("SELECT 1", {"url": "u"}) == {"url": "u", "query": "SELECT 1"}
+    split = {"url": "u", "partitionColumn": "id", "lowerBound": "0", "upperBound": "9", "numPartitions": "3"}
+    assert jdbc_options("SELECT id FROM t", split) == {**split, "dbtable": "(SELECT id FROM t) q"}
 
 
 def test_lowercase_and_conform(spark):
