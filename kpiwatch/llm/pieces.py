@@ -39,14 +39,17 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SHIFT = 2.7
 #: Characters that one numpy step works on; bounds the memory of a task.
-CHUNK = 300_000
+CHUNK = 500_000
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Pieces by length (sorted hashes, ids), log-probability by id, the ids of the 256 bytes, text by id."""
+    """Beginnings of pieces by length, log-probability by id, the ids of the 256 bytes, text by id.
 
-    by_length: tuple[tuple[np.ndarray, np.ndarray], ...]
+    Beginnings are sorted hashes, each with the piece's id (-1: only a beginning) and whether a longer piece has it.
+    """
+
+    by_length: tuple[tuple[np.ndarray, np.ndarray, np.ndarray], ...]
     logp: np.ndarray
     byte_ids: tuple[int, ...]
     texts: tuple[bytes, ...]
@@ -83,13 +86,14 @@ def vocabulary(path: str = MODEL) -> Vocabulary:
     lines = not any("\n" in x and len(x) > 1 for x in pieces)
     by_length = []
     for n in range(1, max(map(len, pieces)) + 1):
-        of = [x for x in pieces if len(x) == n]
+        longer = {x[:n] for x in pieces if len(x) > n}
+        of = sorted(longer | {x for x in pieces if len(x) == n})
         codes = np.array([_codes(x) for x in of], np.uint64).reshape(-1, n)
         h = np.zeros(len(of), np.uint64)
         for i in range(n):
             h = _longer(h, codes[:, i])
         order = np.argsort(h)
-        by_length.append((h[order], np.array([pieces[of[i]] for i in order], np.int32)))
+        by_length.append((h[order], np.array([pieces.get(of[i], -1) for i in order], np.int32), np.array([of[i] in longer for i in order], bool)))
     return Vocabulary(tuple(by_length), np.log(p / p.sum()), tuple(byte_ids[b] for b in range(256)), tuple(texts), lines)
 
 
@@ -117,22 +121,27 @@ class _Chunk:
         left = np.repeat(self.first_node + self.size, self.size) - np.arange(n)  # characters to the block's end
         found = np.full((n, len(voc.by_length)), none, np.int32)
         at, h = np.arange(n), np.zeros(n, np.uint64)
-        for i, (hashes, ids) in enumerate(voc.by_length):
+        for i, (hashes, ids, more) in enumerate(voc.by_length):
+            # Only what began a longer piece so far, and does not end its block, goes on.
             fits = left[at] > i
             at, h = at[fits], h[fits]
             h = _longer(h, codes[at + i])
-            if len(ids):
-                spot = np.minimum(np.searchsorted(hashes, h), len(ids) - 1)
-                same = hashes[spot] == h
-                found[at[same], i] = ids[spot[same]]
+            spot = np.minimum(np.searchsorted(hashes, h), len(ids) - 1)
+            same = hashes[spot] == h
+            at, h, spot = at[same], h[same], spot[same]
+            piece = ids[spot] >= 0
+            found[at[piece], i] = ids[spot[piece]]
+            at, h = at[more[spot]], h[more[spot]]
         bare = np.flatnonzero(found[:, 0] == none)
         found[bare, 0] = -1 - codes[bare].astype(np.int32)
         node, length = np.nonzero(found != none)
         self.ids = found[node, length].astype(np.int64)
         self.counts = np.bincount(node, minlength=n)
         self.first_edge = np.cumsum(self.counts) - self.counts
-        in_bytes = 1 + (codes[node] >= 0x80).astype(int) + (codes[node] >= 0x800) + (codes[node] >= 0x10000)
-        weight = np.where(self.ids >= 0, voc.logp[self.ids], in_bytes * voc.logp[voc.byte_ids[0]])
+        weight = voc.logp[np.maximum(self.ids, 0)]
+        byted = np.flatnonzero(self.ids < 0)
+        code = codes[node[byted]]
+        weight[byted] = (1 + (code >= 0x80).astype(int) + (code >= 0x800) + (code >= 0x10000)) * voc.logp[voc.byte_ids[0]]
         back = np.zeros(n + 1)
         to = np.where(left[node] == length + 1, n, node + length + 1)  # the last entry of `back` is the end of any block
         by_left = np.argsort(left, kind="stable")
@@ -229,21 +238,20 @@ def sample(texts: list[str], keys: list[int], k: int, voc: Vocabulary) -> list[l
             lengths.append(len(kind))
         ends = np.cumsum(lengths)
         block, chosen, node, edge, d = chunk.walk(*map(np.concatenate, (kinds, ats, seeds, offsets)))
-        run = np.cumsum(chunk.logp[chosen])
         cuts = np.searchsorted(block, np.concatenate([[0], ends]))
         by_node = np.argsort(node, kind="stable")
         node, edge, d = node[by_node], edge[by_node], d[by_node]
         sides = np.searchsorted(node, cuts)
         for j, (i, (time, phi, path, b, _)) in enumerate(popped):
             lo, hi = cuts[j], cuts[j + 1]
-            before = run[lo - 1] if lo else 0.0
             own = chosen[lo:hi]
-            runs[i].done.append((np.concatenate([*path, own]), phi + (run[hi - 1] - before if hi > lo else 0.0)))
+            run = np.cumsum(chunk.logp[own])  # of this text alone, so that neighbours don't change a digit
+            runs[i].done.append((np.concatenate([*path, own]), phi + (float(run[-1]) if hi > lo else 0.0)))
             s = slice(sides[j], sides[j + 1])
             want = k - turn  # the samples still to come, and the one after them
             if s.start == s.stop:
                 continue
-            prefix = phi + run[node[s]] - chunk.logp[chosen[node[s]]] - before
+            prefix = phi + run[node[s] - lo] - chunk.logp[chosen[node[s]]]
             times = np.logaddexp(time, np.log(d[s]) - prefix)
             near = np.argpartition(times, want)[:want] if len(times) > want else np.arange(len(times))
             for x in near.tolist():
