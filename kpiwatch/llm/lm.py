@@ -10,8 +10,9 @@ class scores r . Q[w] + b[w] (a log-bilinear model with diagonal position matric
 class, tokens have additive-smoothed shares that leave one share for what was never seen. All
 probabilities of a context sum to one: the normalisers of all class pairs are one batched product.
 
-Training. Tasks train copies of the model on every STRIDE-th token of their own training documents,
-and Spark averages the copies, weighted by tokens. Noise is drawn from the class frequencies.
+Training. Tasks train copies of the model on all tokens of their own training documents, and Spark
+averages the copies, weighted by tokens. Equal triples of a class and its context are one example with
+the times it stands; its gradient has that weight. Noise is drawn from the class frequencies.
 
 Scores. Tasks take the counts of at most COMMON tokens with them. The others of a document travel
 as (document, token, times) to the counts, by an ordinary join, so no count is ever dropped.
@@ -34,15 +35,16 @@ FOLDS, HELD = 5, 1
 HEAD = 255
 TAIL = 128  # a power of two
 WIDTH = 24
-STRIDE = 8
 EPOCHS = 2
 BATCH = 4096
 NOISE = 32
 RATE = 0.1
 #: Most tokens whose counts are sent to every task.
 COMMON = 262_144
-#: Context triples a task holds before it trains on them.
+#: Distinct context triples a task holds before it trains on them.
 BUFFER = 1_000_000
+#: An example that stands more often is split into several, dealt to different batches.
+HEAVY = 64
 
 
 class Keys(Hashes):
@@ -100,6 +102,9 @@ class Model:
     C: np.ndarray
     b: np.ndarray
     log_z: np.ndarray | None = None
+    #: Once normalised: what each context class gives each class from one place and from two places before.
+    near: np.ndarray | None = None
+    far: np.ndarray | None = None
 
     @property
     def classes(self) -> int:
@@ -120,45 +125,57 @@ class Model:
         """log of the sum of exp scores, for every pair of context classes, by batches of rows."""
         n = self.classes
         self.log_z = np.empty((n, n))
+        self.near, self.far = (self.C[0] * self.R) @ self.Q.T + self.b, (self.C[1] * self.R) @ self.Q.T
         for i in range(n):
-            scores = (self.C[0] * self.R[i] + self.C[1] * self.R) @ self.Q.T + self.b
+            scores = self.near[i] + self.far
             top = scores.max(axis=1, keepdims=True)
             self.log_z[i] = top[:, 0] + np.log(np.exp(scores - top).sum(axis=1))
 
     def log_prob(self, w: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Natural log-probability of each class given its context classes."""
-        r = self.C[0] * self.R[one] + self.C[1] * self.R[two]
-        return np.einsum("ij,ij->i", r, self.Q[w]) + self.b[w] - self.log_z[one, two]
-
-    def train(self, w: np.ndarray, one: np.ndarray, two: np.ndarray, rng: np.random.Generator) -> None:
-        """Noise-contrastive estimation by Adagrad; each batch shares its noise classes."""
+        return self.near[one, w] + self.far[two, w] - self.log_z[one, two]
+
+    def train(self, w: np.ndarray, one: np.ndarray, two: np.ndarray, rng: np.random.Generator, times: np.ndarray | None = None) -> None:
+        """Noise-contrastive estimation by Adagrad; each batch shares its noise classes.
+
+        An example weighs as much as it stands (`times`, else once): as if it were repeated.
+        """
+        if times is None:
+            times = np.ones(len(w))
+        else:
+            parts = -(-times // HEAVY)
+            w, one, two, times = (np.repeat(x, parts) for x in (w, one, two, times / parts))
+        mean = times.mean() if len(times) else 1.0
         noise = np.exp(self.log_noise)
         grads = [np.full_like(x, 1e-2) for x in (self.R, self.Q, self.C, self.b)]
 
         def spread(rows: np.ndarray, g: np.ndarray) -> np.ndarray:
-            return np.stack([np.bincount(rows, g[:, i], self.classes) for i in range(g.shape[1])], axis=1)
+            k = g.shape[1]
+            return np.bincount((rows[:, None] * k + np.arange(k)).ravel(), g.ravel(), self.classes * k).reshape(-1, k)
 
         for _ in range(EPOCHS):
             order = rng.permutation(len(w))
             for at in range(0, len(order), BATCH):
                 i = order[at : at + BATCH]
-                y, x1, x2 = w[i], one[i], two[i]
+                y, x1, x2, often = w[i], one[i], two[i], times[i]
                 n = rng.choice(self.classes, NOISE, p=noise / noise.sum())
                 r1, r2 = self.R[x1], self.R[x2]
                 r = self.C[0] * r1 + self.C[1] * r2
                 good = np.einsum("ij,ij->i", r, self.Q[y]) + self.b[y] - np.log(NOISE) - self.log_noise[y]
-                bad = r @ self.Q[n].T + self.b[n] - np.log(NOISE) - self.log_noise[n]
-                dg = -1 / (1 + np.exp(np.clip(good, -30, 30)))
-                db = 1 / (1 + np.exp(-np.clip(bad, -30, 30)))
-                gr = dg[:, None] * self.Q[y] + db @ self.Q[n]
+                # Single precision does for the noise part, the largest one.
+                r_, Q_ = r.astype(np.float32), self.Q[n].astype(np.float32)
+                bad = r_ @ Q_.T + (self.b[n] - np.log(NOISE) - self.log_noise[n]).astype(np.float32)
+                dg = -often / (1 + np.exp(np.clip(good, -30, 30)))
+                db = often[:, None].astype(np.float32) / (1 + np.exp(-np.clip(bad, -30, 30)))
+                gr = dg[:, None] * self.Q[y] + db @ Q_
                 gq = spread(y, dg[:, None] * r)
-                np.add.at(gq, n, db.T @ r)
+                np.add.at(gq, n, db.T @ r_)
                 gb = np.bincount(y, dg, self.classes)
                 np.add.at(gb, n, db.sum(axis=0))
-                gR = spread(x1, gr * self.C[0]) + spread(x2, gr * self.C[1])
+                gR = spread(x1, gr) * self.C[0] + spread(x2, gr) * self.C[1]
                 gC = np.stack([(gr * r1).sum(axis=0), (gr * r2).sum(axis=0)])
                 for p, s, g in zip((self.R, self.Q, self.C, self.b), grads, (gR, gq, gC, gb)):
-                    g = g / len(i)
+                    g = g / (len(i) * mean)
                     s += g * g
                     p -= RATE * g / np.sqrt(s)
 
@@ -182,25 +199,41 @@ def trained(docs: DataFrame, model: Model) -> Model:
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(model.head, model.log_noise, *(x.copy() for x in (model.R, model.Q, model.C, model.b)))
-        keys, held, size, total = Keys(), [], 0, 0
+        keys, held, waiting, size, total, n = Keys(), [], 0, 0, 0, m.classes
         last = int(m.of(np.array([end]))[0])
+        code, times = np.empty(0, np.int64), np.empty(0, np.int64)
+
+        def gather() -> None:
+            """Count the triples that wait into (code, times)."""
+            nonlocal code, times, held, waiting
+            some, c = np.unique(np.concatenate(held), return_counts=True)
+            both = np.concatenate([code, some])
+            order = np.argsort(both, kind="stable")
+            both = both[order]
+            starts = np.flatnonzero(np.diff(both, prepend=-1))
+            code, times = both[starts], np.add.reduceat(np.concatenate([times, c])[order], starts)
+            held, waiting = [], 0
 
         def learn() -> None:
-            m.train(*(np.concatenate(x) for x in zip(*held)), np.random.default_rng(size))
+            nonlocal code, times
+            m.train(code % n, code // n // n, code // n % n, np.random.default_rng(size), times)
+            code, times = code[:0], times[:0]
 
         for batch in batches:
             for text in texts(batch):
                 w = m.of(keys.of_text(text))
-                # Where the stride starts hangs on the text, so that all places in texts have their turn.
-                pick = slice(len(text) % STRIDE, None, STRIDE)
                 one, two = m.contexts(w, last)
-                if len(w[pick]):
-                    held.append((w[pick], one[pick], two[pick]))
-                    size += len(w[pick])
-                if size >= BUFFER:
+                held.append((one * n + two) * n + w)
+                waiting += len(w)
+                size += len(w)
+                if waiting >= BUFFER:
+                    gather()
+                if len(code) >= BUFFER:
                     learn()
-                    held, total, size = [], total + size, 0
+                    total, size = total + size, 0
         if held:
+            gather()
+        if len(code):
             learn()
             total += size
         if total:

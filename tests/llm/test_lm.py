@@ -80,3 +80,38 @@ def test_training_learns_a_deterministic_sequence(model):
         model.train(w, one, two, np.random.default_rng(seed))
     model.normalise()
     assert model.log_prob(w, one, two).mean() > max(before, -0.7)
+
+
+def test_training_reads_every_token(spark, docs, monkeypatch):
+    def train(self, w, one, two, rng, times=None):
+        self.b[:] = len(w) if times is None else times.sum()
+
+    monkeypatch.setattr(lm.Model, "train", train)
+    rows = [(i, t) for i, t in enumerate(["a b c", "x y", "", "a b c", "a " * 50]) for _ in range(3)]
+    rng = np.random.default_rng(0)
+    n = 1 + lm.TAIL
+    end = int(lm.Keys()[b""])
+    model = lm.Model(np.array([end]), np.full(n, -math.log(n)), rng.normal(size=(n, 4)), np.zeros((n, 4)), np.ones((2, 4)), np.zeros(n))
+    lm.trained(docs(rows).coalesce(1), model)
+    assert model.b[0] == sum(len(tokens(t)) for _, t in rows)
+
+
+def test_weighted_examples_train_like_repeated_ones(model):
+    w, one, two = (np.array(x) for x in ([0, 1, 2, 0], [2, 0, 1, 1], [1, 2, 0, 0]))
+    times = np.array([3, 1, 5, 2])
+    again = [np.repeat(x, times) for x in (w, one, two)]
+    other = lm.Model(model.head, model.log_noise, *(x.copy() for x in (model.R, model.Q, model.C, model.b)))
+    for m, parts in ((model, (w, one, two)), (other, again)):
+        m.train(*parts, _Same(), *([times] if m is model else []))
+    for a, b in zip(lm._flat(model), lm._flat(other)):
+        assert a == pytest.approx(b, abs=1e-4)
+
+
+class _Same:
+    """Stands for a generator: no shuffling, noise in order."""
+
+    def permutation(self, n):
+        return np.arange(n)
+
+    def choice(self, n, size, p):
+        return np.arange(size) % n
