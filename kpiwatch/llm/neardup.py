@@ -337,13 +337,10 @@ def class_roots(docs: DataFrame, signed: DataFrame) -> DataFrame | None:
         dealt = cut(dealt.join(dealt.join(ends, ["bucket", "part", "cls"], "left_semi").select("bucket", "part").distinct(), ["bucket", "part"], "left_semi"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, th, n_shingles, component_id, kept: one row per row of `docs` (doc_id, text; others are ignored).
+def _grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, th, n, root, least: one row per row of `docs`; least is the smallest doc_id of root's component.
 
-    component_id is the smallest doc_id reachable by links. Documents without words have no links and
-    are their own component. A row without doc_id takes no part: component_id is null and kept is
-    true. Rows of one doc_id with different texts are separate nodes; repeated rows share a class.
-    An empty table gives an empty result.
+    Rows that are in no component (without doc_id, or without words) have neither root nor least.
     """
     signed = cut(signatures(docs))
     roots = class_roots(docs, signed)
@@ -353,7 +350,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     else:
         rows = rows.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     low = rows.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return rows.join(low, "root", "left").select(
+    return rows.join(low, "root", "left").select("doc_id", "th", "n", "root", "least")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, th, n_shingles, component_id, kept: one row per row of `docs` (doc_id, text; others are ignored).
+
+    component_id is the smallest doc_id reachable by links. Documents without words have no links and
+    are their own component. A row without doc_id takes no part: component_id is null and kept is
+    true. Rows of one doc_id with different texts are separate nodes; repeated rows share a class.
+    An empty table gives an empty result.
+    """
+    return _grouped(docs).select(
         "doc_id",
         "th",
         F.col("n").cast("long").alias("n_shingles"),
@@ -365,11 +373,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of `docs`, one of each group: that of the smallest doc_id (then the smallest text hash).
 
-    Rows without doc_id, and texts without words, all stay. All columns of `docs` are returned.
+    Unrelated texts under one doc_id are of different groups, and each group keeps its own row. Rows
+    without doc_id, and texts without words, all stay. All columns of `docs` are returned.
     """
-    found = near_duplicates(docs).filter("doc_id IS NOT NULL")
-    empty = found.filter("n_shingles = 0").select("doc_id", "th")
-    named = found.filter("n_shingles > 0 AND kept").groupBy("doc_id").agg(F.min("th").alias("th"))
+    found = _grouped(docs).filter("doc_id IS NOT NULL")
+    empty = found.filter("n = 0").select("doc_id", "th")
+    named = found.filter("root IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "th")).alias("one")).select("one.*")
     keep = named.unionByName(empty.distinct()).select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"))
     keyed = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__th": F.xxhash64(F.col("text").cast("string"))})
     with_id = keyed.join(keep, ["__id", "__th"], "left_semi").dropDuplicates(["__id", "__th"])

@@ -111,3 +111,11 @@ def test_components(spark, edges):
         for a, b in edges:
             root[a] = root[b] = min(root[a], root[b])
     assert found == root
+
+
+def test_stage_keeps_unrelated_texts_of_one_id(spark, docs):
+    rng = random.Random(8)
+    alone, other, third = (words(120, rng) for _ in range(3))
+    rows = [(7, " ".join(alone)), (7, " ".join(other)), (7, " ".join(third)), (8, " ".join(edited(other, 1, rng))), (9, " ".join(edited(third, 1, rng)))]
+    rows.append(rows[0])
+    assert sorted((r.doc_id, r.text) for r in nd.deduplicated(docs(rows)).collect()) == sorted(rows[:3])
