@@ -21,8 +21,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return neardup.deduplicated(docs)
+    """One document of each group of near-duplicates, linked at a similarity of 0.8 or more."""
+    return neardup.deduplicated(docs, neardup.STAGE_PERCENT)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,13 +2,15 @@
 
 A document's set is its distinct five-word shingles over ASCII-lower-cased words (fewer words: the
 whole sequence as one shingle; no words: empty, linked with nothing). Two documents are linked when
-100 * |A n B| >= 85 * |A u B|; groups are the connected components of the links.
+100 * |A n B| >= 85 * |A u B| (operator 9) or 80 * |A u B| (the pipeline's stage); groups are the
+connected components of the links.
 
 Tensored banding: each set gets COLLECTIONS small collections of ROWS minhashes. A table key is a
 *pair* of collections, so 20 * 4 = 80 minhashes serve the 190 tables of 8 minhashes that would
 otherwise need 1520. Two sets meet in a table when at least two collections agree: at similarity s
 they miss each other with probability P(Binomial(20, s^4) <= 1), which is 9e-6 at s = 0.85 and
-2e-8 at 0.9.
+2e-8 at 0.9. The stage has 28 collections and 378 tables, which miss a pair with 8e-6 at s = 0.8 (20
+would with 4e-4).
 
 Steps, none of which emits the pairs of a group:
 
@@ -28,7 +30,7 @@ Steps, none of which emits the pairs of a group:
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,6 @@ from pyspark.sql import functions as F
 from kpiwatch.llm.common import MIX, Hashes, cut, mixed, texts
 
 SHINGLE = 5
-COLLECTIONS = 20
 ROWS = 4
 SKETCH_BITS = 1024
 BLOCK = 2048
@@ -46,10 +47,10 @@ BLOCK = 2048
 EDGES = 4
 #: Rows of 24 bytes that name the texts to compare; up to so many are sent to all executors, more are shuffled.
 BROADCAST_ROWS = 1_000_000
-#: A link: NUM * |union| <= DEN * |intersection|.
-NUM, DEN = 85, 100
-
-_SEEDS = mixed(np.arange(1, COLLECTIONS * ROWS + 1, dtype=np.uint64) * MIX[0]) | np.uint64(1)
+#: A link: percent * |union| <= 100 * |intersection|. The first is operator 9's.
+PERCENT, STAGE_PERCENT = 85, 80
+#: Collections of minhashes for each percent.
+COLLECTIONS = {PERCENT: 20, STAGE_PERCENT: 28}
 
 
 def shingles(text: bytes, hashes: Hashes) -> np.ndarray:
@@ -68,15 +69,19 @@ def shingles(text: bytes, hashes: Hashes) -> np.ndarray:
     return np.unique(mixed(total))
 
 
-def _collections(values: np.ndarray) -> np.ndarray:
+def _seeds(collections: int) -> np.ndarray:
+    return mixed(np.arange(1, collections * ROWS + 1, dtype=np.uint64) * MIX[0]) | np.uint64(1)
+
+
+def _collections(values: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     """One value per collection of minhashes, distinct between collections."""
-    low = np.full(len(_SEEDS), np.iinfo(np.uint64).max, np.uint64)
+    low = np.full(len(seeds), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(values), 4096):
-        x = _SEEDS[:, None] * values[None, at : at + 4096]
+        x = seeds[:, None] * values[None, at : at + 4096]
         x ^= x >> np.uint64(32)
         np.minimum(low, x.min(axis=1), out=low)
-    low = low.reshape(COLLECTIONS, ROWS)
-    return mixed((low * MIX[:ROWS]).sum(axis=1) + np.arange(COLLECTIONS, dtype=np.uint64)).view(np.int64)
+    low = low.reshape(-1, ROWS)
+    return mixed((low * MIX[:ROWS]).sum(axis=1) + np.arange(len(low), dtype=np.uint64)).view(np.int64)
 
 
 def _sketch(values: np.ndarray) -> bytes:
@@ -87,30 +92,35 @@ def _sketch(values: np.ndarray) -> bytes:
 _SIGNED = "doc_id long, th long, n int, cls binary, coll array<long>, sketch binary"
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = Hashes()
-    for batch in batches:
-        n, cls, coll, sketch = [], [], [], []
-        for text in texts(batch):
-            values = shingles(text, hashes)
-            n.append(len(values))
-            some = len(values) > 0
-            cls.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest() if some else None)
-            coll.append(_collections(values) if some else None)
-            sketch.append(coll[-1].tobytes() + _sketch(values) if some else None)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("th"), pa.array(n, pa.int32()), pa.array(cls, pa.binary()), pa.array(coll, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
-            names=["doc_id", "th", "n", "cls", "coll", "sketch"],
-        )
-
-
-def signatures(docs: DataFrame) -> DataFrame:
+def _sign(collections: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    seeds = _seeds(collections)
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
+        for batch in batches:
+            n, cls, coll, sketch = [], [], [], []
+            for text in texts(batch):
+                values = shingles(text, hashes)
+                n.append(len(values))
+                some = len(values) > 0
+                cls.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest() if some else None)
+                coll.append(_collections(values, seeds) if some else None)
+                sketch.append(coll[-1].tobytes() + _sketch(values) if some else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("th"), pa.array(n, pa.int32()), pa.array(cls, pa.binary()), pa.array(coll, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
+                names=["doc_id", "th", "n", "cls", "coll", "sketch"],
+            )
+
+    return sign
+
+
+def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, th (hash of the text), n (set size), cls (digest of the set), coll, sketch (coll, then the bitmap).
 
     A row without doc_id takes no part in groups: its cls is null, as is that of an empty text.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = rows.withColumn("th", F.xxhash64("text")).mapInArrow(_sign, _SIGNED)
+    signed = rows.withColumn("th", F.xxhash64("text")).mapInArrow(_sign(COLLECTIONS[percent]), _SIGNED)
     return signed.withColumn("cls", F.when(F.col("doc_id").isNotNull(), F.col("cls")))
 
 
@@ -120,7 +130,7 @@ def _classes(signed: DataFrame) -> DataFrame:
     return signed.filter("cls IS NOT NULL").groupBy("cls").agg(one).select("cls", "one.*")
 
 
-def buckets(classes: DataFrame) -> DataFrame:
+def buckets(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """bucket, pair (the table's two collections), part, cls: buckets of two or more classes, in bounded parts.
 
     A bucket of more than BLOCK members is dealt into blocks by hash, and each pair of blocks is one
@@ -129,7 +139,7 @@ def buckets(classes: DataFrame) -> DataFrame:
     c = classes.select("cls", F.posexplode("coll").alias("i", "c"))
     shared = c.groupBy("c").count().filter("count > 1").select("c")
     own = c.join(shared, "c").groupBy("cls").agg(F.sort_array(F.collect_set(F.struct("i", "c"))).alias("cs")).filter("size(cs) > 1")
-    table = f"struct(xxhash64(x.c, y.c) AS bucket, x.i * {COLLECTIONS} + y.i AS pair)"
+    table = f"struct(xxhash64(x.c, y.c) AS bucket, x.i * {COLLECTIONS[percent]} + y.i AS pair)"
     pairs = F.expr(f"flatten(transform(cs, (x, k) -> transform(slice(cs, k + 2, size(cs)), y -> {table})))")
     keys = own.select("cls", F.explode(pairs).alias("k")).select("cls", "k.*")
     sizes = keys.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
@@ -147,11 +157,12 @@ def buckets(classes: DataFrame) -> DataFrame:
 class _Block:
     """The members of one part of a bucket; `pair` are the two collections of its table."""
 
-    def __init__(self, pair: int, sizes: list[int], sketches: list[bytes]):
+    def __init__(self, pair: int, sizes: list[int], sketches: list[bytes], percent: int):
+        self.percent, collections = percent, COLLECTIONS[percent]
         self.sizes = np.array(sizes, np.int64)
         words = np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sizes), -1)
-        self.coll, self.bits = words[:, :COLLECTIONS], words[:, COLLECTIONS:]
-        self.first, self.second = divmod(pair, COLLECTIONS)
+        self.coll, self.bits = words[:, :collections], words[:, collections:]
+        self.first, self.second = divmod(pair, collections)
 
     def possible(self, u: int, rest: np.ndarray) -> np.ndarray:
         """Which of `rest` can be linked with `u`, of those that meet `u` in this table first.
@@ -162,10 +173,10 @@ class _Block:
         agree = self.coll[rest] == self.coll[u]
         here = rest[(agree[:, : self.second + 1].sum(axis=1) == 2) & agree[:, self.first] & agree[:, self.second]]
         a, b = self.sizes[u], self.sizes[here]
-        fits = here[DEN * np.minimum(a, b) >= NUM * np.maximum(a, b)]
-        # |A xor B| <= (DEN - NUM) / (DEN + NUM) * (|A| + |B|) is the link's condition in other words.
+        fits = here[100 * np.minimum(a, b) >= self.percent * np.maximum(a, b)]
+        # |A xor B| <= (100 - percent) / (100 + percent) * (|A| + |B|) is the link's condition in other words.
         odd = np.bitwise_count(self.bits[fits] ^ self.bits[u]).sum(axis=1, dtype=np.int64)
-        return fits[odd * (DEN + NUM) <= (DEN - NUM) * (a + self.sizes[fits])]
+        return fits[odd * (100 + self.percent) <= (100 - self.percent) * (a + self.sizes[fits])]
 
 
 def _block_edges(names: list[bytes], block: _Block, roots: np.ndarray, refuted: dict[bytes, set[bytes]]) -> tuple[list[tuple[bytes, bytes]], bool]:
@@ -205,49 +216,52 @@ def _block_edges(names: list[bytes], block: _Block, roots: np.ndarray, refuted:
     return forest, True
 
 
-def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _walk(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows sorted by (bucket, part) -> edges; a member row has a sketch, a refuted pair has `other`."""
 
-    def edges(group: list[dict]) -> dict[tuple[bytes, bytes], bool]:
-        members = {r["cls"]: r for r in group if r["sketch"] is not None}
-        refuted: dict[bytes, set[bytes]] = {}
-        for r in group:
-            if r["other"] is not None:
-                refuted.setdefault(r["cls"], set()).add(r["other"])
-                refuted.setdefault(r["other"], set()).add(r["cls"])
-        names = list(members)
-        number: dict[bytes, int] = {}
-        roots = np.array([number.setdefault(members[x]["root"], len(number)) for x in names])
-        if len(number) < 2:
-            return {}
-        block = _Block(members[names[0]]["pair"], [members[x]["n"] for x in names], [members[x]["sketch"] for x in names])
-        some, more = _block_edges(names, block, roots, refuted)
-        return {(min(e), max(e)): more for e in some}
-
-    def out(found: dict[tuple[bytes, bytes], bool]) -> pa.RecordBatch:
-        keys = sorted(found)
-        columns = [pa.array([k[i] for k in keys], pa.binary()) for i in (0, 1)]
-        return pa.RecordBatch.from_arrays([*columns, pa.array([found[k] for k in keys], pa.bool_())], names=["a", "b", "more"])
-
-    def add(found: dict[tuple[bytes, bytes], bool], group: list[dict]) -> None:
-        for e, more in edges(group).items():
-            found[e] = found.get(e, False) or more
-
-    key, group, found = None, [], {}
-    for batch in batches:
-        for row in batch.to_pylist():
-            if (row["bucket"], row["part"]) != key:
-                add(found, group)
-                key, group = (row["bucket"], row["part"]), []
-            group.append(row)
-        if len(found) > 50_000:
-            yield out(found)
-            found = {}
-    add(found, group)
-    yield out(found)
-
-
-def _possible_edges(dealt: DataFrame, classes: DataFrame, roots: DataFrame | None, refuted: DataFrame | None) -> DataFrame:
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def edges(group: list[dict]) -> dict[tuple[bytes, bytes], bool]:
+            members = {r["cls"]: r for r in group if r["sketch"] is not None}
+            refuted: dict[bytes, set[bytes]] = {}
+            for r in group:
+                if r["other"] is not None:
+                    refuted.setdefault(r["cls"], set()).add(r["other"])
+                    refuted.setdefault(r["other"], set()).add(r["cls"])
+            names = list(members)
+            number: dict[bytes, int] = {}
+            roots = np.array([number.setdefault(members[x]["root"], len(number)) for x in names])
+            if len(number) < 2:
+                return {}
+            block = _Block(members[names[0]]["pair"], [members[x]["n"] for x in names], [members[x]["sketch"] for x in names], percent)
+            some, more = _block_edges(names, block, roots, refuted)
+            return {(min(e), max(e)): more for e in some}
+
+        def out(found: dict[tuple[bytes, bytes], bool]) -> pa.RecordBatch:
+            keys = sorted(found)
+            columns = [pa.array([k[i] for k in keys], pa.binary()) for i in (0, 1)]
+            return pa.RecordBatch.from_arrays([*columns, pa.array([found[k] for k in keys], pa.bool_())], names=["a", "b", "more"])
+
+        def add(found: dict[tuple[bytes, bytes], bool], group: list[dict]) -> None:
+            for e, more in edges(group).items():
+                found[e] = found.get(e, False) or more
+
+        key, group, found = None, [], {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                if (row["bucket"], row["part"]) != key:
+                    add(found, group)
+                    key, group = (row["bucket"], row["part"]), []
+                group.append(row)
+            if len(found) > 50_000:
+                yield out(found)
+                found = {}
+        add(found, group)
+        yield out(found)
+
+    return walk
+
+
+def _possible_edges(dealt: DataFrame, classes: DataFrame, roots: DataFrame | None, refuted: DataFrame | None, percent: int) -> DataFrame:
     """a, b, more: possible edges of the blocks; more: a walk that gave the edge left others out."""
     rows = dealt.join(classes.select("cls", "n", "sketch"), "cls")
     rows = rows.withColumn("root", F.col("cls")) if roots is None else rows.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
@@ -256,7 +270,7 @@ def _possible_edges(dealt: DataFrame, classes: DataFrame, roots: DataFrame | Non
         told = dealt.join(refuted.select(F.col("a").alias("cls"), F.col("b").alias("other")), "cls")
         empty = F.lit(None).cast("binary")
         rows = rows.unionByName(told.select("bucket", "pair", "part", "cls", F.lit(None).cast("int").alias("n"), empty.alias("sketch"), empty.alias("root"), "other"))
-    walked = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(_walk, "a binary, b binary, more boolean")
+    walked = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(_walk(percent), "a binary, b binary, more boolean")
     return walked.groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
@@ -267,21 +281,24 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([cls.as_py()], pa.binary()), pa.array([shingles(text, hashes).tobytes()], pa.binary())], names=["cls", "members"])
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        linked = []
-        for a, b in zip(batch.column("sa"), batch.column("sb")):
-            x, y = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            linked.append(DEN * both >= NUM * (len(x) + len(y) - both))
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), batch.column("more"), pa.array(linked, pa.bool_())], names=["a", "b", "more", "linked"])
+def _compare(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            linked = []
+            for a, b in zip(batch.column("sa"), batch.column("sb")):
+                x, y = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                linked.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), batch.column("more"), pa.array(linked, pa.bool_())], names=["a", "b", "more", "linked"])
+
+    return compare
 
 
-def _verified(edges: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """a, b, more, linked: each edge decided on its two full sets."""
     with_a = edges.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("sa")), "a")
     with_b = with_a.join(sets.select(F.col("cls").alias("b"), F.col("members").alias("sb")), "b")
-    return with_b.select("a", "b", "more", "sa", "sb").mapInArrow(_compare, "a binary, b binary, more boolean, linked boolean")
+    return with_b.select("a", "b", "more", "sa", "sb").mapInArrow(_compare(percent), "a binary, b binary, more boolean, linked boolean")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -307,13 +324,13 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.unionByName(stars.select(F.col("root").alias("cls"), "root").distinct())
 
 
-def class_roots(docs: DataFrame, signed: DataFrame) -> DataFrame | None:
+def class_roots(docs: DataFrame, signed: DataFrame, percent: int = PERCENT) -> DataFrame | None:
     """(cls, root) of all classes that have a link to another class; None where there is none."""
     classes = cut(_classes(signed))
-    dealt = cut(buckets(classes))
+    dealt = cut(buckets(classes, percent))
     roots = links = refuted = sets = None
     while True:
-        edges = cut(_possible_edges(dealt, classes, roots, refuted))
+        edges = cut(_possible_edges(dealt, classes, roots, refuted, percent))
         if edges.isEmpty():
             return roots
         if sets is None:
@@ -324,7 +341,7 @@ def class_roots(docs: DataFrame, signed: DataFrame) -> DataFrame | None:
             text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             found = text.withColumn("th", F.xxhash64("text")).join(wanted, ["doc_id", "th"]).select("cls", "text")
             sets = cut(found.mapInArrow(_sets, "cls binary, members binary").dropDuplicates(["cls"]))
-        decided = cut(_verified(edges, sets))
+        decided = cut(_verified(edges, sets, percent))
         new, bad = decided.filter("linked").select("a", "b"), decided.filter("NOT linked")
         links = new if links is None else links.unionByName(new)
         refuted = bad.select("a", "b") if refuted is None else refuted.unionByName(bad.select("a", "b"))
@@ -337,13 +354,13 @@ def class_roots(docs: DataFrame, signed: DataFrame) -> DataFrame | None:
         dealt = cut(dealt.join(dealt.join(ends, ["bucket", "part", "cls"], "left_semi").select("bucket", "part").distinct(), ["bucket", "part"], "left_semi"))
 
 
-def _grouped(docs: DataFrame) -> DataFrame:
+def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     """doc_id, th, n, root, least: one row per row of `docs`; least is the smallest doc_id of root's component.
 
     Rows that are in no component (without doc_id, or without words) have neither root nor least.
     """
-    signed = cut(signatures(docs))
-    roots = class_roots(docs, signed)
+    signed = cut(signatures(docs, percent))
+    roots = class_roots(docs, signed, percent)
     rows = signed.select("doc_id", "th", "n", "cls")
     if roots is None:
         rows = rows.withColumn("root", F.col("cls"))
@@ -353,7 +370,7 @@ def _grouped(docs: DataFrame) -> DataFrame:
     return rows.join(low, "root", "left").select("doc_id", "th", "n", "root", "least")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, th, n_shingles, component_id, kept: one row per row of `docs` (doc_id, text; others are ignored).
 
     component_id is the smallest doc_id reachable by links. Documents without words have no links and
@@ -361,7 +378,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     true. Rows of one doc_id with different texts are separate nodes; repeated rows share a class.
     An empty table gives an empty result.
     """
-    return _grouped(docs).select(
+    return _grouped(docs, percent).select(
         "doc_id",
         "th",
         F.col("n").cast("long").alias("n_shingles"),
@@ -370,13 +387,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of `docs`, one of each group: that of the smallest doc_id (then the smallest text hash).
 
     Unrelated texts under one doc_id are of different groups, and each group keeps its own row. Rows
     without doc_id, and texts without words, all stay. All columns of `docs` are returned.
     """
-    found = _grouped(docs).filter("doc_id IS NOT NULL")
+    found = _grouped(docs, percent).filter("doc_id IS NOT NULL")
     empty = found.filter("n = 0").select("doc_id", "th")
     named = found.filter("root IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "th")).alias("one")).select("one.*")
     keep = named.unionByName(empty.distinct()).select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"))

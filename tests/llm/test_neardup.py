@@ -119,3 +119,14 @@ def test_stage_keeps_unrelated_texts_of_one_id(spark, docs):
     rows = [(7, " ".join(alone)), (7, " ".join(other)), (7, " ".join(third)), (8, " ".join(edited(other, 1, rng))), (9, " ".join(edited(third, 1, rng)))]
     rows.append(rows[0])
     assert sorted((r.doc_id, r.text) for r in nd.deduplicated(docs(rows)).collect()) == sorted(rows[:3])
+
+
+def test_pipeline_stage_links_from_four_fifths_on(spark, docs):
+    import corpus_pipeline
+
+    a, b, c = ([f"{k}{i}" for i in range(300)] for k in "abc")
+    near = lambda ws, k: [f"e{i}" if i % 40 == 20 and i < 40 * k else w for i, w in enumerate(ws)]
+    rows = [(1, a), (2, near(a, 6)), (3, b), (4, near(b, 5)), (5, c), (6, near(c, 7))]  # 0.816, 0.844 and 0.788
+    d = docs([(i, " ".join(ws)) for i, ws in rows])
+    assert [k for *_, k in got(nd.near_duplicates(d))] == [True] * 6
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, d, "").collect()) == [1, 3, 5, 6]
