@@ -69,5 +69,44 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+#: CRC-32 is told byte by byte: its table of 256 by the polynomial's rule, then one look-up for each byte of a distinct feature.
+OP12 = rf"""
+WITH dw AS (SELECT doc_id, {_WORDS6} AS w FROM documents),
+bw AS (SELECT {_WORDS6} AS w FROM benchmark),
+df AS (SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM dw),
+bf AS (SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM bw),
+tab AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS tab
+),
+spelt AS (
+  SELECT f, list_transform(range(1, octet_length(encode(f)) + 1), lambda i:
+    CAST((instr('0123456789ABCDEF', substr(h, 2 * i - 1, 1)) - 1) * 16 + instr('0123456789ABCDEF', substr(h, 2 * i, 1)) - 1 AS BIGINT)) AS bytes
+  FROM (SELECT f, hex(encode(f)) AS h FROM (SELECT f FROM df UNION SELECT f FROM bf))
+),
+code AS (
+  SELECT f, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bytes),
+    lambda c, b: xor(c // 256, tab[xor(c, b) % 256 + 1])), 4294967295) % 10000 AS bucket
+  FROM spelt, tab
+),
+s AS (SELECT bucket, count(*) AS s FROM df JOIN code USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bf JOIN code USING (f) GROUP BY bucket),
+total AS (SELECT (SELECT count(*) FROM df) AS sa, (SELECT count(*) FROM bf) AS ta),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * (sa + 10000) / (CAST(coalesce(s, 0) + 1 AS DOUBLE) * (ta + 10000)))) AS BIGINT) AS gain
+  FROM s FULL JOIN t USING (bucket), total
+),
+sums AS (SELECT doc_id, count(*) AS n, sum(gain) AS g FROM df JOIN code USING (f) JOIN gain USING (bucket) GROUP BY doc_id),
+scores AS (
+  SELECT doc_id, len(w) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_features,
+    CAST(coalesce((g - ((g % n) + n) % n) // n, 0) AS BIGINT) AS weight, CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) AS h
+  FROM dw LEFT JOIN sums USING (doc_id)
+),
+gumbel AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM scores),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS total FROM gumbel WHERE n_words >= 20)
+SELECT g.doc_id, n_features, weight, score, CASE WHEN rank <= 25 * total // 100 THEN rank END AS rank FROM gumbel g LEFT JOIN r USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_uniform_threshold_topk": OP3, "op6_benchmark_decontamination": OP6, "op9_minhash_near_dedup": OP9}
+    return {"op3_uniform_threshold_topk": OP3, "op6_benchmark_decontamination": OP6, "op9_minhash_near_dedup": OP9, "op12_importance_resampling": OP12}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiwatch.llm import chat, decontam, licenses, lm, neardup, pieces, pii, sharding, topk, toxicity
+from kpiwatch.llm import chat, decontam, forest, licenses, lm, neardup, pieces, pii, resample, sharding, topk, toxicity, whitening
 from kpiwatch.llm.common import read_table
 
 
@@ -56,9 +56,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whitened(read_table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resampled(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.search(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_tool_call_linking, op2_contextual_pii, op3_uniform_threshold_topk, op4_log_bilinear_lm, op5_vector_bin_packing,
         op6_benchmark_decontamination, op7_license_scan, op8_sentencepiece_sampling, op9_minhash_near_dedup, op10_toxicity,
+        op11_embedding_whitening, op12_importance_resampling, op13_projection_forest,
     )
     return {f.__name__: f for f in every}
