@@ -18,14 +18,16 @@ MINUTES = {"dialed_tat": "dialed_sec", "attempted_tat": "attempted_sec", "connec
 
 
 def tat_seconds(tat: DataFrame, as_of=None, day=None, q: float = 0.9,
-                method: str = "ranked", all_days: bool = False) -> DataFrame:
+                method: str = "radix", all_days: bool = False, hist: DataFrame | None = None) -> DataFrame:
     """round(percentile_cont(q)) of each duration, grouped by the raw keys
-    (vertical and order type keep their case here)."""
+    (vertical and order type keep their case here).  ``hist``: stored histograms of ``tat`` (see
+    :func:`kpiwatch.operators.percentiles.histograms`), filtered to the same days."""
     cond = day_filter_sql("dated", as_of, day, all_days)
     if cond is not None:
         tat = tat.where(cond)
+        hist = hist if hist is None else hist.where(cond)
     keys = ["dated", "vertical", "order_type"]
-    p = percentiles(tat, keys, SECONDS, q, method)
+    p = percentiles(tat, keys, SECONDS, q, method, hist)
     return p.selectExpr(*keys, *[f"round({c}) AS {c}" for c in SECONDS])
 
 

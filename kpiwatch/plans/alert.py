@@ -29,7 +29,7 @@ class AlertConfig:
     day: object = None          # or report exactly this day; neither: yesterday, by the session's date
     all_days: bool = False      # or report every day (a backfill)
     q: float = 0.9              # percentile of the turnaround times
-    percentile: str = "ranked"  # "ranked" (bounded tasks) or "hash" (a group's values in one task)
+    percentile: str = "radix"   # "radix" (bounded tasks) or "hash" (a group's values in one task)
     form: str = "one_pass"      # "one_pass" or "union" (a row per rule, then the filter)
     rules: tuple = RULES
 

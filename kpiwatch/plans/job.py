@@ -79,7 +79,7 @@ def main(argv=None) -> None:
     when.add_argument("--as-of", help="report the day before this date (default: the session's date)")
     when.add_argument("--day", help="report this day")
     when.add_argument("--all-days", action="store_true", help="report every day (backfill)")
-    p.add_argument("--percentile", choices=("ranked", "hash"), default="ranked")
+    p.add_argument("--percentile", choices=("radix", "hash"), default="radix")
     a = p.parse_args(argv)
     cfg = AlertConfig(as_of=a.as_of, day=a.day, all_days=a.all_days, percentile=a.percentile)
     spark = SparkSession.builder.appName("kpiwatch-alerts").getOrCreate()

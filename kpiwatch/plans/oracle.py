@@ -19,6 +19,8 @@ from kpiwatch.sources import marts
 
 EVENTS_AS_OF = "2024-01-16"
 ORDERS_DAY = "1998-03-01"
+PERIOD_START = "2024-01-06"
+PERIOD_QUANTILES = (0.5, 0.9, 0.99)
 WINDOW_DAYS = 7
 
 # The rules and texts of this side, stated on their own so that the two sides check each other:
@@ -240,6 +242,13 @@ def oracle_sql() -> dict[str, str]:
                          f"SELECT {_FUNNEL_COUNTS}, {_PCT_DOUBLE} FROM funnel")
     out["tat_p90_seconds"] = f"WITH {stage_ctes(**ev_day)}\nSELECT * FROM p90_sec"
     out["tat_p90_sorted"] = f"WITH {stage_ctes('events')}\nSELECT * FROM p90_sec"
+    out["tat_p90_histograms"] = out["tat_p90_sorted"]
+    out["tat_period_quantiles"] = "\nUNION ALL\n".join(
+        f"SELECT vertical, order_type, round(quantile_cont(first_dialed_tat, {q})) AS dialed_sec, "
+        f"round(quantile_cont(first_attempted_time, {q})) AS attempted_sec, "
+        f"round(quantile_cont(first_connected_time, {q})) AS connected_sec, CAST({q} AS DOUBLE) AS q\n"
+        f"FROM ({events_tat_sql()}) m WHERE dated BETWEEN DATE '{PERIOD_START}' AND DATE '{EVENTS_AS_OF}' GROUP BY 1, 2"
+        for q in PERIOD_QUANTILES)
     out["tat_minutes"] = f"WITH {stage_ctes(**ev_day)}\nSELECT * FROM p90_min"
     out["dialed_tat_join"] = (f"WITH {stage_ctes(**ev_day)}\nSELECT {_FUNNEL_COUNTS}, {_PCT_DOUBLE}, "
                               "dialed_tat, attempted_tat, connected_tat FROM measured")

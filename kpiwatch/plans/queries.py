@@ -16,9 +16,10 @@ from kpiwatch import schemas
 from kpiwatch.operators import message
 from kpiwatch.operators.breaches import RULES, breach
 from kpiwatch.operators.funnel import funnel_pct
+from kpiwatch.operators.histograms import load_histograms, period_seconds, store_histograms
 from kpiwatch.operators.turnaround import tat_minutes, tat_seconds
 from kpiwatch.plans.alert import AlertConfig, alerts, metrics, metrics_with_thresholds
-from kpiwatch.plans.oracle import EVENTS_AS_OF, ORDERS_DAY
+from kpiwatch.plans.oracle import EVENTS_AS_OF, ORDERS_DAY, PERIOD_QUANTILES, PERIOD_START
 from kpiwatch.plans.sql import alerts_sql, messages_sql
 from kpiwatch.sources import dimensions as dims
 from kpiwatch.sources.marts import events_dialed, events_marts, orders_marts
@@ -52,6 +53,30 @@ def tat_p90_sorted_q(spark, d):
     return tat_seconds(tat, all_days=True)
 
 
+def _stored_histograms(spark, d, name: str):
+    """The turnaround mart, and its day histograms, stored and loaded."""
+    _, tat = events_marts(spark, d)
+    path = _sink_path(spark, d, f"histograms_{name}")
+    store_histograms(tat, path, all_days=True)
+    return tat, load_histograms(spark, path)
+
+
+def tat_p90_histograms_q(spark, d):
+    """Every day's p90 from stored day histograms and the rows near the ranks."""
+    tat, hist = _stored_histograms(spark, d, "days")
+    return tat_seconds(tat, all_days=True, hist=hist)
+
+
+def tat_period_quantiles_q(spark, d):
+    """Quantiles over a span of days: the days' histograms merged, one set of histograms for all quantiles."""
+    tat, hist = _stored_histograms(spark, d, "period")
+    out = None
+    for q in PERIOD_QUANTILES:
+        part = period_seconds(tat, hist, PERIOD_START, EVENTS_AS_OF, q=q).withColumn("q", F.lit(q))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def tat_minutes_q(spark, d):
     _, tat = events_marts(spark, d)
     return tat_minutes(tat_seconds(tat, as_of=EVENTS_AS_OF))
@@ -98,7 +123,7 @@ def alerts_all_days_q(spark, d):
 
 
 def alerts_all_days_sorted_q(spark, d):
-    """Cross-check of the ranked percentile: the same alerts by Spark's own aggregate."""
+    """Cross-check of the radix percentile: the same alerts by Spark's own aggregate."""
     return _events_alerts(spark, d, AlertConfig(all_days=True, percentile="hash"))
 
 
@@ -198,6 +223,8 @@ def queries() -> dict[str, Query]:
         "funnel_pct": funnel_pct_q,
         "tat_p90_seconds": tat_p90_seconds_q,
         "tat_p90_sorted": tat_p90_sorted_q,
+        "tat_p90_histograms": tat_p90_histograms_q,
+        "tat_period_quantiles": tat_period_quantiles_q,
         "tat_minutes": tat_minutes_q,
         "dialed_tat_join": dialed_tat_join_q,
         "threshold_join": threshold_join_q,

@@ -1,10 +1,12 @@
 """The alert query and the message stage as Spark SQL statements.
 
 For users who run the job as SQL: ``alert_sql`` returns the statement (one
-pass over the breaches, exact percentiles with bounded tasks), built from the same
-expression helpers as the DataFrame plan; ``alerts_sql`` runs it on
-DataFrames (or tables) with ``spark.sql``.  Catalyst plans it like
-:func:`kpiwatch.plans.alert.alerts`.
+pass over the breaches), built from the same expression helpers as the
+DataFrame plan; ``alerts_sql`` runs it on DataFrames with ``spark.sql``.  The
+statement by itself takes its percentiles from Spark's ``percentile_cont``, whose
+state is a group's distinct values; given a relation of percentiles
+(``alerts_sql`` gives those of :func:`kpiwatch.operators.percentiles.percentiles_radix`,
+which have bounded tasks) it joins that.
 """
 
 from __future__ import annotations
@@ -16,15 +18,16 @@ from kpiwatch.functions.columns import day_filter_sql, minutes_seconds_sql, perc
 from kpiwatch.operators import message as m
 from kpiwatch.operators.breaches import RULES, breaches_sql
 from kpiwatch.operators.funnel import COUNTERS, PERCENTS, SUM_NAMES
-from kpiwatch.operators.percentiles import percentiles_sql
+from kpiwatch.operators.percentiles import percentiles
 from kpiwatch.operators.turnaround import MINUTES, SECONDS
 from kpiwatch.sources.dimensions import DEFAULT_OWNER
 
 
 def alert_sql(dialed: str = "{dialed}", tat: str = "{tat}", thresholds: str = "{thresholds}",
               as_of=None, day=None, q: float = 0.9, rules=RULES, ordered: bool = True,
-              all_days: bool = False) -> str:
-    """Spark SQL text of the alert query over the three named relations.
+              all_days: bool = False, p90: str | None = None) -> str:
+    """Spark SQL text of the alert query over the three named relations.  ``p90`` names a relation of
+    percentiles (the keys, and a column of seconds for each of ``SECONDS``) to use instead of ``tat``.
 
     The defaults are ``spark.sql`` format placeholders, so DataFrames can be
     passed as keyword arguments; table names work as well.
@@ -34,7 +37,10 @@ def alert_sql(dialed: str = "{dialed}", tat: str = "{tat}", thresholds: str = "{
     sums = ",\n    ".join(f"sum({c}) AS {SUM_NAMES.get(c, c)}" for c in COUNTERS)
     pcts = ",\n    ".join(f"{percent_of_sql(f'sum({num})', 'sum(unique_request)')} AS {name}"
                           for name, num in PERCENTS.items())
-    p90 = percentiles_sql(tat, schemas.KEYS, SECONDS, q, where)
+    keys = ", ".join(schemas.KEYS)
+    quantiles = ",\n    ".join(f"percentile_cont({q}D) WITHIN GROUP (ORDER BY CAST({src} AS DOUBLE)) AS {out}"
+                              for out, src in SECONDS.items())
+    percentiles_of = p90 or f"(\n  SELECT {keys},\n    {quantiles}\n  FROM {tat} {where}\n  GROUP BY {keys})"
     mins = ",\n    ".join(f"{minutes_seconds_sql(f'round({sec})')} AS {m}" for m, sec in MINUTES.items())
     thr_cols = ", ".join(f"t.{c}" for c in schemas.THRESHOLD_COLUMNS)
     order = "\nORDER BY 1, 2, 3, 4" if ordered else ""
@@ -45,11 +51,10 @@ WITH funnel AS (
     {pcts}
   FROM {dialed} {where}
   GROUP BY 1, 2, 3),
-{p90},
 p90 AS (
   SELECT dated, lower(vertical) AS vertical, order_type,
     {mins}
-  FROM percentiles),
+  FROM {percentiles_of}),
 judged AS (
   SELECT m.*, {thr_cols}
   FROM (SELECT * FROM funnel JOIN p90 USING (dated, vertical, order_type)) m
@@ -60,9 +65,11 @@ FROM judged{order}"""
 
 def alerts_sql(spark: SparkSession, dialed: DataFrame, tat: DataFrame, thresholds: DataFrame,
                as_of=None, day=None, q: float = 0.9, ordered: bool = True, all_days: bool = False) -> DataFrame:
-    """Run :func:`alert_sql` on DataFrames."""
-    return spark.sql(alert_sql(as_of=as_of, day=day, q=q, ordered=ordered, all_days=all_days),
-                     dialed=dialed, tat=tat, thresholds=thresholds)
+    """Run :func:`alert_sql` on DataFrames, with the percentiles of bounded tasks."""
+    cond = day_filter_sql("dated", as_of, day, all_days)
+    p90 = percentiles(tat.where(cond) if cond else tat, schemas.KEYS, SECONDS, q)
+    return spark.sql(alert_sql(as_of=as_of, day=day, q=q, ordered=ordered, all_days=all_days, p90="{p90}"),
+                     dialed=dialed, p90=p90, thresholds=thresholds)
 
 
 def message_sql(alerts: str = "{alerts}", owners: str = "{owners}", links: str = "{links}") -> str:
