@@ -18,13 +18,18 @@ Steps, none of which emits the pairs of a group:
    1024-bit parity bitmap of the set). Equal sets become one class; only classes go on.
 2. A collection value that one class has alone can't be part of a shared key, so it is dropped
    before the pairs are formed.
-3. Each bucket (in blocks of about BLOCK members; block pairs for larger buckets) is walked for pairs that
+3. Each bucket (in blocks of about BLOCK members) is walked for pairs that
    meet there first and whose sketches allow the similarity. The XOR of two odd sketches has at most |A xor B| bits set, so
-   the test never rejects a true link. A walk emits at most EDGES edges per member: all possible
-   ones, or else a spanning forest of them, however many pairs there are.
-4. Edges are verified on full sets. Confirmed ones merge components. A block whose forest held a
-   refuted edge is walked again, told of the refuted pairs, until every block is settled: no pair
-   of different components that meets in a bucket and is still possible is left.
+   the test never rejects a true link.
+4. Edges are verified on full sets. Confirmed ones merge components.
+
+The tables are walked in rounds, with components merged in between, and a bucket whose members have one root by then is
+dropped. The rounds of AHEAD take a few tables, one block of a bucket at a time, and emit spanning forests only: groups of near
+copies become one component there, by about one edge a member. The last round takes all tables and every pair of blocks with
+different components. There a walk emits an edge for every two components that a possible pair joins, up to EDGES a member, else a
+spanning forest. A block that left a pair out and had an edge refuted is walked again, told of the refuted pairs, until every
+block is settled: no pair of different components that meets in a bucket and is still possible is left. Which links are found
+doesn't depend on the earlier rounds.
 """
 
 from __future__ import annotations
@@ -43,8 +48,10 @@ SHINGLE = 5
 ROWS = 4
 SKETCH_BITS = 1024
 BLOCK = 2048
-#: A walk lists all possible edges of its block up to so many per member, else a spanning forest.
+#: A walk lists an edge for every two components of its block up to so many per member, else a spanning forest.
 EDGES = 4
+#: The rounds before the last, and the tables (pairs of collections) that each walks.
+AHEAD = (((0, 1),), ((2, 3),), ((4, 5), (6, 7)))
 #: Rows of 24 bytes that name the texts to compare; up to so many are sent to all executors, more are shuffled.
 BROADCAST_ROWS = 1_000_000
 #: A link: percent * |union| <= 100 * |intersection|. The first is operator 9's.
@@ -130,28 +137,43 @@ def _classes(signed: DataFrame) -> DataFrame:
     return signed.filter("cls IS NOT NULL").groupBy("cls").agg(one).select("cls", "one.*")
 
 
-def buckets(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """bucket, pair (the table's two collections), part, cls: buckets of two or more classes, in bounded parts.
+def buckets(classes: DataFrame, percent: int = PERCENT, roots: DataFrame | None = None, tables: tuple[tuple[int, int], ...] | None = None) -> DataFrame:
+    """bucket, pair (the table's two collections), part, cls, root: buckets with two roots or more, in bounded parts.
 
-    A bucket of more than BLOCK members is dealt into blocks by hash, and each pair of blocks is one
-    part; `part` is 0 for the rest.
+    With `tables`, only those, each block of a bucket by itself. Without, all tables,
+    and a bucket of more than BLOCK members in parts that bring together every two members of different roots
+    at least once: those of its most common root are dealt into blocks, the others too, and each block of the others
+    meets all blocks. So a bucket of one large component and a few others costs few more rows than it has members.
     """
     c = classes.select("cls", F.posexplode("coll").alias("i", "c"))
+    if tables is not None:
+        c = c.filter(F.col("i").isin([i for t in tables for i in t]))
     shared = c.groupBy("c").count().filter("count > 1").select("c")
     own = c.join(shared, "c").groupBy("cls").agg(F.sort_array(F.collect_set(F.struct("i", "c"))).alias("cs")).filter("size(cs) > 1")
+    own = own.withColumn("root", F.col("cls")) if roots is None else own.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     table = f"struct(xxhash64(x.c, y.c) AS bucket, x.i * {COLLECTIONS[percent]} + y.i AS pair)"
     pairs = F.expr(f"flatten(transform(cs, (x, k) -> transform(slice(cs, k + 2, size(cs)), y -> {table})))")
-    keys = own.select("cls", F.explode(pairs).alias("k")).select("cls", "k.*")
-    sizes = keys.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("cls", F.lit(1)), F.col("blocks")).cast("int")
-    return (
-        keys.join(sizes, "bucket")
-        .withColumn("blocks", blocks)
-        .withColumn("mine", mine)
-        .select("bucket", "pair", "cls", "mine", "blocks", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
-        .select("bucket", "pair", "cls", (F.least("mine", "other") * F.col("blocks") + F.greatest("mine", "other")).alias("part"))
-    )
+    keys = own.select("cls", "root", F.explode(pairs).alias("k")).select("cls", "root", "k.*")
+    if tables is not None:
+        keys = keys.filter(F.col("pair").isin([i * COLLECTIONS[percent] + j for i, j in tables]))
+    sizes = keys.groupBy("bucket").agg(F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high"))
+    sizes = sizes.filter("members > 1 AND low != high").select("bucket", "members")
+    mixed = keys.join(sizes, "bucket")
+    if tables is not None:
+        part = F.pmod(F.xxhash64("cls"), F.ceil(F.col("members") / BLOCK)).cast("int")
+        return mixed.select("bucket", "pair", "cls", "root", part.alias("part"))
+    small = mixed.filter(F.col("members") <= BLOCK).select("bucket", "pair", "cls", "root", F.lit(0).alias("part"))
+    large = mixed.filter(F.col("members") > BLOCK)
+    most = large.groupBy("bucket", "root").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("m"), F.sum("n").alias("all"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    most = most.select("bucket", F.col("m.root").alias("common"), blocks(F.col("m.n")).alias("mains"), blocks(F.col("all") - F.col("m.n")).alias("others"))
+    dealt = large.join(most, "bucket").withColumn("main", F.col("root") == F.col("common"))
+    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("cls", F.lit(1)), F.when(F.col("main"), F.col("mains")).otherwise(F.col("others"))).cast("int"))
+    # A part is (block of the common root, block of others), or two blocks of others.
+    parts = F.expr("""CASE WHEN main THEN transform(sequence(0, others - 1), o -> mine * others + o)
+        ELSE concat(transform(sequence(0, mains - 1), m -> m * others + mine),
+          transform(sequence(0, others - 1), o -> mains * others + least(mine, o) * others + greatest(mine, o))) END""")
+    return small.unionByName(dealt.select("bucket", "pair", "cls", "root", F.explode(parts).alias("part")))
 
 
 class _Block:
@@ -164,14 +186,16 @@ class _Block:
         self.coll, self.bits = words[:, :collections], words[:, collections:]
         self.first, self.second = divmod(pair, collections)
 
-    def possible(self, u: int, rest: np.ndarray) -> np.ndarray:
-        """Which of `rest` can be linked with `u`, of those that meet `u` in this table first.
+    def possible(self, u: int, rest: np.ndarray, first: bool = True) -> np.ndarray:
+        """Which of `rest` can be linked with `u`; with `first`, of those that meet `u` in this table first.
 
         The first table of two sets is that of the first two collections they share, so each pair
         is looked at once, in whatever many buckets it meets.
         """
-        agree = self.coll[rest] == self.coll[u]
-        here = rest[(agree[:, : self.second + 1].sum(axis=1) == 2) & agree[:, self.first] & agree[:, self.second]]
+        here = rest
+        if first:
+            agree = self.coll[rest] == self.coll[u]
+            here = rest[(agree[:, : self.second + 1].sum(axis=1) == 2) & agree[:, self.first] & agree[:, self.second]]
         a, b = self.sizes[u], self.sizes[here]
         fits = here[100 * np.minimum(a, b) >= self.percent * np.maximum(a, b)]
         # |A xor B| <= (100 - percent) / (100 + percent) * (|A| + |B|) is the link's condition in other words.
@@ -179,22 +203,31 @@ class _Block:
         return fits[odd * (100 + self.percent) <= (100 - self.percent) * (a + self.sizes[fits])]
 
 
-def _block_edges(names: list[bytes], block: _Block, roots: np.ndarray, refuted: dict[bytes, set[bytes]]) -> tuple[list[tuple[bytes, bytes]], bool]:
+def _block_edges(names: list[bytes], block: _Block, roots: np.ndarray, refuted: dict[bytes, set[bytes]], most: int) -> tuple[list[tuple[bytes, bytes]], bool]:
     """Possible links between different components, and whether some were left out.
 
-    All of them, up to EDGES per member; else a spanning forest, found breadth first, where reaching
+    One for every two components, up to `most` per member; else (and with `most` 0, where all pairs of the block are looked at
+    and not only those that meet here first) a spanning forest, found breadth first, where reaching
     one member of a component reaches all. A member is only compared with what is not reached yet,
     so a block of true copies costs one row of comparisons, not a square.
     """
-    few, all_edges = EDGES * len(names), []
-    for u in range(len(names) - 1):
+    few, all_edges, joined, more = most * len(names), [], set(), False
+    for u in range(len(names) - 1 if most else 0):
         rest = u + 1 + np.flatnonzero(roots[u + 1 :] != roots[u])
         bad = refuted.get(names[u], ())
-        all_edges += [(names[u], names[v]) for v in block.possible(u, rest).tolist() if names[v] not in bad]
+        for v in block.possible(u, rest).tolist():
+            if names[v] not in bad:
+                both = (min(roots[u], roots[v]), max(roots[u], roots[v]))
+                if both in joined:
+                    more = True
+                else:
+                    joined.add(both)
+                    all_edges.append((names[u], names[v]))
         if len(all_edges) > few:
             break
     else:
-        return all_edges, False
+        if most:
+            return all_edges, more
     forest = []
     unseen = np.ones(len(names), bool)
     same: dict[int, list[int]] = {}
@@ -208,7 +241,7 @@ def _block_edges(names: list[bytes], block: _Block, roots: np.ndarray, refuted:
         while queue:
             u = queue.pop()
             bad = refuted.get(names[u], ())
-            for v in block.possible(u, np.flatnonzero(unseen)).tolist():
+            for v in block.possible(u, np.flatnonzero(unseen), first=most > 0).tolist():
                 if unseen[v] and names[v] not in bad:
                     forest.append((names[u], names[v]))
                     queue += same[roots[v]]
@@ -216,7 +249,7 @@ def _block_edges(names: list[bytes], block: _Block, roots: np.ndarray, refuted:
     return forest, True
 
 
-def _walk(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _walk(percent: int, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows sorted by (bucket, part) -> edges; a member row has a sketch, a refuted pair has `other`."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +266,7 @@ def _walk(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
             if len(number) < 2:
                 return {}
             block = _Block(members[names[0]]["pair"], [members[x]["n"] for x in names], [members[x]["sketch"] for x in names], percent)
-            some, more = _block_edges(names, block, roots, refuted)
+            some, more = _block_edges(names, block, roots, refuted, most)
             return {(min(e), max(e)): more for e in some}
 
         def out(found: dict[tuple[bytes, bytes], bool]) -> pa.RecordBatch:
@@ -261,16 +294,16 @@ def _walk(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     return walk
 
 
-def _possible_edges(dealt: DataFrame, classes: DataFrame, roots: DataFrame | None, refuted: DataFrame | None, percent: int) -> DataFrame:
+def _possible_edges(dealt: DataFrame, classes: DataFrame, roots: DataFrame | None, refuted: DataFrame | None, percent: int, most: int) -> DataFrame:
     """a, b, more: possible edges of the blocks; more: a walk that gave the edge left others out."""
-    rows = dealt.join(classes.select("cls", "n", "sketch"), "cls")
+    rows = dealt.drop("root").join(classes.select("cls", "n", "sketch"), "cls")
     rows = rows.withColumn("root", F.col("cls")) if roots is None else rows.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     rows = rows.select("bucket", "pair", "part", "cls", "n", "sketch", "root", F.lit(None).cast("binary").alias("other"))
     if refuted is not None:
         told = dealt.join(refuted.select(F.col("a").alias("cls"), F.col("b").alias("other")), "cls")
         empty = F.lit(None).cast("binary")
         rows = rows.unionByName(told.select("bucket", "pair", "part", "cls", F.lit(None).cast("int").alias("n"), empty.alias("sketch"), empty.alias("root"), "other"))
-    walked = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(_walk(percent), "a binary, b binary, more boolean")
+    walked = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(_walk(percent, most), "a binary, b binary, more boolean")
     return walked.groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
@@ -324,50 +357,66 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.unionByName(stars.select(F.col("root").alias("cls"), "root").distinct())
 
 
+def _with_sets(sets: DataFrame | None, edges: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """`sets` (cls, members) and those of the ends of `edges` that it lacks."""
+    nodes = edges.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    if sets is not None:
+        nodes = nodes.join(sets, "cls", "left_anti")
+    wanted = cut(classes.select("cls", "doc_id", "th").join(nodes, "cls", "left_semi"))
+    n = wanted.count()
+    if sets is not None and not n:
+        return sets
+    wanted = F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = text.withColumn("th", F.xxhash64("text")).join(wanted, ["doc_id", "th"]).select("cls", "text")
+    more = cut(found.mapInArrow(_sets, "cls binary, members binary").dropDuplicates(["cls"]))
+    return more if sets is None else sets.unionByName(more)
+
+
 def class_roots(docs: DataFrame, signed: DataFrame, percent: int = PERCENT) -> DataFrame | None:
     """(cls, root) of all classes that have a link to another class; None where there is none."""
     classes = cut(_classes(signed))
-    dealt = cut(buckets(classes, percent))
     roots = links = refuted = sets = None
-    while True:
-        edges = cut(_possible_edges(dealt, classes, roots, refuted, percent))
-        if edges.isEmpty():
-            return roots
-        if sets is None:
-            # A first walk reaches every class that has a possible link, so no later round needs others.
-            nodes = edges.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-            wanted = cut(classes.select("cls", "doc_id", "th").join(nodes, "cls", "left_semi"))
-            wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-            text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            found = text.withColumn("th", F.xxhash64("text")).join(wanted, ["doc_id", "th"]).select("cls", "text")
-            sets = cut(found.mapInArrow(_sets, "cls binary, members binary").dropDuplicates(["cls"]))
-        decided = cut(_verified(edges, sets, percent))
-        new, bad = decided.filter("linked").select("a", "b"), decided.filter("NOT linked")
-        links = new if links is None else links.unionByName(new)
-        refuted = bad.select("a", "b") if refuted is None else refuted.unionByName(bad.select("a", "b"))
-        roots = cut(components(links)) if not links.isEmpty() else None
-        open_pairs = bad.filter("more").select("a", "b")
-        if open_pairs.isEmpty():
-            return roots  # every block is settled
-        # A block goes on if an edge of its forest was refuted; that it holds both ends is enough to look again.
-        ends = dealt.join(open_pairs.withColumnRenamed("a", "cls"), "cls").select("bucket", "part", F.col("b").alias("cls"))
-        dealt = cut(dealt.join(dealt.join(ends, ["bucket", "part", "cls"], "left_semi").select("bucket", "part").distinct(), ["bucket", "part"], "left_semi"))
+    for tables in (*AHEAD, None):
+        dealt = cut(buckets(classes, percent, roots, tables))
+        while True:
+            edges = cut(_possible_edges(dealt, classes, roots, refuted, percent, EDGES if tables is None else 0))
+            if edges.isEmpty():
+                break
+            sets = _with_sets(sets, edges, classes, docs)
+            decided = cut(_verified(edges, sets, percent))
+            new, bad = decided.filter("linked").select("a", "b"), decided.filter("NOT linked")
+            links = new if links is None else links.unionByName(new)
+            refuted = bad.select("a", "b") if refuted is None else refuted.unionByName(bad.select("a", "b"))
+            roots = cut(components(links)) if not links.isEmpty() else None
+            open_pairs = bad.filter("more").select("a", "b")
+            if tables is not None or open_pairs.isEmpty():
+                break  # every block is settled, or will be in the last round
+            # A block goes on if an edge of its forest was refuted; that it holds both ends is enough to look again.
+            ends = dealt.join(open_pairs.withColumnRenamed("a", "cls"), "cls").select("bucket", "part", F.col("b").alias("cls"))
+            dealt = cut(dealt.join(dealt.join(ends, ["bucket", "part", "cls"], "left_semi").select("bucket", "part").distinct(), ["bucket", "part"], "left_semi"))
+    return roots
 
 
 def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     """doc_id, th, n, root, least: one row per row of `docs`; least is the smallest doc_id of root's component.
 
-    Rows that are in no component (without doc_id, or without words) have neither root nor least.
+    Rows that are in no component (without doc_id, or without words) have neither root nor least. Components are
+    told to classes first (`low` is written, so that a join on a large component's root can be split), then to rows.
     """
     signed = cut(signatures(docs, percent))
     roots = class_roots(docs, signed, percent)
     rows = signed.select("doc_id", "th", "n", "cls")
+    first = rows.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("least"))
     if roots is None:
-        rows = rows.withColumn("root", F.col("cls"))
+        of_class = first.withColumn("root", F.col("cls"))
     else:
-        rows = rows.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    low = rows.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return rows.join(low, "root", "left").select("doc_id", "th", "n", "root", "least")
+        linked = cut(first.join(roots, "cls"))
+        low = cut(linked.groupBy("root").agg(F.min("least").alias("least")))
+        of_class = linked.select("cls", "root").join(low, "root").select("cls", "least", "root")
+        of_class = of_class.unionByName(first.join(roots, "cls", "left_anti").withColumn("root", F.col("cls")))
+    of_class = cut(of_class)
+    return rows.join(of_class, "cls", "left").select("doc_id", "th", "n", "root", "least")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

@@ -17,7 +17,7 @@ def shingle_set(text):
     return set() if not ws else {tuple(ws)} if len(ws) < 5 else {tuple(ws[i : i + 5]) for i in range(len(ws) - 4)}
 
 
-def brute(rows):
+def brute(rows, percent=85):
     """doc_id -> smallest reachable doc_id, by comparing all pairs."""
     sets = [(i, shingle_set(t)) for i, t in rows if i is not None]
     root = list(range(len(sets)))
@@ -30,7 +30,7 @@ def brute(rows):
     for x in range(len(sets)):
         for y in range(x):
             a, b = sets[x][1], sets[y][1]
-            if a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
                 root[find(x)] = find(y)
     least = {}
     for x, (i, _) in enumerate(sets):
@@ -71,7 +71,7 @@ def test_against_brute_force(spark, docs):
 
 def test_forests_and_block_pairs_lose_no_link(spark, docs, monkeypatch):
     monkeypatch.setattr(nd, "BLOCK", 16)
-    monkeypatch.setattr(nd, "EDGES", 0)
+    monkeypatch.setattr(nd, "EDGES", 0.1)
     monkeypatch.setattr(nd, "BROADCAST_ROWS", 0)
     rows = corpus()
     assert got(nd.near_duplicates(docs(rows))) == brute(rows)
@@ -130,3 +130,43 @@ def test_pipeline_stage_links_from_four_fifths_on(spark, docs):
     d = docs([(i, " ".join(ws)) for i, ws in rows])
     assert [k for *_, k in got(nd.near_duplicates(d))] == [True] * 6
     assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, d, "").collect()) == [1, 3, 5, 6]
+
+
+@pytest.mark.parametrize("percent", [nd.PERCENT, nd.STAGE_PERCENT])
+@pytest.mark.parametrize("size", [100, 500, 2000])
+def test_edges_of_a_near_copy_group_stay_in_proportion(spark, docs, monkeypatch, percent, size):
+    """At most two edges a member over all rounds, and one component."""
+    rng = random.Random(size)
+    base = words(400, rng)
+    rows = [(i, " ".join(edited(base, 1 + i % 3, rng))) for i in range(size)]
+    counts = []
+    monkeypatch.setattr(nd, "_possible_edges", lambda *a, f=nd._possible_edges: counts.append(f(*a)) or counts[-1])
+    found = nd.near_duplicates(docs(rows), percent).collect()
+    assert {r.component_id for r in found} == {0} and sum(r.kept for r in found) == 1
+    assert sum(e.count() for e in counts) <= 2 * size
+
+
+def test_a_bucket_of_one_component_and_few_others_is_dealt_in_proportion(spark, monkeypatch):
+    """A full bucket's rows grow with its members, and every two members of different roots meet in a part."""
+    monkeypatch.setattr(nd, "BLOCK", 32)
+    coll = [1, 2, 3, 4, *range(100, 116)]
+    name = lambda i: i.to_bytes(4, "big")
+    classes = spark.createDataFrame([(name(i), coll if i < 2 else coll[:4] + [10_000 + 20 * i + k for k in range(16)]) for i in range(1000)], "cls binary, coll array<long>")
+    roots = spark.createDataFrame([(name(i), name(0)) for i in range(980)], "cls binary, root binary")
+    found = nd.buckets(classes, nd.PERCENT, roots).collect()
+    by_bucket = {}
+    for r in found:
+        by_bucket.setdefault((r.bucket, r.pair), {}).setdefault(r.part, set()).add(bytes(r.cls))
+    assert by_bucket
+    for parts in by_bucket.values():
+        members = set().union(*parts.values())
+        others = {m for m in members if int.from_bytes(m, "big") >= 980}
+        assert len(members) == 1000 and max(map(len, parts.values())) < 100
+        assert sum(map(len, parts.values())) < 1000 + 2 * 20 * (1000 / 32 + 2)
+        for o in others:
+            assert set().union(*(p for p in parts.values() if o in p)) == members
+
+
+def test_stage_percent_against_brute_force(spark, docs):
+    rows = corpus()
+    assert got(nd.near_duplicates(docs(rows), nd.STAGE_PERCENT)) == brute(rows, 80)

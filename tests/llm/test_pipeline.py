@@ -14,7 +14,7 @@ def test_stages_against_brute_force(spark, small_dir):
     model = toxicity.train(docs, labels)
     rows = {r.doc_id: r for r in docs.collect()}
     kept = {i: r.text for i, r in rows.items() if model.score(r.text) < 0.5}
-    kept = {i: kept[i] for i, _, _, k in brute_groups(list(kept.items())) if k}
+    kept = {i: kept[i] for i, _, _, k in brute_groups(list(kept.items()), neardup.STAGE_PERCENT) if k}
     kept = {r[0]: kept[r[0]] for r in brute_hits(list(kept.items()), [(r.item_id, r.text) for r in items.collect()]) if not r[-1]}
     frame = spark.createDataFrame(list(kept.items()), "doc_id long, text string")
     spans = {r.doc_id: r.all_spans for r in pii.personal_data(frame).collect()}
@@ -43,5 +43,5 @@ def test_stages_take_empty_tables_nulls_and_extra_columns(spark, small_dir):
 
 def test_stage_names_and_registration():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "personal_data", "sentencepiece"]
-    assert {f"op{n}" for n in range(1, 11)} <= {q.split("_")[0] for q in entry.queries()} and "pipeline" in entry.queries()
+    assert {f"op{n}" for n in range(1, 14)} <= {q.split("_")[0] for q in entry.queries()} and "pipeline" in entry.queries()
     assert decontam and neardup
