@@ -9,8 +9,9 @@ Largest inner product becomes nearest direction by one more component: a vector
 3. Search: a query has one priority queue for all trees. A node's priority is the log-probability that a neighbour
    lies below it, taking projections of neighbours as correlated with the query's (KINSHIP). The best node of
    any tree is opened next, until the leaves taken hold BUDGET times the table's vectors (LEAST at least).
-4. Rerank: vectors and queries meet by leaf, in blocks, and get their exact inner products. Each block names its best
-   for each query; these are merged over the leaves and trees.
+4. Rerank: vectors and queries meet by leaf, in blocks, and get their exact inner products. The first leaves of each
+   queue go ahead: the last place of what they find bounds what any other block need name. The best are merged over
+   the leaves and trees.
 
 Equal vectors are one: it carries the smallest ids that can be among the answers (one more than are asked for), which leaves
 no answer out. So many copies of one vector cost no more than a few. A full leaf is dealt into blocks of BLOCK vectors and
@@ -38,6 +39,8 @@ SAMPLE = 16_384
 LEAF, DEEPEST = 256, 10
 #: A search takes leaves that hold so many times the table's vectors, and so many vectors at least.
 BUDGET, LEAST = 0.6, 8192
+#: Leaves of each queue that are looked into first, for a bound.
+AHEAD = 4
 #: How far the projections of a query and its neighbours are taken to agree.
 KINSHIP = 0.4
 BLOCK, QUERIES = 4096, 2048
@@ -131,20 +134,19 @@ def _rerank(top: int):
         parts: list[tuple] = []
         if q.num_rows and v.num_rows:
             qm, vm, first = matrix(q.column("q")), matrix(v.column("e")), v.column("first").to_numpy()
+            bound = q.column("bound").to_numpy()
             near = qm @ vm.T
             slack = 1e-12 * np.linalg.norm(qm, axis=1) * float(np.linalg.norm(vm, axis=1).max())
             for i, row in enumerate(near):
-                if len(row) > top + 1:
-                    some = np.flatnonzero(row >= np.partition(row, len(row) - top - 1)[len(row) - top - 1] - slack[i])
-                else:
-                    some = np.arange(len(row))
+                last = np.partition(row, len(row) - top - 1)[len(row) - top - 1] if len(row) > top + 1 else -np.inf
+                some = np.flatnonzero(row >= max(last, bound[i]) - slack[i])
                 exact = (vm[some] * qm[i]).sum(axis=1)
                 best = np.lexsort((first[some], -exact))[: top + 1]
                 parts.append((i, some[best], exact[best]))
         at = np.concatenate([[i] * len(k) for i, k, _ in parts]).astype(np.int64) if parts else np.empty(0, np.int64)
         which = np.concatenate([k for _, k, _ in parts]) if parts else np.empty(0, np.int64)
         score = np.concatenate([s for _, _, s in parts]) if parts else np.empty(0)
-        return pa.table({"query": q.column("query").to_numpy()[at], "key": v.column("key").to_numpy()[which], "score": score})
+        return pa.table({"query": q.column("query").to_numpy()[at], "key": v.column("key").to_numpy()[which], "first": v.column("first").to_numpy()[which], "score": score})
 
     return rerank
 
@@ -184,26 +186,36 @@ def search(embeddings: DataFrame, every: int = EVERY, top: int = TOP) -> DataFra
             for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
                 for i, found in enumerate(forest.search(matrix(part.column("q")), sizes, wanted)):
                     columns = [pa.array([part.column("query")[i].as_py()] * len(found), pa.int64()), *(pa.array([f[j] for f in found], pa.int32()) for j in (0, 1))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["query", "tree", "leaf"])
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(range(len(found)), pa.int32())], names=["query", "tree", "leaf", "at"])
 
     # Equal queries are one, too: they share their answers and differ in the row left out.
     of_vector = vectors.select("key", "e").join(asked.select("e").distinct(), "e", "left_semi").select(F.col("key").alias("query"), F.col("e").alias("q"))
     of_vector = stored(of_vector)
-    visits = stored(of_vector.mapInArrow(look, "query long, tree int, leaf int"))
-    asking = visits.groupBy("tree", "leaf").agg(F.count("*").alias("asking"))
+    visits = stored(of_vector.mapInArrow(look, "query long, tree int, leaf int, at int"))
     holding = placed.groupBy("tree", "leaf").agg(F.count("*").alias("holding"))
-    plan = holding.join(asking, ["tree", "leaf"]).select("tree", "leaf", F.ceil(F.col("holding") / BLOCK).alias("vbs"), F.ceil(F.col("asking") / QUERIES).alias("qbs"))
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     mine = lambda c, n: F.pmod(F.xxhash64(c), F.col(n))
-    v = placed.join(plan, ["tree", "leaf"]).select("tree", "leaf", mine("key", "vbs").alias("vb"), upto("qbs").alias("qb"), "key", "first", "e")
-    q = visits.join(plan, ["tree", "leaf"]).join(of_vector, "query").select("tree", "leaf", mine("query", "qbs").alias("qb"), upto("vbs").alias("vb"), "query", "q")
-    block = ["tree", "leaf", "vb", "qb"]
-    near = q.groupBy(*block).cogroup(v.groupBy(*block)).applyInArrow(_rerank(top), "query long, key long, score double")
-    # A vector comes from several trees with one score. The best top + 1 vectors hold the best `top` rows besides the query's own.
-    once = near.groupBy("query", "key").agg(F.max("score").alias("score"))
-    owned = once.join(vectors.select("key", "owners"), "key").withColumn("first", F.col("owners")[0]["vec_id"])
-    few = owned.withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "first"))).filter(F.col("place") <= top + 1)
-    named = few.select("query", "score", F.explode("owners").alias("o")).select("query", "score", "o.vec_id", "o.row")
+    best_first = Window.partitionBy("query").orderBy(F.desc("score"), "first")
+
+    def met(visits: DataFrame) -> DataFrame:
+        """query, key, first, score: the best of each block of the visited leaves, `bound` and above."""
+        asking = visits.groupBy("tree", "leaf").agg(F.count("*").alias("asking"))
+        plan = holding.join(asking, ["tree", "leaf"]).select("tree", "leaf", F.ceil(F.col("holding") / BLOCK).alias("vbs"), F.ceil(F.col("asking") / QUERIES).alias("qbs"))
+        v = placed.join(plan, ["tree", "leaf"]).select("tree", "leaf", mine("key", "vbs").alias("vb"), upto("qbs").alias("qb"), "key", "first", "e")
+        q = visits.join(plan, ["tree", "leaf"]).join(of_vector, "query").select("tree", "leaf", mine("query", "qbs").alias("qb"), upto("vbs").alias("vb"), "query", "q", "bound")
+        block = ["tree", "leaf", "vb", "qb"]
+        return q.groupBy(*block).cogroup(v.groupBy(*block)).applyInArrow(_rerank(top), "query long, key long, first long, score double")
+
+    def best_vectors(near: DataFrame) -> DataFrame:
+        """The best top + 1 vectors hold the best `top` rows besides the query's own. A vector comes from several trees with one score."""
+        once = near.groupBy("query", "key").agg(F.max("score").alias("score"), F.first("first").alias("first"))
+        return once.withColumn("place", F.row_number().over(best_first)).filter(F.col("place") <= top + 1)
+
+    ahead = stored(best_vectors(met(visits.filter(F.col("at") < AHEAD).withColumn("bound", F.lit(float("-inf"))))).select("query", "key", "first", "score", "place"))
+    bounds = ahead.filter(F.col("place") == top + 1).select("query", F.col("score").alias("bound"))
+    rest = visits.filter(F.col("at") >= AHEAD).join(bounds, "query", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf"))))
+    few = best_vectors(ahead.select("query", "key", "first", "score").unionByName(met(rest)))
+    named = few.join(vectors.select("key", "owners"), "key").select("query", "score", F.explode("owners").alias("o")).select("query", "score", "o.vec_id", "o.row")
     best = named.withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row"))).filter(F.col("place") <= top + 1)
     answers = best.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "score", "row"))).alias("best"))
     keyed = asked.join(vectors.select("e", F.col("key").alias("query")), "e").select("query_id", "row", "query")
