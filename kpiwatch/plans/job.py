@@ -14,12 +14,14 @@ import argparse
 import datetime as dt
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from kpiwatch import schemas
 from kpiwatch.operators.message import alert_payload
 from kpiwatch.plans.alert import AlertConfig, alerts
+from kpiwatch.sources import runs
 from kpiwatch.sources.dimensions import load_dimension
 from kpiwatch.functions.columns import report_day_sql
 from kpiwatch.sources.sinks import replace_table, write_payloads
@@ -71,6 +73,46 @@ def run_job(spark: SparkSession, dialed: str, tat: str, thresholds: str, owners:
         write_payloads(wanted.join(messages, "dated", "left"), messages_out)
 
 
+FIGURES = "dated date, name string, value long"
+
+
+def _observed(o: Observation, names: list[str]) -> dict[str, int]:
+    """The observed counts; 0 where Spark knew the observed rows to be none before it read any, as on a day that the
+    mart doesn't have: such a plan has nothing left to observe, and asking for its metrics raises."""
+    try:
+        return o.get
+    except Py4JJavaError:
+        return dict.fromkeys(names, 0)
+
+
+def run_committed(spark: SparkSession, dialed: str, tat: str, thresholds: str, owners: str, links: str,
+                  root: str, cfg: AlertConfig) -> str:
+    """Like :func:`run_job`, but alerts, messages and the run's figures become visible together or not at all
+    (:mod:`kpiwatch.sources.runs`).  Returns the run's id.
+
+    The figures (turnaround rows read, alerts stored, alerts per rule) are observed while the job reads and
+    writes; no pass is made for them.  They are dated with the reported day, or the day of the run in a backfill.
+    """
+    d, t, thr, own, lnk = load_inputs(spark, dialed, tat, thresholds, owners, links)
+    day = _report_day(spark, cfg)
+    if day is not None:
+        cfg = replace(cfg, as_of=None, day=day)
+        t = t.where(F.col("dated") == F.lit(day))
+    read, kept, run = Observation("tat"), Observation("alerts"), runs.new_run()
+    t = t.observe(read, F.count(F.lit(1)).alias("tat_rows_read"))
+    names = ["alerts", *(f"alerts: {r.name}" for r in cfg.rules)]
+    counts = [F.count(F.lit(1)), *(F.count_if(F.col("metric_name") == r.name) for r in cfg.rules)]
+    rows = alerts(d, t, thr, cfg, ordered=False).observe(kept, *[c.alias(n) for n, c in zip(names, counts)])
+    runs.stage(rows, root, run, "alerts")
+    staged = spark.read.schema(schemas.ALERT).parquet(f"{root}/alerts/run={run}")
+    runs.stage(alert_payload(staged, own, lnk), root, run, "messages")
+    on = day or spark.sql("SELECT current_date() AS d").first().d
+    figures = [(on, name, value) for name, value in {**_observed(read, ["tat_rows_read"]), **_observed(kept, names)}.items()]
+    runs.stage(spark.createDataFrame(figures, FIGURES), root, run, "figures")
+    runs.commit(spark, root, run, day, day)
+    return run
+
+
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(description="KPI threshold alert job")
     for name in ("dialed", "tat", "thresholds", "owners", "links", "alerts-out", "messages-out"):

@@ -287,5 +287,6 @@ FROM block_json GROUP BY dated"""
     out["sink_replace"] = mart
     out["sink_append"] = mart
     out["sink_messages"] = out["alert_payload"]
+    out["alerts_committed"] = alerts_sql("events")
     out["lowercase_columns"] = "SELECT * FROM customer"
     return out

@@ -7,6 +7,7 @@ Column names equal those of :mod:`kpiwatch.plans.oracle`.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ from kpiwatch.plans.alert import AlertConfig, alerts, metrics, metrics_with_thre
 from kpiwatch.plans.oracle import EVENTS_AS_OF, ORDERS_DAY, PERIOD_QUANTILES, PERIOD_START
 from kpiwatch.plans.sql import alerts_sql, messages_sql
 from kpiwatch.sources import dimensions as dims
+from kpiwatch.sources import runs
 from kpiwatch.sources.marts import events_dialed, events_marts, orders_marts
 from kpiwatch.sources.sinks import append_table, read_stored, replace_table, shared_dir, write_payloads
 from kpiwatch.sources.tables import fetch, read_table
@@ -210,6 +212,19 @@ def sink_messages_q(spark, d):
     return read_stored(spark, path).select("dated", "payload")
 
 
+def alerts_committed_q(spark, d):
+    """Alerts and messages stored together: a backfill, a run of one day over it, and a run that was never
+    committed; read back, every day is that of its last committed run."""
+    root = _sink_path(spark, d, f"runs_{runs.new_run()}")
+    a, owners, links = _message_input(spark, d)
+    runs.store_run(spark, root, {"alerts": a, "messages": message.alert_payload(a, owners, links)})
+    on = dt.date.fromisoformat(EVENTS_AS_OF) - dt.timedelta(days=1)
+    one = _events_alerts(spark, d, DAY, ordered=False)
+    runs.store_run(spark, root, {"alerts": one, "messages": message.alert_payload(one, owners, links)}, on, on)
+    runs.stage(one.where("metric_threshold > 1"), root, runs.new_run(), "alerts")
+    return runs.committed(spark, root, "alerts", schemas.ALERT)
+
+
 def lowercase_columns_q(spark, d):
     """A query whose result comes back in upper case (as warehouses answer),
     normalised to lower-case column names."""
@@ -249,6 +264,7 @@ def queries() -> dict[str, Query]:
         "sink_replace": sink_replace_q,
         "sink_append": sink_append_q,
         "sink_messages": sink_messages_q,
+        "alerts_committed": alerts_committed_q,
         "lowercase_columns": lowercase_columns_q,
     })
     return out

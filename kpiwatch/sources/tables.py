@@ -52,7 +52,14 @@ def fetch(spark: SparkSession, query: str, **args) -> DataFrame:
 
 
 def lowercase_columns(df: DataFrame) -> DataFrame:
-    """Rename every column to lower case (warehouses often return upper case)."""
+    """Rename every column to lower case (warehouses often return upper case).
+
+    Names that differ only in case would become one name that nothing can address, so they raise.
+    """
+    low = [c.lower() for c in df.columns]
+    twice = sorted({c for c in low if low.count(c) > 1})
+    if twice:
+        raise ValueError(f"columns differ only in case: {twice}")
     return df.toDF(*[c.lower() for c in df.columns])
 
 
