@@ -26,10 +26,10 @@ Steps, none of which emits the pairs of a group:
 The tables are walked in rounds, with components merged in between, and a bucket whose members have one root by then is
 dropped. The rounds of AHEAD take a few tables, one block of a bucket at a time, and emit spanning forests only: groups of near
 copies become one component there, by about one edge a member. The last round takes all tables and every pair of blocks with
-different components. There a walk emits an edge for every two components that a possible pair joins, up to EDGES a member, else a
-spanning forest. A block that left a pair out and had an edge refuted is walked again, told of the refuted pairs, until every
-block is settled: no pair of different components that meets in a bucket and is still possible is left. Which links are found
-doesn't depend on the earlier rounds.
+different components. There a walk emits all possible edges, up to EDGES a member, else a spanning forest; where rounds went
+ahead, it emits one edge for every two components first. A block that left a pair out and had an edge refuted is walked
+again, told of the refuted pairs and with GROWTH times the edges, until every block is settled: no pair of different components
+that meets in a bucket and is still possible is left. Which links are found doesn't depend on the earlier rounds.
 """
 
 from __future__ import annotations
@@ -48,16 +48,22 @@ SHINGLE = 5
 ROWS = 4
 SKETCH_BITS = 1024
 BLOCK = 2048
-#: A walk lists an edge for every two components of its block up to so many per member, else a spanning forest.
+#: A walk lists the possible edges of its block up to so many per member, else a spanning forest.
 EDGES = 4
-#: The rounds before the last, and the tables (pairs of collections) that each walks.
-AHEAD = (((0, 1),), ((2, 3),), ((4, 5), (6, 7)))
+#: Every further walk of a block may list so many times the edges of the walk before.
+GROWTH = 4
 #: Rows of 24 bytes that name the texts to compare; up to so many are sent to all executors, more are shuffled.
 BROADCAST_ROWS = 1_000_000
+#: No bound on the edges listed for two components.
+ALL = 1 << 40
+#: Words whose hashes a task remembers at a time.
+REMEMBERED = 100_000
 #: A link: percent * |union| <= 100 * |intersection|. The first is operator 9's.
 PERCENT, STAGE_PERCENT = 85, 80
 #: Collections of minhashes for each percent.
 COLLECTIONS = {PERCENT: 20, STAGE_PERCENT: 28}
+#: The rounds before the last for each percent, and the tables (pairs of collections) that each walks.
+AHEAD = {PERCENT: (), STAGE_PERCENT: (((0, 1),), ((2, 3), (4, 5)))}
 
 
 def shingles(text: bytes, hashes: Hashes) -> np.ndarray:
@@ -103,7 +109,7 @@ def _sign(collections: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     seeds = _seeds(collections)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
+        hashes = Hashes(REMEMBERED)
         for batch in batches:
             n, cls, coll, sketch = [], [], [], []
             for text in texts(batch):
@@ -203,25 +209,25 @@ class _Block:
         return fits[odd * (100 + self.percent) <= (100 - self.percent) * (a + self.sizes[fits])]
 
 
-def _block_edges(names: list[bytes], block: _Block, roots: np.ndarray, refuted: dict[bytes, set[bytes]], most: int) -> tuple[list[tuple[bytes, bytes]], bool]:
+def _block_edges(names: list[bytes], block: _Block, roots: np.ndarray, refuted: dict[bytes, set[bytes]], most: float, each: int) -> tuple[list[tuple[bytes, bytes]], bool]:
     """Possible links between different components, and whether some were left out.
 
-    One for every two components, up to `most` per member; else (and with `most` 0, where all pairs of the block are looked at
+    At most `each` for every two components, up to `most` per member; else (and with `most` 0, where all pairs of the block are looked at
     and not only those that meet here first) a spanning forest, found breadth first, where reaching
     one member of a component reaches all. A member is only compared with what is not reached yet,
     so a block of true copies costs one row of comparisons, not a square.
     """
-    few, all_edges, joined, more = most * len(names), [], set(), False
+    few, all_edges, joined, more = most * len(names), [], {}, False
     for u in range(len(names) - 1 if most else 0):
         rest = u + 1 + np.flatnonzero(roots[u + 1 :] != roots[u])
         bad = refuted.get(names[u], ())
         for v in block.possible(u, rest).tolist():
             if names[v] not in bad:
                 both = (min(roots[u], roots[v]), max(roots[u], roots[v]))
-                if both in joined:
+                if joined.get(both, 0) >= each:
                     more = True
                 else:
-                    joined.add(both)
+                    joined[both] = joined.get(both, 0) + 1
                     all_edges.append((names[u], names[v]))
         if len(all_edges) > few:
             break
@@ -249,7 +255,7 @@ def _block_edges(names: list[bytes], block: _Block, roots: np.ndarray, refuted:
     return forest, True
 
 
-def _walk(percent: int, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _walk(percent: int, most: float, each: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows sorted by (bucket, part) -> edges; a member row has a sketch, a refuted pair has `other`."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +272,7 @@ def _walk(percent: int, most: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
             if len(number) < 2:
                 return {}
             block = _Block(members[names[0]]["pair"], [members[x]["n"] for x in names], [members[x]["sketch"] for x in names], percent)
-            some, more = _block_edges(names, block, roots, refuted, most)
+            some, more = _block_edges(names, block, roots, refuted, most, each)
             return {(min(e), max(e)): more for e in some}
 
         def out(found: dict[tuple[bytes, bytes], bool]) -> pa.RecordBatch:
@@ -294,7 +300,7 @@ def _walk(percent: int, most: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
     return walk
 
 
-def _possible_edges(dealt: DataFrame, classes: DataFrame, roots: DataFrame | None, refuted: DataFrame | None, percent: int, most: int) -> DataFrame:
+def _possible_edges(dealt: DataFrame, classes: DataFrame, roots: DataFrame | None, refuted: DataFrame | None, percent: int, most: float, each: int) -> DataFrame:
     """a, b, more: possible edges of the blocks; more: a walk that gave the edge left others out."""
     rows = dealt.drop("root").join(classes.select("cls", "n", "sketch"), "cls")
     rows = rows.withColumn("root", F.col("cls")) if roots is None else rows.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
@@ -303,12 +309,12 @@ def _possible_edges(dealt: DataFrame, classes: DataFrame, roots: DataFrame | Non
         told = dealt.join(refuted.select(F.col("a").alias("cls"), F.col("b").alias("other")), "cls")
         empty = F.lit(None).cast("binary")
         rows = rows.unionByName(told.select("bucket", "pair", "part", "cls", F.lit(None).cast("int").alias("n"), empty.alias("sketch"), empty.alias("root"), "other"))
-    walked = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(_walk(percent, most), "a binary, b binary, more boolean")
+    walked = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(_walk(percent, most, each), "a binary, b binary, more boolean")
     return walked.groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = Hashes()
+    hashes = Hashes(REMEMBERED)
     for batch in batches:
         for cls, text in zip(batch.column("cls"), texts(batch)):
             yield pa.RecordBatch.from_arrays([pa.array([cls.as_py()], pa.binary()), pa.array([shingles(text, hashes).tobytes()], pa.binary())], names=["cls", "members"])
@@ -377,10 +383,12 @@ def class_roots(docs: DataFrame, signed: DataFrame, percent: int = PERCENT) -> D
     """(cls, root) of all classes that have a link to another class; None where there is none."""
     classes = cut(_classes(signed))
     roots = links = refuted = sets = None
-    for tables in (*AHEAD, None):
+    for tables in (*AHEAD[percent], None):
         dealt = cut(buckets(classes, percent, roots, tables))
+        most, each = (0, 0) if tables is not None else (EDGES, 1 if AHEAD[percent] else ALL)
         while True:
-            edges = cut(_possible_edges(dealt, classes, roots, refuted, percent, EDGES if tables is None else 0))
+            edges = cut(_possible_edges(dealt, classes, roots, refuted, percent, most, each))
+            most, each = most * GROWTH, each * GROWTH
             if edges.isEmpty():
                 break
             sets = _with_sets(sets, edges, classes, docs)
