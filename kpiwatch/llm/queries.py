@@ -22,7 +22,8 @@ def op2_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_uniform_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topk.search(read_table(spark, sf_dir, "embeddings"))
+    found = topk.search(read_table(spark, sf_dir, "embeddings"))
+    return found.withColumn("score", F.col("score").try_cast("long"))
 
 
 def op4_log_bilinear_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
