@@ -47,3 +47,33 @@ def test_packing_balances_all_dimensions():
     to = sh.place(units)
     sums = np.array([units[to == s].sum(axis=0) for s in range(8)])
     assert (sums.max(axis=0) <= (1.01, 1.1, 1.1) * sums.mean(axis=0)).all()
+
+
+def test_equal_rows_are_split(spark, docs):
+    """A third of all rows are one row, repeated: shards stay within 2 %, and runs of slots don't hang on that row."""
+    texts = [(7, "one row, again and again")] * 1000 + [(1000 + i, f"text {i} of many more") for i in range(2000)]
+    rows = sh.sharded(docs(texts)).collect()
+    check(rows, texts, 1.02)
+    hot = [r["shard"] for r in rows if r.doc_id == 7]
+    assert len(hot) == 1000 and len(set(hot)) > 1
+
+
+@pytest.mark.parametrize("text", ["same", None])
+def test_only_equal_rows(spark, docs, text):
+    texts = [(None, text)] * 4000
+    check(sh.sharded(docs(texts)).collect(), texts, 1.1)
+
+
+def test_result_does_not_hang_on_partitions(spark, docs):
+    texts = [(7, "hot row")] * 300 + [(i, f"text {i // 3}") for i in range(500)]
+    got = [sorted((r.doc_id, r.text_crc32, r["shard"], r.slot) for r in sh.sharded(docs(texts).repartition(n)).collect()) for n in (1, 4, 13)]
+    assert got[0] == got[1] == got[2]
+
+
+def test_copies_are_numbered_without_gaps(spark, docs):
+    texts = [(1, "a")] * 2500 + [(1, "b"), (None, None), (None, None), (2, "a")]
+    rows = sh.copies(sh.stored(sh.sizes(docs(texts)).withColumn("key", sh.F.monotonically_increasing_id()))).collect()
+    of = {}
+    for r in rows:
+        of.setdefault((r.doc_id, r.text_crc32), []).append(r.copy)
+    assert sorted(len(c) for c in of.values()) == [1, 1, 2, 2500] and all(sorted(c) == list(range(len(c))) for c in of.values())
