@@ -4,28 +4,34 @@ Base spans are the leftmost non-overlapping matches of four patterns that pass t
 (digit counts, Luhn, parts up to 255). They are the seeds of the bootstrap:
 
 1. Every seed, and every other identifier-like run (SHORTEST characters or more with DIGITS digits, or an
-   at sign), is an instance in a lexical context: the LEFT words before it.
+   at sign; or digit groups joined by single spaces, dots, dashes and brackets, up to MOST digits), is an
+   instance in a lexical context: the two words before it in the text, digits read as 0.
 2. Instances and contexts form a graph whose edges are counted over all documents.
 3. ROUNDS times: a pattern (context and kind) scores the share of its occurrences that the current
    confidences ascribe to the kind; an instance scores the noisy-or of its patterns. Seeds keep 1.
 4. Patterns with a score of CONFIDENT or more and the weight of SUPPORT distinct instances are trusted. What
    stands in a trusted context is an added span of the pattern's kind, though no base pattern has it.
 
-Offsets count code points; ends are exclusive. Spans come from the text's pieces between matches,
-whose lengths are summed in runs of 64, so a text with very many matches stays near linear.
+Offsets count code points; ends are exclusive. Spans come from the text's pieces between matches. Sums and
+maxima of what comes before a span are kept for runs of RUN spans, and masked texts are put together from
+chunks, so that a text with very many matches stays near linear.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpiwatch.llm.common import cut
 
 KINDS = ("email", "ip", "card", "phone")
-LEFT = 2
 SHORTEST = 5
 DIGITS = 4
+MOST = 19
+RUN = 64
+CHUNK = 4096
 ROUNDS = 3
 CONFIDENT = 0.8
 SUPPORT = 3.0
@@ -37,7 +43,7 @@ _PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?+[0-9]){12,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "other": r"(?<![0-9A-Za-z@._+-])(?=[A-Za-z._+-]*+[0-9@])[0-9A-Za-z@._+-]++",
+    "other": r"(?<![0-9A-Za-z@._+-])(?:\(?+[0-9]++(?:\)?+[\x20.-]?+\(?+[0-9]++)++(?![0-9A-Za-z@_+])|(?=[A-Za-z._+-]*+[0-9@])[0-9A-Za-z@._+-]++)",
 }
 _HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]", "other": "[0-9@]"}
 _SPAN = "array<struct<value: string, start: int, stop: int, left: string>>"
@@ -69,48 +75,104 @@ def _valid(kind: str, value: Column) -> Column:
         return F.length(digits).between(9, 15)
     if kind == "other":
         long = F.length(value) >= SHORTEST
-        return long & ((F.length(digits) >= DIGITS) | value.contains("@"))
+        grouped = F.rlike(value, F.lit(r"[\x20()]"))
+        return long & ((F.length(digits) >= DIGITS) | value.contains("@")) & (~grouped | (F.length(digits) <= MOST))
     return F.lit(True)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with `value` evaluated once, also where `use` mentions it for each element of an array."""
+    return F.get(F.transform(F.array(value), lambda x: use(x)), F.lit(0))
+
+
+def _before(values: Column, total: Callable[[Column], Column], use: Callable[[Callable[[Column], Column]], Column]) -> Column:
+    """use(f), where f(i) is the `total` (a sum or maximum, 0 for none) of the first i of `values`."""
+    n = F.greatest(F.ceil(F.size(values) / RUN).cast("int"), F.lit(1))
+    of_runs = F.transform(F.sequence(F.lit(0), n - 1), lambda r: total(F.slice(values, r * RUN + 1, F.lit(RUN))))
+    of_starts = lambda runs: F.transform(F.sequence(F.lit(0), n), lambda r: total(F.slice(runs, F.lit(1), r)))
+
+    def at(starts: Column) -> Callable[[Column], Column]:
+        def f(i: Column) -> Column:
+            run = F.floor(i / RUN).cast("int")
+            return total(F.array(F.get(starts, run), total(F.slice(values, run * RUN + 1, i % RUN))))
+
+        return f
+
+    return _let(of_runs, lambda runs: _let(of_starts(runs), lambda starts: use(at(starts))))
+
+
+def _sum(a: Column) -> Column:
+    return F.aggregate(a, F.lit(0), lambda s, x: s + x)
+
+
+def _max(a: Column) -> Column:
+    return F.coalesce(F.array_max(a), F.lit(0))
+
+
 def _context(before: Column) -> Column:
-    """The last LEFT words of the 64 characters before a match, without case and outer punctuation."""
-    ws = F.array_remove(F.split(F.lower(F.right(before, F.lit(64))), r"[^\p{L}\p{N}]+"), "")
-    return F.when(F.size(ws) >= LEFT, F.array_join(F.slice(ws, -LEFT, LEFT), " "))
+    """The last two words of `before`, without case, digits as 0; null where there are fewer. Very long ones by their hash."""
+    # Read backwards, the words are found at once, however long the text before them is.
+    word, gap = r"[\p{L}\p{N}]++", r"[^\p{L}\p{N}]"
+    last = F.reverse(F.regexp_extract(F.reverse(before), rf"^{gap}*+({word}{gap}++{word})", 1))
+    plain = F.regexp_replace(F.regexp_replace(F.lower(last), rf"{gap}+", " "), "[0-9]+", "0")
+    return F.when(last != "", F.when(F.length(plain) > 128, F.sha2(plain, 256)).otherwise(plain))
 
 
-def _with_spans(rows: DataFrame, kind: str) -> DataFrame:
-    """`rows` with a column named by the kind: its valid spans, each with its left context."""
-    text, pattern, c = F.col("text"), F.lit(_PATTERNS[kind]), 64
-    none = F.array().cast("array<string>")
+def _spans(text: Column, kind: str) -> Column:
+    """The kind's valid spans in `text`, each with the context before it."""
+    none = F.array().cast(_SPAN)
+
+    def of(m: Column, p: Column, steps: Column) -> Column:
+        def span(ends: Callable[[Column], Column]) -> Callable[[Column, Column], Column]:
+            def one(x: Column, i: Column) -> Column:
+                stop = ends(i + 1)
+                # Two matches back there are two words, if there are any.
+                near = [F.get(a, i - back) for back in (2, 1) for a in (p, m)]
+                left = _context(F.concat_ws("", *near, F.get(p, i)))
+                return F.struct(x.alias("value"), (stop - F.char_length(x)).alias("start"), stop.alias("stop"), left.alias("left"))
+
+            return one
+
+        good = F.transform(m, lambda x, i: F.struct(x.alias("x"), i.alias("i"), _valid(kind, x).alias("ok")))
+        return _before(steps, _sum, lambda ends: F.transform(F.filter(good, lambda g: g["ok"]), lambda g: span(ends)(g["x"], g["i"])))
+
+    def pieces(m: Column) -> Column:
+        steps = lambda p: F.transform(m, lambda x, i: F.char_length(x) + F.char_length(F.get(p, i)))
+        return _let(F.split(text, _PATTERNS[kind], -1), lambda p: _let(steps(p), lambda s: of(m, p, s)))
+
+    matches = F.regexp_extract_all(text, F.lit(_PATTERNS[kind]), F.lit(0))
     hit = F.rlike(text, F.lit(_HINTS[kind]))
-    rows = rows.withColumn("m", F.when(hit, F.regexp_extract_all(text, pattern, F.lit(0))).otherwise(none))
-    rows = rows.withColumn("p", F.when(F.size("m") > 0, F.split(text, _PATTERNS[kind], -1)).otherwise(none))
-    total = lambda a, first, n: F.aggregate(F.slice(a, first, n), F.lit(0), lambda s, x: s + x)
-    steps = F.transform("m", lambda x, i: F.char_length(x) + F.char_length(F.get("p", i)))
-    rows = rows.withColumn("steps", steps)
-    runs = F.when(F.size("m") > 0, F.sequence(F.lit(0), F.floor((F.size("m") - 1) / c).cast("int"))).otherwise(F.array().cast("array<int>"))
-    rows = rows.withColumn("sums", F.transform(runs, lambda r: total(F.col("steps"), r * c + 1, F.lit(c))))
-    rows = rows.withColumn("base", F.transform("sums", lambda _, i: total(F.col("sums"), F.lit(1), i)))
+    return F.when(hit, _let(matches, lambda m: F.when(F.size(m) > 0, pieces(m)).otherwise(none))).otherwise(none)
+
 
-    def span(x: Column, i: Column) -> Column:
-        run = F.floor(i / c).cast("int")
-        stop = F.get("base", run) + total(F.col("steps"), run * c + 1, i % c + 1)
-        return F.struct(x.alias("value"), (stop - F.char_length(x)).alias("start"), stop.alias("stop"), _context(F.get("p", i)).alias("left"))
+def _clear(base: Column, other: Column) -> Column:
+    """The spans of `other` (which don't overlap each other) that overlap none of `base`."""
+    marked = lambda a, is_other: F.transform(a, lambda s: F.struct(s["start"].alias("start"), F.lit(is_other).alias("other"), s["stop"].alias("stop"), s.alias("s")))
 
-    spans = F.filter(F.transform("m", span), lambda s: _valid(kind, s["value"]))
-    return rows.withColumn(kind, F.when(F.size("m") > 0, spans).otherwise(F.array().cast(_SPAN))).drop("m", "p", "steps", "sums", "base")
+    def of(spans: Column) -> Column:
+        def free(ends: Callable[[Column], Column]) -> Callable[[Column, Column], Column]:
+            def one(s: Column, i: Column) -> Column:
+                # After a span of `other`, only what starts before the next such span can overlap it.
+                after = F.get(spans, i + 1)
+                met = F.coalesce(~after["other"] & (after["start"] < s["stop"]), F.lit(False))
+                return F.when(s["other"], (ends(i) <= s["start"]) & ~met).otherwise(False)
+
+            return one
+
+        stops = F.transform(spans, lambda s: F.when(s["other"], 0).otherwise(s["stop"]))
+        return _let(stops, lambda v: _before(v, _max, lambda ends: F.transform(F.filter(spans, free(ends)), lambda s: s["s"])))
+
+    both = F.sort_array(F.concat(marked(base, False), marked(other, True)))
+    return F.when((F.size(base) == 0) | (F.size(other) == 0), other).otherwise(_let(both, of))
 
 
 def found(docs: DataFrame) -> DataFrame:
     """doc_id, th (hash of the text), the four kinds' base spans and `other`: identifier-like runs beside them."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("th", F.xxhash64("text"))
-    for kind in (*KINDS, "other"):
-        rows = _with_spans(rows, kind)
-    base = F.concat(*(F.col(k) for k in KINDS))
-    clear = F.filter("other", lambda o: ~F.exists(base, lambda b: (o["start"] < b["stop"]) & (b["start"] < o["stop"])))
-    return rows.select("doc_id", "th", *KINDS, clear.alias("other"))
+    rows = rows.select("doc_id", "th", *(_spans(F.col("text"), k).alias(k) for k in (*KINDS, "other")))
+    clear = _let(F.concat(*(F.col(k) for k in KINDS)), lambda base: _clear(base, F.col("other")))
+    return rows.withColumn("other", clear)
 
 
 def _instances(spans: DataFrame) -> DataFrame:
@@ -174,16 +236,23 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
 def _masked(text: Column, spans: Column) -> Column:
     """`text` with every span replaced by its kind in brackets; of overlapping ones, the earlier stands."""
-    start = F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
+    by_start = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
+
+    def of(chunks: Column, spans: Column, stops: Column) -> Column:
+        def part(a: Column, z: Column) -> Column:
+            first, last = F.floor(a / CHUNK).cast("int"), F.floor(F.greatest(z - 1, a) / CHUNK).cast("int")
+            return F.substring(F.array_join(F.slice(chunks, first + 1, last - first + 1), ""), a - first * CHUNK + 1, z - a)
+
+        def one(ends: Callable[[Column], Column]) -> Callable[[Column, Column], Column]:
+            tag = lambda s: F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
+            return lambda s, i: _let(ends(i), lambda at: F.when(s["start"] >= at, F.concat(part(at, s["start"]), tag(s))).otherwise(""))
 
-    def step(a: Column, s: Column) -> Column:
-        gap = F.substring(text, a["at"] + 1, s["start"] - a["at"])
-        tag = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        fresh = s["start"] >= a["at"]
-        return F.struct(F.when(fresh, F.concat(a["done"], gap, tag)).otherwise(a["done"]).alias("done"), F.greatest(a["at"], s["stop"]).alias("at"))
+        body = _before(stops, _max, lambda ends: F.array_join(F.transform(spans, one(ends)), ""))
+        return F.concat(body, part(_max(stops), F.char_length(text)))
 
-    by_start = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
-    return F.aggregate(by_start, start, step, lambda a: F.concat(a["done"], F.substring(text, a["at"] + 1, F.length(text))))
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    stops = lambda s: F.transform(s, lambda x: x["stop"])
+    return _let(chunks, lambda c: _let(by_start, lambda s: _let(stops(s), lambda v: of(c, s, v))))
 
 
 def masked(docs: DataFrame) -> DataFrame:
