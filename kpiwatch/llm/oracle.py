@@ -57,14 +57,14 @@ FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN ids USING (doc_id)
 
 OP3 = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  SELECT row_number() OVER () AS k, vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
 ),
 s AS (
-  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_sum(list_transform(list_zip(q.x, v.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
-  FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0
+  SELECT q.k AS qk, q.vec_id AS query_id, v.vec_id, CAST(list_sum(list_transform(list_zip(q.x, v.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.k <> v.k WHERE q.vec_id % 50 = 0
 ),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY qk ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
