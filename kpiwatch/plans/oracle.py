@@ -286,7 +286,7 @@ FROM block_json GROUP BY dated"""
     mart = f"SELECT * FROM ({events_dialed_sql()}) m"
     out["sink_replace"] = mart
     out["sink_append"] = mart
-    out["sink_messages"] = out["alert_payload"]
+    out["sink_messages"] = out["sink_messages_source"] = out["alert_payload"]
     out["alerts_committed"] = alerts_sql("events")
     out["lowercase_columns"] = "SELECT * FROM customer"
     return out

@@ -25,6 +25,7 @@ from kpiwatch.plans.sql import alerts_sql, messages_sql
 from kpiwatch.sources import dimensions as dims
 from kpiwatch.sources import runs
 from kpiwatch.sources.marts import events_dialed, events_marts, orders_marts
+from kpiwatch.sources.messages import read_messages, store_messages
 from kpiwatch.sources.sinks import append_table, read_stored, replace_table, shared_dir, write_payloads
 from kpiwatch.sources.tables import fetch, read_table
 
@@ -212,6 +213,16 @@ def sink_messages_q(spark, d):
     return read_stored(spark, path).select("dated", "payload")
 
 
+def sink_messages_source_q(spark, d):
+    """The same through the message data source: all days, then one of them again, then an empty write."""
+    path = _sink_path(spark, d, "message_source")
+    messages = message.alert_payload(*_message_input(spark, d))
+    store_messages(messages, path, "overwrite")
+    store_messages(read_messages(spark, path).where(F.col("dated") == F.date_sub(F.lit(EVENTS_AS_OF).cast("date"), 1)), path)
+    store_messages(read_messages(spark, path).limit(0), path)
+    return read_messages(spark, path)
+
+
 def alerts_committed_q(spark, d):
     """Alerts and messages stored together: a backfill, a run of one day over it, and a run that was never
     committed; read back, every day is that of its last committed run."""
@@ -264,6 +275,7 @@ def queries() -> dict[str, Query]:
         "sink_replace": sink_replace_q,
         "sink_append": sink_append_q,
         "sink_messages": sink_messages_q,
+        "sink_messages_source": sink_messages_source_q,
         "alerts_committed": alerts_committed_q,
         "lowercase_columns": lowercase_columns_q,
     })

@@ -3,7 +3,7 @@
 The job reports on days as their mart partitions land.  Both mart
 directories are read as file streams; each micro-batch names the days that
 changed in either, and ``foreachBatch`` recomputes the alerts and the message of exactly
-those days from the stored marts (partition-pruned reads), then overwrites
+those days from the stored marts (pruned at run time by a stored table of the batch's days), then overwrites
 those days' message partitions: a (dated, payload) Parquet table, with a NULL
 payload for a day that no longer has alerts.  With ``availableNow`` a scheduler run
 processes whatever landed since the last run and stops; the checkpoint (in
@@ -13,8 +13,6 @@ retried or restarted run neither skips nor duplicates a day.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,17 +23,29 @@ from kpiwatch.plans.alert import AlertConfig, alerts
 from kpiwatch.sources.sinks import shared_dir, write_payloads
 
 
-def days_report(spark: SparkSession, dialed_path: str, tat_path: str, days: list[dt.date],
+def days_report(spark: SparkSession, dialed_path: str, tat_path: str, days: DataFrame,
                 thresholds: DataFrame, owners: DataFrame, links: DataFrame,
                 cfg: AlertConfig = AlertConfig(all_days=True)) -> DataFrame:
-    """(dated, payload) for each of the given days, from the stored marts; the
-    payload is NULL for a day without alerts (no message)."""
-    pick = F.col("dated").isin(days)
-    dialed = spark.read.schema(schemas.DIALED).parquet(dialed_path).where(pick)
-    tat = spark.read.schema(schemas.TAT).parquet(tat_path).where(pick)
+    """(dated, payload) for each row of ``days`` (dated, distinct), from the stored marts; the
+    payload is NULL for a day without alerts (no message).
+
+    The marts are read by a semi join with ``days``: where that is a filtered table, as a run's
+    days are, Spark prunes the marts' partitions by it at run time."""
+    dialed = spark.read.schema(schemas.DIALED).parquet(dialed_path).join(days, "dated", "left_semi")
+    tat = spark.read.schema(schemas.TAT).parquet(tat_path).join(days, "dated", "left_semi")
     messages = alert_payload(alerts(dialed, tat, thresholds, cfg, ordered=False), owners, links)
-    wanted = spark.createDataFrame([(d,) for d in days], "dated date")
-    return wanted.join(messages, "dated", "left")
+    return days.join(messages, "dated", "left")
+
+
+def store_days(batch: DataFrame, path: str, epoch_id: int) -> DataFrame:
+    """The distinct days of a micro-batch, stored as that epoch's partition of a days table and read back.
+
+    A retried epoch replaces its partition, so it reports on the same days again."""
+    days = batch.select("dated").where("dated IS NOT NULL").distinct()
+    (days.select("dated", F.lit(epoch_id).cast("long").alias("epoch")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(path))
+    stored = batch.sparkSession.read.schema("dated date, epoch long").parquet(path)
+    return stored.where(F.col("epoch") == epoch_id).select("dated")
 
 
 def run_incremental(spark: SparkSession, dialed_path: str, tat_path: str, payload_path: str,
@@ -56,11 +66,9 @@ def run_incremental(spark: SparkSession, dialed_path: str, tat_path: str, payloa
     landed = watch(dialed_path, schemas.DIALED).unionByName(watch(tat_path, schemas.TAT))
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        # The days touched by this batch: a handful of dates, bounded by the
-        # files of one trigger; listing them lets both mart reads prune to
-        # those partitions instead of scanning every day.
-        days = [r.dated for r in batch.select("dated").distinct().collect()]
-        if not days:
+        # The days touched by this batch are a table, not a list on the driver.
+        days = store_days(batch, f"{checkpoint.rstrip('/')}-days", epoch_id)
+        if days.isEmpty():
             return
         report = days_report(batch.sparkSession, dialed_path, tat_path, days, thresholds, owners, links, cfg)
         write_payloads(report, payload_path)
