@@ -10,9 +10,13 @@ class scores r . Q[w] + b[w] (a log-bilinear model with diagonal position matric
 class, tokens have additive-smoothed shares that leave one share for what was never seen. All
 probabilities of a context sum to one: the normalisers of all class pairs are one batched product.
 
-Training. Tasks train copies of the model on all tokens of their own training documents, and Spark
-averages the copies, weighted by tokens. Equal triples of a class and its context are one example with
-the times it stands; its gradient has that weight. Noise is drawn from the class frequencies.
+Training. The model sees classes only, so the triples of a class and its two context classes, with the
+times they stand in all training documents, say all that it can learn from them. Spark counts them
+(there are at most classes^3), and deals each triple's times evenly to a number of groups that follows
+from the corpus alone. A task trains one copy of the model for each group, on triples in hash order, a
+buffer at a time; Spark averages the copies, weighted by tokens. So the scores don't depend on how the table
+is partitioned, but for the last digits of float sums. A triple's gradient is weighted by its times. Noise is
+drawn from the class frequencies.
 
 Scores. Tasks take the counts of at most COMMON tokens with them. The others of a document travel
 as (document, token, times) to the counts, by an ordinary join, so no count is ever dropped.
@@ -41,10 +45,13 @@ NOISE = 32
 RATE = 0.1
 #: Most tokens whose counts are sent to every task.
 COMMON = 262_144
-#: Distinct context triples a task holds before it trains on them.
+#: Distinct context triples a task holds before it writes them out or trains on them.
 BUFFER = 1_000_000
 #: An example that stands more often is split into several, dealt to different batches.
 HEAVY = 64
+#: Tokens of a training group, and the most groups.
+GROUP = 8_000_000
+GROUPS = 64
 
 
 class Keys(Hashes):
@@ -105,6 +112,9 @@ class Model:
     #: Once normalised: what each context class gives each class from one place and from two places before.
     near: np.ndarray | None = None
     far: np.ndarray | None = None
+    #: Adagrad's sums, where several calls of `train` are one run, and the times above which an example is split.
+    steps: list[np.ndarray] | None = None
+    heavy: float = HEAVY
 
     @property
     def classes(self) -> int:
@@ -135,6 +145,10 @@ class Model:
         """Natural log-probability of each class given its context classes."""
         return self.near[one, w] + self.far[two, w] - self.log_z[one, two]
 
+    def start(self) -> list[np.ndarray]:
+        """Adagrad's sums before the first batch."""
+        return [np.full_like(x, 1e-2) for x in (self.R, self.Q, self.C, self.b)]
+
     def train(self, w: np.ndarray, one: np.ndarray, two: np.ndarray, rng: np.random.Generator, times: np.ndarray | None = None) -> None:
         """Noise-contrastive estimation by Adagrad; each batch shares its noise classes.
 
@@ -143,11 +157,11 @@ class Model:
         if times is None:
             times = np.ones(len(w))
         else:
-            parts = -(-times // HEAVY)
+            parts = np.ceil(times / self.heavy).astype(int)
             w, one, two, times = (np.repeat(x, parts) for x in (w, one, two, times / parts))
         mean = times.mean() if len(times) else 1.0
         noise = np.exp(self.log_noise)
-        grads = [np.full_like(x, 1e-2) for x in (self.R, self.Q, self.C, self.b)]
+        grads = self.steps or self.start()
 
         def spread(rows: np.ndarray, g: np.ndarray) -> np.ndarray:
             k = g.shape[1]
@@ -193,14 +207,13 @@ def _unflat(m: Model, flat: np.ndarray) -> None:
         at += size
 
 
-def trained(docs: DataFrame, model: Model) -> Model:
-    """`model` trained in every task on its documents' tokens, and averaged by Spark."""
+def triples(docs: DataFrame, model: Model) -> DataFrame:
+    """code, c: how often each class stands after each two classes in `docs` (text); code = (one * n + two) * n + class."""
     end = int(Keys()[b""])
 
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Model(model.head, model.log_noise, *(x.copy() for x in (model.R, model.Q, model.C, model.b)))
-        keys, held, waiting, size, total, n = Keys(), [], 0, 0, 0, m.classes
-        last = int(m.of(np.array([end]))[0])
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, held, waiting, n = Keys(), [], 0, model.classes
+        last = int(model.of(np.array([end]))[0])
         code, times = np.empty(0, np.int64), np.empty(0, np.int64)
 
         def gather() -> None:
@@ -214,33 +227,82 @@ def trained(docs: DataFrame, model: Model) -> Model:
             code, times = both[starts], np.add.reduceat(np.concatenate([times, c])[order], starts)
             held, waiting = [], 0
 
-        def learn() -> None:
-            nonlocal code, times
-            m.train(code % n, code // n // n, code // n % n, np.random.default_rng(size), times)
-            code, times = code[:0], times[:0]
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), pa.array(times, pa.int64())], names=["code", "c"])
 
         for batch in batches:
             for text in texts(batch):
-                w = m.of(keys.of_text(text))
-                one, two = m.contexts(w, last)
+                w = model.of(keys.of_text(text))
+                one, two = model.contexts(w, last)
                 held.append((one * n + two) * n + w)
                 waiting += len(w)
-                size += len(w)
                 if waiting >= BUFFER:
                     gather()
                 if len(code) >= BUFFER:
-                    learn()
-                    total, size = total + size, 0
+                    yield out()
+                    code, times = code[:0], times[:0]
         if held:
             gather()
         if len(code):
-            learn()
-            total += size
-        if total:
+            yield out()
+
+    return docs.select("text").mapInArrow(count, "code long, c long").groupBy("code").agg(F.sum("c").alias("c"))
+
+
+def dealt(found: DataFrame, groups: int) -> DataFrame:
+    """g, code, c: each triple's times shared out among the groups, as evenly as whole numbers go."""
+    first = F.pmod(F.xxhash64("code"), F.lit(groups))
+    each = found.select("code", "c", first.alias("first"), F.explode(F.sequence(F.lit(0), F.least(F.col("c"), F.lit(groups)).cast("int") - 1)).alias("i"))
+    more = (F.col("i") < F.col("c") % groups).cast("long")
+    return each.select(((F.col("first") + F.col("i")) % groups).cast("int").alias("g"), "code", (F.floor(F.col("c") / groups) + more).cast("long").alias("c"))
+
+
+def trained(docs: DataFrame, model: Model) -> Model:
+    """`model` trained on all tokens of `docs`: a copy for each group of dealt triples, averaged by Spark."""
+    found = cut(triples(docs, model))
+    total = found.agg(F.sum("c")).first()[0] or 0
+    groups = max(1, min(GROUPS, -(-total // GROUP)))
+    # Above GROUPS * GROUP tokens, examples grow heavier, not more.
+    heavy = max(float(HEAVY), HEAVY * total / (groups * GROUP))
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, m, seen, number, n = None, None, 0, 0, model.classes
+        code, times = np.empty(0, np.int64), np.empty(0, np.int64)
+
+        def learn(most: int) -> None:
+            nonlocal code, times, seen, number
+            now, often = code[:most], times[:most]
+            m.train(now % n, now // n // n, now // n % n, np.random.default_rng([group, number]), often)
+            seen, number = seen + int(often.sum()), number + 1
+            code, times = code[most:], times[most:]
+
+        def close() -> pa.RecordBatch:
+            if len(code):
+                learn(len(code))
             flat = _flat(m)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int32()), pa.array(flat), pa.array(np.full(len(flat), float(total)))], names=["i", "v", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int32()), pa.array(flat), pa.array(np.full(len(flat), float(seen)))], names=["i", "v", "n"])
 
-    mean = docs.select("text").mapInArrow(fit, "i int, v double, n double").groupBy("i").agg((F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("v"))
+        for batch in batches:
+            g, some, c = (batch.column(k).to_numpy() for k in ("g", "code", "c"))
+            edges = [0, *(np.flatnonzero(np.diff(g)) + 1).tolist(), len(g)]
+            for a, b in zip(edges, edges[1:]):
+                if a == b:
+                    continue
+                if g[a] != group:
+                    if group is not None:
+                        yield close()
+                    group, seen, number = int(g[a]), 0, 0
+                    code, times = code[:0], times[:0]
+                    m = Model(model.head, model.log_noise, *(x.copy() for x in (model.R, model.Q, model.C, model.b)), heavy=heavy)
+                    m.steps = m.start()
+                code, times = np.concatenate([code, some[a:b]]), np.concatenate([times, c[a:b]])
+                while len(code) >= BUFFER:
+                    learn(BUFFER)
+        if group is not None:
+            yield close()
+
+    parts = dealt(found, groups).repartitionById(groups, "g").sortWithinPartitions("g", F.xxhash64("code", "g"), "code")
+    mean = parts.mapInArrow(fit, "i int, v double, n double").groupBy("i").agg((F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("v"))
     rows = mean.orderBy("i").toPandas()  # as many as the model has parameters
     if len(rows):
         _unflat(model, rows.v.to_numpy(float))
@@ -306,31 +368,31 @@ def scores(docs: DataFrame) -> DataFrame:
                 base = float(logs[spot[known]].sum()) if len(tokens) else 0.0
                 within = (float(logs[spot[known & tail]].sum()) if len(tokens) else 0.0) - float(denominator[w[tail] - len(head)].sum())
                 rare, tf = np.unique(t[~known], return_counts=True)
-                # The first row is the document's; each of the others brings a token to its count.
+                # The first row is the document's; each of the others brings a token to its count, the first of them marked.
                 m = len(rare)
-                for column, first, rest in zip(out, (doc, th, None, len(t), int(known.sum()), 1, base, of_class + within), ([doc] * m, [th] * m, rare.tolist(), tf.tolist(), [0] * m, [0] * m, [0.0] * m, [0.0] * m)):
+                for column, first, rest in zip(out, (doc, th, None, len(t), int(known.sum()), 1, base, of_class + within), ([doc] * m, [th] * m, rare.tolist(), tf.tolist(), [0] * m, [1] * (m > 0) + [0] * (m - 1), [0.0] * m, [0.0] * m)):
                     column.append(first)
                     column.extend(rest)
             types = [pa.int64()] * 6 + [pa.float64()] * 2
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, types)], names=["doc_id", "th", "token", "tf", "known", "copies", "base", "score"])
 
     made = cut(rows.withColumn("th", F.xxhash64("text")).mapInArrow(score, "doc_id long, th long, token long, tf long, known long, copies long, base double, score double"))
-    rare = made.filter("token IS NOT NULL").join(c, "token", "left")
     log = F.col("tf") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)
-    zero = F.lit(0).cast("long")
-    rare = rare.select("doc_id", "th", zero.alias("n"), F.when(F.col("c").isNotNull(), F.col("tf")).otherwise(0).alias("known"), "copies", log.alias("base"), log.alias("score"))
-    whole = made.filter("token IS NULL").select("doc_id", "th", F.col("tf").alias("n"), "known", "copies", "base", "score")
-    sums = whole.unionByName(rare).groupBy("doc_id", "th").agg(*(F.sum(x).alias(x) for x in ("n", "known", "copies", "base", "score")))
-    # Repeated rows were summed together; each gets its part.
-    part = lambda x: F.col(x) / F.col("copies")
-    each = sums.select("*", F.explode(F.expr("array_repeat(0, int(copies))")))
+    rare = made.filter("token IS NOT NULL").join(c, "token", "left")
+    known = F.when(F.col("c").isNotNull(), F.col("tf")).otherwise(0)
+    # Repeated rows are summed together; each gets its part. There is one sum for each (doc_id, text), so the join
+    # may split a hot one's rows among tasks.
+    copies = F.sum("copies")
+    sums = rare.groupBy(F.col("doc_id").alias("d"), F.col("th").alias("h")).agg((F.sum(known) / copies).cast("long").alias("more"), (F.sum(log) / copies).alias("log"))
+    whole = made.filter("token IS NULL").join(sums, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h")), "left")
     total = float(np.log10(N + 0.5 * (V + 1)))
-    return each.select(
+    more = F.coalesce("log", F.lit(0.0))
+    return whole.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
-        part("n").cast("long").alias("n_tokens"),
-        part("known").cast("long").alias("n_known"),
+        F.col("tf").alias("n_tokens"),
+        (F.col("known") + F.coalesce("more", F.lit(0))).cast("long").alias("n_known"),
         F.lit(N).cast("long").alias("train_tokens"),
-        (part("base") - part("n") * total).alias("base_score"),
-        part("score").alias("score"),
+        (F.col("base") + more - F.col("tf") * total).alias("base_score"),
+        (F.col("score") + more).alias("score"),
     )

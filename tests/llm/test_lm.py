@@ -107,6 +107,71 @@ def test_weighted_examples_train_like_repeated_ones(model):
         assert a == pytest.approx(b, abs=1e-4)
 
 
+def corpus(n=60):
+    rng = np.random.default_rng(3)
+    return [(i, " ".join(f"w{k}" for k in rng.zipf(1.3, 80) % 300)) for i in range(n)] + [(7, "w1 w2 w1 odd") for _ in range(30)]
+
+
+def test_scores_do_not_depend_on_partitions(spark, docs, monkeypatch):
+    monkeypatch.setattr(lm, "GROUP", 700)
+    monkeypatch.setattr(lm, "BUFFER", 256)
+    monkeypatch.setattr(lm, "COMMON", 50)
+    found = []
+    for parts in (1, 4, 13):
+        rows = lm.scores(docs(corpus()).repartition(parts)).collect()
+        found.append(sorted((r.doc_id, r.n_tokens, r.score, r.base_score) for r in rows))
+    for other in found[1:]:
+        assert [x[:2] for x in other] == [x[:2] for x in found[0]]
+        assert np.array([x[2:] for x in other]) == pytest.approx(np.array([x[2:] for x in found[0]]), abs=1e-9)
+
+
+def test_dealt_triples_are_even_and_whole(spark):
+    rows = [(i, c) for i, c in enumerate([1, 2, 6, 7, 8, 699, 10**12])]
+    got = Counter()
+    sizes = {}
+    for r in lm.dealt(spark.createDataFrame(rows, "code long, c long"), 7).collect():
+        got[r.code] += r.c
+        sizes.setdefault(r.code, []).append(r.c)
+        assert 0 <= r.g < 7 and r.c > 0
+    assert dict(got) == dict(rows)
+    assert all(max(x) - min(x) <= 1 for x in sizes.values())
+
+
+def test_score_of_a_text_against_brute_force(spark, docs, monkeypatch):
+    """The model that `trained` gives, told token by token from the definition."""
+    kept = []
+    real = lm.trained
+    monkeypatch.setattr(lm, "trained", lambda d, m: kept.append(real(d, m)) or kept[-1])
+    monkeypatch.setattr(lm, "HEAD", 20)
+    monkeypatch.setattr(lm, "COMMON", 40)
+    texts = corpus(30) + [(None, "never seen Words"), (200, None)]
+    rows = lm.scores(docs(texts)).collect()
+    (m,) = kept
+    key = lm.Keys()
+    c = Counter(key[t] for i, x in texts if not held(i) for t in tokens(x))
+    tail = [[k for k in c if k & (lm.TAIL - 1) == j and k not in set(m.head.tolist())] for j in range(lm.TAIL)]
+
+    def cls(t):
+        return m.head.tolist().index(t) if t in m.head else len(m.head) + (t & (lm.TAIL - 1))
+
+    def score(x):
+        one = two = cls(key[b""])
+        out = 0.0
+        for t in (key[t] for t in tokens(x)):
+            r = m.C[0] * m.R[one] + m.C[1] * m.R[two]
+            z = np.array([r @ m.Q[k] + m.b[k] for k in range(m.classes)])
+            w = cls(t)
+            out += z[w] - np.log(np.exp(z).sum())
+            if w >= len(m.head):
+                inside = tail[w - len(m.head)]
+                out += np.log((c.get(t, 0) + 0.5) / (sum(c[k] for k in inside) + 0.5 * (len(inside) + 1)))
+            one, two = w, one
+        return out / np.log(10)
+
+    want = sorted((i or -1, round(score(x), 6)) for i, x in texts)
+    assert sorted((r.doc_id or -1, round(r.score, 6)) for r in rows) == want
+
+
 class _Same:
     """Stands for a generator: no shuffling, noise in order."""
 
