@@ -11,7 +11,7 @@ toxic share of all labelled training rows. Labels of rows whose crc32(doc_id as
 are held out: never read for training, for the prior or for features.
 
 Only two bounded samples are ever gathered: up to about MOST_POSITIVE and MOST_UNLABELLED documents,
-chosen by hash. Feature counts over the samples are taken by Spark; the driver sees at most MOST_FEATURES features and,
+chosen by hash of doc_id; an id that stands in many rows is one of them, with one of its texts. Feature counts over the samples are taken by Spark; the driver sees at most MOST_FEATURES features and,
 for each sampled document, the numbers of those it has. Every whole text is scored, in tasks.
 """
 
@@ -31,6 +31,7 @@ from kpiwatch.llm.common import cut
 FOLDS = 5
 MOST_POSITIVE = 5_000
 MOST_UNLABELLED = 10_000
+#: Only the features with the highest ratios are kept, this many.
 MOST_FEATURES = 1_024
 BEGINNINGS = (4, 5, 6, 7)
 #: Features enter the model if their rates in P and U differ by this log-likelihood ratio, with P's higher.
@@ -128,17 +129,18 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     prior = min(max(n_toxic / n_known, 1e-4), 0.9)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id IS NOT NULL")
     texts = texts.filter(~held_out(F.col("doc_id")))
-    p_ids = _sampled(known.filter("toxic = 1").select("doc_id"), F.col("doc_id"), MOST_POSITIVE, n_toxic).withColumn("p", F.lit(True))
+    p_ids = F.broadcast(_sampled(known.filter("toxic = 1").select("doc_id"), F.col("doc_id"), MOST_POSITIVE, n_toxic).withColumn("p", F.lit(True)))
     share = MOST_UNLABELLED / max(texts.select("doc_id").count(), MOST_UNLABELLED)
     u = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30))
-    # The ids are bounded by MOST_POSITIVE; the join keeps a document if it is in either sample.
-    sample = texts.withColumn("u", u).join(F.broadcast(p_ids), "doc_id", "left").withColumn("p", F.coalesce("p", F.lit(False))).filter("p OR u")
+    sample = texts.withColumn("u", u).join(p_ids, "doc_id", "left").withColumn("p", F.coalesce("p", F.lit(False))).filter("p OR u")
+    # Labels and the prior count ids, so an id that stands in many rows is one example: its text of least hash.
+    sample = sample.groupBy("doc_id", "p", "u").agg(F.min(F.struct(F.xxhash64("text").alias("key"), "text")).alias("t")).select("doc_id", "p", "u", "t.text")
 
     @F.pandas_udf("array<string>")
     def present(text: pd.Series) -> pd.Series:
         return text.map(lambda x: sorted(features(x)))
 
-    sample = cut(sample.select("p", "u", F.monotonically_increasing_id().alias("row"), present("text").alias("features")))
+    sample = cut(sample.select("p", "u", F.col("doc_id").alias("row"), present("text").alias("features")))
     n_p, n_u = (x or 0 for x in sample.agg(F.sum(F.col("p").cast("int")), F.sum(F.col("u").cast("int"))).first())
     if not n_p or not n_u:
         return Model(bias=float(np.log(prior / (1 - prior))))
@@ -154,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     def numbers(fs: pd.Series) -> pd.Series:
         return fs.map(lambda x: [number[w] for w in x if w in number])
 
-    rows = sample.select("p", "u", numbers("features").alias("x")).toPandas()
+    rows = sample.select("row", "p", "u", numbers("features").alias("x")).toPandas().sort_values("row")
     pos = [np.asarray(x, int) for x in rows.loc[rows.p, "x"]]
     unl = [np.asarray(x, int) for x in rows.loc[rows.u, "x"]]
     w = np.mean([fit(pos, unl, len(names), prior, seed) for seed in range(MODELS)], axis=0)

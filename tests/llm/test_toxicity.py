@@ -73,3 +73,20 @@ def test_query_on_held_out_labels(spark):
     labels = [r for r in spark.read.parquet(f"{folder}/labels.parquet").collect() if scores[r.doc_id].held_out]
     hit = sum(scores[r.doc_id].predicted == r.toxic for r in labels)
     assert hit / len(labels) > 0.95
+
+
+def test_hot_id_and_equal_rows_stay_within_the_sample(spark, docs, monkeypatch):
+    """A toxic id with a third of all rows, and a row that stands 300 times, leave the fit bounded and right."""
+    rows, labels = corpus(400)
+    hot = next(i for i, t in labels if t and zlib.crc32(str(i).encode()) % 5)
+    rows += [(hot, f"vilewords w{i % 200} w{(i * 7) % 200} x{i}") for i in range(600)] + [rows[11]] * 300
+    seen = []
+    real = tx.fit
+    monkeypatch.setattr(tx, "MOST_POSITIVE", 60)
+    monkeypatch.setattr(tx, "MOST_UNLABELLED", 600)
+    monkeypatch.setattr(tx, "fit", lambda pos, unl, *a: seen.append((len(pos), len(unl))) or real(pos, unl, *a))
+    out = tx.toxicity(*tables(spark, docs, rows, labels)).collect()
+    assert len(out) == len(rows)
+    assert all(0 < p <= 60 and 0 < u <= 400 for p, u in seen)
+    bad = {i for i in range(400) if i % 5 == 0}
+    assert {r.doc_id for r in out if r.predicted} == bad
