@@ -9,7 +9,9 @@ Vectors are cut into LISTS blocks of components. For a query, each block is a li
    at least bound - sum(low) in total, hence by 1/m of that in some list. Each query takes its
    cutoffs low_j + (bound - sum(low)) / m to every list, which sends all entries that reach them.
 3. Resolve: an entry that one list sent and another didn't is bounded by the other's cutoff; those whose bound
-   stays below the lower bound go. What is left and not yet whole is scored exactly, then all is ranked.
+   stays below the lower bound go. For what is left, the lists that didn't send it are asked for its score.
+   The lists of a block lie in one group, so each pair of blocks answers with its best TOP exact scores, and
+   what is ranked grows with queries times blocks, not with queries times vectors.
 
 Queries and vectors meet in blocks: BLOCK vectors by QUERIES queries, each pair of blocks one group
 of bounded size, dealt by hash. A block of queries travels to each block of vectors; nothing is
@@ -192,28 +194,24 @@ def search(embeddings: DataFrame, every: int = EVERY, top: int = TOP) -> DataFra
         kind = _kind(qm, vm)
         if kind is not object and max(np.abs(cutoffs).max(), np.abs(bound).max()) < 2**60:
             cutoffs, bound = cutoffs.astype(np.int64), bound.astype(np.int64)
-        some, whole = np.zeros((len(q), len(v)), bool), np.ones((len(q), len(v)), bool)
-        most = np.zeros(some.shape, cutoffs.dtype)
+        some = np.zeros((len(q), len(v)), bool)
+        most, unsent = np.zeros(some.shape, cutoffs.dtype), np.zeros(some.shape, cutoffs.dtype)
         for j, s in enumerate(_slices(vm.shape[1])):
-            p = _products(qm[:, s], vm[:, s], kind).astype(cutoffs.dtype, copy=False)
-            has = (p >= cutoffs[:, j : j + 1]).astype(bool) | free[:, None]
+            p, cutoff = _products(qm[:, s], vm[:, s], kind).astype(cutoffs.dtype, copy=False), cutoffs[:, j : j + 1]
+            has = (p >= cutoff).astype(bool) | free[:, None]
             some |= has
-            whole &= has
-            most = most + np.where(has, p, cutoffs[:, j : j + 1])
+            most += np.where(has, p, cutoff)
+            # What the bound lacks to the score: the lists' answers to phase 3.
+            unsent += np.where(has, 0, p - cutoff)
         some &= ((most >= bound[:, None]).astype(bool) | free[:, None]) & (q_keys[:, None] != v_keys[None, :])
-        # Entries that all lists sent are exact: of a block, the best `top` suffice, and they bound the others.
-        kept = _top(most, some & whole, top)
-        left = some & ~whole
-        for i in np.flatnonzero((kept.sum(axis=1) == top) & left.any(axis=1)):
-            left[i] &= (most[i] >= most[i, kept[i]].min()).astype(bool)
-        i, k = np.nonzero(kept | left)
-        codes = [coded(most[a, b]) if whole[a, b] else None for a, b in zip(i, k)]
+        exact = most + unsent
+        i, k = np.nonzero(_top(exact, some, top))
+        codes = [coded(x) for x in exact[i, k]]
         return pd.DataFrame({"qkey": q_keys[i], "key": v_keys[k], "vec_id": v_ids[k], "code": pd.Series(codes, dtype=object)})
 
     q, v = _met(known, vectors, ["lows", "bound"])
     left = cut(q.groupBy(*keys).cogroup(v.groupBy(*keys)).applyInPandas(collect, "qkey long, key long, vec_id long, code string"))
-    resolved = _scored(left.filter("code IS NULL").select("qkey", "key"), queries, vectors)
-    ranked = left.filter("code IS NOT NULL").unionByName(resolved).withColumn("rank", F.row_number().over(nth)).filter(F.col("rank") <= top)
+    ranked = left.withColumn("rank", F.row_number().over(nth)).filter(F.col("rank") <= top)
     return ranked.join(queries.select("qkey", "query_id"), "qkey").select("query_id", "rank", "vec_id", number(F.col("code")).alias("score"))
 
 

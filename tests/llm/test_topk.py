@@ -68,3 +68,15 @@ def test_codes_sort_like_numbers(spark):
     assert codes == sorted(codes) and [topk.decoded(c) for c in codes] == numbers
     df = spark.createDataFrame([(c,) for c in codes], "code string").select(topk.number(F.col("code")).alias("n"))
     assert [r.n if r.n is None else int(r.n) for r in df.collect()] == [n if abs(n) < 10**38 else None for n in numbers]
+
+
+def test_a_block_answers_with_its_best_scores_only(spark, monkeypatch):
+    sent = []
+    monkeypatch.setattr(topk, "cut", lambda df, cut=topk.cut: sent.append(cut(df)) or sent[-1])
+    monkeypatch.setattr(topk, "BLOCK", 64)
+    # Half of a vector agrees with the queries and the other half doesn't: no list's cutoff decides.
+    rng = np.random.default_rng(5)
+    rows = [(i, np.concatenate([x := rng.normal(size=8), rng.normal(size=8) - x])) for i in range(400)]
+    assert run(spark, rows, 20, 3) == brute(rows, 20, 3)
+    queries, blocks = 20, -(-400 // 64)
+    assert sent[-1].count() <= 3 * queries * blocks
