@@ -64,6 +64,23 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class Places:
+    """Where values stand among sorted 64-bit hashes: their first bits tell about where, a few steps the rest."""
+
+    def __init__(self, hashes: np.ndarray, bits: int = 16):
+        self.hashes, self.shift = hashes, np.uint64(64 - bits)
+        self.begins = np.searchsorted(hashes, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+        self.steps = int(np.diff(self.begins, append=len(hashes)).max()) - 1
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        """The place of each value; that of any hash, if it isn't there. There must be hashes."""
+        spot = np.minimum(self.begins[(x >> self.shift).astype(np.int64)], len(self.hashes) - 1)
+        for _ in range(self.steps):
+            spot += self.hashes[spot] < x
+            np.minimum(spot, len(self.hashes) - 1, out=spot)
+        return spot
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[bytes]:
     """Each row's text as UTF-8 bytes, one at a time; null is empty."""
     for value in batch.column(column):

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiwatch.llm.common import Hashes, cut, texts
+from kpiwatch.llm.common import Hashes, Places, cut, texts
 
 FOLDS, HELD = 5, 1
 HEAD = 255
@@ -45,6 +45,8 @@ NOISE = 32
 RATE = 0.1
 #: Most tokens whose counts are sent to every task.
 COMMON = 262_144
+#: Bytes of text whose tokens are made at a time (one text at least).
+CHUNK = 2_000_000
 #: Distinct context triples a task holds before it writes them out or trains on them.
 BUFFER = 1_000_000
 #: An example that stands more often is split into several, dealt to different batches.
@@ -54,9 +56,52 @@ GROUP = 8_000_000
 GROUPS = 64
 
 
+#: Constants of XXH3 (64 bits, no seed): the first bytes of its secret, XORed as each length takes them, and its primes.
+_FLIP_3, _FLIP_8, _FLIP_16A, _FLIP_16B = (np.uint64(x) for x in (0x87275A9B, 0xC73AB174C5ECD5A2, 0x6782737BEA4239B9, 0xAF56BC3B0996523A))
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+
+
+def _short(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """XXH3 of 1 to 3 bytes, the low ones of `first`."""
+    one, eight = np.uint64(0xFF), np.uint64(8)
+    x = (first & one) << np.uint64(16) | (first >> eight * (n >> np.uint64(1)) & one) << np.uint64(24) | first >> eight * (n - np.uint64(1)) & one | n << eight
+    x ^= _FLIP_3
+    x = (x ^ x >> np.uint64(33)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    x = (x ^ x >> np.uint64(29)) * np.uint64(0x165667B19E3779F9)
+    return x ^ x >> np.uint64(32)
+
+
+def _medium(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """XXH3 of 4 to 8 bytes, the low ones of `first`."""
+    low = np.uint64(0xFFFFFFFF)
+    x = ((first >> np.uint64(8) * (n - np.uint64(4)) & low) + (first << np.uint64(32))) ^ _FLIP_8
+    x ^= (x << np.uint64(49) | x >> np.uint64(15)) ^ (x << np.uint64(24) | x >> np.uint64(40))
+    x *= np.uint64(0x9FB21C651E98DF25)
+    x = (x ^ (x >> np.uint64(35)) + n) * np.uint64(0x9FB21C651E98DF25)
+    return x ^ x >> np.uint64(28)
+
+
+def _long(first: np.ndarray, last: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """XXH3 of 9 to 16 bytes, by the first and the last eight."""
+    a, b, low, half = first ^ _FLIP_16A, last ^ _FLIP_16B, np.uint64(0xFFFFFFFF), np.uint64(32)
+    # Both halves of the product of 64 bits, XORed.
+    ll, lh, hl = (a & low) * (b & low), (a & low) * (b >> half), (a >> half) * (b & low)
+    middle = (ll >> half) + (hl & low) + lh
+    folded = ((a >> half) * (b >> half) + (hl >> half) + (middle >> half)) ^ (middle << half | ll & low)
+    x = n + a.byteswap() + b + folded
+    x = (x ^ x >> np.uint64(37)) * np.uint64(0x165667919E3779F9)
+    return x ^ x >> np.uint64(32)
+
+
 class Keys(Hashes):
     """64-bit key of each token (bytes; the end is empty): a hash over the class of the ending."""
 
+    def __init__(self, most: int = 400_000):
+        super().__init__(most)
+        ending = np.arange(1 << 16, dtype=np.uint64)
+        mask = np.uint64(TAIL - 1)
+        self.ones, self.twos = _short(ending[:256], np.uint64(1)) & mask, _short(ending, np.uint64(2)) & mask
+
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.most:
             self.clear()
@@ -65,10 +110,53 @@ class Keys(Hashes):
         self[word] = key = key - (1 << 64) if key >= 1 << 63 else key
         return key
 
-    def of_text(self, text: bytes) -> np.ndarray:
-        words = text.lower().split()
-        words.append(b"")
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+    def of_texts(self, some: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The keys of the texts' tokens, one text after another, and how many each has (its end included).
+
+        Words of up to 16 bytes are hashed together; the others one by one.
+        """
+        sizes = np.array([len(x) + 1 for x in some])
+        joined = b" ".join(some).lower() + b" "
+        raw = np.frombuffer(joined + bytes(16 - len(joined) % 8), np.uint8)
+        edges = np.flatnonzero(np.diff(_SPACE[raw[: len(joined)]].view(np.int8), prepend=np.int8(1)))
+        start, n = edges[::2], edges[1::2] - edges[::2]
+        words = raw.view("<u8")
+
+        def eight(at: np.ndarray) -> np.ndarray:
+            shift = (at & 7).astype(np.uint64) << np.uint64(3)
+            at = at >> 3
+            return words[at] >> shift | words[at + 1] << np.uint64(1) << (np.uint64(63) - shift)
+
+        first, length, keys = eight(start), n.astype(np.uint64), np.empty(len(n), np.uint64)
+        for i, of in ((n < 4, _short), ((n >= 4) & (n < 9), _medium)):
+            i = np.flatnonzero(i)
+            keys[i] = of(first[i], length[i])
+        i = np.flatnonzero((n >= 9) & (n < 17))
+        keys[i] = _long(first[i], eight(start[i] + n[i] - 8), length[i])
+        end = start + n
+        two = raw[end - 2].astype(np.int64) | raw[end - 1].astype(np.int64) << 8
+        keys = (keys & ~np.uint64(TAIL - 1) | np.where(n > 1, self.twos[two], self.ones[raw[end - 1]])).view(np.int64)
+        for i in np.flatnonzero(n > 16).tolist():
+            keys[i] = self[joined[start[i] : end[i]]]
+        counts = np.diff(np.searchsorted(start, np.cumsum(sizes)), prepend=0) + 1
+        last = np.cumsum(counts) - 1
+        out, is_word = np.full(len(keys) + len(some), self[b""], np.int64), np.ones(len(keys) + len(some), bool)
+        is_word[last] = False
+        out[is_word] = keys
+        return out, counts
+
+
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
+    """A batch's texts in runs of about CHUNK bytes, each with the number of its first row."""
+    held, size, at = [], 0, 0
+    for text in texts(batch):
+        held.append(text)
+        size += len(text)
+        if size >= CHUNK:
+            yield at, held
+            held, size, at = [], 0, at + len(held)
+    if held:
+        yield at, held
 
 
 def held_out(doc_id: Column) -> Column:
@@ -86,8 +174,8 @@ def counts(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(token, pa.int64()), pa.array(c, pa.int64())], names=["token", "c"])
 
         for batch in batches:
-            for text in texts(batch):
-                held.append(keys.of_text(text))
+            for _, some in _chunks(batch):
+                held.append(keys.of_texts(some)[0])
                 size += len(held[-1])
                 if size >= 2 * BUFFER:
                     yield out()
@@ -126,10 +214,13 @@ class Model:
         tail = len(self.head) + (tokens & (TAIL - 1))
         return np.where(self.head[spot] == tokens, spot, tail) if len(self.head) else tail
 
-    def contexts(self, w: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
-        """The classes one and two places before each token; before the text stand ends."""
+    def contexts(self, w: np.ndarray, end: int, starts: np.ndarray | slice = slice(0, 1)) -> tuple[np.ndarray, np.ndarray]:
+        """The classes one and two places before each token; before each text, which begin at `starts`, stand ends."""
         one = np.concatenate([[end], w[:-1]])
-        return one, np.concatenate([[end], one[:-1]])
+        one[starts] = end
+        two = np.concatenate([[end], one[:-1]])
+        two[starts] = end
+        return one, two
 
     def normalise(self) -> None:
         """log of the sum of exp scores, for every pair of context classes, by batches of rows."""
@@ -231,9 +322,10 @@ def triples(docs: DataFrame, model: Model) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), pa.array(times, pa.int64())], names=["code", "c"])
 
         for batch in batches:
-            for text in texts(batch):
-                w = model.of(keys.of_text(text))
-                one, two = model.contexts(w, last)
+            for _, some in _chunks(batch):
+                t, sizes = keys.of_texts(some)
+                w = model.of(t)
+                one, two = model.contexts(w, last, np.cumsum(sizes) - sizes)
                 held.append((one * n + two) * n + w)
                 waiting += len(w)
                 if waiting >= BUFFER:
@@ -353,28 +445,37 @@ def scores(docs: DataFrame) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = Keys()
         last = int(model.of(np.array([end]))[0])
-        logs = np.log10(times + 0.5)
+        # One entry more, for what isn't among the common tokens.
+        logs = np.append(np.log10(times + 0.5), 0.0)
+        order = lambda x: x.view(np.uint64) ^ np.uint64(1 << 63)
+        places = Places(order(tokens), 18) if len(tokens) else None
+        shares = np.concatenate([np.zeros(len(head)), denominator])
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], [], [], []]
-            for doc, th, text in zip(batch.column("doc_id"), batch.column("th"), texts(batch)):
-                doc, th = doc.as_py(), th.as_py()
-                t = keys.of_text(text)
+            for at, some in _chunks(batch):
+                t, sizes = keys.of_texts(some)
+                starts = np.cumsum(sizes) - sizes
                 w = model.of(t)
-                one, two = model.contexts(w, last)
-                of_class = float(model.log_prob(w, one, two).sum()) / np.log(10)
-                spot = np.minimum(np.searchsorted(tokens, t), max(len(tokens) - 1, 0))
-                known = tokens[spot] == t if len(tokens) else np.zeros(len(t), bool)
-                tail = w >= len(head)
-                base = float(logs[spot[known]].sum()) if len(tokens) else 0.0
-                within = (float(logs[spot[known & tail]].sum()) if len(tokens) else 0.0) - float(denominator[w[tail] - len(head)].sum())
-                rare, tf = np.unique(t[~known], return_counts=True)
-                # The first row is the document's; each of the others brings a token to its count, the first of them marked.
-                m = len(rare)
-                for column, first, rest in zip(out, (doc, th, None, len(t), int(known.sum()), 1, base, of_class + within), ([doc] * m, [th] * m, rare.tolist(), tf.tolist(), [0] * m, [1] * (m > 0) + [0] * (m - 1), [0.0] * m, [0.0] * m)):
-                    column.append(first)
-                    column.extend(rest)
-            types = [pa.int64()] * 6 + [pa.float64()] * 2
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, types)], names=["doc_id", "th", "token", "tf", "known", "copies", "base", "score"])
+                of_class = np.add.reduceat(model.log_prob(w, *model.contexts(w, last, starts)), starts) / np.log(10)
+                spot = places.of(order(t)) if places else np.zeros(len(t), np.int64)
+                known = tokens[spot] == t if places else np.zeros(len(t), bool)
+                log = logs[np.where(known, spot, -1)]
+                base = np.add.reduceat(log, starts)
+                within = np.add.reduceat(np.where(w >= len(head), log, 0.0) - shares[w], starts)
+                # After the documents' rows, each row brings a document's token to its count, a document's first one marked.
+                row = np.repeat(np.arange(len(some)), sizes)[~known]
+                rare = t[~known]
+                by = np.lexsort((rare, row))
+                row, rare = row[by], rare[by]
+                new = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(rare, prepend=0) != 0))
+                tf, row, rare = np.diff(new, append=len(rare)), row[new], rare[new]
+                more, n = len(row), len(some)
+                doc, th = (x if not more else pa.concat_arrays([x, x.take(pa.array(row))]) for x in (batch.column(c).slice(at, n) for c in ("doc_id", "th")))
+                token = pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(rare, pa.int64())])
+                found = np.add.reduceat(known.astype(np.int64), starts)
+                longs = ([sizes, tf], [found, np.zeros(more, np.int64)], [np.ones(n, np.int64), np.diff(row, prepend=-1) != 0])
+                doubles = ([base, np.zeros(more)], [of_class + within, np.zeros(more)])
+                columns = [pa.array(np.concatenate(x).astype(kind)) for some_columns, kind in ((longs, np.int64), (doubles, np.float64)) for x in some_columns]
+                yield pa.RecordBatch.from_arrays([doc, th, token, *columns], names=["doc_id", "th", "token", "tf", "known", "copies", "base", "score"])
 
     made = cut(rows.withColumn("th", F.xxhash64("text")).mapInArrow(score, "doc_id long, th long, token long, tf long, known long, copies long, base double, score double"))
     log = F.col("tf") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)

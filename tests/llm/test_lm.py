@@ -180,3 +180,15 @@ class _Same:
 
     def choice(self, n, size, p):
         return np.arange(size) % n
+
+
+def test_keys_of_many_texts_are_those_of_each_word():
+    rng = np.random.default_rng(4)
+    texts = [b"", b" ", b"\n A\x0b", bytes(range(256)), *(b" ".join(bytes(rng.integers(33, 256, n, np.uint8)) for n in range(1, 40)) for _ in range(50))]
+    keys, one_by_one = lm.Keys(), lm.Keys()
+    got, sizes = keys.of_texts(texts)
+    words = [[*x.lower().split(), b""] for x in texts]
+    assert sizes.tolist() == [len(x) for x in words]
+    assert got.tolist() == [one_by_one[w] for x in words for w in x]
+    # Only long words, and the end, are hashed one by one.
+    assert all(len(w) > 16 or not w for w in keys)
