@@ -7,8 +7,8 @@ segmentations of highest Gumbel-perturbed log-probability, which is a sample wit
 * Piece probabilities follow the vocabulary's merge order by Zipf's law, p ~ 1 / (rank + SHIFT); bytes share
   the last rank. The file has ranks only, and nothing is trained here.
 * Pieces cross neither the start of a run of spaces nor a line break, so the lattice is a chain of blocks. The
-  lattices and backward sums of a chunk's distinct blocks are made together: substrings are looked
-  up by hash, length by length, and sums go from the blocks' ends to their starts.
+  lattices and backward sums of a chunk's new distinct blocks are made together: substrings are looked
+  up by hash, length by length, and sums go from the blocks' ends to their starts. A task keeps them for later chunks.
 * A* over prefixes: a node's value is the best perturbed value below it, and the children of a node get
   theirs by drawing Gumbels conditioned on their maximum being the parent's value. In exponential form
   (value = -log t) a child's time is t + (e - min e) * exp(-phi), with e = Exponential / p. The best
@@ -22,7 +22,6 @@ segmentations of highest Gumbel-perturbed log-probability, which is a sample wit
 from __future__ import annotations
 
 import math
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,13 +32,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiwatch.llm.common import mixed
+from kpiwatch.llm.common import Places, mixed
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SHIFT = 2.7
 #: Characters that one numpy step works on; bounds the memory of a task.
-CHUNK = 500_000
+CHUNK = 250_000
+#: Characters of distinct blocks whose lattices a task keeps for the next chunk.
+REMEMBERED = 300_000
 
 
 @dataclass(frozen=True)
@@ -65,6 +66,17 @@ def _longer(h: np.ndarray, code: np.ndarray) -> np.ndarray:
     return mixed(h * np.uint64(0x9E3779B97F4A7C15) + code + np.uint64(1))
 
 
+def _width(codes: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes of each character."""
+    return 1 + (codes >= 0x80).astype(int) + (codes >= 0x800) + (codes >= 0x10000)
+
+
+def _spans(firsts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of spans (first, count) one after another, and where each span begins among them."""
+    starts = np.cumsum(counts) - counts
+    return np.arange(counts.sum()) + np.repeat(firsts - starts, counts), starts
+
+
 def vocabulary(path: str = MODEL) -> Vocabulary:
     import sentencepiece
 
@@ -99,70 +111,123 @@ def vocabulary(path: str = MODEL) -> Vocabulary:
 
 def decode(ids: list[int], voc: Vocabulary) -> str:
     """The text of a sequence of ids, without the space that encoding puts in front."""
-    return b"".join([voc.texts[i] for i in ids])[1:].decode("utf-8", "surrogatepass")
+    return b"".join(map(voc.texts.__getitem__, ids))[1:].decode("utf-8", "surrogatepass")
+
+
+class _Numbers(dict):
+    """The number of each block, by its hash, in order of first use."""
 
+    def __missing__(self, block: int) -> int:
+        n = self[block] = len(self)
+        return n
 
-class _Chunk:
-    """The lattices of a few texts' distinct blocks as flat arrays: nodes are characters, edges pieces.
+
+class Lattices:
+    """The lattices of distinct blocks as flat arrays: nodes are characters, edges pieces.
 
     An edge's `ids` entry is the piece, or -1 - code for a character that is coded in bytes; `logp`
     is the log-probability of the edge among its node's, by the weights of all paths to the block's end.
+    Blocks are told apart by hash, and kept from one chunk of texts to the next, until they hold more than REMEMBERED characters; a
+    lattice is the same whichever blocks it is made with.
     """
 
-    def __init__(self, texts: list[str], voc: Vocabulary):
-        cut = re.compile(r"\n| +[^ \n]*|[^ \n]+" if voc.lines else r" +[^ ]*|[^ ]+")
-        number: dict[str, int] = {}
-        self.blocks = [np.array([number.setdefault(b, len(number)) for b in cut.findall(" " + t)], np.int64) for t in texts]
+    def __init__(self, voc: Vocabulary):
         self.voc = voc
-        self.size = np.array([len(b) for b in number], np.int64)
-        self.first_node = np.cumsum(self.size) - self.size
-        codes = _codes("".join(number))
-        n, none = len(codes), np.iinfo(np.int32).min
-        left = np.repeat(self.first_node + self.size, self.size) - np.arange(n)  # characters to the block's end
-        found = np.full((n, len(voc.by_length)), none, np.int32)
-        at, h = np.arange(n), np.zeros(n, np.uint64)
-        for i, (hashes, ids, more) in enumerate(voc.by_length):
+        self.places = [Places(hashes) for hashes, _, _ in voc.by_length]
+        self.clear()
+
+    def clear(self) -> None:
+        self.number = _Numbers()
+        self.size = self.first_node = self.counts = self.first_edge = np.empty(0, np.int64)
+        self.ids = self.targets = np.empty(0, np.int32)
+        self.logp = self.inverse = np.empty(0)
+
+    def blocks(self, texts: list[str]) -> list[np.ndarray]:
+        """The numbers of each text's blocks, whose lattices are there from now on."""
+        if len(self.counts) > REMEMBERED:
+            self.clear()
+        codes = _codes("".join([" " + t for t in texts]))
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        space, line = codes == ord(" "), (codes == ord("\n")) & self.voc.lines
+        begins = space | line
+        begins[1:] &= ~(space[1:] & space[:-1])
+        begins[1:] |= line[:-1]
+        begins[ends[:-1]] = True
+        first = np.flatnonzero(begins)
+        size = np.diff(first, append=len(codes))
+        place = np.arange(1, len(codes) + 1) - np.repeat(first, size)
+        h = np.add.reduceat(mixed(codes + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), first) if len(first) else codes
+        h, one, block = np.unique(h + size.astype(np.uint64), return_index=True, return_inverse=True)
+        known = len(self.number)
+        number = np.fromiter(map(self.number.__getitem__, h.tolist()), np.int64, len(h))
+        new = one[number >= known]
+        if len(new):
+            self._add(size[new], codes[_spans(first[new], size[new])[0]])
+        return np.split(number[block], np.searchsorted(first, ends[:-1])) if texts else []
+
+    def _add(self, size: np.ndarray, codes: np.ndarray) -> None:
+        """Make the lattices of new blocks, the last of `number`, from their sizes and characters."""
+        voc = self.voc
+        first_node = np.cumsum(size) - size
+        n = len(codes)
+        left = np.repeat(first_node + size, size) - np.arange(n)  # characters to the block's end
+        at, h, found = np.arange(n), np.zeros(n, np.uint64), []
+        for i, (hashes, pieces, more) in enumerate(voc.by_length):
             # Only what began a longer piece so far, and does not end its block, goes on.
-            fits = left[at] > i
-            at, h = at[fits], h[fits]
+            if i:
+                fits = left[at] > i
+                at, h = at[fits], h[fits]
             h = _longer(h, codes[at + i])
-            spot = np.minimum(np.searchsorted(hashes, h), len(ids) - 1)
+            spot = self.places[i].of(h)
             same = hashes[spot] == h
             at, h, spot = at[same], h[same], spot[same]
-            piece = ids[spot] >= 0
-            found[at[piece], i] = ids[spot[piece]]
-            at, h = at[more[spot]], h[more[spot]]
-        bare = np.flatnonzero(found[:, 0] == none)
-        found[bare, 0] = -1 - codes[bare].astype(np.int32)
-        node, length = np.nonzero(found != none)
-        self.ids = found[node, length].astype(np.int64)
-        self.counts = np.bincount(node, minlength=n)
-        self.first_edge = np.cumsum(self.counts) - self.counts
-        weight = voc.logp[np.maximum(self.ids, 0)]
-        byted = np.flatnonzero(self.ids < 0)
-        code = codes[node[byted]]
-        weight[byted] = (1 + (code >= 0x80).astype(int) + (code >= 0x800) + (code >= 0x10000)) * voc.logp[voc.byte_ids[0]]
+            piece = pieces[spot]
+            whole = piece >= 0
+            found.append((at[whole], piece[whole]))
+            if not i:
+                bare = np.ones(n, bool)
+                bare[found[0][0]] = False
+                bare = np.flatnonzero(bare)
+                found.append((bare, -1 - codes[bare].astype(np.int32)))
+            goes = more[spot]
+            at, h = at[goes], h[goes]
+        lengths = [0, *range(len(voc.by_length))]
+        counts = np.zeros(n, np.int64)
+        for nodes, _ in found:
+            counts[nodes] += 1
+        first_edge = np.cumsum(counts) - counts
+        ids, length, node = np.empty(int(counts.sum()), np.int32), np.empty(int(counts.sum()), np.int64), np.repeat(np.arange(n), counts)
+        free = first_edge.copy()  # where the node's next edge goes, by length
+        for i, (nodes, piece) in zip(lengths, found):
+            spot = free[nodes]
+            ids[spot], length[spot] = piece, i
+            free[nodes] += 1
+        weight = voc.logp[np.maximum(ids, 0)]
+        byted = np.flatnonzero(ids < 0)
+        weight[byted] = _width(codes[node[byted]]) * voc.logp[voc.byte_ids[0]]
         back = np.zeros(n + 1)
         to = np.where(left[node] == length + 1, n, node + length + 1)  # the last entry of `back` is the end of any block
         by_left = np.argsort(left, kind="stable")
         cuts = np.cumsum(np.bincount(left, minlength=1)) if n else np.zeros(1, int)
+        # The edges in the order in which their nodes' sums are made.
+        edges, starts = _spans(first_edge[by_left], counts[by_left])
+        of_edge, ends, sizes = weight[edges], to[edges], counts[by_left]
+        starts = np.append(starts, len(edges))
         for lo, hi in zip(cuts, cuts[1:]):
-            nodes = by_left[lo:hi]
-            if not len(nodes):
+            if lo == hi:
                 continue
-            edges, starts = self._edges(nodes)
-            x = weight[edges] + back[to[edges]]
-            top = np.maximum.reduceat(x, starts)
-            back[nodes] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, self.counts[nodes])), starts))
-        self.logp = weight + back[to] - back[node]
-        self.inverse = np.exp(-self.logp)
-        self.targets = node + length + 1 - np.repeat(self.first_node, self.size)[node]
-
-    def _edges(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The nodes' edges one after another, and where each node's begin."""
-        counts = self.counts[nodes]
-        starts = np.cumsum(counts) - counts
-        return np.arange(counts.sum()) + np.repeat(self.first_edge[nodes] - starts, counts), starts
+            a, b = starts[lo], starts[hi]
+            x = of_edge[a:b] + back[ends[a:b]]
+            top = np.maximum.reduceat(x, starts[lo:hi] - a)
+            back[by_left[lo:hi]] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, sizes[lo:hi])), starts[lo:hi] - a))
+        logp = weight + back[to] - back[node]
+        targets = (node + length + 1 - np.repeat(first_node, size)[node]).astype(np.int32)
+        join = lambda old, more: np.concatenate([old, more]) if len(old) else more
+        nodes_before, edges_before = len(self.counts), len(self.ids)
+        self.size, self.first_node = join(self.size, size), join(self.first_node, first_node + nodes_before)
+        self.counts, self.first_edge = join(self.counts, counts), join(self.first_edge, first_edge + edges_before)
+        self.ids, self.targets = join(self.ids, ids), join(self.targets, targets)
+        self.logp, self.inverse = join(self.logp, logp), join(self.inverse, np.exp(-logp))
 
     def walk(self, kind: np.ndarray, at: np.ndarray, key: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, ...]:
         """Follow the best child from position `at` of each block to its end.
@@ -174,13 +239,14 @@ class _Chunk:
         live, at, t, seen = np.flatnonzero(at < self.size[kind]), at.copy(), 0, 0
         while len(live):
             node = self.first_node[kind[live]] + at[live]
-            edge, starts = self._edges(node)
-            owner = np.repeat(np.arange(len(live)), self.counts[node])
-            nth = np.arange(len(edge)) - starts[owner]
+            counts = self.counts[node]
+            edge, starts = _spans(self.first_edge[node], counts)
+            owner = np.repeat(np.arange(len(live)), counts)
+            nth = np.arange(len(edge)) - np.repeat(starts, counts)
             spot = key[live] + (offset[live] + at[live]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            h = mixed(mixed(spot)[owner] + nth.astype(np.uint64))
+            h = mixed(np.repeat(mixed(spot), counts) + nth.astype(np.uint64))
             e = -np.log((np.right_shift(h, np.uint64(11)) + 0.5) * 2.0**-53) * self.inverse[edge]
-            d = e - np.minimum.reduceat(e, starts)[owner]
+            d = e - np.repeat(np.minimum.reduceat(e, starts), counts)
             best = np.flatnonzero(d == 0)
             if len(best) > len(live):  # equal draws: the first
                 best = best[np.unique(owner[best], return_index=True)[1]]
@@ -189,6 +255,7 @@ class _Chunk:
             chosen.append(edge[best])
             rest = np.ones(len(edge), bool)
             rest[best] = False
+            rest = np.flatnonzero(rest)
             aside.append((owner[rest] + seen, edge[rest], d[rest]))
             at[live] = self.targets[edge[best]]
             seen += len(live)
@@ -205,6 +272,20 @@ class _Chunk:
         return block[order], chosen[order], place[node], edge, d
 
 
+def _round_trips(ids: list[np.ndarray], texts: list[str], voc: Vocabulary) -> list[bool]:
+    """Whether each sequence of ids decodes to its text, as `decode` does it, for all of them at once."""
+    if not ids:
+        return []
+    flat, sizes = np.concatenate(ids), np.array([len(x) for x in ids])
+    width = np.array([len(x) for x in voc.texts])
+    first = np.cumsum(width) - width
+    table = np.frombuffer(b"".join(voc.texts), np.uint8)
+    spans, _ = _spans(first[flat], width[flat])
+    ends = np.cumsum(np.add.reduceat(width[flat], np.cumsum(sizes) - sizes)).tolist()
+    made = table[spans].tobytes()
+    return [made[a + 1 : b] == text.encode("utf-8", "surrogatepass") for a, b, text in zip([0, *ends], ends, texts)]
+
+
 @dataclass
 class _Text:
     """One text's search: open nodes (log time, phi, path so far, block, position), finished (ids, phi)."""
@@ -216,8 +297,13 @@ class _Text:
 
 def sample(texts: list[str], keys: list[int], k: int, voc: Vocabulary) -> list[list[tuple[list[int], float, float]]]:
     """For each text up to k (ids, log-probability, inclusion score), best perturbed value first."""
-    chunk = _Chunk(texts, voc)
-    starts = [np.cumsum(s) - s for s in (chunk.size[b] for b in chunk.blocks)]
+    return [[(ids.tolist(), phi, score) for ids, phi, score in samples] for samples in _sampled(texts, keys, k, Lattices(voc))]
+
+
+def _sampled(texts: list[str], keys: list[int], k: int, chunk: Lattices) -> list[list[tuple[np.ndarray, float, float]]]:
+    """What `sample` returns, with ids as arrays of 32-bit integers."""
+    blocks = chunk.blocks(texts)
+    starts = [np.cumsum(s) - s for s in (chunk.size[b] for b in blocks)]
     runs = []
     for key in keys:
         u = (int(mixed(np.array([key], np.uint64))[0] >> 11) + 0.5) * 2.0**-53
@@ -228,7 +314,7 @@ def sample(texts: list[str], keys: list[int], k: int, voc: Vocabulary) -> list[l
             break
         kinds, ats, seeds, offsets, lengths = [], [], [], [], []
         for i, (_, _, _, b, at) in popped:
-            kind = chunk.blocks[i][b:]
+            kind = blocks[i][b:]
             first = np.zeros(len(kind), np.int64)
             first[:1] = at
             kinds.append(kind)
@@ -252,29 +338,39 @@ def sample(texts: list[str], keys: list[int], k: int, voc: Vocabulary) -> list[l
             if s.start == s.stop:
                 continue
             prefix = phi + run[node[s] - lo] - chunk.logp[chosen[node[s]]]
-            times = np.logaddexp(time, np.log(d[s]) - prefix)
-            near = np.argpartition(times, want)[:want] if len(times) > want else np.arange(len(times))
-            for x in near.tolist():
+            late = np.log(d[s]) - prefix  # behind `time`, in whose order the sums are
+            near = np.argpartition(late, want)[:want] if len(late) > want else np.arange(len(late))
+            for x, child in zip(near.tolist(), np.logaddexp(time, late[near]).tolist()):
                 n, e = int(node[s][x]), int(edge[s][x])
                 into = b + int(block[n]) - (int(ends[j]) - lengths[j])
                 way = (*path, chosen[lo:n], np.array([e], np.int64))
-                runs[i].open.append((float(times[x]), float(prefix[x] + chunk.logp[e]), way, into, int(chunk.targets[e])))
+                runs[i].open.append((child, float(prefix[x] + chunk.logp[e]), way, into, int(chunk.targets[e])))
             runs[i].open.sort(key=lambda o: o[0])
             del runs[i].open[want:]
+    lengths = [len(path) for r in runs for path, _ in r.done]
+    ids = iter(_ids(chunk.ids[np.concatenate([path for r in runs for path, _ in r.done])], lengths, chunk.voc) if lengths else [])
     out = []
     for r in runs:
         kappa = r.open[0][0] if r.open else math.inf
         # phi - kappa, as kappa's value is -log time.
         score = lambda phi: -math.expm1(-math.exp(min(phi + kappa, 700.0)))  # noqa: B023, E731
-        out.append([(_ids(chunk.ids[path], voc), phi, score(phi)) for path, phi in r.done])
+        out.append([(next(ids), phi, score(phi)) for _, phi in r.done])
     return out
 
 
-def _ids(found: np.ndarray, voc: Vocabulary) -> list[int]:
-    ids = found.tolist()
-    if (found < 0).any():
-        return [i for x in ids for i in ((x,) if x >= 0 else (voc.byte_ids[b] for b in chr(-1 - x).encode("utf-8", "surrogatepass")))]
-    return ids
+def _ids(found: np.ndarray, lengths: list[int], voc: Vocabulary) -> list[np.ndarray]:
+    """The ids of edges, with those of a character's bytes in its place; `lengths` of edges each."""
+    bare = np.flatnonzero(found < 0)
+    code = -1 - found[bare]
+    width = np.ones(len(found), np.int64)
+    width[bare] = n = _width(code)
+    out, of_byte, ends = np.repeat(found, width), np.array(voc.byte_ids, np.int32), np.cumsum(width)
+    first = ends[bare] - n
+    out[first] = of_byte[np.choose(n - 1, [code, 0xC0 | code >> 6, 0xE0 | code >> 12, 0xF0 | code >> 18])]
+    for j in range(1, 4):
+        has = n > j
+        out[first[has] + j] = of_byte[0x80 | code[has] >> 6 * (n[has] - 1 - j) & 0x3F]
+    return np.split(out, ends[np.cumsum(lengths) - 1][:-1])
 
 
 _ENCODED = "doc_id long, sample int, ids array<int>, log_prob double, inclusion double, ids_crc32 long, round_trip boolean"
@@ -291,6 +387,7 @@ def encode(docs: DataFrame, k: int = SAMPLES, path: str = MODEL, seed: int = 0)
     voc = vocabulary(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattices = Lattices(voc)
         for batch in batches:
             rows: list[tuple[int | None, str]] = []
             size = 0
@@ -298,18 +395,17 @@ def encode(docs: DataFrame, k: int = SAMPLES, path: str = MODEL, seed: int = 0)
                 rows.append((doc.as_py(), text.as_py() or ""))
                 size += len(rows[-1][1])
                 if size >= CHUNK:
-                    yield encoded(rows)
+                    yield encoded(rows, lattices)
                     rows, size = [], 0
             if rows:
-                yield encoded(rows)
+                yield encoded(rows, lattices)
 
-    def encoded(rows: list[tuple[int | None, str]]) -> pa.RecordBatch:
+    def encoded(rows: list[tuple[int | None, str]], lattices: Lattices) -> pa.RecordBatch:
         keys = [xxhash.xxh3_64_intdigest(str(t if d is None else d).encode("utf-8", "surrogatepass"), seed) for d, t in rows]
-        table: list[tuple] = []
-        for (doc, text), samples in zip(rows, sample([t for _, t in rows], keys, k, voc)):
-            for n, (ids, phi, score) in enumerate(samples, 1):
-                crc = zlib.crc32(np.array(ids, "<i4").tobytes())
-                table.append((doc, n, np.array(ids, np.int32), phi, score, crc, decode(ids, voc) == text))
+        found = _sampled([t for _, t in rows], keys, k, lattices)
+        each = [(doc, text, n, *one) for (doc, text), samples in zip(rows, found) for n, one in enumerate(samples, 1)]
+        whole = _round_trips([ids for _, _, _, ids, _, _ in each], [text for _, text, *_ in each], voc)
+        table = [(doc, n, ids, phi, score, zlib.crc32(ids.astype("<i4", copy=False).tobytes()), same) for (doc, _, n, ids, phi, score), same in zip(each, whole)]
         columns = list(zip(*table)) if table else [()] * 7
         types = [pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.float64(), pa.float64(), pa.int64(), pa.bool_()]
         names = ["doc_id", "sample", "ids", "log_prob", "inclusion", "ids_crc32", "round_trip"]

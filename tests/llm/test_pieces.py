@@ -87,3 +87,38 @@ def test_query_round_trips_everything(spark, small_dir):
     rows = op8_sentencepiece_sampling(spark, small_dir).collect()
     assert all(r.round_trip for r in rows)
     assert len({r.doc_id for r in rows}) == spark.read.parquet(f"{small_dir}/documents.parquet").count()
+
+
+def test_lattices_are_kept_from_chunk_to_chunk(voc, monkeypatch):
+    texts = ["hello there", "some longer text\nwith lines", "日本 ▁ \x00 é 😀"]
+    made = []
+    add = P.Lattices._add
+    monkeypatch.setattr(P.Lattices, "_add", lambda self, size, codes: made.append(len(size)) or add(self, size, codes))
+    kept = P.Lattices(voc)
+    first, again = (P._sampled(texts, [3, 4, 5], 3, kept) for _ in range(2))
+    more = P._sampled([*texts, "hello new words"], [3, 4, 5, 6], 3, kept)
+    assert made == [len(kept.number) - 2, 2]
+    plain = lambda found: [[(ids.tolist(), *rest) for ids, *rest in x] for x in found]
+    assert plain(first) == plain(again) == plain(more)[:3] == [[(ids, *rest) for ids, *rest in x] for x in P.sample(texts, [3, 4, 5], 3, voc)]
+    monkeypatch.setattr(P, "REMEMBERED", 1)
+    assert plain(P._sampled(texts, [3, 4, 5], 3, kept)) == plain(first) and len(kept.number) == made[-1]
+
+
+def test_round_trips_tell_what_decodes(voc):
+    texts = ["日本 é", "", "plain words", "other"]
+    ids = [P.np.array(x[0][0], P.np.int32) for x in P.sample(texts, [1, 2, 3, 4], 1, voc)]
+    assert P._round_trips(ids, texts, voc) == [True] * 4
+    assert P._round_trips(ids, [*texts[:3], "another"], voc) == [True] * 3 + [False]
+
+
+def test_blocks_are_those_of_the_pattern(voc):
+    import re
+
+    texts = ["", "  two  gaps \n x\n\n", "\n", "a\nb c", "日本  語\n ", "a b a b"]
+    kept = P.Lattices(voc)
+    number, size = {}, {}
+    for text, got in zip(texts, kept.blocks(texts)):
+        want = re.findall(r"\n| +[^ \n]*|[^ \n]+", " " + text)
+        assert [len(b) for b in want] == kept.size[got].tolist()
+        for b, n in zip(want, got.tolist()):
+            assert number.setdefault(b, n) == n and size.setdefault(n, b) == b
