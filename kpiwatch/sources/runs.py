@@ -17,7 +17,7 @@ import uuid
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,13 +58,12 @@ def committed(spark: SparkSession, root: str, output: str, schema: T.StructType)
         return spark.createDataFrame([], schema)
     full = T.StructType([*schema.fields, T.StructField("run", T.StringType())])
     rows = spark.read.schema(full).option("basePath", f"{root}/{output}").parquet(f"{root}/{output}")
-    # A run covers its days only, whatever it has staged.
-    days = rows.select("dated", "run").distinct().join(known, "run")
-    covers = (F.col("first").isNull() | (F.col("first") <= F.col("dated"))) & (F.col("last").isNull() | (F.col("dated") <= F.col("last")))
-    mine = days.where(covers).select("dated", "run", "seq")
-    every = mine.select("dated").distinct().join(known.select("seq", "run", "first", "last").alias("k"), covers)
-    latest = every.withColumn("place", F.row_number().over(Window.partitionBy("dated").orderBy(F.desc("seq"), F.desc("run"))))
-    return rows.join(latest.where("place = 1").select("dated", "run"), ["dated", "run"], "left_semi").select(*schema.fieldNames())
+    # A run covers its days only, whatever it has staged; of those, only days between the first and the last stored one matter.
+    low, high = (F.lit(x).cast("date") for x in rows.agg(F.min("dated"), F.max("dated")).first())
+    spans = known.select("seq", "run", F.greatest("first", low).alias("first"), F.least("last", high).alias("last")).where("first <= last")
+    covered = spans.select("seq", "run", F.explode(F.sequence("first", "last")).alias("dated"))
+    latest = covered.groupBy("dated").agg(F.max(F.struct("seq", "run")).alias("latest")).select("dated", "latest.run")
+    return rows.join(latest, ["dated", "run"], "left_semi").select(*schema.fieldNames())
 
 
 def store_run(spark: SparkSession, root: str, outputs: Mapping[str, DataFrame], first=None, last=None) -> str:
