@@ -25,6 +25,7 @@ import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ SHIFT = 2.7
 #: Characters that one numpy step works on; bounds the memory of a task.
 CHUNK = 250_000
 #: Characters of distinct blocks whose lattices a task keeps for the next chunk.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 
 
 @dataclass(frozen=True)
@@ -56,6 +57,12 @@ class Vocabulary:
     texts: tuple[bytes, ...]
     lines: bool  # no piece has a line break beside other characters
 
+    @cached_property
+    def spelled(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of all texts one after another, and each text's first byte and number of bytes."""
+        width = np.array([len(x) for x in self.texts])
+        return np.frombuffer(b"".join(self.texts), np.uint8), np.cumsum(width) - width, width
+
 
 def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
@@ -77,6 +84,16 @@ def _spans(firsts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.arange(counts.sum()) + np.repeat(firsts - starts, counts), starts
 
 
+def _put(old: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """`old` with `more` after its `used` entries; made longer, with some room to spare, where it is too short."""
+    if used + len(more) > len(old):
+        grown = np.empty((used + len(more)) * 5 // 4, more.dtype)
+        grown[:used] = old[:used]
+        old = grown
+    old[used : used + len(more)] = more
+    return old
+
+
 def vocabulary(path: str = MODEL) -> Vocabulary:
     import sentencepiece
 
@@ -114,21 +131,13 @@ def decode(ids: list[int], voc: Vocabulary) -> str:
     return b"".join(map(voc.texts.__getitem__, ids))[1:].decode("utf-8", "surrogatepass")
 
 
-class _Numbers(dict):
-    """The number of each block, by its hash, in order of first use."""
-
-    def __missing__(self, block: int) -> int:
-        n = self[block] = len(self)
-        return n
-
-
 class Lattices:
     """The lattices of distinct blocks as flat arrays: nodes are characters, edges pieces.
 
     An edge's `ids` entry is the piece, or -1 - code for a character that is coded in bytes; `logp`
     is the log-probability of the edge among its node's, by the weights of all paths to the block's end.
-    Blocks are told apart by hash, and kept from one chunk of texts to the next, until they hold more than REMEMBERED characters; a
-    lattice is the same whichever blocks it is made with.
+    Blocks are told apart by hash, and kept from one chunk of texts to the next. When they hold more than REMEMBERED characters,
+    those that the most chunks had stay, up to half as many. A lattice is the same whichever blocks it is made with.
     """
 
     def __init__(self, voc: Vocabulary):
@@ -137,15 +146,34 @@ class Lattices:
         self.clear()
 
     def clear(self) -> None:
-        self.number = _Numbers()
-        self.size = self.first_node = self.counts = self.first_edge = np.empty(0, np.int64)
+        self.hashes = np.empty(0, np.uint64)  # sorted; `number` has the number of the block of each
+        self.number = self.uses = self.size = self.first_node = self.counts = self.first_edge = np.empty(0, np.int64)
         self.ids = self.targets = np.empty(0, np.int32)
         self.logp = self.inverse = np.empty(0)
+        self.nodes = self.edges = 0  # used entries of the arrays by node and by edge
+
+    def _forget(self) -> None:
+        """Keep the blocks that the most chunks had, up to half of REMEMBERED characters."""
+        most = np.argsort(-self.uses, kind="stable")
+        keep = np.sort(most[np.cumsum(self.size[most]) <= REMEMBERED // 2])
+        if not len(keep):
+            self.clear()
+            return
+        renumbered = np.full(len(self.size), -1)
+        renumbered[keep] = np.arange(len(keep))
+        number = renumbered[self.number]
+        self.hashes, self.number = self.hashes[number >= 0], number[number >= 0]
+        nodes, self.first_node = _spans(self.first_node[keep], self.size[keep])
+        self.uses, self.size = self.uses[keep] // 2, self.size[keep]
+        edges, first_edge = _spans(self.first_edge[nodes], self.counts[nodes])
+        self.counts, self.first_edge = self.counts[nodes], first_edge
+        self.ids, self.targets, self.logp, self.inverse = self.ids[edges], self.targets[edges], self.logp[edges], self.inverse[edges]
+        self.nodes, self.edges = len(nodes), len(edges)
 
     def blocks(self, texts: list[str]) -> list[np.ndarray]:
         """The numbers of each text's blocks, whose lattices are there from now on."""
-        if len(self.counts) > REMEMBERED:
-            self.clear()
+        if self.nodes > REMEMBERED:
+            self._forget()
         codes = _codes("".join([" " + t for t in texts]))
         ends = np.cumsum([len(t) + 1 for t in texts])
         space, line = codes == ord(" "), (codes == ord("\n")) & self.voc.lines
@@ -158,38 +186,42 @@ class Lattices:
         place = np.arange(1, len(codes) + 1) - np.repeat(first, size)
         h = np.add.reduceat(mixed(codes + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), first) if len(first) else codes
         h, one, block = np.unique(h + size.astype(np.uint64), return_index=True, return_inverse=True)
-        known = len(self.number)
-        number = np.fromiter(map(self.number.__getitem__, h.tolist()), np.int64, len(h))
-        new = one[number >= known]
+        spot = np.searchsorted(self.hashes, h)
+        known = np.zeros(len(h), bool)
+        if len(self.hashes):
+            known = self.hashes[np.minimum(spot, len(self.hashes) - 1)] == h
+        number = np.empty(len(h), np.int64)
+        number[known] = self.number[spot[known]]
+        new = one[~known]
         if len(new):
+            number[~known] = np.arange(len(self.size), len(self.size) + len(new))
+            self.hashes, self.number = np.insert(self.hashes, spot[~known], h[~known]), np.insert(self.number, spot[~known], number[~known])
+            self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
             self._add(size[new], codes[_spans(first[new], size[new])[0]])
+        self.uses[number] += 1
         return np.split(number[block], np.searchsorted(first, ends[:-1])) if texts else []
 
     def _add(self, size: np.ndarray, codes: np.ndarray) -> None:
-        """Make the lattices of new blocks, the last of `number`, from their sizes and characters."""
+        """Make the lattices of new blocks, numbered after those that are there, from their sizes and characters."""
         voc = self.voc
         first_node = np.cumsum(size) - size
         n = len(codes)
         left = np.repeat(first_node + size, size) - np.arange(n)  # characters to the block's end
         at, h, found = np.arange(n), np.zeros(n, np.uint64), []
         for i, (hashes, pieces, more) in enumerate(voc.by_length):
-            # Only what began a longer piece so far, and does not end its block, goes on.
-            if i:
-                fits = left[at] > i
-                at, h = at[fits], h[fits]
             h = _longer(h, codes[at + i])
             spot = self.places[i].of(h)
             same = hashes[spot] == h
-            at, h, spot = at[same], h[same], spot[same]
             piece = pieces[spot]
-            whole = piece >= 0
+            whole = np.flatnonzero(same & (piece >= 0))
             found.append((at[whole], piece[whole]))
             if not i:
                 bare = np.ones(n, bool)
                 bare[found[0][0]] = False
                 bare = np.flatnonzero(bare)
                 found.append((bare, -1 - codes[bare].astype(np.int32)))
-            goes = more[spot]
+            # Only what began a longer piece so far, and does not end its block, goes on.
+            goes = np.flatnonzero(same & more[spot] & (left[at] > i + 1))
             at, h = at[goes], h[goes]
         lengths = [0, *range(len(voc.by_length))]
         counts = np.zeros(n, np.int64)
@@ -207,7 +239,7 @@ class Lattices:
         weight[byted] = _width(codes[node[byted]]) * voc.logp[voc.byte_ids[0]]
         back = np.zeros(n + 1)
         to = np.where(left[node] == length + 1, n, node + length + 1)  # the last entry of `back` is the end of any block
-        by_left = np.argsort(left, kind="stable")
+        by_left = np.argsort(left.astype(np.min_scalar_type(int(size.max(initial=0)))), kind="stable")  # small types sort faster
         cuts = np.cumsum(np.bincount(left, minlength=1)) if n else np.zeros(1, int)
         # The edges in the order in which their nodes' sums are made.
         edges, starts = _spans(first_edge[by_left], counts[by_left])
@@ -222,12 +254,11 @@ class Lattices:
             back[by_left[lo:hi]] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, sizes[lo:hi])), starts[lo:hi] - a))
         logp = weight + back[to] - back[node]
         targets = (node + length + 1 - np.repeat(first_node, size)[node]).astype(np.int32)
-        join = lambda old, more: np.concatenate([old, more]) if len(old) else more
-        nodes_before, edges_before = len(self.counts), len(self.ids)
-        self.size, self.first_node = join(self.size, size), join(self.first_node, first_node + nodes_before)
-        self.counts, self.first_edge = join(self.counts, counts), join(self.first_edge, first_edge + edges_before)
-        self.ids, self.targets = join(self.ids, ids), join(self.targets, targets)
-        self.logp, self.inverse = join(self.logp, logp), join(self.inverse, np.exp(-logp))
+        self.size, self.first_node = np.concatenate([self.size, size]), np.concatenate([self.first_node, first_node + self.nodes])
+        self.counts, self.first_edge = _put(self.counts, self.nodes, counts), _put(self.first_edge, self.nodes, first_edge + self.edges)
+        self.ids, self.targets = _put(self.ids, self.edges, ids), _put(self.targets, self.edges, targets)
+        self.logp, self.inverse = _put(self.logp, self.edges, logp), _put(self.inverse, self.edges, np.exp(-logp))
+        self.nodes, self.edges = self.nodes + n, self.edges + len(ids)
 
     def walk(self, kind: np.ndarray, at: np.ndarray, key: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, ...]:
         """Follow the best child from position `at` of each block to its end.
@@ -235,41 +266,52 @@ class Lattices:
         Returns the visited nodes in order of (block, step): their block and chosen edge; and the
         edges left aside: their node (index into the former), edge and e - min e.
         """
-        block, step, chosen, aside = [], [], [], []
-        live, at, t, seen = np.flatnonzero(at < self.size[kind]), at.copy(), 0, 0
+        nodes, aside, steps = [], [], np.zeros(len(kind), np.int64)
+        golden = np.uint64(0x9E3779B97F4A7C15)
+        live = np.flatnonzero(at < self.size[kind])
+        base = self.first_node[kind[live]]
+        node, stop = base + at[live], base + self.size[kind[live]]
+        seed = key[live] + (offset[live] - base).astype(np.uint64) * golden
         while len(live):
-            node = self.first_node[kind[live]] + at[live]
-            counts = self.counts[node]
-            edge, starts = _spans(self.first_edge[node], counts)
-            owner = np.repeat(np.arange(len(live)), counts)
-            nth = np.arange(len(edge)) - np.repeat(starts, counts)
-            spot = key[live] + (offset[live] + at[live]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            h = mixed(np.repeat(mixed(spot), counts) + nth.astype(np.uint64))
-            e = -np.log((np.right_shift(h, np.uint64(11)) + 0.5) * 2.0**-53) * self.inverse[edge]
-            d = e - np.repeat(np.minimum.reduceat(e, starts), counts)
-            best = np.flatnonzero(d == 0)
-            if len(best) > len(live):  # equal draws: the first
-                best = best[np.unique(owner[best], return_index=True)[1]]
-            block.append(live)
-            step.append(np.full(len(live), t))
-            chosen.append(edge[best])
-            rest = np.ones(len(edge), bool)
-            rest[best] = False
-            rest = np.flatnonzero(rest)
-            aside.append((owner[rest] + seen, edge[rest], d[rest]))
-            at[live] = self.targets[edge[best]]
-            seen += len(live)
-            t += 1
-            live = live[at[live] < self.size[kind[live]]]
-        if not block:
-            none = np.empty(0, np.int64)
-            return none, none, none, none, np.empty(0)
-        block, step, chosen = map(np.concatenate, (block, step, chosen))
-        order = np.lexsort((step, block))
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        node, edge, d = (np.concatenate([a[i] for a in aside]) for i in range(3))
-        return block[order], chosen[order], place[node], edge, d
+            counts, edge = self.counts[node], self.first_edge[node]
+            many = np.flatnonzero(counts > 1)  # the others have nothing to draw
+            if len(many):
+                n, first = counts[many], edge[many]
+                starts = np.cumsum(n) - n
+                owner = np.repeat(np.arange(len(many)), n)
+                every = np.arange(len(owner))  # less its node's start, an edge's place among its node's
+                each = (first - starts)[owner] + every
+                spot = mixed(seed[many] + node[many].astype(np.uint64) * golden) - starts.astype(np.uint64)
+                h = mixed(spot[owner] + every.view(np.uint64))
+                d = (h >> np.uint64(11)).view(np.int64) + 0.5
+                d *= 2.0**-53
+                np.negative(np.log(d, out=d), out=d)
+                d *= self.inverse[each]
+                d -= np.minimum.reduceat(d, starts)[owner]
+                best = np.flatnonzero(d == 0)
+                if len(best) > len(many):  # equal draws: the first
+                    best = best[np.unique(owner[best], return_index=True)[1]]
+                edge[many] = each[best]
+                rest = np.ones(len(each), bool)
+                rest[best] = False
+                rest = np.flatnonzero(rest)
+                aside.append((live[many], len(nodes), n - 1, each[rest], d[rest]))
+            nodes.append((live, edge))
+            steps[live] += 1
+            node = base + self.targets[edge]
+            on = np.flatnonzero(node < stop)
+            if len(on) < len(live):
+                live, base, node, stop, seed = live[on], base[on], node[on], stop[on], seed[on]
+        # A block's nodes stand together, in order of their steps.
+        begins = np.cumsum(steps) - steps
+        chosen = np.empty(int(steps.sum()), np.int64)
+        for t, (live, edge) in enumerate(nodes):
+            chosen[begins[live] + t] = edge
+        block = np.repeat(np.arange(len(kind)), steps)
+        if not aside:
+            return block, chosen, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        place, left = np.concatenate([begins[live] + t for live, t, *_ in aside]), np.concatenate([a[2] for a in aside])
+        return block, chosen, np.repeat(place, left), np.concatenate([a[3] for a in aside]), np.concatenate([a[4] for a in aside])
 
 
 def _round_trips(ids: list[np.ndarray], texts: list[str], voc: Vocabulary) -> list[bool]:
@@ -277,11 +319,10 @@ def _round_trips(ids: list[np.ndarray], texts: list[str], voc: Vocabulary) -> li
     if not ids:
         return []
     flat, sizes = np.concatenate(ids), np.array([len(x) for x in ids])
-    width = np.array([len(x) for x in voc.texts])
-    first = np.cumsum(width) - width
-    table = np.frombuffer(b"".join(voc.texts), np.uint8)
-    spans, _ = _spans(first[flat], width[flat])
-    ends = np.cumsum(np.add.reduceat(width[flat], np.cumsum(sizes) - sizes)).tolist()
+    table, first, width = voc.spelled
+    wide = width[flat]
+    spans, _ = _spans(first[flat], wide)
+    ends = np.cumsum(np.add.reduceat(wide, np.cumsum(sizes) - sizes)).tolist()
     made = table[spans].tobytes()
     return [made[a + 1 : b] == text.encode("utf-8", "surrogatepass") for a, b, text in zip([0, *ends], ends, texts)]
 
@@ -295,6 +336,21 @@ class _Text:
     done: list[tuple[np.ndarray, float]]
 
 
+def _least(values: np.ndarray, group: np.ndarray, groups: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of each group's `most` least values (more if some are equal), and where each group begins and the last ends among them."""
+    found, rest = [np.empty(0, np.int64)], np.arange(len(values))
+    for _ in range(most):
+        x, of = values[rest], group[rest]
+        least = np.full(groups, np.inf)
+        np.minimum.at(least, of, x)
+        hit = x == least[of]
+        found.append(rest[hit])
+        rest = rest[~hit]
+    places = np.concatenate(found)
+    places = places[np.argsort(group[places], kind="stable")]
+    return places, np.searchsorted(group[places], np.arange(groups + 1))
+
+
 def sample(texts: list[str], keys: list[int], k: int, voc: Vocabulary) -> list[list[tuple[list[int], float, float]]]:
     """For each text up to k (ids, log-probability, inclusion score), best perturbed value first."""
     return [[(ids.tolist(), phi, score) for ids, phi, score in samples] for samples in _sampled(texts, keys, k, Lattices(voc))]
@@ -303,7 +359,11 @@ def sample(texts: list[str], keys: list[int], k: int, voc: Vocabulary) -> list[l
 def _sampled(texts: list[str], keys: list[int], k: int, chunk: Lattices) -> list[list[tuple[np.ndarray, float, float]]]:
     """What `sample` returns, with ids as arrays of 32-bit integers."""
     blocks = chunk.blocks(texts)
-    starts = [np.cumsum(s) - s for s in (chunk.size[b] for b in blocks)]
+    sizes = np.array([len(b) for b in blocks], np.int64)
+    firsts = np.cumsum(sizes) - sizes
+    kinds = np.concatenate(blocks) if blocks else np.empty(0, np.int64)
+    offsets = np.cumsum(chunk.size[kinds]) - chunk.size[kinds]
+    offsets -= np.repeat(offsets[firsts], sizes)  # of each block in its text; a text has one at least
     runs = []
     for key in keys:
         u = (int(mixed(np.array([key], np.uint64))[0] >> 11) + 0.5) * 2.0**-53
@@ -312,39 +372,33 @@ def _sampled(texts: list[str], keys: list[int], k: int, chunk: Lattices) -> list
         popped = [(i, r.open.pop(0)) for i, r in enumerate(runs) if r.open]
         if not popped:
             break
-        kinds, ats, seeds, offsets, lengths = [], [], [], [], []
-        for i, (_, _, _, b, at) in popped:
-            kind = blocks[i][b:]
-            first = np.zeros(len(kind), np.int64)
-            first[:1] = at
-            kinds.append(kind)
-            ats.append(first)
-            seeds.append(np.full(len(kind), (runs[i].key + (turn + 1) * 0xD6E8FEB86659FD93) % 2**64, np.uint64))
-            offsets.append(starts[i][b:])
-            lengths.append(len(kind))
+        texts_of, skipped = np.array([i for i, _ in popped]), np.array([o[3] for _, o in popped])
+        lengths = sizes[texts_of] - skipped
+        which, begin = _spans(firsts[texts_of] + skipped, lengths)
+        ats = np.zeros(len(which), np.int64)
+        some = lengths > 0
+        ats[begin[some]] = np.array([o[4] for _, o in popped])[some]
+        seeds = np.array([(runs[i].key + (turn + 1) * 0xD6E8FEB86659FD93) % 2**64 for i, _ in popped], np.uint64)
         ends = np.cumsum(lengths)
-        block, chosen, node, edge, d = chunk.walk(*map(np.concatenate, (kinds, ats, seeds, offsets)))
+        block, chosen, node, edge, d = chunk.walk(kinds[which], ats, np.repeat(seeds, lengths), offsets[which])
         cuts = np.searchsorted(block, np.concatenate([[0], ends]))
-        by_node = np.argsort(node, kind="stable")
-        node, edge, d = node[by_node], edge[by_node], d[by_node]
-        sides = np.searchsorted(node, cuts)
-        for j, (i, (time, phi, path, b, _)) in enumerate(popped):
+        want = k - turn  # the samples still to come, and the one after them
+        logp = chunk.logp[chosen]
+        prefix = np.empty(len(chosen))
+        for j, (i, (_, phi, path, _, _)) in enumerate(popped):
             lo, hi = cuts[j], cuts[j + 1]
-            own = chosen[lo:hi]
-            run = np.cumsum(chunk.logp[own])  # of this text alone, so that neighbours don't change a digit
-            runs[i].done.append((np.concatenate([*path, own]), phi + (float(run[-1]) if hi > lo else 0.0)))
-            s = slice(sides[j], sides[j + 1])
-            want = k - turn  # the samples still to come, and the one after them
-            if s.start == s.stop:
-                continue
-            prefix = phi + run[node[s] - lo] - chunk.logp[chosen[node[s]]]
-            late = np.log(d[s]) - prefix  # behind `time`, in whose order the sums are
-            near = np.argpartition(late, want)[:want] if len(late) > want else np.arange(len(late))
-            for x, child in zip(near.tolist(), np.logaddexp(time, late[near]).tolist()):
-                n, e = int(node[s][x]), int(edge[s][x])
-                into = b + int(block[n]) - (int(ends[j]) - lengths[j])
+            run = np.cumsum(logp[lo:hi])  # of this text alone, so that neighbours don't change a digit
+            runs[i].done.append((np.concatenate([*path, chosen[lo:hi]]), phi + (float(run[-1]) if hi > lo else 0.0)))
+            prefix[lo:hi] = phi + run - logp[lo:hi]
+        late = np.log(d) - prefix[node]  # behind a text's `time`, in whose order the sums are
+        near, cuts_near = _least(late, np.repeat(np.arange(len(popped)), np.diff(cuts))[node], len(popped), want)
+        for j, (i, (time, phi, path, b, _)) in enumerate(popped):
+            lo, some = cuts[j], near[cuts_near[j] : cuts_near[j + 1]]
+            for x, child in zip(some.tolist(), np.logaddexp(time, late[some]).tolist()):
+                n, e = int(node[x]), int(edge[x])
+                into = b + int(block[n]) - (int(ends[j]) - int(lengths[j]))
                 way = (*path, chosen[lo:n], np.array([e], np.int64))
-                runs[i].open.append((child, float(prefix[x] + chunk.logp[e]), way, into, int(chunk.targets[e])))
+                runs[i].open.append((child, float(prefix[n] + chunk.logp[e]), way, into, int(chunk.targets[e])))
             runs[i].open.sort(key=lambda o: o[0])
             del runs[i].open[want:]
     lengths = [len(path) for r in runs for path, _ in r.done]

@@ -122,3 +122,15 @@ def test_blocks_are_those_of_the_pattern(voc):
         assert [len(b) for b in want] == kept.size[got].tolist()
         for b, n in zip(want, got.tolist()):
             assert number.setdefault(b, n) == n and size.setdefault(n, b) == b
+
+
+def test_blocks_that_many_chunks_have_stay_when_others_are_forgotten(voc, monkeypatch):
+    made = []
+    add = P.Lattices._add
+    monkeypatch.setattr(P.Lattices, "_add", lambda self, size, codes: made.append(len(size)) or add(self, size, codes))
+    monkeypatch.setattr(P, "REMEMBERED", 60)
+    kept = P.Lattices(voc)
+    texts = ["two common", "two common", " ".join(f"rare{i}" for i in range(20)), "two common"]
+    got = [[(ids.tolist(), *rest) for ids, *rest in P._sampled([text], [5], 3, kept)[0]] for text in texts]
+    assert made == [2, 20] and kept.nodes <= 60 // 2
+    assert got == [P.sample([text], [5], 3, voc)[0] for text in texts]
