@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir), works on all rows that its predecessor kept, and is written
 as Parquet under the shared checkpoint folder before the next one reads it. All but the last return
 the columns of `documents`.
+
+Stages that run Python set BATCH in the session: an executor holds each running task's batch twice or more, as Arrow
+buffers beside the heap and in the worker. By default a batch has 10000 rows up to 64 MB, and workers keep
+much of that when they are idle.
 """
 
 from __future__ import annotations
@@ -14,14 +18,23 @@ from pyspark.sql import DataFrame, SparkSession
 from kpiwatch.llm import decontam, neardup, pieces, pii, toxicity
 from kpiwatch.llm.common import read_table, shared_folder
 
+#: Bytes of rows that go to a Python worker at a time.
+BATCH = "4m"
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the classifier scores as toxic."""
+    _small_batches(spark)
     return toxicity.without_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, linked at a similarity of 0.8 or more."""
+    _small_batches(spark)
     return neardup.deduplicated(docs, neardup.STAGE_PERCENT)
 
 
@@ -37,6 +50,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, sample, ids, log_prob, inclusion, ids_crc32, round_trip: the sampled segmentations of each text."""
+    _small_batches(spark)
     return pieces.encode(docs)
 
 

@@ -41,7 +41,7 @@ SHIFT = 2.7
 #: Characters that one numpy step works on; bounds the memory of a task.
 CHUNK = 250_000
 #: Characters of distinct blocks whose lattices a task keeps for the next chunk.
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 
 
 @dataclass(frozen=True)
@@ -147,9 +147,10 @@ class Lattices:
 
     def clear(self) -> None:
         self.hashes = np.empty(0, np.uint64)  # sorted; `number` has the number of the block of each
-        self.number = self.uses = self.size = self.first_node = self.counts = self.first_edge = np.empty(0, np.int64)
-        self.ids = self.targets = np.empty(0, np.int32)
-        self.logp = self.inverse = np.empty(0)
+        self.number = self.uses = self.size = self.first_node = np.empty(0, np.int64)
+        self.counts = np.empty(0, np.uint8)  # a node has an edge for each length of pieces at most
+        self.first_edge = self.ids = self.targets = np.empty(0, np.int32)
+        self.logp = np.empty(0)
         self.nodes = self.edges = 0  # used entries of the arrays by node and by edge
 
     def _forget(self) -> None:
@@ -165,9 +166,9 @@ class Lattices:
         self.hashes, self.number = self.hashes[number >= 0], number[number >= 0]
         nodes, self.first_node = _spans(self.first_node[keep], self.size[keep])
         self.uses, self.size = self.uses[keep] // 2, self.size[keep]
-        edges, first_edge = _spans(self.first_edge[nodes], self.counts[nodes])
-        self.counts, self.first_edge = self.counts[nodes], first_edge
-        self.ids, self.targets, self.logp, self.inverse = self.ids[edges], self.targets[edges], self.logp[edges], self.inverse[edges]
+        edges, first_edge = _spans(self.first_edge[nodes], self.counts[nodes].astype(np.int64))
+        self.counts, self.first_edge = self.counts[nodes], first_edge.astype(np.int32)
+        self.ids, self.targets, self.logp = self.ids[edges], self.targets[edges], self.logp[edges]
         self.nodes, self.edges = len(nodes), len(edges)
 
     def blocks(self, texts: list[str]) -> list[np.ndarray]:
@@ -255,9 +256,10 @@ class Lattices:
         logp = weight + back[to] - back[node]
         targets = (node + length + 1 - np.repeat(first_node, size)[node]).astype(np.int32)
         self.size, self.first_node = np.concatenate([self.size, size]), np.concatenate([self.first_node, first_node + self.nodes])
-        self.counts, self.first_edge = _put(self.counts, self.nodes, counts), _put(self.first_edge, self.nodes, first_edge + self.edges)
+        self.counts = _put(self.counts, self.nodes, counts.astype(np.uint8))
+        self.first_edge = _put(self.first_edge, self.nodes, (first_edge + self.edges).astype(np.int32))
         self.ids, self.targets = _put(self.ids, self.edges, ids), _put(self.targets, self.edges, targets)
-        self.logp, self.inverse = _put(self.logp, self.edges, logp), _put(self.inverse, self.edges, np.exp(-logp))
+        self.logp = _put(self.logp, self.edges, logp)
         self.nodes, self.edges = self.nodes + n, self.edges + len(ids)
 
     def walk(self, kind: np.ndarray, at: np.ndarray, key: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -273,7 +275,7 @@ class Lattices:
         node, stop = base + at[live], base + self.size[kind[live]]
         seed = key[live] + (offset[live] - base).astype(np.uint64) * golden
         while len(live):
-            counts, edge = self.counts[node], self.first_edge[node]
+            counts, edge = self.counts[node].astype(np.int64), self.first_edge[node].astype(np.int64)
             many = np.flatnonzero(counts > 1)  # the others have nothing to draw
             if len(many):
                 n, first = counts[many], edge[many]
@@ -286,7 +288,7 @@ class Lattices:
                 d = (h >> np.uint64(11)).view(np.int64) + 0.5
                 d *= 2.0**-53
                 np.negative(np.log(d, out=d), out=d)
-                d *= self.inverse[each]
+                d *= np.exp(-self.logp[each])
                 d -= np.minimum.reduceat(d, starts)[owner]
                 best = np.flatnonzero(d == 0)
                 if len(best) > len(many):  # equal draws: the first

@@ -1,4 +1,5 @@
 import __spark_entry__ as entry
+import pyarrow as pa
 import corpus_pipeline
 from kpiwatch.llm import decontam, neardup, pieces, pii, toxicity
 from kpiwatch.llm.common import read_table
@@ -45,3 +46,20 @@ def test_stage_names_and_registration():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "personal_data", "sentencepiece"]
     assert {f"op{n}" for n in range(1, 14)} <= {q.split("_")[0] for q in entry.queries()} and "pipeline" in entry.queries()
     assert decontam and neardup
+
+
+def test_stages_that_run_python_take_small_batches(spark, small_dir, monkeypatch):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    for module, name in ((toxicity, "without_toxic"), (neardup, "deduplicated"), (pieces, "encode")):
+        monkeypatch.setattr(module, name, lambda docs, *_: docs.mapInArrow(lambda batches: batches, docs.schema))
+    stages = dict(corpus_pipeline.STAGES)
+    wide = spark.range(40, numPartitions=1).selectExpr("repeat('x', 1000000) AS text")
+    before = spark.conf.get(key)
+    try:
+        for name in ("toxicity", "near_duplicates", "sentencepiece"):
+            spark.conf.set(key, "64m")
+            out = stages[name](spark, wide, small_dir)
+            sizes = out.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()
+            assert len(sizes) > 1 and max(r.n for r in sizes) < 6_000_000
+    finally:
+        spark.conf.set(key, before)
