@@ -30,11 +30,16 @@ different components. There a walk emits all possible edges, up to EDGES a membe
 ahead, it emits one edge for every two components first. A block that left a pair out and had an edge refuted is walked
 again, told of the refuted pairs and with GROWTH times the edges, until every block is settled: no pair of different components
 that meets in a bucket and is still possible is left. Which links are found doesn't depend on the earlier rounds.
+
+An edge names the bucket where its ends meet first, the only one of the last round that looks at the pair, so a refuted pair
+goes to that bucket alone and not to each of the hundreds that hold an end. Written steps of few rows are read by few tasks:
+a shuffle has a file for each task, whatever little it holds.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -54,6 +59,8 @@ EDGES = 4
 GROWTH = 4
 #: Rows of 24 bytes that name the texts to compare; up to so many are sent to all executors, more are shuffled.
 BROADCAST_ROWS = 1_000_000
+#: Rows that a task reads of a written step at least, and sets (about as large as texts).
+FEW, FEW_SETS = 4_000, 500
 #: No bound on the edges listed for two components.
 ALL = 1 << 40
 #: Words whose hashes a task remembers at a time.
@@ -66,6 +73,11 @@ COLLECTIONS = {PERCENT: 20, STAGE_PERCENT: 28}
 AHEAD = {PERCENT: (), STAGE_PERCENT: (((0, 1),), ((2, 3), (4, 5)))}
 
 
+def few(written: DataFrame, rows: int = FEW) -> DataFrame:
+    """A written step, read by no more tasks than give each `rows` rows."""
+    return written.coalesce(max(1, math.ceil(written.count() / rows)))
+
+
 def shingles(text: bytes, hashes: Hashes) -> np.ndarray:
     """Sorted distinct 64-bit shingle hashes of one text."""
     words = text.lower().split()  # of bytes: A-Z only, and the white space 0x20 and 0x09-0x0D only
@@ -192,6 +204,11 @@ class _Block:
         self.coll, self.bits = words[:, :collections], words[:, collections:]
         self.first, self.second = divmod(pair, collections)
 
+    def meeting(self, u: int, v: int) -> tuple[int, int]:
+        """The first two collections that two members share: those of the bucket where they meet first."""
+        x, y = self.coll[u][self.coll[u] == self.coll[v]][:2].view(np.int64).tolist()
+        return x, y
+
     def possible(self, u: int, rest: np.ndarray, first: bool = True) -> np.ndarray:
         """Which of `rest` can be linked with `u`; with `first`, of those that meet `u` in this table first.
 
@@ -259,7 +276,7 @@ def _walk(percent: int, most: float, each: int) -> Callable[[Iterator[pa.RecordB
     """Rows sorted by (bucket, part) -> edges; a member row has a sketch, a refuted pair has `other`."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def edges(group: list[dict]) -> dict[tuple[bytes, bytes], bool]:
+        def edges(group: list[dict]) -> dict[tuple, bool]:
             members = {r["cls"]: r for r in group if r["sketch"] is not None}
             refuted: dict[bytes, set[bytes]] = {}
             for r in group:
@@ -273,14 +290,15 @@ def _walk(percent: int, most: float, each: int) -> Callable[[Iterator[pa.RecordB
                 return {}
             block = _Block(members[names[0]]["pair"], [members[x]["n"] for x in names], [members[x]["sketch"] for x in names], percent)
             some, more = _block_edges(names, block, roots, refuted, most, each)
-            return {(min(e), max(e)): more for e in some}
+            at = {x: i for i, x in enumerate(names)}
+            return {(min(e), max(e), *block.meeting(at[e[0]], at[e[1]]), group[0]["part"]): more for e in some}
 
-        def out(found: dict[tuple[bytes, bytes], bool]) -> pa.RecordBatch:
+        def out(found: dict[tuple, bool]) -> pa.RecordBatch:
             keys = sorted(found)
-            columns = [pa.array([k[i] for k in keys], pa.binary()) for i in (0, 1)]
-            return pa.RecordBatch.from_arrays([*columns, pa.array([found[k] for k in keys], pa.bool_())], names=["a", "b", "more"])
+            columns = [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32()))]
+            return pa.RecordBatch.from_arrays([*columns, pa.array([found[k] for k in keys], pa.bool_())], names=["a", "b", "x", "y", "part", "more"])
 
-        def add(found: dict[tuple[bytes, bytes], bool], group: list[dict]) -> None:
+        def add(found: dict[tuple, bool], group: list[dict]) -> None:
             for e, more in edges(group).items():
                 found[e] = found.get(e, False) or more
 
@@ -300,17 +318,29 @@ def _walk(percent: int, most: float, each: int) -> Callable[[Iterator[pa.RecordB
     return walk
 
 
+def _told(dealt: DataFrame, refuted: DataFrame, ahead: bool) -> DataFrame:
+    """bucket, pair, part, cls, other: the refuted pairs (a, b, bucket) for the blocks that may find them again.
+
+    In the last round those are the blocks of the bucket where the two meet first. A round ahead looks at all pairs of its
+    few buckets, and has one or two rows of each class.
+    """
+    pairs = refuted.select(F.col("a").alias("cls"), F.col("b").alias("other"), "bucket")
+    found = dealt.join(pairs.drop("bucket"), "cls") if ahead else dealt.join(pairs, ["bucket", "cls"])
+    return found.select("bucket", "pair", "part", "cls", "other")
+
+
 def _possible_edges(dealt: DataFrame, classes: DataFrame, roots: DataFrame | None, refuted: DataFrame | None, percent: int, most: float, each: int) -> DataFrame:
-    """a, b, more: possible edges of the blocks; more: a walk that gave the edge left others out."""
+    """a, b, bucket, open: possible edges of the blocks; bucket: where the ends meet first; open: parts whose walk gave the edge and left others out."""
     rows = dealt.drop("root").join(classes.select("cls", "n", "sketch"), "cls")
     rows = rows.withColumn("root", F.col("cls")) if roots is None else rows.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     rows = rows.select("bucket", "pair", "part", "cls", "n", "sketch", "root", F.lit(None).cast("binary").alias("other"))
     if refuted is not None:
-        told = dealt.join(refuted.select(F.col("a").alias("cls"), F.col("b").alias("other")), "cls")
         empty = F.lit(None).cast("binary")
+        told = _told(dealt, refuted, not most)
         rows = rows.unionByName(told.select("bucket", "pair", "part", "cls", F.lit(None).cast("int").alias("n"), empty.alias("sketch"), empty.alias("root"), "other"))
-    walked = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(_walk(percent, most, each), "a binary, b binary, more boolean")
-    return walked.groupBy("a", "b").agg(F.max("more").alias("more"))
+    walked = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(_walk(percent, most, each), "a binary, b binary, x long, y long, part int, more boolean")
+    walked = walked.withColumn("bucket", F.xxhash64("x", "y"))
+    return walked.groupBy("a", "b", "bucket").agg(F.collect_set(F.when(F.col("more"), F.col("part"))).alias("open"))
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,16 +358,16 @@ def _compare(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
                 x, y = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), batch.column("more"), pa.array(linked, pa.bool_())], names=["a", "b", "more", "linked"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, ("a", "b", "bucket", "open")), pa.array(linked, pa.bool_())], names=["a", "b", "bucket", "open", "linked"])
 
     return compare
 
 
 def _verified(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b, more, linked: each edge decided on its two full sets."""
+    """a, b, bucket, open, linked: each edge decided on its two full sets."""
     with_a = edges.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("sa")), "a")
     with_b = with_a.join(sets.select(F.col("cls").alias("b"), F.col("members").alias("sb")), "b")
-    return with_b.select("a", "b", "more", "sa", "sb").mapInArrow(_compare(percent), "a binary, b binary, more boolean, linked boolean")
+    return with_b.select("a", "b", "bucket", "open", "sa", "sb").mapInArrow(_compare(percent), "a binary, b binary, bucket long, open array<int>, linked boolean")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -347,18 +377,21 @@ def components(edges: DataFrame) -> DataFrame:
     so no task holds a component. It stops when the edges no longer change.
     """
     state, now = None, cut(edges.select("a", "b").distinct())
+    rows = now.count()
     while True:
+        tasks = max(1, math.ceil(2 * rows / FEW))
+        now = now.coalesce(tasks)
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).coalesce(tasks).distinct().coalesce(tasks)
         # Every edge now points from a node (a) to a smaller one (b).
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
-        now = cut(small.filter("a != b").distinct().select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        now = cut(small.filter("a != b").coalesce(tasks).distinct().select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).coalesce(tasks))
         seen = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if seen == state:
             break
-        state = seen
+        state, rows = seen, seen.n
     stars = now.select(F.col("b").alias("cls"), F.col("a").alias("root"))
     return stars.unionByName(stars.select(F.col("root").alias("cls"), "root").distinct())
 
@@ -375,34 +408,33 @@ def _with_sets(sets: DataFrame | None, edges: DataFrame, classes: DataFrame, doc
     wanted = F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = text.withColumn("th", F.xxhash64("text")).join(wanted, ["doc_id", "th"]).select("cls", "text")
-    more = cut(found.mapInArrow(_sets, "cls binary, members binary").dropDuplicates(["cls"]))
+    more = few(cut(found.mapInArrow(_sets, "cls binary, members binary").dropDuplicates(["cls"])), FEW_SETS)
     return more if sets is None else sets.unionByName(more)
 
 
 def class_roots(docs: DataFrame, signed: DataFrame, percent: int = PERCENT) -> DataFrame | None:
     """(cls, root) of all classes that have a link to another class; None where there is none."""
-    classes = cut(_classes(signed))
+    classes = few(cut(_classes(signed)))
     roots = links = refuted = sets = None
     for tables in (*AHEAD[percent], None):
-        dealt = cut(buckets(classes, percent, roots, tables))
+        dealt = few(cut(buckets(classes, percent, roots, tables)))
         most, each = (0, 0) if tables is not None else (EDGES, 1 if AHEAD[percent] else ALL)
         while True:
-            edges = cut(_possible_edges(dealt, classes, roots, refuted, percent, most, each))
+            edges = few(cut(_possible_edges(dealt, classes, roots, refuted, percent, most, each)))
             most, each = most * GROWTH, each * GROWTH
             if edges.isEmpty():
                 break
             sets = _with_sets(sets, edges, classes, docs)
-            decided = cut(_verified(edges, sets, percent))
+            decided = few(cut(_verified(edges, sets, percent)))
             new, bad = decided.filter("linked").select("a", "b"), decided.filter("NOT linked")
             links = new if links is None else links.unionByName(new)
-            refuted = bad.select("a", "b") if refuted is None else refuted.unionByName(bad.select("a", "b"))
-            roots = cut(components(links)) if not links.isEmpty() else None
-            open_pairs = bad.filter("more").select("a", "b")
-            if tables is not None or open_pairs.isEmpty():
+            refuted = bad.select("a", "b", "bucket") if refuted is None else refuted.unionByName(bad.select("a", "b", "bucket"))
+            roots = few(cut(components(links))) if not links.isEmpty() else None
+            open_parts = bad.select("bucket", F.explode("open").alias("part")).distinct()
+            if tables is not None or open_parts.isEmpty():
                 break  # every block is settled, or will be in the last round
-            # A block goes on if an edge of its forest was refuted; that it holds both ends is enough to look again.
-            ends = dealt.join(open_pairs.withColumnRenamed("a", "cls"), "cls").select("bucket", "part", F.col("b").alias("cls"))
-            dealt = cut(dealt.join(dealt.join(ends, ["bucket", "part", "cls"], "left_semi").select("bucket", "part").distinct(), ["bucket", "part"], "left_semi"))
+            # A block goes on if one of the edges it gave was refuted.
+            dealt = few(cut(dealt.join(open_parts, ["bucket", "part"], "left_semi")))
     return roots
 
 

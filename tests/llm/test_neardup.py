@@ -182,3 +182,46 @@ def test_few_walks_settle_a_block_of_refuted_pairs(spark, docs, monkeypatch):
 def test_stage_percent_against_brute_force(spark, docs):
     rows = corpus()
     assert got(nd.near_duplicates(docs(rows), nd.STAGE_PERCENT)) == brute(rows, 80)
+
+
+def test_a_refuted_pair_is_told_to_the_bucket_of_its_first_meeting_only(spark, docs, monkeypatch):
+    """Members of a group and texts just below the limit, whose pairs the sketches allow: not told to every bucket of an end."""
+    rng = random.Random(11)
+    base = words(400, rng)
+    near = lambda k: [f"e{rng.randrange(10**6)}" if i in at else w for at in [rng.sample(range(5, 390, 5), k)] for i, w in enumerate(base)]
+    rows = [(i, " ".join(near(4 if i < 16 else 5))) for i in range(24)]
+    told, walks, walk = spark.sparkContext.accumulator(0), [], nd._walk
+
+    def counted(*a):
+        walks.append(a)
+        inner = walk(*a)
+
+        def count(batches):
+            def seen():
+                for batch in batches:
+                    told.add(len(batch) - batch.column("other").null_count)
+                    yield batch
+
+            yield from inner(seen())
+
+        return count
+
+    monkeypatch.setattr(nd, "_walk", counted)
+    refuted = []
+    monkeypatch.setattr(nd, "_verified", lambda *a, f=nd._verified: refuted.append(nd.cut(f(*a))) or refuted[-1])
+    assert got(nd.near_duplicates(docs(rows), nd.STAGE_PERCENT)) == brute(rows, 80)
+    pairs = sum(r.filter("NOT linked").count() for r in refuted)
+    assert pairs > 20 and 0 < told.value <= pairs * len(walks)
+
+
+def test_an_edge_names_the_bucket_of_its_first_meeting(spark, docs):
+    rng = random.Random(12)
+    base = words(200, rng)
+    d = docs([(i, " ".join(edited(base, 1 + i % 3, rng))) for i in range(30)])
+    classes = nd._classes(nd.signatures(d)).cache()
+    edges = nd._possible_edges(nd.buckets(classes), classes, None, None, nd.PERCENT, nd.EDGES, nd.ALL)
+    coll = {bytes(r.cls): r.coll for r in classes.collect()}
+    found = edges.selectExpr("a", "b", "bucket", "open").collect()
+    firsts = {(bytes(r.a), bytes(r.b)): [x for x, y in zip(coll[bytes(r.a)], coll[bytes(r.b)]) if x == y][:2] for r in found}
+    hashed = spark.createDataFrame([(*k, *v) for k, v in firsts.items()], "a binary, b binary, x long, y long").selectExpr("a", "b", "xxhash64(x, y) AS h").collect()
+    assert found and {(bytes(r.a), bytes(r.b)): r.bucket for r in found} == {(bytes(r.a), bytes(r.b)): r.h for r in hashed}
